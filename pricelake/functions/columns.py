@@ -71,7 +71,7 @@ def epoch_ms_to_ts(ms) -> Column:
 def iso_text_to_date(s) -> Column:
     """ISO date/time text -> date; trailing 'Z's dropped; bad text -> NULL."""
     core = F.substring(F.regexp_replace(_c(s), "Z+$", ""), 1, 10)
-    return F.try_to_date(core, F.lit("yyyy-MM-dd"))
+    return F.try_to_date(core, "yyyy-MM-dd")
 
 
 def lookback_start(as_of, days: int) -> Column:

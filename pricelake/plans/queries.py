@@ -10,9 +10,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pricelake.operators import dedup, marts, staging
+from pricelake import schemas
+from pricelake.operators import dedup, marts, quality, reshape, serving, staging
 from pricelake.plans.common import rounded
 from pricelake.sources import fixtures as fx
+from pricelake.sources import payloads
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -113,3 +115,220 @@ def q_weekly_open_close(spark, sf):
 @register("q_latest_price")
 def q_latest_price(spark, sf):
     return rounded(marts.latest_price(f1_staged(spark, sf)))
+
+
+# ---- dimension (fixture F3) ---------------------------------------------------
+
+def f3_metadata_raw(spark, sf):
+    return payloads.parse_metadata(fx.f3_info_payloads(spark, sf))
+
+
+def f3_dim(spark, sf):
+    wl = staging.typed(fx.f3_watchlist(spark, sf), schemas.WATCHLIST)
+    meta = staging.stage_metadata(f3_metadata_raw(spark, sf))
+    latest = marts.latest_price(f1_staged(spark, sf))
+    return marts.dim_assets(wl, meta, latest, fx.F1_AS_OF)
+
+
+@register("q_watchlist_scan")
+def q_watchlist_scan(spark, sf):
+    return staging.typed(fx.f3_watchlist(spark, sf), schemas.WATCHLIST)
+
+
+@register("q_parse_metadata")
+def q_parse_metadata(spark, sf):
+    return rounded(f3_metadata_raw(spark, sf))
+
+
+@register("q_stage_metadata")
+def q_stage_metadata(spark, sf):
+    return rounded(staging.stage_metadata(f3_metadata_raw(spark, sf)))
+
+
+@register("q_dim_assets")
+def q_dim_assets(spark, sf):
+    return rounded(f3_dim(spark, sf))
+
+
+@register("q_dim_ranked")
+def q_dim_ranked(spark, sf):
+    # a top-50 report: the limit is the feature
+    return rounded(serving.dim_ranked(f3_dim(spark, sf), 50))
+
+
+# ---- data quality ------------------------------------------------------------
+
+@register("q_dq_not_null")
+def q_dq_not_null(spark, sf):
+    return rounded(quality.not_null(fx.f1_raw_prices(spark, sf), "volume_usd"))
+
+
+@register("q_dq_unique")
+def q_dq_unique(spark, sf):
+    return quality.unique(fx.f1_raw_prices(spark, sf), "asset_id")
+
+
+@register("q_dq_unique_combo")
+def q_dq_unique_combo(spark, sf):
+    return quality.unique_combo(fx.f1_raw_prices(spark, sf), ["asset_id", "price_date"])
+
+
+@register("q_dq_expression")
+def q_dq_expression(spark, sf):
+    # conditional test: among rows with a low, the low must not exceed the open
+    return rounded(quality.expression_is_true(fx.f1_raw_prices(spark, sf),
+                                              "low_usd <= open_usd", where="low_usd is not null"))
+
+
+@register("q_dq_price_positive")
+def q_dq_price_positive(spark, sf):
+    return rounded(quality.expression_is_true(f1_fact(spark, sf), "close_usd > 0")
+                   .select("asset_id", "price_date", "close_usd"))
+
+
+F1_AS_OF_TS = "2001-11-05 06:00:00"
+
+
+@register("q_dq_freshness")
+def q_dq_freshness(spark, sf):
+    prices = quality.freshness(fx.f1_raw_prices(spark, sf), "fetched_at", F1_AS_OF_TS,
+                               source="prices")
+    meta = quality.freshness(f3_metadata_raw(spark, sf), "fetched_at", F1_AS_OF_TS,
+                             source="asset_metadata")
+    return prices.unionByName(meta)
+
+
+@register("q_dq_summary")
+def q_dq_summary(spark, sf):
+    tables = {"raw_prices": fx.f1_raw_prices(spark, sf), "fact_daily": f1_fact(spark, sf),
+              "raw_metadata": f3_metadata_raw(spark, sf)}
+    checks = (quality.price_checks("raw_prices", "raw_prices")
+              + quality.price_checks("fact_daily", "fact_daily")
+              + [quality.Check("fact_daily.unique_asset_date", "fact_daily", "unique_combo",
+                               ["asset_id", "price_date"]),
+                 quality.Check("raw_metadata.not_null_asset_id", "raw_metadata", "not_null",
+                               ["asset_id"]),
+                 quality.Check("raw_metadata.unique_asset_id", "raw_metadata", "unique",
+                               ["asset_id"]),
+                 quality.Check("raw_metadata.not_null_name", "raw_metadata", "not_null",
+                               ["name"]),
+                 quality.Check("raw_metadata.not_null_symbol", "raw_metadata", "not_null",
+                               ["symbol"])])
+    return quality.run_suite(tables, checks)
+
+
+# ---- serving frames ------------------------------------------------------------
+
+def f1_daily(spark, sf, days_back=90):
+    return serving.daily_prices(f1_fact(spark, sf), fx.F1_AS_OF, days_back)
+
+
+def f1_weekly_recent(spark, sf):
+    return serving.weekly_volatility(f1_weekly(spark, sf), fx.F1_AS_OF, 180)
+
+
+@register("q_lookback_prices")
+def q_lookback_prices(spark, sf):
+    return rounded(f1_daily(spark, sf))
+
+
+@register("q_lookback_weekly")
+def q_lookback_weekly(spark, sf):
+    return rounded(f1_weekly_recent(spark, sf))
+
+
+@register("q_pipeline_status")
+def q_pipeline_status(spark, sf):
+    return serving.pipeline_status(fx.f1_raw_prices(spark, sf), fx.F1_AS_OF)
+
+
+@register("q_staleness")
+def q_staleness(spark, sf):
+    return serving.staleness(serving.pipeline_status(fx.f1_raw_prices(spark, sf), fx.F1_AS_OF),
+                             fx.F1_AS_OF)
+
+
+@register("q_latest_cards")
+def q_latest_cards(spark, sf):
+    return rounded(serving.latest_cards(f1_daily(spark, sf), f3_dim(spark, sf)))
+
+
+@register("q_display_cards")
+def q_display_cards(spark, sf):
+    return serving.display_text(serving.latest_cards(f1_daily(spark, sf), f3_dim(spark, sf)))
+
+
+@register("q_volume_series")
+def q_volume_series(spark, sf):
+    return rounded(serving.volume_series(f1_daily(spark, sf)))
+
+
+@register("q_vol_series")
+def q_vol_series(spark, sf):
+    return rounded(serving.vol_series(f1_daily(spark, sf)))
+
+
+@register("q_candle_frame")
+def q_candle_frame(spark, sf):
+    return rounded(serving.candle_frame(f1_daily(spark, sf)))
+
+
+@register("q_drawdown_series")
+def q_drawdown_series(spark, sf):
+    return rounded(serving.drawdown_series(f1_daily(spark, sf)))
+
+
+@register("q_candle_availability")
+def q_candle_availability(spark, sf):
+    return serving.candle_availability(f1_daily(spark, sf))
+
+
+@register("q_asset_list")
+def q_asset_list(spark, sf):
+    return serving.asset_list(f1_daily(spark, sf))
+
+
+@register("q_return_histogram")
+def q_return_histogram(spark, sf):
+    return rounded(serving.return_histogram(f1_daily(spark, sf)))
+
+
+@register("q_vol_heatmap")
+def q_vol_heatmap(spark, sf):
+    return rounded(serving.vol_heatmap(f1_weekly_recent(spark, sf)))
+
+
+@register("q_vol_heatmap_wide")
+def q_vol_heatmap_wide(spark, sf):
+    return rounded(serving.vol_heatmap_wide(f1_weekly_recent(spark, sf), fx.F1_AS_OF, 180))
+
+
+@register("q_risk_return")
+def q_risk_return(spark, sf):
+    return rounded(serving.risk_return(f1_weekly_recent(spark, sf), f3_dim(spark, sf)))
+
+
+# ---- reshapes (fixture F2: one series per event type, every day present) -------
+
+F2_ASSETS = ["click", "error", "purchase", "signup", "view"]
+
+
+def f2_daily(spark, sf):
+    raw = fx.f2_raw_prices(spark, sf, by="event_type")
+    fact = marts.fact_daily(staging.stage_prices(raw, tiebreak=fx.F2_TIEBREAK))
+    return serving.daily_prices(fact, fx.F2_AS_OF, 90)
+
+
+@register("q_pivot_close")
+def q_pivot_close(spark, sf):
+    return rounded(reshape.pivot_close(f2_daily(spark, sf), F2_ASSETS))
+
+
+@register("q_unpivot_close")
+def q_unpivot_close(spark, sf):
+    return rounded(reshape.unpivot_close(reshape.pivot_close(f2_daily(spark, sf), F2_ASSETS)))
+
+
+@register("q_rebased_index")
+def q_rebased_index(spark, sf):
+    return rounded(reshape.rebased_index(f2_daily(spark, sf), F2_ASSETS))

@@ -155,7 +155,7 @@ def parse_metadata(infos: DataFrame, keys: Sequence[str] = ENVELOPE_KEYS,
         "asset_id",
         F.col("__p.name").alias("name"),
         F.col("__p.symbol").alias("symbol"),
-        F.try_to_date(F.col("__p.genesis_date"), F.lit("yyyy-MM-dd")).alias("genesis_date"),
+        F.try_to_date(F.col("__p.genesis_date"), "yyyy-MM-dd").alias("genesis_date"),
         F.col("__p.market_data.ath.usd").alias("ath_usd"),
         iso_text_to_date(F.col("__p.market_data.ath_date.usd")).alias("ath_date"),
         "fetched_at",
