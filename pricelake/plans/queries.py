@@ -14,7 +14,9 @@ from pricelake import schemas
 from pricelake.operators import dedup, marts, quality, reshape, serving, staging
 from pricelake.plans.common import rounded
 from pricelake.sources import fixtures as fx
-from pricelake.sources import payloads
+from pricelake.sources import payloads, sinks
+from pricelake.plans import incremental
+from pyspark.sql import functions as F
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -332,3 +334,125 @@ def q_unpivot_close(spark, sf):
 @register("q_rebased_index")
 def q_rebased_index(spark, sf):
     return rounded(reshape.rebased_index(f2_daily(spark, sf), F2_ASSETS))
+
+
+# ---- payload ingestion (fixture F4: chart and candle payloads from events) -----
+
+def f4_good_charts(spark, sf):
+    good, _ = payloads.split_payloads(fx.f4_chart_payloads(spark, sf), "market_chart")
+    return good
+
+
+@register("q_parse_market_chart")
+def q_parse_market_chart(spark, sf):
+    return rounded(payloads.parse_market_chart(f4_good_charts(spark, sf)))
+
+
+@register("q_merge_ohlc")
+def q_merge_ohlc(spark, sf):
+    return rounded(payloads.merge_ohlc(f4_good_charts(spark, sf),
+                                       fx.f4_candle_payloads(spark, sf)))
+
+
+@register("q_quarantine")
+def q_quarantine(spark, sf):
+    _, bad_c = payloads.split_payloads(fx.f4_chart_payloads(spark, sf), "market_chart")
+    _, bad_k = payloads.split_payloads(fx.f4_candle_payloads(spark, sf), "candles")
+    return bad_c.unionByName(bad_k).drop("payload_text")
+
+
+F4_BATCH_TS = "2024-01-31 06:00:00"
+
+
+@register("q_batch_stamp")
+def q_batch_stamp(spark, sf):
+    rows = payloads.parse_market_chart(f4_good_charts(spark, sf))
+    return rounded(payloads.stamp_batch(rows, F4_BATCH_TS))
+
+
+@register("q_batch_counts")
+def q_batch_counts(spark, sf):
+    rows = payloads.merge_ohlc(f4_good_charts(spark, sf), fx.f4_candle_payloads(spark, sf))
+    return sinks.batch_counts(rows)
+
+
+# ---- run-level selections, append/dedup, dry run ------------------------------
+
+@register("q_batch_window")
+def q_batch_window(spark, sf):
+    # a full refresh asks for 365 days of history
+    return rounded(staging.batch_window(fx.f1_raw_prices(spark, sf), fx.F1_AS_OF,
+                                        full_refresh=True))
+
+
+@register("q_asset_subset")
+def q_asset_subset(spark, sf):
+    # the chosen assets come as a table: the watchlist of two categories
+    wl = fx.f3_watchlist(spark, sf)
+    chosen = wl.filter(F.col("category").isin("NATION_1", "NATION_2"))
+    return rounded(staging.select_assets(f1_staged(spark, sf), chosen))
+
+
+@register("q_append_then_dedup")
+def q_append_then_dedup(spark, sf):
+    raw = fx.f1_raw_prices(spark, sf)
+    twice = raw.unionByName(raw)          # the same batch appended twice
+    return rounded(staging.stage_prices(twice, tiebreak=fx.F1_TIEBREAK))
+
+
+@register("q_dry_run_preview")
+def q_dry_run_preview(spark, sf):
+    raw = fx.f1_raw_prices(spark, sf)
+    order = ["asset_id", "price_date", "fetched_at", "src_orderkey", "src_partkey", "close_usd"]
+    total = raw.select(F.count(F.lit(1))).scalar()
+    return rounded(sinks.preview(raw, order, 3).withColumn("batch_rows", total))
+
+
+# ---- upsert and incremental slices ------------------------------------------------
+
+F1_SPLIT_TS = "2001-01-01 00:00:00"
+
+
+def f1_old_new(spark, sf):
+    """Staged target from fetches before the split, staged batch from after."""
+    raw = fx.f1_raw_prices(spark, sf)
+    split = F.lit(F1_SPLIT_TS).cast("timestamp_ntz")
+    old = staging.stage_prices(raw.filter(F.col("fetched_at") < split), tiebreak=fx.F1_TIEBREAK)
+    new = staging.stage_prices(raw.filter(F.col("fetched_at") >= split),
+                               tiebreak=fx.F1_TIEBREAK)
+    return old, new
+
+
+@register("q_upsert")
+def q_upsert(spark, sf):
+    old, new = f1_old_new(spark, sf)
+    return rounded(sinks.upsert(old, new, ["asset_id", "price_date"]))
+
+
+F1_TARGET_END = "2001-06-30"
+
+
+def f1_target(spark, sf):
+    return f1_fact(spark, sf).filter(F.col("price_date") <= F.lit(F1_TARGET_END).cast("date"))
+
+
+@register("q_incremental_slice")
+def q_incremental_slice(spark, sf):
+    return rounded(incremental.incremental_slice(f1_fact(spark, sf), f1_target(spark, sf),
+                                                 mode="strict"))
+
+
+@register("q_incremental_per_asset")
+def q_incremental_per_asset(spark, sf):
+    return rounded(incremental.incremental_slice(f1_fact(spark, sf), f1_target(spark, sf),
+                                                 mode="per_asset", lookback_days=2))
+
+
+@register("q_incremental_features")
+def q_incremental_features(spark, sf):
+    """Features of the rows after the stored target, from a 30-row tail."""
+    staged = f1_staged(spark, sf)
+    end = F.lit(F1_TARGET_END).cast("date")
+    stored = marts.fact_daily(staged.filter(F.col("price_date") <= end))
+    new = staged.filter(F.col("price_date") > end)
+    return rounded(incremental.incremental_features(stored, new))
