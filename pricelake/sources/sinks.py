@@ -71,12 +71,14 @@ def write_table(df: DataFrame, path: str, mode: str = "append",
     """
     if df.isEmpty():
         return 0
-    obs = Observation(f"write_{uuid.uuid4().hex[:8]}")
-    out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    out = df
     if partition_by and cluster_partitions:
         out = out.repartitionByRange(*partition_by, *sort_within)
     if sort_within:
         out = out.sortWithinPartitions(*sort_within)
+    # observed above the range exchange, so its sampling job is not counted
+    obs = Observation(f"write_{uuid.uuid4().hex[:8]}")
+    out = out.observe(obs, F.count(F.lit(1)).alias("rows"))
     w = out.write
     if mode == "overwrite_partitions":
         w = w.mode("overwrite").option("partitionOverwriteMode", "dynamic")
