@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricelake.functions import as_of_date, pct_change, week_start
@@ -78,12 +78,28 @@ def weekly_rollup(fact: DataFrame, first_day: str = "sunday") -> DataFrame:
             .select(*WEEKLY_COLUMNS))
 
 
-def weekly_open_close(fact: DataFrame, first_day: str = "sunday") -> DataFrame:
+def weekly_open_close(fact: DataFrame, first_day: str = "sunday",
+                      method: str = "agg") -> DataFrame:
+    """Close on the first and last date present in each (asset, week).
+
+    ``method="agg"``: ``min_by``/``max_by`` in one grouped aggregate.
+    ``method="window"``: the week's first/last date as whole-partition window
+    bounds, then the close on those dates (the warehouse formulation)."""
     d = fact.select("asset_id", "price_date", "close_usd",
                     week_start("price_date", first_day).alias("week_start"))
-    agg = d.groupBy("asset_id", "week_start").agg(
-        F.min_by("close_usd", "price_date").alias("week_open"),
-        F.max_by("close_usd", "price_date").alias("week_close"))
+    if method == "window":
+        w = Window.partitionBy("asset_id", "week_start")
+        d = d.withColumns({"__min": F.min("price_date").over(w),
+                           "__max": F.max("price_date").over(w)})
+        agg = d.groupBy("asset_id", "week_start").agg(
+            F.min(F.when(F.col("price_date") == F.col("__min"), F.col("close_usd")))
+            .alias("week_open"),
+            F.min(F.when(F.col("price_date") == F.col("__max"), F.col("close_usd")))
+            .alias("week_close"))
+    else:
+        agg = d.groupBy("asset_id", "week_start").agg(
+            F.min_by("close_usd", "price_date").alias("week_open"),
+            F.max_by("close_usd", "price_date").alias("week_close"))
     return agg.withColumn("weekly_return_pct", pct_change("week_close", "week_open"))
 
 

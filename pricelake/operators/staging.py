@@ -29,7 +29,7 @@ def typed(df: DataFrame, schema, extra: Sequence[str] = ()) -> DataFrame:
 
 
 def stage_prices(raw: DataFrame, tiebreak: Sequence[str] = ("source_ts",),
-                 method: str = "agg") -> DataFrame:
+                 method: str = "window") -> DataFrame:
     """Typed, valid, one row per (asset_id, price_date), newest fetch wins.
 
     ``tiebreak`` columns (if present in ``raw``) order rows that share a
@@ -42,7 +42,7 @@ def stage_prices(raw: DataFrame, tiebreak: Sequence[str] = ("source_ts",),
     return deduped.select(*schemas.PRICE_COLUMNS)
 
 
-def stage_metadata(raw: DataFrame, tiebreak: Sequence[str] = (), method: str = "agg") -> DataFrame:
+def stage_metadata(raw: DataFrame, tiebreak: Sequence[str] = (), method: str = "window") -> DataFrame:
     """Typed metadata with a non-NULL key, one row per asset, newest fetch wins.
 
     Without a tie-break, rows of one asset sharing ``fetched_at`` are ordered

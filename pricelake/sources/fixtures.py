@@ -20,8 +20,34 @@ F2_TIEBREAK = ["source_ts"]
 PAYLOAD_CHUNK_EVENTS = 512               # at most this many points per landed payload
 
 
+SPREAD_MIN_BYTES = 4 << 20
+
+
+def _input_bytes(spark: SparkSession, path: str) -> int:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(p).getLength())
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Read one shared table.
+
+    A Parquet row group cannot be split, so a mid-sized single-row-group file
+    is read by one task whatever the core count. Such an input (bigger than
+    ``SPREAD_MIN_BYTES``, smaller than one split) is hash-spread on its
+    leading key column over the default parallelism (deterministic, so a
+    retried task sees the same rows). Inputs of many splits -- every real
+    table -- are read as they are.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    df = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    split = int(spark.conf.get("spark.sql.files.maxPartitionBytes", str(128 << 20))
+                .rstrip("b").rstrip("B") or 128 << 20)
+    size = _input_bytes(spark, path)
+    if cores > 1 and SPREAD_MIN_BYTES < size < split:
+        df = df.repartition(cores, F.col(df.columns[0]))
+    return df
 
 
 def f1_raw_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
