@@ -42,10 +42,30 @@ def rolling_metrics(staged: DataFrame, frame: str = "rows") -> DataFrame:
     return ft.add_annualised_vol(df).select(*ROLLING_COLUMNS)
 
 
-def fact_daily(staged: DataFrame, frame: str = "rows") -> DataFrame:
-    """One row per (asset, date) with all features (18 columns)."""
-    df = ft.add_deviation(ft.add_drawdown(rolling_metrics(staged, frame)))
-    return df.select(*FACT_COLUMNS)
+def fact_daily(staged: DataFrame, frame: str = "rows", hot_rows: int | None = None,
+               chunk_rows: int = 1_000_000, segment_days: int = 366) -> DataFrame:
+    """One row per (asset, date) with all features (18 columns).
+
+    Window features are partitioned by asset. With ``hot_rows`` set, assets
+    holding more than ``hot_rows`` rows take the split path
+    (``features.add_features_split``: chunks of ``chunk_rows`` with a halo),
+    the rest the single-partition path; the hot-asset list is broadcast,
+    its size bounded by total rows / ``hot_rows``.
+    """
+    if hot_rows is None:
+        df = ft.add_deviation(ft.add_drawdown(rolling_metrics(staged, frame)))
+        return df.select(*FACT_COLUMNS)
+    if frame != "rows":
+        raise ValueError("the split path supports row frames only")
+    base = staged.select(*RETURNS_COLUMNS[:8])
+    hot = (base.groupBy("asset_id").agg(F.count(F.lit(1)).alias("__n"))
+           .filter(F.col("__n") > int(hot_rows)).select("asset_id", F.lit(True).alias("__hot")))
+    tagged = base.join(F.broadcast(hot), "asset_id", "left")
+    cold = fact_daily(tagged.filter(F.col("__hot").isNull()).drop("__hot"))
+    split = ft.add_features_split(tagged.filter(F.col("__hot")).drop("__hot"),
+                                  chunk_rows=chunk_rows, segment_days=segment_days)
+    split = ft.add_deviation(ft.add_drawdown(ft.add_annualised_vol(split)))
+    return cold.unionByName(split.select(*FACT_COLUMNS))
 
 
 def weekly_rollup(fact: DataFrame, first_day: str = "sunday") -> DataFrame:

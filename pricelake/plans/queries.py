@@ -456,3 +456,11 @@ def q_incremental_features(spark, sf):
     stored = marts.fact_daily(staged.filter(F.col("price_date") <= end))
     new = staged.filter(F.col("price_date") > end)
     return rounded(incremental.incremental_features(stored, new))
+
+
+@register("q_fact_daily_split")
+def q_fact_daily_split(spark, sf):
+    """The daily fact with every asset above 300 rows on the split path
+    (chunks of 100 rows, 64-day segments): must equal ``q_fact_daily``."""
+    return rounded(marts.fact_daily(f1_staged(spark, sf), hot_rows=300, chunk_rows=100,
+                                    segment_days=64))
