@@ -21,19 +21,20 @@ def read_watchlist(spark: SparkSession, path: str, id_column: str = "coin_id") -
 
 def read_payloads(spark: SparkSession, path: str, kind: str) -> tuple[DataFrame, DataFrame]:
     """Landed envelopes ``{asset_id, fetched_at, payload}`` (JSON lines) ->
-    (good, quarantine). A line that is not valid JSON is kept as text and
-    attributed to its file (one asset per landed file), so one bad payload
-    loses only its own fetch."""
-    raw = (spark.read.schema(schemas.envelope(kind))
-           .option("mode", "PERMISSIVE")
-           .option("columnNameOfCorruptRecord", "_corrupt_record")
-           .json(path)
-           .withColumn("source_file", F.col("_metadata.file_path")))
-    corrupt = F.col("_corrupt_record").isNotNull()
-    broken = raw.filter(corrupt).select(
-        F.col("asset_id"), F.col("fetched_at"), F.lit(kind).alias("kind"),
-        F.lit("unparseable").alias("reason"), F.col("_corrupt_record").alias("payload_text"),
-        "source_file")
-    ok = raw.filter(~corrupt).drop("_corrupt_record")
+    (good, quarantine). Lines are read as text and parsed with ``from_json``,
+    so a line that is not valid JSON stays as text and is attributed to its
+    file (one asset per landed file); one bad payload loses only its own fetch."""
+    raw = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("source_file"))
+    env = F.from_json(F.col("value"), schemas.envelope(kind, corrupt_col=None))
+    parsed = raw.select("value", "source_file", env.alias("e"))
+    unreadable = F.col("e").isNull() | (F.col("e.asset_id").isNull() &
+                                         F.col("e.fetched_at").isNull() &
+                                         F.col("e.payload").isNull())
+    broken = parsed.filter(unreadable).select(
+        F.col("e.asset_id").alias("asset_id"), F.col("e.fetched_at").alias("fetched_at"),
+        F.lit(kind).alias("kind"), F.lit("unparseable").alias("reason"),
+        F.col("value").alias("payload_text"), "source_file")
+    ok = parsed.filter(~unreadable).select("e.asset_id", "e.fetched_at", "e.payload",
+                                           "source_file")
     good, bad = split_payloads(ok, kind, keys=("asset_id", "fetched_at", "source_file"))
     return good.drop("source_file"), bad.unionByName(broken)
