@@ -128,18 +128,30 @@ def stream_weekly(spark: SparkSession, fact_stream: DataFrame, out_path: str | N
     return w.start()
 
 
-def features_batch(spark: SparkSession, fact_path: str, staged_batch: DataFrame) -> int:
+def features_batch(spark: SparkSession, fact_path: str, staged_batch: DataFrame,
+                   late: str = "recompute") -> int:
     """Merge one batch of staged rows into the fact table at ``fact_path``.
 
     Assets whose new rows all follow their stored history get features from
-    a 30-row tail; assets with late or corrected rows are recomputed from
-    their stored base columns plus the batch; new assets from the batch.
+    a 30-row tail; new assets from the batch alone. Rows dated on or before an
+    asset's last stored date are late: ``late="recompute"`` recomputes those
+    assets from their stored base columns plus the batch, ``late="drop"``
+    ignores the late rows (the strict-watermark behaviour).
     """
     keys = ["asset_id", "price_date"]
     if not sinks.table_exists(spark, fact_path):
         return sinks.write_table(marts.fact_daily(staged_batch), fact_path, "overwrite",
                                  ["price_date"], ["asset_id"])
     stored = spark.read.parquet(fact_path).select(*marts.FACT_COLUMNS)
+    if late == "drop":
+        last = stored.groupBy("asset_id").agg(F.max("price_date").alias("__last"))
+        fresh = staged_batch.join(last, "asset_id", "left").filter(
+            F.col("__last").isNull() | (F.col("price_date") > F.col("__last"))).drop("__last")
+        return sinks.upsert_table(spark, fact_path,
+                                  incremental.incremental_features(stored, fresh), keys,
+                                  "price_date")
+    if late != "recompute":
+        raise ValueError(f"unknown late policy {late!r}")
     late = incremental.late_assets(stored, staged_batch)
     on_time = staged_batch.join(late, "asset_id", "left_anti")
     fast = incremental.incremental_features(stored, on_time)
@@ -153,10 +165,10 @@ def features_batch(spark: SparkSession, fact_path: str, staged_batch: DataFrame)
 
 def stream_features(spark: SparkSession, raw_stream: DataFrame, fact_path: str,
                     checkpoint: str | None = None, tiebreak: Sequence[str] = ("source_ts",),
-                    available_now: bool = True) -> StreamingQuery:
+                    available_now: bool = True, late: str = "recompute") -> StreamingQuery:
     def run(batch: DataFrame, epoch_id: int) -> None:
         features_batch(batch.sparkSession, fact_path,
-                       staging.stage_prices(batch, tiebreak=tiebreak))
+                       staging.stage_prices(batch, tiebreak=tiebreak), late)
 
     w = (raw_stream.writeStream.foreachBatch(run)
          .option("checkpointLocation", _ckpt(spark, checkpoint, "features")))

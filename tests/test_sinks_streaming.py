@@ -185,3 +185,20 @@ def test_stream_features_equals_full(spark, tmp_path):
     exp = marts.fact_daily(staging.stage_prices(everything, tiebreak=fx.F1_TIEBREAK))
     got = spark.read.parquet(fact_path).select(*marts.FACT_COLUMNS)
     assert rows_of(got) == rows_of(exp)
+
+
+def test_features_batch_late_policies(spark, tmp_path):
+    f = T(2024, 2, 1)
+    hist = [("a", D(2024, 1, d), float(d), f) for d in range(1, 11)]
+    fix = [("a", D(2024, 1, 5), 50.0, T(2024, 2, 2)), ("a", D(2024, 1, 11), 11.0, T(2024, 2, 2))]
+    for late in ("drop", "recompute"):
+        path = str(tmp_path / f"fact_{late}")
+        jobs.features_batch(spark, path, staging.stage_prices(price_rows(spark, hist)))
+        jobs.features_batch(spark, path, staging.stage_prices(price_rows(spark, fix)), late)
+        got = {r.price_date.day: (r.close_usd, r.cummax_close)
+               for r in spark.read.parquet(path).collect()}
+        assert got[11][0] == 11.0 and len(got) == 11
+        if late == "drop":
+            assert got[5] == (5.0, 5.0) and got[11][1] == 11.0
+        else:
+            assert got[5] == (50.0, 50.0) and got[11][1] == 50.0
