@@ -23,9 +23,12 @@ def _cast_to(df: DataFrame, name: str, dtype: DataType):
 
 
 def typed(df: DataFrame, schema, extra: Sequence[str] = ()) -> DataFrame:
-    """Project and cast to a declared schema (ANSI cast: bad text raises)."""
-    return df.select(*[_cast_to(df, f.name, f.dataType).alias(f.name) for f in schema.fields],
-                     *extra)
+    """Project and cast to a declared schema (ANSI cast: bad text raises).
+    Columns already of the declared type are passed through."""
+    have = {f.name: f.dataType for f in df.schema.fields}
+    cols = [f.name if have.get(f.name) == f.dataType
+            else _cast_to(df, f.name, f.dataType).alias(f.name) for f in schema.fields]
+    return df.select(*cols, *extra)
 
 
 def stage_prices(raw: DataFrame, tiebreak: Sequence[str] = ("source_ts",),

@@ -22,6 +22,21 @@ Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
 
+def memo(fn):
+    """Share one lazy DataFrame per (session, sf_dir) between queries: a
+    DataFrame is an immutable plan, so reuse only saves rebuilding it."""
+    cache: dict = {}
+
+    def wrapper(spark, sf):
+        key = (id(spark), sf)
+        if key not in cache or cache[key][0] is not spark:
+            cache[key] = (spark, fn(spark, sf))
+        return cache[key][1]
+    wrapper.__name__ = fn.__name__
+    wrapper.__doc__ = fn.__doc__
+    return wrapper
+
+
 def register(name: str):
     def deco(fn):
         REGISTRY[name] = fn
@@ -31,14 +46,17 @@ def register(name: str):
 
 # ---- building blocks over fixture F1 -------------------------------------
 
+@memo
 def f1_staged(spark, sf):
     return staging.stage_prices(fx.f1_raw_prices(spark, sf), tiebreak=fx.F1_TIEBREAK)
 
 
+@memo
 def f1_fact(spark, sf):
     return marts.fact_daily(f1_staged(spark, sf))
 
 
+@memo
 def f1_weekly(spark, sf):
     return marts.weekly_rollup(f1_fact(spark, sf))
 
@@ -121,10 +139,12 @@ def q_latest_price(spark, sf):
 
 # ---- dimension (fixture F3) ---------------------------------------------------
 
+@memo
 def f3_metadata_raw(spark, sf):
     return payloads.parse_metadata(fx.f3_info_payloads(spark, sf))
 
 
+@memo
 def f3_dim(spark, sf):
     wl = staging.typed(fx.f3_watchlist(spark, sf), schemas.WATCHLIST)
     meta = staging.stage_metadata(f3_metadata_raw(spark, sf))
@@ -225,6 +245,7 @@ def f1_daily(spark, sf, days_back=90):
     return serving.daily_prices(f1_fact(spark, sf), fx.F1_AS_OF, days_back)
 
 
+@memo
 def f1_weekly_recent(spark, sf):
     return serving.weekly_volatility(f1_weekly(spark, sf), fx.F1_AS_OF, 180)
 
@@ -315,6 +336,7 @@ def q_risk_return(spark, sf):
 F2_ASSETS = ["click", "error", "purchase", "signup", "view"]
 
 
+@memo
 def f2_daily(spark, sf):
     raw = fx.f2_raw_prices(spark, sf, by="event_type")
     fact = marts.fact_daily(staging.stage_prices(raw, tiebreak=fx.F2_TIEBREAK))
@@ -338,6 +360,7 @@ def q_rebased_index(spark, sf):
 
 # ---- payload ingestion (fixture F4: chart and candle payloads from events) -----
 
+@memo
 def f4_good_charts(spark, sf):
     good, _ = payloads.split_payloads(fx.f4_chart_payloads(spark, sf), "market_chart")
     return good

@@ -40,6 +40,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     table -- are read as they are.
     """
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    if key in _TABLES:                    # a DataFrame is an immutable plan: reuse it
+        return _TABLES[key]
     df = spark.read.parquet(path)
     cores = spark.sparkContext.defaultParallelism
     split = int(spark.conf.get("spark.sql.files.maxPartitionBytes", str(128 << 20))
@@ -47,9 +50,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     size = _input_bytes(spark, path)
     if cores > 1 and SPREAD_MIN_BYTES < size < split:
         df = df.repartition(cores, F.col(df.columns[0]))
+    _TABLES[key] = df
     return df
 
 
+_TABLES: dict = {}
+
+
 def f1_raw_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw price rows from ``lineitem``: one row per line, several per day.
 
