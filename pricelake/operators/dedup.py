@@ -31,7 +31,7 @@ def keep_latest(df: DataFrame, keys: Sequence[str] | str, order: Sequence[str] |
     Output keeps the input's columns and column order.
     """
     keys = _as_list(keys)
-    ordering = _as_list(order) + [c for c in _as_list(tiebreak) if c not in _as_list(order)]
+    ordering = list(dict.fromkeys(_as_list(order) + _as_list(tiebreak)))
     if not ordering:
         raise ValueError("keep_latest needs at least one order column")
     cols = df.columns

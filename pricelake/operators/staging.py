@@ -31,6 +31,9 @@ def typed(df: DataFrame, schema, extra: Sequence[str] = ()) -> DataFrame:
     return df.select(*cols, *extra)
 
 
+VALUE_ORDER = ["close_usd", "open_usd", "high_usd", "low_usd", "volume_usd", "market_cap_usd"]
+
+
 def stage_prices(raw: DataFrame, tiebreak: Sequence[str] = ("source_ts",),
                  method: str = "window") -> DataFrame:
     """Typed, valid, one row per (asset_id, price_date), newest fetch wins.
@@ -40,7 +43,9 @@ def stage_prices(raw: DataFrame, tiebreak: Sequence[str] = ("source_ts",),
     """
     extra = [c for c in tiebreak if c in raw.columns and c not in schemas.PRICE_COLUMNS]
     staged = typed(raw, schemas.RAW_PRICES, extra).filter(valid_price("close_usd"))
-    order_rest = [c for c in tiebreak if c in raw.columns]
+    # the value columns close the order: even rows that tie on every given
+    # column are then picked the same way on every run and every retry
+    order_rest = [c for c in tiebreak if c in raw.columns] + VALUE_ORDER
     deduped = keep_latest(staged, ["asset_id", "price_date"], ["fetched_at"], order_rest, method)
     return deduped.select(*schemas.PRICE_COLUMNS)
 
