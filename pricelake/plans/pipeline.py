@@ -86,7 +86,10 @@ def staged_prices(spark: SparkSession, root: str) -> DataFrame:
 
 
 def staged_metadata(spark: SparkSession, root: str) -> DataFrame:
-    return staging.stage_metadata(spark.read.parquet(_paths(root)["metadata"]))
+    path = _paths(root)["metadata"]
+    raw = spark.read.parquet(path) if sinks.table_exists(spark, path) else \
+        spark.createDataFrame([], schemas.RAW_METADATA)
+    return staging.stage_metadata(raw)
 
 
 def build(spark: SparkSession, root: str, watchlist_csv: str, as_of,
@@ -99,6 +102,8 @@ def build(spark: SparkSession, root: str, watchlist_csv: str, as_of,
     last ``lookback_days`` days and new assets' back-history.
     """
     p = _paths(root)
+    if not sinks.table_exists(spark, p["prices"]) or spark.read.parquet(p["prices"]).isEmpty():
+        return {"fact_rows_written": 0, "weekly_rows": 0, "dim_rows": 0}
     staged = staged_prices(spark, root)
     features = marts.fact_daily(staged)
     keys = ["asset_id", "price_date"]
@@ -107,18 +112,20 @@ def build(spark: SparkSession, root: str, watchlist_csv: str, as_of,
         slice_ = incremental.incremental_slice(features, target, mode, lookback_days)
         # cut the lineage to the target before writing into it
         slice_path = f"{p['fact']}_slice"
-        sinks.write_table(slice_, slice_path, "overwrite")
+        sinks.write_table(slice_, slice_path, "overwrite", guard_empty=False)
         n_fact = sinks.upsert_table(spark, p["fact"],
                                     spark.read.parquet(slice_path).select(*marts.FACT_COLUMNS),
                                     keys, "price_date")
     else:
+        # the raw table has rows (checked above), so the fact has rows
         n_fact = sinks.write_table(features, p["fact"], "overwrite", ["price_date"],
-                                   ["asset_id"])
+                                   ["asset_id"], guard_empty=False)
     fact = spark.read.parquet(p["fact"]).select(*marts.FACT_COLUMNS)
-    n_week = sinks.write_table(marts.weekly_rollup(fact), p["weekly"], "overwrite")
+    n_week = sinks.write_table(marts.weekly_rollup(fact), p["weekly"], "overwrite",
+                               guard_empty=False)
     wl = files.read_watchlist(spark, watchlist_csv)
     dim = marts.dim_assets(wl, staged_metadata(spark, root), marts.latest_price(staged), as_of)
-    n_dim = sinks.write_table(dim, p["dim"], "overwrite")
+    n_dim = sinks.write_table(dim, p["dim"], "overwrite", guard_empty=False)
     return {"fact_rows_written": n_fact, "weekly_rows": n_week, "dim_rows": n_dim}
 
 

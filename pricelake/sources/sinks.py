@@ -59,7 +59,7 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None)
 
 def write_table(df: DataFrame, path: str, mode: str = "append",
                 partition_by: Sequence[str] = (), sort_within: Sequence[str] = (),
-                cluster_partitions: bool = True) -> int:
+                cluster_partitions: bool = True, guard_empty: bool = True) -> int:
     """Write ``df`` and return the number of rows written (0 = nothing written).
 
     ``mode``: append | overwrite (whole table) | overwrite_partitions (only
@@ -68,8 +68,14 @@ def write_table(df: DataFrame, path: str, mode: str = "append",
     (partition columns, sort columns) before the write: a date holding a
     third of all rows is split over several tasks by the sampled range
     bounds, small dates share a task, and every task writes few files.
+
+    ``guard_empty`` first asks whether ``df`` has a row (a ``limit 1`` job) so
+    an empty batch writes nothing and an empty result never truncates a
+    table. On a plan with a shuffle that job runs the map side once more, so
+    callers that know the answer (a fresh scratch path, an input already
+    checked) pass ``guard_empty=False``.
     """
-    if df.isEmpty():
+    if guard_empty and df.isEmpty():
         return 0
     out = df
     if partition_by and cluster_partitions:
@@ -120,9 +126,11 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: Sequenc
     ``order`` the merge keeps the newest version per key instead of the
     batch's.
     """
+    if batch.isEmpty():
+        return 0
     if not table_exists(spark, path):
         return write_table(batch, path, "overwrite", [partition_col], ["asset_id"]
-                           if "asset_id" in batch.columns else ())
+                           if "asset_id" in batch.columns else (), guard_empty=False)
     target = spark.read.parquet(path)
     target = target.select(*batch.columns) if set(target.columns) == set(batch.columns) \
         else target
@@ -132,12 +140,12 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: Sequenc
     scope = target.join(touched, partition_col, "left_semi")
     merged = upsert_latest(scope, batch, keys, order) if order else upsert(scope, batch, keys)
     stage = scratch_path(spark, f"upsert-{uuid.uuid4().hex}")
-    n = write_table(merged, stage, "overwrite", [partition_col])
-    if n == 0:
-        return 0
+    # fresh scratch path and a non-empty batch: nothing to guard
+    write_table(merged, stage, "overwrite", [partition_col], guard_empty=False)
     staged = spark.read.parquet(stage).select(*batch.columns)
     sort = ["asset_id"] if "asset_id" in batch.columns else []
-    return write_table(staged, path, "overwrite_partitions", [partition_col], sort)
+    return write_table(staged, path, "overwrite_partitions", [partition_col], sort,
+                       guard_empty=False)
 
 
 def preview(df: DataFrame, order: Sequence[str], n: int = 3) -> DataFrame:
