@@ -31,7 +31,7 @@ def as_ts_lit(ts) -> Column:
         ts = _dt.datetime.fromisoformat(ts)
     if ts.tzinfo is not None:
         ts = ts.astimezone(_dt.timezone.utc).replace(tzinfo=None)
-    return F.lit(ts)
+    return F.lit(ts).cast("timestamp_ntz")
 
 
 def safe_div(num, den) -> Column:

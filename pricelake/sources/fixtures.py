@@ -149,10 +149,10 @@ def f3_info_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.struct(ath_date.alias("usd")).alias("ath_date")).alias("market_data")))
 
     new = s.select(key.cast("string").alias("asset_id"),
-                   F.lit(F3_FETCH_NEW).alias("fetched_at"),
+                   F.lit(F3_FETCH_NEW).cast("timestamp_ntz").alias("fetched_at"),
                    payload(F.abs("s_acctbal")).alias("payload"))
     old = s.select(key.cast("string").alias("asset_id"),
-                   F.lit(F3_FETCH_OLD).alias("fetched_at"),
+                   F.lit(F3_FETCH_OLD).cast("timestamp_ntz").alias("fetched_at"),
                    payload(F.lit(0.0)).alias("payload"))
     return new.unionByName(old)
 
