@@ -168,3 +168,30 @@ def check(spark: SparkSession, root: str, as_of_ts) -> DataFrame:
                               F.when(F.col("status") == "pass", 0).otherwise(1)
                               .cast("bigint").alias("failures"), "status")
     return suite.unionByName(fresh_rows)
+
+
+# ---- serving reads over the stored tables (the dashboard's four loaders) --------
+
+def load_daily_prices(spark: SparkSession, root: str, as_of, days_back: int = 90) -> DataFrame:
+    """Fact rows of the lookback window; the literal date bound prunes the
+    ``price_date`` partitions at planning time, so only those are read."""
+    from pricelake.operators import serving
+    fact = spark.read.parquet(_paths(root)["fact"])
+    return serving.daily_prices(fact, as_of, days_back).orderBy("asset_id", "price_date")
+
+
+def load_dim_assets(spark: SparkSession, root: str) -> DataFrame:
+    from pricelake.operators import serving
+    return serving.dim_ranked(spark.read.parquet(_paths(root)["dim"]))
+
+
+def load_weekly(spark: SparkSession, root: str, as_of, days_back: int = 180) -> DataFrame:
+    from pricelake.operators import serving
+    weekly = spark.read.parquet(_paths(root)["weekly"])
+    return serving.weekly_volatility(weekly, as_of, days_back).orderBy("asset_id", "week_start")
+
+
+def load_pipeline_status(spark: SparkSession, root: str, as_of) -> DataFrame:
+    from pricelake.operators import serving
+    raw = spark.read.parquet(_paths(root)["prices"])
+    return serving.pipeline_status(raw, as_of).orderBy("asset_id")

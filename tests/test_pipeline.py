@@ -71,3 +71,12 @@ def test_ingest_build_check(spark, tmp_path):
     assert summary["freshness.prices"].status == "pass"
     late = {r.test_name: r for r in pipeline.check(spark, root, "2024-02-10 00:00:00").collect()}
     assert late["freshness.prices"].status == "error"
+
+    # serving reads prune the date partitions of the stored fact
+    daily = pipeline.load_daily_prices(spark, root, AS_OF, 7)
+    plan = daily._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(price_date" in plan and "2024-01-24" in plan
+    assert daily.count() == expected.filter(F.col("price_date") >= "2024-01-24").count()
+    assert pipeline.load_dim_assets(spark, root).count() == dim.count()
+    assert pipeline.load_weekly(spark, root, AS_OF).count() > 0
+    assert pipeline.load_pipeline_status(spark, root, AS_OF).count() > 0
