@@ -487,3 +487,10 @@ def q_fact_daily_split(spark, sf):
     (chunks of 100 rows, 64-day segments): must equal ``q_fact_daily``."""
     return rounded(marts.fact_daily(f1_staged(spark, sf), hot_rows=300, chunk_rows=100,
                                     segment_days=64))
+
+
+@register("q_merge_ohlc_resample")
+def q_merge_ohlc_resample(spark, sf):
+    """Candle merge with the daily resample: first open, highest high, lowest low."""
+    return rounded(payloads.merge_ohlc(f4_good_charts(spark, sf),
+                                       fx.f4_candle_payloads(spark, sf), resample="ohlc"))

@@ -111,28 +111,45 @@ def parse_market_chart(payloads: DataFrame, keys: Sequence[str] = ENVELOPE_KEYS,
 
 
 def candles_by_date(candles: DataFrame, keys: Sequence[str] = ENVELOPE_KEYS,
-                    col: str = "payload") -> DataFrame:
-    """Per candle payload: map date -> (open, high, low); the last candle of a date wins.
-
-    A payload holding any candle of the wrong arity yields no map (the merge
-    for that fetch is skipped, the price rows stay)."""
+                    col: str = "payload", resample: str | None = None) -> DataFrame:
+    """Per candle payload: map date -> (open, high, low).
+
+    Default: the last candle of a date wins (all three values from it).
+    ``resample="ohlc"``: a daily resample -- the first candle's open, the
+    highest high and the lowest low of the date. A payload holding any candle
+    of the wrong arity yields no map (the merge for that fetch is skipped,
+    the price rows stay)."""
     c = candles.select(*keys, _parsed(candles, "candles", col).alias("__c"))
     c = c.filter(F.col("__c").isNotNull() &
                  ~F.exists(F.col("__c"), lambda x: F.size(x) != 5))
     c = c.select(*keys, _last_by_key("__c", lambda x: epoch_ms_to_date(x[0])).alias("__s"))
-    return c.select(*keys, F.map_from_entries(F.transform(_dedup_sorted("__s"), lambda x: F.struct(
-        x["k"], F.struct(x["v"][1].alias("o"), x["v"][2].alias("h"), x["v"][3].alias("l")))))
-        .alias("candle_map"))
+    if resample is None:
+        entries = F.transform(_dedup_sorted("__s"), lambda x: F.struct(
+            x["k"], F.struct(x["v"][1].alias("o"), x["v"][2].alias("h"), x["v"][3].alias("l"))))
+    elif resample == "ohlc":
+        s = F.col("__s")
+        firsts = F.filter(s, lambda x, i: (i == 0) | (s[i - 1]["k"] != x["k"]))
+
+        def same_day(x):
+            return F.filter(s, lambda y: y["k"] == x["k"])
+        entries = F.transform(firsts, lambda x: F.struct(x["k"], F.struct(
+            x["v"][1].alias("o"),
+            F.array_max(F.transform(same_day(x), lambda y: y["v"][2])).alias("h"),
+            F.array_min(F.transform(same_day(x), lambda y: y["v"][3])).alias("l"))))
+    else:
+        raise ValueError(f"unknown resample {resample!r}")
+    return c.select(*keys, F.map_from_entries(entries).alias("candle_map"))
 
 
 def merge_ohlc(charts: DataFrame, candles: DataFrame | None,
-               keys: Sequence[str] = ENVELOPE_KEYS, col: str = "payload") -> DataFrame:
+               keys: Sequence[str] = ENVELOPE_KEYS, col: str = "payload",
+               resample: str | None = None) -> DataFrame:
     """Parse the chart payloads and set open/high/low from the candle payload of
     the same fetch (matched on ``keys``) for the same date; the candle close is
     not used. Fetches without a usable candle payload keep NULLs."""
     if candles is None:
         return parse_market_chart(charts, keys, col)
-    cm = candles_by_date(candles, keys, col)
+    cm = candles_by_date(candles, keys, col, resample)
     # payload-level join: one row per asset fetch on each side
     joined = charts.join(cm, list(keys), "left")
     rows = parse_market_chart(joined, list(keys) + ["candle_map"], col)

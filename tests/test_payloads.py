@@ -113,3 +113,15 @@ def test_read_watchlist(spark, tmp_path):
     rows = read_watchlist(spark, str(p)).collect()
     assert [tuple(r) for r in rows] == [("bitcoin", "Bitcoin", "BTC", "layer1"),
                                         ("chainlink", "Chainlink", "LINK", "defi")]
+
+
+def test_merge_resample_ohlc(spark):
+    two = [[1704931200000.0, 1.0, 2.0, 0.5, 1.5], [1704970000000.0, 3.0, 4.0, 0.7, 3.5],
+           [1705017600000.0, 7.0, 8.0, 6.0, 7.5]]
+    ch = envelope_df(spark, [("b", FETCHED, CHART)], None)
+    cd = envelope_df(spark, [("b", FETCHED, two)], None)
+    got = {x.price_date: (x.open_usd, x.high_usd, x.low_usd)
+           for x in pl.merge_ohlc(ch, cd, resample="ohlc").collect()}
+    assert got[D(2024, 1, 11)] == (1.0, 4.0, 0.5)
+    assert got[D(2024, 1, 12)] == (7.0, 8.0, 6.0)
+    assert got[D(2024, 1, 13)] == (None, None, None)
