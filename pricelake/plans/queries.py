@@ -494,3 +494,11 @@ def q_merge_ohlc_resample(spark, sf):
     """Candle merge with the daily resample: first open, highest high, lowest low."""
     return rounded(payloads.merge_ohlc(f4_good_charts(spark, sf),
                                        fx.f4_candle_payloads(spark, sf), resample="ohlc"))
+
+
+@register("q_rolling_days")
+def q_rolling_days(spark, sf):
+    """Calendar-day frames (the last 7 / 30 days, not rows): an option."""
+    return rounded(marts.rolling_metrics(f1_staged(spark, sf), frame="days")
+                   .select("asset_id", "price_date", "sma_7d", "sma_30d", "return_stddev_7d",
+                           "return_stddev_30d"))
