@@ -202,3 +202,33 @@ def test_features_batch_late_policies(spark, tmp_path):
             assert got[5] == (5.0, 5.0) and got[11][1] == 11.0
         else:
             assert got[5] == (50.0, 50.0) and got[11][1] == 50.0
+
+
+def test_stream_weekly_append_watermark_drops_late_rows(spark, tmp_path):
+    """Append mode: a week is emitted once the watermark passes its end; a row
+    older than the watermark arriving later is dropped."""
+    f = T(2024, 3, 1)
+    fact_schema_src = marts.fact_daily(staging.stage_prices(price_rows(
+        spark, [("a", D(2024, 1, 1), 1.0, f)])))
+    src = str(tmp_path / "wsrc")
+    out = str(tmp_path / "wout")
+    ck = str(tmp_path / "ck_wa")
+
+    def land(rows, name):
+        marts.fact_daily(staging.stage_prices(price_rows(spark, rows))) \
+            .write.parquet(f"{src}/{name}")
+
+    def run():
+        stream = spark.readStream.schema(fact_schema_src.schema).parquet(f"{src}/*")
+        jobs.stream_weekly(spark, stream, out_path=out, checkpoint=ck, watermark="2 days",
+                           output_mode="append").awaitTermination()
+
+    land([("a", D(2024, 1, d), float(d), f) for d in range(7, 14)], "b1")   # week of Jan 7
+    land([("a", D(2024, 1, 22), 22.0, f)], "b2")                         # moves the watermark
+    run()
+    land([("a", D(2024, 1, 8), 99.0, f)], "b3")                          # late: dropped
+    land([("a", D(2024, 1, 30), 30.0, f)], "b4")
+    run()
+    got = {r.week_start: r.trading_days for r in spark.read.parquet(out).collect()}
+    assert got[D(2024, 1, 7)] == 7
+    assert D(2024, 1, 21) in got and D(2024, 1, 28) not in got   # last week still open
