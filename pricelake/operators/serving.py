@@ -100,12 +100,13 @@ def display_text(cards: DataFrame) -> DataFrame:
 def volume_series(daily: DataFrame, assets=None) -> DataFrame:
     """Non-NULL volumes per asset and day, with the day's stacked total.
 
-    The day totals are a partial+final aggregate (one row per day of the
-    lookback, so at most ``days_back`` rows) joined back on the date."""
+    The day totals are a partial+final aggregate (one row per calendar day)
+    joined back on the date; no hint: AQE sees the tiny aggregate at runtime
+    and broadcasts it, and a many-day input still gets a shuffle join."""
     v = select_assets(daily, assets).filter(F.col("volume_usd").isNotNull()) \
         .select("asset_id", "price_date", "volume_usd")
     totals = v.groupBy("price_date").agg(F.sum("volume_usd").alias("day_total_volume"))
-    return v.join(F.broadcast(totals), "price_date", "left")
+    return v.join(totals, "price_date", "left")
 
 
 def vol_series(daily: DataFrame, assets=None) -> DataFrame:
