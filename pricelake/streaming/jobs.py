@@ -70,8 +70,9 @@ def stream_upsert(spark: SparkSession, raw_stream: DataFrame, target_path: str,
                   checkpoint: str | None = None, tiebreak: Sequence[str] = ("source_ts",),
                   available_now: bool = True) -> StreamingQuery:
     """Each micro-batch: stage (type, filter, keep latest per key), then merge
-    into the table at ``target_path`` keeping the newest ``fetched_at``."""
-    order = ["fetched_at"]
+    into the table at ``target_path`` keeping the newest ``fetched_at`` (value
+    columns close the order, so a tie is resolved the same way on a replay)."""
+    order = ["fetched_at", *staging.VALUE_ORDER]
 
     def merge(batch: DataFrame, epoch_id: int) -> None:
         staged = staging.stage_prices(batch, tiebreak=tiebreak)
