@@ -24,14 +24,21 @@ def as_date_lit(d) -> Column:
 
 
 def as_ts_lit(ts) -> Column:
-    """A TIMESTAMP_NTZ literal (wall clock in UTC) from datetime or ISO text."""
+    """A TIMESTAMP_NTZ literal (wall clock in UTC) from datetime or ISO text.
+
+    Built from text, so neither the Python process's nor the session's time
+    zone can shift it."""
     if isinstance(ts, Column):
         return ts
     if isinstance(ts, str):
         ts = _dt.datetime.fromisoformat(ts)
     if ts.tzinfo is not None:
         ts = ts.astimezone(_dt.timezone.utc).replace(tzinfo=None)
-    return F.lit(ts).cast("timestamp_ntz")
+    return F.lit(ts.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
+EPOCH_NTZ = "1970-01-01 00:00:00"
+MS_PER_DAY = 86_400_000
 
 
 def safe_div(num, den) -> Column:
@@ -59,13 +66,22 @@ def week_start(d, first_day: str = "sunday") -> Column:
 
 
 def epoch_ms_to_date(ms) -> Column:
-    """UTC calendar date of an epoch-milliseconds number."""
-    return F.to_date(F.timestamp_millis(_c(ms).cast("bigint")))
+    """UTC calendar date of an epoch-milliseconds number (day arithmetic, so
+    the session time zone plays no part)."""
+    days = F.floor(_c(ms).cast("bigint") / F.lit(MS_PER_DAY)).cast("int")
+    return F.date_add(F.lit(_dt.date(1970, 1, 1)), days)
 
 
 def epoch_ms_to_ts(ms) -> Column:
     """UTC wall-clock timestamp (NTZ) of an epoch-milliseconds number."""
-    return F.timestamp_millis(_c(ms).cast("bigint")).cast("timestamp_ntz")
+    secs = (_c(ms).cast("bigint").cast("decimal(20,3)") / F.lit(1000)).cast("decimal(18,6)")
+    return F.lit(EPOCH_NTZ).cast("timestamp_ntz") + \
+        F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), secs)
+
+
+def ntz_to_epoch_ms(ts) -> Column:
+    """Epoch milliseconds of a UTC wall-clock (NTZ) timestamp."""
+    return F.timestamp_diff("MILLISECOND", F.lit(EPOCH_NTZ).cast("timestamp_ntz"), _c(ts))
 
 
 def iso_text_to_date(s) -> Column:

@@ -12,6 +12,8 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pricelake.functions import as_ts_lit, ntz_to_epoch_ms
+
 # Fixed parameters of the fixtures.
 F1_AS_OF = dt.date(2001, 11, 5)          # day after the last ship date
 F2_AS_OF = dt.date(2024, 1, 31)          # day after the last event
@@ -149,10 +151,10 @@ def f3_info_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.struct(ath_date.alias("usd")).alias("ath_date")).alias("market_data")))
 
     new = s.select(key.cast("string").alias("asset_id"),
-                   F.lit(F3_FETCH_NEW).cast("timestamp_ntz").alias("fetched_at"),
+                   as_ts_lit(F3_FETCH_NEW).alias("fetched_at"),
                    payload(F.abs("s_acctbal")).alias("payload"))
     old = s.select(key.cast("string").alias("asset_id"),
-                   F.lit(F3_FETCH_OLD).cast("timestamp_ntz").alias("fetched_at"),
+                   as_ts_lit(F3_FETCH_OLD).alias("fetched_at"),
                    payload(F.lit(0.0)).alias("payload"))
     return new.unionByName(old)
 
@@ -163,7 +165,7 @@ def _events_chunked(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("user_id").cast("string").alias("asset_id"),
         F.floor(F.col("event_id") / PAYLOAD_CHUNK_EVENTS).alias("chunk"),
         "event_id", "ts", "event_type", "value",
-        F.unix_millis(F.col("ts").cast("timestamp")).alias("ts_ms"),
+        ntz_to_epoch_ms("ts").alias("ts_ms"),
     )
 
 

@@ -88,7 +88,7 @@ def stream_upsert(spark: SparkSession, raw_stream: DataFrame, target_path: str,
 def weekly_stream(fact_stream: DataFrame, watermark: str = "14 days") -> DataFrame:
     """Streaming weekly roll-up. 1970-01-01 was a Thursday, so 7-day windows
     shifted by 3 days start on Sunday."""
-    ts = F.col("price_date").cast("timestamp")
+    ts = F.col("price_date").cast("timestamp_ntz")       # UTC midnight, any session zone
     d = (fact_stream.withColumn("__ts", ts).withWatermark("__ts", watermark))
     agg = d.groupBy(F.window("__ts", "7 days", startTime="3 days").alias("__w"),
                     "asset_id").agg(

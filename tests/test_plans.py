@@ -64,3 +64,19 @@ def test_weekly_bounds_by_window_equal_fast_path(spark):
     b = marts.weekly_open_close(fact, method="window")
     diff = a.exceptAll(b.select(*a.columns))
     assert diff.count() == 0 and a.count() == b.count()
+
+
+def test_results_do_not_depend_on_session_time_zone(spark):
+    from __spark_entry__ import queries
+    names = ["q_parse_market_chart", "q_merge_ohlc", "q_dq_freshness", "q_stage_metadata",
+             "q_batch_stamp", "q_fact_daily"]
+    qs = queries()
+
+    def rows(session, name):
+        return sorted(map(repr, qs[name](session, SF001).collect()))
+    base = {n: rows(spark, n) for n in names}
+    other = spark.newSession()          # own conf, own plan caches
+    other.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    shifted = {n: rows(other, n) for n in names}
+    for n in names:
+        assert base[n] == shifted[n], n
