@@ -5,6 +5,7 @@ The daily batch maps onto streams as follows:
 
 * ``stream_raw``: landed payload files -> parsed raw rows, appended
   (stateless; exactly-once through the checkpoint and the file sink log);
+* ``stream_ingest``: the same with the candle merge, per micro-batch;
 * ``stream_upsert``: each micro-batch is deduplicated and merged into the
   keyed table, newest version wins (``foreachBatch``; replaying an epoch
   gives the same table);
@@ -66,6 +67,34 @@ def stream_raw(spark: SparkSession, landing_dir: str, out_path: str,
     return w.start()
 
 
+def stream_ingest(spark: SparkSession, landing: str, raw_path: str,
+                  checkpoint: str | None = None, available_now: bool = True) -> StreamingQuery:
+    """Landed chart payloads under ``landing/market_chart`` as a stream; each
+    micro-batch looks up the candle payloads of the same fetches in
+    ``landing/candles`` (a semi join on the fetch keys, so only those files'
+    rows are kept), merges them and appends the rows to the raw table
+    partitioned by fetch date. Bad chart lines are skipped (``read_payloads``
+    reports them in batch)."""
+    from pricelake.sources import files
+
+    src = read_landed(spark, f"{landing}/market_chart", "market_chart")
+    charts = src.filter(F.col("_corrupt_record").isNull() &
+                        F.col("payload.prices").isNotNull()).drop("_corrupt_record")
+
+    def merge(batch: DataFrame, epoch_id: int) -> None:
+        session = batch.sparkSession
+        keys = list(payloads.ENVELOPE_KEYS)
+        cands, _ = files.read_payloads(session, f"{landing}/candles", "candles")
+        cands = cands.join(batch.select(*keys).distinct(), keys, "left_semi")
+        rows = payloads.merge_ohlc(batch, cands).select(*schemas.PRICE_COLUMNS, "source_ts")
+        sinks.write_table(rows, raw_path, "append", ["fetched_date"], ["asset_id"])
+
+    w = (charts.writeStream.foreachBatch(merge)
+         .option("checkpointLocation", _ckpt(spark, checkpoint, "ingest")))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
+    return w.start()
+
+
 def stream_upsert(spark: SparkSession, raw_stream: DataFrame, target_path: str,
                   checkpoint: str | None = None, tiebreak: Sequence[str] = ("source_ts",),
                   available_now: bool = True) -> StreamingQuery:

@@ -232,3 +232,18 @@ def test_stream_weekly_append_watermark_drops_late_rows(spark, tmp_path):
     got = {r.week_start: r.trading_days for r in spark.read.parquet(out).collect()}
     assert got[D(2024, 1, 7)] == 7
     assert D(2024, 1, 21) in got and D(2024, 1, 28) not in got   # last week still open
+
+
+def test_stream_ingest_with_candles_equals_batch(spark, tmp_path):
+    charts = fx.f4_chart_payloads(spark, SF001).drop("chunk")
+    candles = fx.f4_candle_payloads(spark, SF001).drop("chunk")
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    _land(landing, "market_chart", charts)
+    _land(landing, "candles", candles)
+    out = str(tmp_path / "raw_ingest")
+    jobs.stream_ingest(spark, str(landing), out, str(tmp_path / "ck_i")).awaitTermination()
+    good, _ = pl.split_payloads(charts, "market_chart")
+    exp = pl.merge_ohlc(good, candles).select(*schemas.PRICE_COLUMNS, "source_ts")
+    got = spark.read.parquet(out).select(*schemas.PRICE_COLUMNS, "source_ts")
+    assert rows_of(got) == rows_of(exp)
