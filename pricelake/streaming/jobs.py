@@ -20,6 +20,7 @@ Checkpoints default to a folder under the session's ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import datetime as dt
 import math
 import uuid
 from collections.abc import Sequence
@@ -117,7 +118,9 @@ def stream_upsert(spark: SparkSession, raw_stream: DataFrame, target_path: str,
 def weekly_stream(fact_stream: DataFrame, watermark: str = "14 days") -> DataFrame:
     """Streaming weekly roll-up. 1970-01-01 was a Thursday, so 7-day windows
     shifted by 3 days start on Sunday."""
-    ts = F.col("price_date").cast("timestamp_ntz")       # UTC midnight, any session zone
+    # the UTC-midnight instant of the date, built from epoch seconds so the
+    # session time zone plays no part (watermarks need TIMESTAMP, not NTZ)
+    ts = F.timestamp_seconds(F.unix_date(F.col("price_date")).cast("bigint") * 86400)
     d = (fact_stream.withColumn("__ts", ts).withWatermark("__ts", watermark))
     agg = d.groupBy(F.window("__ts", "7 days", startTime="3 days").alias("__w"),
                     "asset_id").agg(
@@ -132,7 +135,10 @@ def weekly_stream(fact_stream: DataFrame, watermark: str = "14 days") -> DataFra
         F.min_by("close_usd", "price_date").alias("__open"),
         F.max_by("close_usd", "price_date").alias("__close"))
     return agg.select(
-        "asset_id", F.to_date(F.col("__w.start")).alias("week_start"),
+        "asset_id",
+        F.date_add(F.lit(dt.date(1970, 1, 1)),
+                   F.floor(F.unix_seconds(F.col("__w.start")) / 86400).cast("int"))
+        .alias("week_start"),
         "weekly_low", "weekly_high", "weekly_avg_close", "weekly_volume", "avg_market_cap",
         "weekly_return_stddev",
         (F.col("weekly_return_stddev") * F.lit(math.sqrt(52))).alias(

@@ -247,3 +247,14 @@ def test_stream_ingest_with_candles_equals_batch(spark, tmp_path):
     exp = pl.merge_ohlc(good, candles).select(*schemas.PRICE_COLUMNS, "source_ts")
     got = spark.read.parquet(out).select(*schemas.PRICE_COLUMNS, "source_ts")
     assert rows_of(got) == rows_of(exp)
+
+
+def test_weekly_windows_ignore_session_time_zone(spark):
+    """The streaming roll-up's Sunday windows are UTC-aligned in any session zone
+    (``withWatermark`` is a no-op on a batch frame, so the logic runs in batch)."""
+    other = spark.newSession()
+    other.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    f2 = staging.stage_prices(fx.f2_raw_prices(other, SF001), tiebreak=fx.F2_TIEBREAK)
+    fact = marts.fact_daily(f2)
+    got = jobs.weekly_stream(fact).select(*marts.WEEKLY_COLUMNS)
+    assert rows_of(got) == rows_of(marts.weekly_rollup(fact))
