@@ -92,34 +92,72 @@ def staged_metadata(spark: SparkSession, root: str) -> DataFrame:
     return staging.stage_metadata(raw)
 
 
+def _state_path(root: str) -> str:
+    return f"{root.rstrip('/')}/marts/_build_state"
+
+
 def build(spark: SparkSession, root: str, watchlist_csv: str, as_of,
           mode: str = "per_asset", lookback_days: int = 2) -> dict[str, int]:
     """Raw tables -> fact (incremental), weekly and dimension (rewritten).
 
-    First run (no fact yet): the full fact is written. Later runs compute
-    the features over the staged history (windows need it) and upsert only
-    the slice the mode selects; ``per_asset`` also lands corrections of the
-    last ``lookback_days`` days and new assets' back-history.
+    First run (no fact yet): the full fact is written. Later runs:
+
+    * ``mode="tail"`` (for large histories): only raw partitions fetched
+      since the last build are read (partition pruning on ``fetched_date``);
+      their newest versions get features from a 30-row stored tail per
+      touched asset, assets with late or corrected rows are recomputed, and
+      the rows are upserted. The newest fetch time processed is kept in a
+      one-row state table.
+    * ``mode="per_asset"`` / ``"strict"``: features over the staged history
+      (windows need it), then the slice the mode selects is upserted;
+      ``per_asset`` also lands corrections of the last ``lookback_days`` days
+      and new assets' back-history.
     """
     p = _paths(root)
     if not sinks.table_exists(spark, p["prices"]) or spark.read.parquet(p["prices"]).isEmpty():
         return {"fact_rows_written": 0, "weekly_rows": 0, "dim_rows": 0}
+    raw = spark.read.parquet(p["prices"])
     staged = staged_prices(spark, root)
-    features = marts.fact_daily(staged)
     keys = ["asset_id", "price_date"]
-    if sinks.table_exists(spark, p["fact"]):
+    state = _state_path(root)
+    if mode == "tail" and sinks.table_exists(spark, p["fact"]) and \
+            sinks.table_exists(spark, state):
+        from pricelake.streaming.jobs import features_batch
+        last = spark.read.parquet(state).agg(F.max("last_fetched_at")).scalar()
+        # the date bound prunes partitions; the timestamp bound is exact
+        last_date = spark.read.parquet(state).agg(F.max("last_fetched_date")).scalar()
+        new_raw = raw.filter((F.col("fetched_date") >= last_date) & (F.col("fetched_at") > last))
+        n_fact = features_batch(spark, p["fact"], staging.stage_prices(new_raw))
+        seen = new_raw
+    elif sinks.table_exists(spark, p["fact"]):
+        features = marts.fact_daily(staged)
         target = spark.read.parquet(p["fact"]).select(*marts.FACT_COLUMNS)
-        slice_ = incremental.incremental_slice(features, target, mode, lookback_days)
+        slice_ = incremental.incremental_slice(features, target,
+                                               "per_asset" if mode == "tail" else mode,
+                                               lookback_days)
         # cut the lineage to the target before writing into it
         slice_path = f"{p['fact']}_slice"
         sinks.write_table(slice_, slice_path, "overwrite", guard_empty=False)
         n_fact = sinks.upsert_table(spark, p["fact"],
                                     spark.read.parquet(slice_path).select(*marts.FACT_COLUMNS),
                                     keys, "price_date")
+        seen = raw
     else:
         # the raw table has rows (checked above), so the fact has rows
-        n_fact = sinks.write_table(features, p["fact"], "overwrite", ["price_date"],
-                                   ["asset_id"], guard_empty=False)
+        n_fact = sinks.write_table(marts.fact_daily(staged), p["fact"], "overwrite",
+                                   ["price_date"], ["asset_id"], guard_empty=False)
+        seen = raw
+    # one row: the newest fetch processed (read back by the next tail build);
+    # a tail build only looks at the partitions it read
+    newest = seen.agg(F.max("fetched_at").alias("last_fetched_at"),
+                      F.max("fetched_date").alias("last_fetched_date"))
+    if sinks.table_exists(spark, state):
+        newest = newest.unionByName(spark.read.parquet(state)).agg(
+            F.max("last_fetched_at").alias("last_fetched_at"),
+            F.max("last_fetched_date").alias("last_fetched_date"))
+        state_rows = newest.collect()           # one row
+        newest = spark.createDataFrame(state_rows, newest.schema)
+    sinks.write_table(newest, state, "overwrite", guard_empty=False)
     fact = spark.read.parquet(p["fact"]).select(*marts.FACT_COLUMNS)
     n_week = sinks.write_table(marts.weekly_rollup(fact), p["weekly"], "overwrite",
                                guard_empty=False)

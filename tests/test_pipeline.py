@@ -30,7 +30,11 @@ def rows_of(df):
     return sorted(out, key=repr)
 
 
-def test_ingest_build_check(spark, tmp_path):
+import pytest
+
+
+@pytest.mark.parametrize("mode", ["per_asset", "tail"])
+def test_ingest_build_check(spark, tmp_path, mode):
     charts = fx.f4_chart_payloads(spark, SF001)
     candles = fx.f4_candle_payloads(spark, SF001)
     info = fx.f3_info_payloads(spark, SF001)
@@ -49,7 +53,7 @@ def test_ingest_build_check(spark, tmp_path):
         assert len(dry.preview) == 3 and dry.price_rows > 0
         res = pipeline.ingest(spark, f"{landing}/r{run}", root, AS_OF, full_refresh=True)
         assert res.price_rows == dry.price_rows and res.quarantined == dry.quarantined
-        pipeline.build(spark, root, wl, AS_OF)
+        pipeline.build(spark, root, wl, AS_OF, mode=mode)
 
     good, _ = pl.split_payloads(charts.drop("chunk"), "market_chart")
     raw = pl.merge_ohlc(good, candles.drop("chunk"))
