@@ -188,7 +188,12 @@ def features_batch(spark: SparkSession, fact_path: str, staged_batch: DataFrame,
                                   "price_date")
     if late != "recompute":
         raise ValueError(f"unknown late policy {late!r}")
-    late = incremental.late_assets(stored, staged_batch)
+    # a late row is dated on or before its asset's last stored date, so only
+    # stored rows from the batch's first date on can reveal one: the date
+    # bound (a scalar subquery) prunes the fact's partitions
+    first_new = staged_batch.agg(F.min("price_date")).scalar()
+    late = incremental.late_assets(stored.filter(F.col("price_date") >= first_new),
+                                   staged_batch)
     on_time = staged_batch.join(late, "asset_id", "left_anti")
     fast = incremental.incremental_features(stored, on_time)
     base_cols = marts.RETURNS_COLUMNS[:8]
