@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricelake import schemas
+from pricelake.functions import week_start
 from pricelake.operators import marts, quality, staging
 from pricelake.plans import incremental
 from pricelake.sources import files, payloads, sinks
@@ -120,6 +121,7 @@ def build(spark: SparkSession, root: str, watchlist_csv: str, as_of,
     staged = staged_prices(spark, root)
     keys = ["asset_id", "price_date"]
     state = _state_path(root)
+    weekly_done = False
     if mode == "tail" and sinks.table_exists(spark, p["fact"]) and \
             sinks.table_exists(spark, state):
         from pricelake.streaming.jobs import features_batch
@@ -127,8 +129,25 @@ def build(spark: SparkSession, root: str, watchlist_csv: str, as_of,
         # the date bound prunes partitions; the timestamp bound is exact
         last_date = spark.read.parquet(state).agg(F.max("last_fetched_date")).scalar()
         new_raw = raw.filter((F.col("fetched_date") >= last_date) & (F.col("fetched_at") > last))
-        n_fact = features_batch(spark, p["fact"], staging.stage_prices(new_raw))
+        new_staged = staging.stage_prices(new_raw)
+        n_fact = features_batch(spark, p["fact"], new_staged)
         seen = new_raw
+        # only weeks from each touched asset's first new date on can change
+        # (features look backward only): recompute those and upsert them
+        fact_now = spark.read.parquet(p["fact"]).select(*marts.FACT_COLUMNS)
+        if sinks.table_exists(spark, p["weekly"]):
+            since = new_staged.groupBy("asset_id").agg(
+                week_start(F.min("price_date")).alias("__from"))
+            first_week = week_start(new_staged.agg(F.min("price_date")).scalar())
+            recent = (fact_now.filter(F.col("price_date") >= first_week)   # prunes partitions
+                      .join(since, "asset_id").filter(F.col("price_date") >= F.col("__from"))
+                      .drop("__from"))
+            n_week = sinks.upsert_table(spark, p["weekly"], marts.weekly_rollup(recent),
+                                        ["asset_id", "week_start"], "week_start")
+        else:
+            n_week = sinks.write_table(marts.weekly_rollup(fact_now), p["weekly"], "overwrite",
+                                       ["week_start"], guard_empty=False)
+        weekly_done = True
     elif sinks.table_exists(spark, p["fact"]):
         features = marts.fact_daily(staged)
         target = spark.read.parquet(p["fact"]).select(*marts.FACT_COLUMNS)
@@ -158,9 +177,10 @@ def build(spark: SparkSession, root: str, watchlist_csv: str, as_of,
         state_rows = newest.collect()           # one row
         newest = spark.createDataFrame(state_rows, newest.schema)
     sinks.write_table(newest, state, "overwrite", guard_empty=False)
-    fact = spark.read.parquet(p["fact"]).select(*marts.FACT_COLUMNS)
-    n_week = sinks.write_table(marts.weekly_rollup(fact), p["weekly"], "overwrite",
-                               guard_empty=False)
+    if not weekly_done:
+        fact = spark.read.parquet(p["fact"]).select(*marts.FACT_COLUMNS)
+        n_week = sinks.write_table(marts.weekly_rollup(fact), p["weekly"], "overwrite",
+                                   ["week_start"], guard_empty=False)
     wl = files.read_watchlist(spark, watchlist_csv)
     dim = marts.dim_assets(wl, staged_metadata(spark, root), marts.latest_price(staged), as_of)
     n_dim = sinks.write_table(dim, p["dim"], "overwrite", guard_empty=False)
