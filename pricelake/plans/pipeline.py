@@ -182,7 +182,11 @@ def build(spark: SparkSession, root: str, watchlist_csv: str, as_of,
         n_week = sinks.write_table(marts.weekly_rollup(fact), p["weekly"], "overwrite",
                                    ["week_start"], guard_empty=False)
     wl = files.read_watchlist(spark, watchlist_csv)
-    dim = marts.dim_assets(wl, staged_metadata(spark, root), marts.latest_price(staged), as_of)
+    # in tail mode the fact holds exactly the staged rows, so the latest
+    # prices come from its (already deduplicated) columns, not a raw re-dedup
+    latest_src = spark.read.parquet(p["fact"]) if weekly_done else staged
+    dim = marts.dim_assets(wl, staged_metadata(spark, root), marts.latest_price(latest_src),
+                           as_of)
     n_dim = sinks.write_table(dim, p["dim"], "overwrite", guard_empty=False)
     return {"fact_rows_written": n_fact, "weekly_rows": n_week, "dim_rows": n_dim}
 

@@ -66,6 +66,12 @@ def test_ingest_build_check(spark, tmp_path, mode):
         rows_of(marts.weekly_rollup(expected))
     dim = spark.read.parquet(f"{root}/marts/dim_assets")
     assert dim.count() == fx.f3_watchlist(spark, SF001).count()
+    latest_cols = ["asset_id", "latest_price_date", "latest_close_usd",
+                   "latest_market_cap_usd", "days_of_data"]
+    exp_latest = marts.latest_price(staging.stage_prices(raw)) \
+        .join(dim.select("asset_id"), "asset_id", "left_semi").select(*latest_cols)
+    assert rows_of(dim.filter(F.col("latest_price_date").isNotNull()).select(*latest_cols)) \
+        == rows_of(exp_latest)
 
     summary = {r.test_name: r for r in pipeline.check(spark, root, "2024-01-31 06:00:00")
                .collect()}
