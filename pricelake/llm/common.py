@@ -7,6 +7,8 @@ import tempfile
 import uuid
 import zipfile
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,3 +68,24 @@ def join_staged(left: DataFrame, staged: DataFrame, on, how: str = "left",
     if staged.count() * row_bytes <= limit:
         return left.join(F.broadcast(staged), on, how)
     return left.join(staged.hint("merge"), on, how)
+
+
+def sorted_groups(batches):
+    """(table, bounds) of whole runs of equal first column, from sorted batches.
+
+    Only the last, unfinished run is carried from batch to batch.
+    """
+    tail = None
+    for b in batches:
+        t = pa.Table.from_batches([b])
+        t = t if tail is None else pa.concat_tables([tail, t]).combine_chunks()
+        if not len(t):
+            continue
+        key = t.column(0).to_numpy()
+        cuts = np.flatnonzero(key[1:] != key[:-1]) + 1
+        if len(cuts):
+            yield t.slice(0, cuts[-1]).combine_chunks(), np.concatenate([[0], cuts])
+            t = t.slice(cuts[-1])
+        tail = t
+    if tail is not None and len(tail):
+        yield tail.combine_chunks(), np.array([0, len(tail)])

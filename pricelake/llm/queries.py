@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelake.llm import exact_dedup, packing
+from pricelake.llm import exact_dedup, near_dedup, packing, quality, url_filter
 from pricelake.llm.common import table
 
 
@@ -15,11 +15,27 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "sequence_id", "offset", "tier", "step_group")
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    weights = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, weights, keep=["doc_id"]).select(
+        "row.doc_id", quality.held_out(F.col("row.doc_id")).alias("held_out"), "score",
+        (F.col("score") >= quality.ACCEPT).cast("int").alias("predicted"))
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages", "page_id", "url"))
+
+
+def op8_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_groups(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
-REGISTRY = {"op1_packing": op1_packing, "op10_exact_dedup": op10_exact_dedup}
+REGISTRY = {"op1_packing": op1_packing, "op4_quality": op4_quality, "op6_url_filter": op6_url_filter, "op8_lsh_forest": op8_lsh_forest, "op10_exact_dedup": op10_exact_dedup}
 
 SQL = {
     "op10_exact_dedup": r"""

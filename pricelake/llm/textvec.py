@@ -1,7 +1,7 @@
 """Vectorised word hashing over whole Arrow text batches (numpy, inside tasks).
 
-Words are maximal runs of bytes outside ``space``; ASCII letters are folded to
-lower case. A word's hash is a polynomial over its bytes modulo 2**64, taken
+Words are maximal runs of bytes of one class (0 separates); ASCII letters are
+folded to lower case. A word's hash is a polynomial over its bytes modulo 2**64, taken
 from one running sum, so no Python object is made per word. Work is done in
 blocks of ``BLOCK`` bytes cut between words: memory stays bounded for texts of
 any length.
@@ -20,18 +20,23 @@ _P = 0x9E3779B97F4A7C15 | 1
 _P_INV = pow(_P, -1, 1 << 64)
 U = np.uint64
 
-SPACE = np.zeros(256, dtype=bool)
-SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: Byte classes. SPACE: words are whatever white space separates.
+SPACE = np.ones(256, dtype=np.uint8)
+SPACE[[0x20, *range(0x09, 0x0E)]] = 0
 
-#: Everything in ASCII that is neither letter nor digit also separates words.
-PUNCT_SPACE = np.ones(256, dtype=bool)
-PUNCT_SPACE[ord("0"):ord("9") + 1] = False
-PUNCT_SPACE[ord("A"):ord("Z") + 1] = False
-PUNCT_SPACE[ord("a"):ord("z") + 1] = False
-PUNCT_SPACE[0x80:] = False
+#: Letters, digits and all non-ASCII bytes make words, everything else separates.
+ALNUM = np.zeros(256, dtype=np.uint8)
+ALNUM[ord("0"):ord("9") + 1] = 1
+ALNUM[ord("A"):ord("Z") + 1] = 1
+ALNUM[ord("a"):ord("z") + 1] = 1
+ALNUM[0x80:] = 1
+
+#: As ALNUM, but runs of punctuation are words of their own.
+TOKEN = np.where(SPACE == 0, 0, np.where(ALNUM == 1, 1, 2)).astype(np.uint8)
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A"):ord("Z") + 1] += 32
+AS_IS = np.arange(256, dtype=np.uint8)
 
 _powers: list[np.ndarray] = []
 
@@ -77,26 +82,24 @@ def text_chunks(col: pa.Array, max_bytes: int = BLOCK) -> Iterator[tuple[int, in
         lo = hi
 
 
-def _block_words(data, first, space):
+def _block_words(data, first, classes, fold):
     """Word starts, ends and hashes of one block; ``first``: bytes that begin a text."""
-    low = LOWER[data]
-    word = ~space[data]
-    begin = word.copy()
-    begin[1:] &= ~word[:-1]
-    last = word.copy()
-    last[:-1] &= ~word[1:]
-    cut = first[first > 0]
-    begin[cut] = word[cut]
-    last[cut - 1] = word[cut - 1]
-    s, e = np.flatnonzero(begin), np.flatnonzero(last) + 1
+    kind = classes[data]
+    new = np.ones(len(data) + 1, dtype=bool)     # a run begins here, or the one before has ended
+    new[1:-1] = kind[1:] != kind[:-1]
+    new[first] = True
+    at = np.flatnonzero(new)
+    s, e = at[:-1], at[1:]
+    word = kind[s] > 0
+    s, e = s[word], e[word]
     pw, inv = _pw(len(data))
     run = np.zeros(len(data) + 1, dtype=U)
-    np.cumsum((low.astype(U) + U(1)) * pw[:len(data)], out=run[1:])
+    np.cumsum((fold[data].astype(U) + U(1)) * pw[:len(data)], out=run[1:])
     h = (run[e] - run[s]) * inv[s]
     return s, e, mix(h ^ ((e - s).astype(U) << U(48)))
 
 
-def words(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE):
+def words(data: np.ndarray, offsets: np.ndarray, classes: np.ndarray = SPACE, fold: np.ndarray = LOWER):
     """(starts, ends, hashes, bounds): every word of the texts, in order;
     text i owns words ``bounds[i]:bounds[i + 1]``."""
     n, pos, parts = len(data), 0, []
@@ -104,16 +107,16 @@ def words(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE):
     while pos < n:
         end = min(pos + BLOCK, n)
         if end < n:
-            back = np.flatnonzero(space[data[pos:end]])
+            back = np.flatnonzero(classes[data[pos:end]] == 0)
             text = inner[(inner > pos) & (inner <= end)]
             stop = max(pos + int(back[-1]) + 1 if len(back) else 0, int(text[-1]) if len(text) else 0)
             if stop <= pos:              # one word longer than a block: take it whole
-                nxt = np.flatnonzero(space[data[end:]])
+                nxt = np.flatnonzero(classes[data[end:]] == 0)
                 t = inner[inner > end]
                 stop = min(end + int(nxt[0]) if len(nxt) else n, int(t[0]) if len(t) else n)
             end = stop
         here = inner[(inner >= pos) & (inner < end)] - pos
-        s, e, h = _block_words(data[pos:end], here, space)
+        s, e, h = _block_words(data[pos:end], here, classes, fold)
         parts.append((s + pos, e + pos, h))
         pos = end
     if not parts:
