@@ -19,7 +19,7 @@
 4. Components of the confirmed links name the groups.
 
 A pair at similarity 0.85 shares no region with probability below 1e-6
-(0.85**5 = 0.44, 24 trees); 2e-6 at 0.84, more similar pairs are safer.
+(0.85**5 = 0.44, 24 trees), one at 0.8 below 1e-4; more similar pairs are safer.
 
 Defined cases: null and empty texts and texts without words have an empty set,
 are linked with nothing and stay; fewer words than a shingle make one shingle
@@ -45,7 +45,7 @@ TREES, DEPTH = 24, 5
 VALUES = TREES * DEPTH
 #: Leaders, all unlike one another, after which a region's rest is taken a value deeper.
 REGION_LEADERS = 2048
-LEAD, LINK = 0.70, 0.45
+LEAD, LINK = 0.70, 0.40
 BLOCK_SHINGLES = 400_000
 
 U = np.uint64
