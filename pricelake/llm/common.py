@@ -70,6 +70,19 @@ def join_staged(left: DataFrame, staged: DataFrame, on, how: str = "left",
     return left.join(staged.hint("merge"), on, how)
 
 
+#: Stands for a null id in joins.
+NO_ID = -(1 << 63)
+
+
+def without(docs: DataFrame, id_col: str, lost: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose id is among the staged ids ``lost.id``
+    (null: the rows that have none). Packed rows cannot clash with any name."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                       F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID)).alias("id"))
+    gone = lost.select(F.coalesce("id", F.lit(NO_ID)).alias("id"), F.lit(True).alias("gone"))
+    return join_staged(rows, gone, "id", "left", row_bytes=16).filter(F.col("gone").isNull()).select("row.*")
+
+
 def sorted_groups(batches):
     """(table, bounds) of whole runs of equal first column, from sorted batches.
 

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricelake.llm import textvec
-from pricelake.llm.common import join_staged, stage
+from pricelake.llm.common import join_staged, stage, without
 
 GRAM, BLOCK = 3, 2
 SEED_SHARE = 0.15
@@ -37,8 +37,6 @@ MATCH, MISS, GAP = 2, -1, -1
 SCORE = 0.5
 BITS = 22
 
-_NO_ID = -(1 << 63)
-
 
 def _text_words(col):
     """(row, word hashes) of every text of a column."""
@@ -186,8 +184,5 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the documents that hold a test item, all columns as they were."""
-    lost = stage(contaminated(docs, benchmark, id_col, text_col)
-                 .select(F.coalesce("doc_id", F.lit(_NO_ID)).alias("__lost")).distinct(), "lost")
-    tagged = join_staged(docs.withColumn("__lost", F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID))),
-                         lost.withColumn("__gone", F.lit(True)), "__lost", "left", row_bytes=16)
-    return tagged.filter(F.col("__gone").isNull()).select(*docs.columns)
+    lost = stage(contaminated(docs, benchmark, id_col, text_col).select(F.col("doc_id").alias("id")).distinct(), "lost")
+    return without(docs, id_col, lost)

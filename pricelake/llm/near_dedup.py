@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricelake.llm import textvec
-from pricelake.llm.common import join_staged, sorted_groups, stage
+from pricelake.llm.common import NO_ID, join_staged, sorted_groups, stage, without
 from pricelake.llm.components import Forest, components
 
 SHINGLE = 5
@@ -178,10 +178,6 @@ def _verifier(num: int, den: int):
     return run
 
 
-#: Stands for a null doc_id in joins.
-_NO_ID = -(1 << 63)
-
-
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 num: int = 85, den: int = 100) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
@@ -213,10 +209,10 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     dealt = join_staged(sized, totals, "block", "inner", row_bytes=24) \
         .withColumn("i", F.pmod(F.xxhash64("node", F.lit(5)), F.col("parts"))) \
         .withColumn("j", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))) \
-        .select(F.coalesce("rep", F.lit(_NO_ID)).alias("__id"), "node",
+        .select(F.coalesce("rep", F.lit(NO_ID)).alias("__id"), "node",
                 F.xxhash64("block", F.least("i", "j"), F.greatest("i", "j")).alias("group"))
     dealt = stage(dealt, "dealt")
-    texts = join_staged(docs.withColumn("__id", F.coalesce("doc_id", F.lit(_NO_ID))), dealt, "__id", "inner", row_bytes=32)
+    texts = join_staged(docs.withColumn("__id", F.coalesce("doc_id", F.lit(NO_ID))), dealt, "__id", "inner", row_bytes=32)
     links = (texts.select("group", "node", "text").repartition("group").sortWithinPartitions("group")
              .mapInArrow(_verifier(num, den), "a long, b long"))
     groups = components(links)
@@ -239,7 +235,5 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """``docs`` with one document of each near-duplicate group (its smallest
     doc_id), all columns as they were."""
     lost = stage(near_groups(docs, id_col, text_col, num, den).filter(~F.col("kept"))
-                 .select(F.col("doc_id").alias("__lost")).distinct(), "lost")
-    tagged = join_staged(docs.withColumn("__lost", F.col(id_col).cast("long")),
-                         lost.withColumn("__gone", F.lit(True)), "__lost", "left", row_bytes=16)
-    return tagged.filter(F.col("__gone").isNull()).select(*docs.columns)
+                 .select(F.col("doc_id").alias("id")).distinct(), "lost")
+    return without(docs, id_col, lost)

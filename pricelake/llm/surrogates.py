@@ -42,7 +42,8 @@ from pricelake.llm.common import stage
 
 KEY = b"change me: the secret of one release"
 MAX_RETRIES = 200_000
-SURNAME_SYLLABLES, GIVEN_SYLLABLES = 5, 4
+#: Syllables of invented surnames and given names.
+SYLLABLE_COUNTS = (5, 4)
 
 # Known given names, titles, and the syllables of invented ones.
 FEMALE = frozenset("""mary patricia jennifer linda elizabeth barbara susan jessica sarah karen lisa nancy betty sandra
@@ -198,7 +199,7 @@ def _script(word: str) -> str:
 
 
 @lru_cache(maxsize=100_000)
-def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
+def surrogate(key: bytes, kind: str, value: str, attempt: int = 0, syllables: tuple[int, int] = SYLLABLE_COUNTS) -> str:
     """The canonical surrogate of a canonical value."""
     tweak = f"{kind}/{attempt}"
     if kind == "email":
@@ -227,7 +228,7 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
     script = _script(value)
     parts, n = SYLLABLES[script], _prf(key, tweak, value)
     out = []
-    for _ in range(SURNAME_SYLLABLES if kind == "surname" else GIVEN_SYLLABLES):
+    for _ in range(syllables[kind != "surname"]):
         n, k = divmod(n, len(parts))
         out.append(parts[k])
     return "".join(out) + ENDINGS[script]["s" if kind == "surname" else kind[-1]]
@@ -254,18 +255,18 @@ def _values(batches):
                                           "value": pa.array([v for _, v in found], pa.string())})
 
 
-def _draw(key: bytes):
+def _draw(key: bytes, syllables):
     def run(batches):
         for b in batches:
-            new = [surrogate(key, k, v, n) for k, v, n in zip(*(c.to_pylist() for c in b.columns), strict=True)]
+            new = [surrogate(key, k, v, n, syllables) for k, v, n in zip(*(c.to_pylist() for c in b.columns), strict=True)]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(new, pa.string())], names=["kind", "value", "attempt", "new"])
     return run
 
 
-def retried(docs: DataFrame, key: bytes, text_col: str) -> dict[tuple[str, str], int]:
+def retried(docs: DataFrame, key: bytes, text_col: str, syllables: tuple[int, int] = SYLLABLE_COUNTS) -> dict[tuple[str, str], int]:
     """The values whose first surrogate collided, with the attempt that did not."""
     values = stage(docs.select(F.col(text_col).alias("text")).mapInArrow(_values, "kind string, value string").distinct(), "values")
-    drawn = values.withColumn("attempt", F.lit(0)).mapInArrow(_draw(key), "kind string, value string, attempt int, new string")
+    drawn = values.withColumn("attempt", F.lit(0)).mapInArrow(_draw(key, syllables), "kind string, value string, attempt int, new string")
     while True:
         drawn = stage(drawn, "drawn")
         order = Window.partitionBy("kind", "new").orderBy(F.col("attempt"), "value")
@@ -274,11 +275,11 @@ def retried(docs: DataFrame, key: bytes, text_col: str) -> dict[tuple[str, str],
                       .filter((F.col("rank") > 1) | F.col("real")).select("kind", "value", (F.col("attempt") + 1).alias("attempt")), "clash")
         if clash.isEmpty():
             break
-        again = clash.mapInArrow(_draw(key), "kind string, value string, attempt int, new string")
+        again = clash.mapInArrow(_draw(key, syllables), "kind string, value string, attempt int, new string")
         drawn = drawn.join(clash.select("kind", "value"), ["kind", "value"], "left_anti").unionByName(again)
     late = drawn.filter("attempt > 0")
     if late.count() > MAX_RETRIES:
-        raise ValueError("too many collisions to broadcast: raise SURNAME_SYLLABLES or GIVEN_SYLLABLES")
+        raise ValueError("too many collisions to broadcast: ask for more syllables")
     return {(r.kind, r.value): r.attempt for r in late.toLocalIterator()}
 
 
@@ -287,29 +288,30 @@ _SPANS = ArrayType(StructType([StructField("kind", StringType()), StructField("s
 _ARROW = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("surrogate", pa.string())]))
 
 
-def replaced(text: str, key: bytes, late: dict) -> tuple[str, list[dict]]:
+def replaced(text: str, key: bytes, late: dict, syllables: tuple[int, int] = SYLLABLE_COUNTS) -> tuple[str, list[dict]]:
     out, spans, pos = [], [], 0
     for s, e, kind, value in entities(text):
-        new = in_format(text[s:e], kind, surrogate(key, kind, value, late.get((kind, value), 0)))
+        new = in_format(text[s:e], kind, surrogate(key, kind, value, late.get((kind, value), 0), syllables))
         out += [text[pos:s], new]
         spans.append({"kind": kind, "start": s, "end": e, "surrogate": new})
         pos = e
     return "".join([*out, text[pos:]]), spans
 
 
-def _replacer(key: bytes, shared):
+def _replacer(key: bytes, shared, syllables):
     def run(batches):
         for b in batches:
-            rows = [replaced(t, key, shared.value) if t else (t, []) for t in b.column(1).to_pylist()]
+            rows = [replaced(t, key, shared.value, syllables) if t else (t, []) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([t for t, _ in rows], pa.string()),
                                               pa.array([s for _, s in rows], _ARROW)], names=["doc_id", "text", "spans"])
     return run
 
 
-def pseudonymise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", key: bytes = KEY) -> DataFrame:
+def pseudonymise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", key: bytes = KEY,
+                 syllables: tuple[int, int] = SYLLABLE_COUNTS) -> DataFrame:
     """One row per document: doc_id, text with surrogates, spans (kind, start and
     end in the old text, surrogate)."""
-    shared = docs.sparkSession.sparkContext.broadcast(retried(docs, key, text_col))
+    shared = docs.sparkSession.sparkContext.broadcast(retried(docs, key, text_col, syllables))
     schema = StructType([StructField("doc_id", LongType()), StructField("text", StringType()), StructField("spans", _SPANS)])
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")) \
-        .mapInArrow(_replacer(key, shared), schema)
+        .mapInArrow(_replacer(key, shared, syllables), schema)

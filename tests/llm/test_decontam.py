@@ -1,0 +1,88 @@
+import random
+
+import numpy as np
+import pytest
+
+from pricelake.llm import decontam as D
+
+
+def sw(a, b):
+    """Plain Smith-Waterman score."""
+    h = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    best = 0
+    for i in range(1, len(a) + 1):
+        for j in range(1, len(b) + 1):
+            h[i][j] = max(0, h[i - 1][j - 1] + (D.MATCH if a[i - 1] == b[j - 1] else D.MISS),
+                          h[i - 1][j] + D.GAP, h[i][j - 1] + D.GAP)
+            best = max(best, h[i][j])
+    return best
+
+
+def world(seed=2):
+    r = random.Random(seed)
+    words = [f"w{k}" for k in range(400)]
+    say = lambda n: [r.choice(words) for _ in range(n)]
+    items = [(k, say(r.randint(12, 40))) for k in range(12)]
+    docs = []
+    for k in range(150):
+        body = say(r.randint(5, 200))
+        if k % 3 == 0:
+            item = list(items[k % 12][1])
+            for _ in range(len(item) * (k % 5) // 20):
+                item[r.randrange(len(item))] = r.choice(words)
+            at = r.randrange(len(body) + 1)
+            body[at:at] = item
+        docs.append((k, body))
+    return docs, items
+
+
+@pytest.fixture()
+def bench(spark):
+    return lambda rows: spark.createDataFrame(rows, "item_id long, text string")
+
+
+def test_scores_are_those_of_the_full_alignment(make, bench):
+    docs, items = world()
+    got = {(r.doc_id, r.item_id): r for r in D.contaminated(
+        make([(i, " ".join(w).upper()) for i, w in docs]), bench([(i, ", ".join(w) + "!") for i, w in items])).collect()}
+    want = {}
+    for i, w in docs:
+        for k, v in items:
+            s = sw(v, w) / (D.MATCH * len(v))
+            if s >= D.SCORE:
+                want[i, k] = s
+    assert got.keys() == want.keys() and len(want) > 30
+    for k, s in want.items():
+        assert abs(got[k].score - s) < 1e-12
+    for (i, k), r in got.items():
+        w = dict(docs)[i][r.start_word:r.end_word]
+        assert abs(sw(dict(items)[k], w) / (D.MATCH * len(dict(items)[k])) - r.score) < 1e-12
+
+
+def test_edge_cases(make, bench):
+    item = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
+    rows = [(1, None), (2, ""), (3, item), (3, item), (None, item), (4, "x " * 100_000 + item + " y" * 100_000),
+            (5, "alpha beta"), (6, "clean words that do not match anything at all")]
+    items = bench([(1, item), (1, item), (2, None), (3, ""), (4, "alpha beta"), (None, item + " lambda")])
+    got = sorted(((r.doc_id, r.item_id) for r in D.contaminated(make(rows), items).collect()), key=str)
+    assert got == sorted([(d, i) for d in (3, 4, None) for i in (1, None)], key=str)
+    kept = D.drop_contaminated(make(rows), items)
+    assert kept.columns == make(rows).columns
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 2, 5, 6]
+    assert D.contaminated(make([]), items).count() == 0
+    assert D.contaminated(make(rows), bench([])).count() == 0
+
+
+def test_an_item_in_most_documents_is_still_found(make, bench):
+    item = "one common passage that has been copied into very many pages of the web"
+    rows = [(k, f"start {k} {item} end {k}") for k in range(300)] + [(1000 + k, f"own words {k} only") for k in range(30)]
+    got = {r.doc_id for r in D.contaminated(make(rows), bench([(1, item)])).collect()}
+    assert got == set(range(300))
+
+
+def test_vector_alignment_equals_the_plain_one():
+    r = random.Random(4)
+    for _ in range(200):
+        a = [r.randrange(5) for _ in range(r.randint(1, 12))]
+        b = [r.randrange(5) for _ in range(r.randint(1, 15))]
+        assert D.smith_waterman(np.array(a), np.array(b))[0] == sw(a, b)

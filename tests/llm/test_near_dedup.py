@@ -1,0 +1,124 @@
+import random
+import re
+
+import numpy as np
+import pytest
+
+from pricelake.llm import near_dedup as N
+from pricelake.llm import textvec
+from pricelake.llm.components import components
+
+LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def shingles(text):
+    w = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOW))
+    if not w:
+        return frozenset()
+    return frozenset(tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4)))
+
+
+def brute(rows, num, den):
+    sets = [shingles(t) for _, t in rows]
+    up = list(range(len(rows)))
+
+    def root(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+    for i, a in enumerate(sets):
+        for j in range(i):
+            both = len(a & sets[j])
+            if a and sets[j] and den * both >= num * len(a | sets[j]):
+                up[root(i)] = root(j)
+    out = []
+    for k, (i, _) in enumerate(rows):
+        ids = [rows[j][0] for j in range(len(rows)) if root(j) == root(k) and rows[j][0] is not None]
+        c = min(ids) if ids else None
+        out.append((i, len(sets[k]), c, i == c))
+    return sorted(out, key=str)
+
+
+def corpus(seed):
+    r = random.Random(seed)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(4))
+    rows = []
+    for _ in range(40):
+        base = [word() for _ in range(r.randint(40, 160))]
+        for _ in range(r.randint(1, 9)):
+            w = list(base)
+            for _ in range(r.randint(0, 4)):
+                w[r.randrange(len(w))] = word()
+            rows.append((len(rows), " ".join(w)))
+    r.shuffle(rows)
+    return rows
+
+
+EDGE = [(900, None), (901, ""), (902, " \n\t "), (903, "one two"), (904, "ONE  two"), (905, "one two three"),
+        (906, "a b c d e"), (906, "a b c d e"), (None, "a b c d e"), (None, "lonely words only here now"),
+        (907, "same same " * 50), (908, "same same same " * 50), (909, "x" * 3_000_000 + " y z"), (910, "x" * 3_000_000 + " y z")]
+
+
+def test_matches_brute_force_at_both_thresholds(make):
+    rows = corpus(3) + EDGE
+    for num in (85, 80):
+        got = sorted((tuple(r) for r in N.near_groups(make(rows), num=num).collect()), key=str)
+        assert got == brute(rows, num, 100)
+
+
+def test_large_group_dealt_into_parts_and_diverse_regions(make, monkeypatch):
+    monkeypatch.setattr(N, "BLOCK_SHINGLES", 1500)
+    rows = corpus(5)
+    r = random.Random(9)
+    base = [f"w{k}" for k in range(120)]
+    for k in range(60):                  # a dense group around one text
+        w = list(base)
+        for _ in range(3):
+            w[r.randrange(120)] = f"e{r.random()}"
+        rows.append((2000 + k, " ".join(w)))
+    got = sorted((tuple(x) for x in N.near_groups(make(rows)).collect()), key=str)
+    assert got == brute(rows, 85, 100)
+
+
+def test_region_deeper_than_its_leaders_still_joins_equal_parts():
+    r = np.random.default_rng(0)
+    sig = r.integers(0, 256, (400, N.VALUES), dtype=np.uint8)
+    sig[1::2] = sig[0::2]                # 200 unlike pairs
+    sig[1::2, :10] = r.integers(0, 256, (200, 10))
+    whole = {tuple(sorted(e)) for e in N._region_edges(sig, 3)}
+    assert whole == {(k, k + 1) for k in range(0, 400, 2)}
+
+
+def test_empty_table_and_drop(make):
+    assert N.near_groups(make([])).count() == 0
+    rows = [(1, "a b c d e f g"), (2, "A b c d e f g"), (3, "other words in this one text"), (None, None)]
+    kept = N.drop_near_copies(make(rows))
+    assert kept.columns == make(rows).columns
+    assert sorted((x.doc_id for x in kept.collect()), key=str) == [1, 3, None]
+
+
+def test_components_of_paths_stars_and_loops(spark):
+    edges = [(k, k + 1) for k in range(0, 50)] + [(1000, 1000 + k) for k in range(1, 80)] + [(7, 7), (2000, 2001), (2001, 2000)]
+    got = components(spark.createDataFrame(edges, "a long, b long").repartition(5)).collect()
+    sets = {}
+    for r in got:
+        sets.setdefault(r.root, set()).add(r.node)
+    assert sorted(map(sorted, sets.values())) == sorted([list(range(51)), list(range(1000, 1080)), [2000, 2001]])
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+@pytest.mark.parametrize("block", [64, 1 << 21])
+def test_word_hashes_do_not_depend_on_blocks(block, monkeypatch):
+    import pyarrow as pa
+    texts = ["Ab  cd\tef", "", None, "é ü ab", "x" * 300 + " y", "cd", " ab\n"]
+    want = None
+    for b in (1 << 21, block):
+        monkeypatch.setattr(textvec, "BLOCK", b)
+        rows = []
+        for _, _, data, offs in textvec.text_chunks(pa.array(texts), 1 << 20):
+            _, _, h, bounds = textvec.words(data, offs)
+            rows += [h[bounds[i]:bounds[i + 1]].tolist() for i in range(len(bounds) - 1)]
+        assert want in (None, rows)
+        want = rows
+    assert [len(x) for x in want] == [3, 0, 0, 3, 2, 1, 1]
+    assert want[0][0] == want[3][2] == want[6][0] and want[0][1] == want[5][0]
