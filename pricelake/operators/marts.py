@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pricelake.functions import as_of_date, pct_change, week_start
 from pricelake.operators import features as ft
 
+# The output columns of the marts, in order.
 RETURNS_COLUMNS = [
     "asset_id", "price_date", "open_usd", "high_usd", "low_usd", "close_usd",
     "volume_usd", "market_cap_usd", "prev_close_usd", "daily_return_pct",
@@ -49,8 +50,8 @@ def fact_daily(staged: DataFrame, frame: str = "rows", hot_rows: int | None = No
     Window features are partitioned by asset. With ``hot_rows`` set, assets
     holding more than ``hot_rows`` rows take the split path
     (``features.add_features_split``: chunks of ``chunk_rows`` with a halo),
-    the rest the single-partition path; the hot-asset list is broadcast,
-    its size bounded by total rows / ``hot_rows``.
+    the rest the single-partition path; both give the same rows. How the list
+    of hot assets is joined is left to Spark's size checks.
     """
     if hot_rows is None:
         df = ft.add_deviation(ft.add_drawdown(rolling_metrics(staged, frame)))
@@ -60,7 +61,7 @@ def fact_daily(staged: DataFrame, frame: str = "rows", hot_rows: int | None = No
     base = staged.select(*RETURNS_COLUMNS[:8])
     hot = (base.groupBy("asset_id").agg(F.count(F.lit(1)).alias("__n"))
            .filter(F.col("__n") > int(hot_rows)).select("asset_id", F.lit(True).alias("__hot")))
-    tagged = base.join(F.broadcast(hot), "asset_id", "left")
+    tagged = base.join(hot, "asset_id", "left")
     cold = fact_daily(tagged.filter(F.col("__hot").isNull()).drop("__hot"))
     split = ft.add_features_split(tagged.filter(F.col("__hot")).drop("__hot"),
                                   chunk_rows=chunk_rows, segment_days=segment_days)
@@ -103,19 +104,15 @@ def weekly_open_close(fact: DataFrame, first_day: str = "sunday",
     """Close on the first and last date present in each (asset, week).
 
     ``method="agg"``: ``min_by``/``max_by`` in one grouped aggregate.
-    ``method="window"``: the week's first/last date as whole-partition window
-    bounds, then the close on those dates (the warehouse formulation)."""
+    ``method="window"``: the first and last value of the date-ordered week."""
     d = fact.select("asset_id", "price_date", "close_usd",
                     week_start("price_date", first_day).alias("week_start"))
     if method == "window":
-        w = Window.partitionBy("asset_id", "week_start")
-        d = d.withColumns({"__min": F.min("price_date").over(w),
-                           "__max": F.max("price_date").over(w)})
-        agg = d.groupBy("asset_id", "week_start").agg(
-            F.min(F.when(F.col("price_date") == F.col("__min"), F.col("close_usd")))
-            .alias("week_open"),
-            F.min(F.when(F.col("price_date") == F.col("__max"), F.col("close_usd")))
-            .alias("week_close"))
+        week = Window.partitionBy("asset_id", "week_start").orderBy("price_date")
+        whole = week.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        agg = d.select("asset_id", "week_start", F.first("close_usd").over(whole).alias("week_open"),
+                       F.last("close_usd").over(whole).alias("week_close"),
+                       F.row_number().over(week).alias("__n")).filter("__n = 1").drop("__n")
     else:
         agg = d.groupBy("asset_id", "week_start").agg(
             F.min_by("close_usd", "price_date").alias("week_open"),

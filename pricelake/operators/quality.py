@@ -129,3 +129,34 @@ def price_checks(table: str, prefix: str) -> list[Check]:
         Check(f"{prefix}.market_cap_usd_ge_0", table, "expression", expr="market_cap_usd >= 0",
               where="market_cap_usd is not null"),
     ]
+
+
+def _nulls(table: str, *cols: str) -> list[Check]:
+    return [Check(f"{table}.not_null_{c}", table, "not_null", [c]) for c in cols]
+
+
+def metadata_checks(table: str) -> list[Check]:
+    """The tests declared on raw and staged metadata."""
+    return [*_nulls(table, "asset_id", "name", "symbol"), Check(f"{table}.unique_asset_id", table, "unique", ["asset_id"])]
+
+
+def declared_checks() -> list[Check]:
+    """Every declared test of the pipeline's tables."""
+    key = ["asset_id", "price_date"]
+    return [
+        *price_checks("raw_prices", "raw_prices"),
+        *price_checks("stg_prices", "stg_prices"),
+        *price_checks("fact_daily", "fact_daily"),
+        Check("stg_prices.unique_asset_date", "stg_prices", "unique_combo", key),
+        Check("fact_daily.unique_asset_date", "fact_daily", "unique_combo", key),
+        Check("fact_daily.close_usd_positive", "fact_daily", "expression", expr="close_usd > 0"),
+        *_nulls("daily_returns", "asset_id", "price_date", "close_usd"),
+        Check("daily_returns.close_usd_gt_0", "daily_returns", "expression", expr="close_usd > 0"),
+        *_nulls("rolling_metrics", "asset_id", "price_date"),
+        *_nulls("weekly", "asset_id", "week_start"),
+        Check("weekly.unique_asset_week", "weekly", "unique_combo", ["asset_id", "week_start"]),
+        *metadata_checks("raw_metadata"),
+        *metadata_checks("stg_metadata"),
+        *_nulls("dim_assets", "asset_id", "name"),
+        Check("dim_assets.unique_asset_id", "dim_assets", "unique", ["asset_id"]),
+    ]

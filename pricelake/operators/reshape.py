@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -31,18 +31,17 @@ def rebased_index(daily: DataFrame, assets: Sequence[str], value: str = "close_u
     """value / value on the window's first date * 100, per asset.
 
     The first date is global (the earliest date of any selected asset); an
-    asset without a row on it is NULL throughout. ``dense`` fills the full
-    date x asset grid via pivot + melt (NULL where a day is missing). The
-    global first date is a scalar subquery, the base row per asset an
-    equi-join on the asset (one row per selected asset).
+    asset without a row on it is NULL throughout. The daily rows are computed
+    once: pivoted they are one row per calendar day, whose first row is every
+    asset's base. ``dense`` keeps the full date x asset grid (NULL where a day
+    is missing).
     """
     assets = list(assets)
-    long = daily.filter(F.col("asset_id").isin(assets)).select("price_date", "asset_id", value)
-    first_date = long.agg(F.min("price_date")).scalar()
-    base = long.filter(F.col("price_date") == first_date) \
-        .select("asset_id", F.col(value).alias("__base"))
-    grid = unpivot_close(pivot_close(long, assets, value), value) if dense else long
-    return (grid.join(base, "asset_id", "left")
-            .select("price_date", "asset_id",
-                    (F.try_divide(F.col(value), F.col("__base")) * F.lit(100.0))
-                    .alias("index_value")))
+    wide = pivot_close(daily, assets, value)
+    days = Window.orderBy("price_date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    index = [(F.try_divide(F.col(f"`{a}`"), F.first(F.col(f"`{a}`")).over(days)) * F.lit(100.0)).alias(a) for a in assets]
+    out = unpivot_close(wide.select("price_date", *index), "index_value")
+    if not dense:
+        there = unpivot_close(wide, value).filter(F.col(value).isNotNull()).select("price_date", "asset_id")
+        out = out.join(there, ["price_date", "asset_id"], "left_semi")
+    return out

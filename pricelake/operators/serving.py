@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricelake.functions import (
@@ -52,6 +52,13 @@ def dim_ranked(dim: DataFrame, n: int | None = None) -> DataFrame:
     return out.limit(n) if n else out
 
 
+def positions(ranked: DataFrame, by: str) -> DataFrame:
+    """(position, asset_id) of a page's rows: largest ``by`` first, missing last.
+    One row per shown asset, so one task orders them."""
+    order = Window.orderBy(F.col(by).desc_nulls_last(), "asset_id")
+    return ranked.select(F.row_number().over(order).cast("bigint").alias("position"), "asset_id")
+
+
 def pipeline_status(raw: DataFrame, as_of, recent_days: int = 7) -> DataFrame:
     """Per asset on raw (not deduplicated) rows: last fetch, row counts, date range."""
     recent = F.col("fetched_date") >= F.date_sub(as_of_date(as_of), recent_days)
@@ -100,13 +107,11 @@ def display_text(cards: DataFrame) -> DataFrame:
 def volume_series(daily: DataFrame, assets=None) -> DataFrame:
     """Non-NULL volumes per asset and day, with the day's stacked total.
 
-    The day totals are a partial+final aggregate (one row per calendar day)
-    joined back on the date; no hint: AQE sees the tiny aggregate at runtime
-    and broadcasts it, and a many-day input still gets a shuffle join."""
+    The total is a window over the day, so the daily rows are computed once; a
+    day holds one row per asset."""
     v = select_assets(daily, assets).filter(F.col("volume_usd").isNotNull()) \
         .select("asset_id", "price_date", "volume_usd")
-    totals = v.groupBy("price_date").agg(F.sum("volume_usd").alias("day_total_volume"))
-    return v.join(totals, "price_date", "left")
+    return v.withColumn("day_total_volume", F.sum("volume_usd").over(Window.partitionBy("price_date")))
 
 
 def vol_series(daily: DataFrame, assets=None) -> DataFrame:

@@ -35,11 +35,12 @@ VALUE_ORDER = ["close_usd", "open_usd", "high_usd", "low_usd", "volume_usd", "ma
 
 
 def stage_prices(raw: DataFrame, tiebreak: Sequence[str] = ("source_ts",),
-                 method: str = "window") -> DataFrame:
+                 method: str = "window", keep: Sequence[str] = ()) -> DataFrame:
     """Typed, valid, one row per (asset_id, price_date), newest fetch wins.
 
     ``tiebreak`` columns (if present in ``raw``) order rows that share a
-    ``fetched_at``; they are dropped from the output.
+    ``fetched_at``; those in ``keep`` stay in the output, so that a later merge
+    can order by them too.
     """
     extra = [c for c in tiebreak if c in raw.columns and c not in schemas.PRICE_COLUMNS]
     staged = typed(raw, schemas.RAW_PRICES, extra).filter(valid_price("close_usd"))
@@ -47,7 +48,7 @@ def stage_prices(raw: DataFrame, tiebreak: Sequence[str] = ("source_ts",),
     # column are then picked the same way on every run and every retry
     order_rest = [c for c in tiebreak if c in raw.columns] + VALUE_ORDER
     deduped = keep_latest(staged, ["asset_id", "price_date"], ["fetched_at"], order_rest, method)
-    return deduped.select(*schemas.PRICE_COLUMNS)
+    return deduped.select(*schemas.PRICE_COLUMNS, *[c for c in keep if c in extra])
 
 
 def stage_metadata(raw: DataFrame, tiebreak: Sequence[str] = (), method: str = "window") -> DataFrame:

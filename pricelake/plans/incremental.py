@@ -10,8 +10,9 @@ Two slice rules (which computed rows to load into the target):
   whole. Combined with a keyed upsert, corrections of recent days land.
 
 And one way to compute those rows without recomputing history:
-``incremental_features`` needs, per touched asset, only the last
-``tail_rows`` stored rows plus the stored running max.
+``incremental_features`` starts at each touched asset's first incoming date and
+needs, before it, only the last ``tail_rows`` stored rows and the stored
+running max.
 """
 
 from __future__ import annotations
@@ -39,39 +40,48 @@ def incremental_slice(features: DataFrame, target: DataFrame, mode: str = "per_a
     return j.filter(keep).drop("__wm")
 
 
-def incremental_features(stored_fact: DataFrame, new_staged: DataFrame,
-                         tail_rows: int = 30) -> DataFrame:
-    """Fact rows for ``new_staged`` (rows dated after each asset's last stored
-    date), equal to a full recompute.
+def stored_tail(stored_fact: DataFrame, first: DataFrame, tail_rows: int = 30) -> DataFrame:
+    """Per asset of ``first`` (asset_id, __first): its last ``tail_rows`` stored
+    rows before that date (a per-asset top-k, pruned in each task)."""
+    w = Window.partitionBy("asset_id").orderBy(F.col("price_date").desc())
+    before = stored_fact.join(first, "asset_id").filter(F.col("price_date") < F.col("__first")).drop("__first")
+    return before.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= tail_rows).drop("__rn")
 
-    Row frames reach back 29 rows; the return on the first of those rows needs
-    one more close, hence a 30-row tail. The running max continues from the
-    stored ``cummax_close`` of the asset's last stored row. The tail is a
-    per-asset top-k (``row_number <= k``), which Spark prunes per task
-    before the shuffle; only touched assets are read.
+
+def incremental_features(stored_fact: DataFrame, new_staged: DataFrame, tail_rows: int = 30,
+                         tail: DataFrame | None = None) -> DataFrame:
+    """Fact rows of every touched asset from its first incoming date on, equal to
+    a full recompute over the stored history with ``new_staged`` merged in.
+
+    Incoming rows replace stored rows of their date (ordinary overlap, late
+    rows and corrections alike). Row frames reach back 29 rows and the return
+    on the first of those needs one more close, hence a 30-row tail. The running
+    max continues from the ``cummax_close`` of the last row before the first
+    incoming date: as a seed in that row's place it takes part in one running
+    maximum, without a join. ``tail`` may hold the tail already found.
     """
-    touched = new_staged.select("asset_id").distinct()
-    stored = stored_fact.join(touched, "asset_id", "left_semi")
-    w_desc = Window.partitionBy("asset_id").orderBy(F.col("price_date").desc())
-    tail = (stored.withColumn("__rn", F.row_number().over(w_desc))
-            .filter(F.col("__rn") <= tail_rows))
-    prior_max = tail.filter(F.col("__rn") == 1).select(
-        "asset_id", F.col("cummax_close").alias("__prior_max"))
+    first = new_staged.groupBy("asset_id").agg(F.min("price_date").alias("__first"))
+    tail = stored_tail(stored_fact, first, tail_rows) if tail is None else tail
     cols = marts.RETURNS_COLUMNS[:8]
-    combined = (tail.select(*cols, F.lit(False).alias("__new"))
-                .unionByName(new_staged.select(*cols, F.lit(True).alias("__new"))))
-    df = ft.add_returns(combined)
-    df = ft.add_rolling(df)
-    df = df.join(prior_max, "asset_id", "left").withColumn(
-        "cummax_close", F.greatest(F.col("cummax_close"), F.col("__prior_max")))
-    df = ft.add_annualised_vol(df)
-    df = ft.add_deviation(ft.add_drawdown(df))
+    after = (stored_fact.join(first, "asset_id").filter(F.col("price_date") >= F.col("__first")).select(*cols)
+             .join(new_staged.select("asset_id", "price_date"), ["asset_id", "price_date"], "left_anti"))
+    none = F.lit(None).cast("double")
+    combined = (tail.select(*cols, F.col("cummax_close").alias("__seed"), F.lit(False).alias("__new"))
+                .unionByName(after.select(*cols, none.alias("__seed"), F.lit(True).alias("__new")))
+                .unionByName(new_staged.select(*cols, none.alias("__seed"), F.lit(True).alias("__new"))))
+    df = ft.add_rolling(ft.add_returns(combined.withColumn("__top", F.greatest("close_usd", "__seed"))), cummax="__max")
+    df = df.withColumn("cummax_close", F.max("__top").over(ft.series_window("asset_id", "price_date").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)))
+    df = ft.add_deviation(ft.add_drawdown(ft.add_annualised_vol(df)))
     return df.filter(F.col("__new")).select(*marts.FACT_COLUMNS)
 
 
-def late_assets(stored_fact: DataFrame, new_staged: DataFrame) -> DataFrame:
-    """Assets whose new rows are not all after their last stored date; their
-    features must be recomputed in full (``late='recompute'``)."""
-    last = stored_fact.groupBy("asset_id").agg(F.max("price_date").alias("__last"))
-    return (new_staged.join(last, "asset_id")
-            .filter(F.col("price_date") <= F.col("__last")).select("asset_id").distinct())
+def changed_rows(computed: DataFrame, stored_fact: DataFrame) -> DataFrame:
+    """The computed rows that the stored fact does not hold already, value for
+    value: a correction spreads only as far as it changes something."""
+    same = [F.col(f"n.{c}").eqNullSafe(F.col(f"o.{c}")) for c in marts.FACT_COLUMNS[2:]]
+    keys = [F.col(f"n.{c}") == F.col(f"o.{c}") for c in marts.FACT_COLUMNS[:2]]
+    on = keys[0] & keys[1]
+    for c in same:
+        on = on & c
+    return computed.alias("n").join(stored_fact.alias("o"), on, "left_anti")

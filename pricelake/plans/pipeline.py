@@ -6,14 +6,16 @@ Tables live as Parquet directories under one root:
 
     <root>/raw/prices        partitioned by fetched_date, clustered by asset
     <root>/raw/asset_metadata
+    <root>/raw/_ingests      one row per ingest: its number and what it touched
     <root>/marts/fact_daily  partitioned by price_date, clustered by asset
-    <root>/marts/weekly      rebuilt each run
+    <root>/marts/weekly      partitioned by week
     <root>/marts/dim_assets  rebuilt each run
+    <root>/marts/_build_state   the last ingest the marts hold
 
 Materializations: staging and intermediate layers are lazy DataFrames
-(views); weekly and dimension are full rewrites (tables); the fact is
-incremental (keyed upsert of the per-asset slice); the watchlist is a CSV
-seed. Nothing is collected to the driver except counts.
+(views); weekly and dimension are tables; the fact is incremental (keyed upsert
+of what an ingest changes); the watchlist is a CSV seed. Nothing is collected
+to the driver except counts and bounds.
 """
 
 from __future__ import annotations
@@ -22,12 +24,14 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, LongType, StructField, StructType, TimestampNTZType
 
 from pricelake import schemas
 from pricelake.functions import week_start
 from pricelake.operators import marts, quality, staging
 from pricelake.plans import incremental
 from pricelake.sources import files, payloads, sinks
+from pricelake.streaming.jobs import features_batch
 
 
 def _paths(root: str) -> dict[str, str]:
@@ -45,18 +49,33 @@ class IngestResult:
     preview: list = field(default_factory=list)
 
 
+#: Raw prices as stored: the declared columns, the source time that orders
+#: points of one fetch, and the number of the ingest that brought the row.
+STORED_PRICES = StructType([*schemas.RAW_PRICES.fields, StructField("source_ts", TimestampNTZType()),
+                            StructField("ingest_id", LongType())])
+STORED_METADATA = StructType([*schemas.RAW_METADATA.fields, StructField("fetched_date", DateType())])
+
+
+def _last_ingest(spark: SparkSession, root: str) -> int:
+    path = f"{root.rstrip('/')}/raw/_ingests"
+    if not sinks.table_exists(spark, path):
+        return 0
+    return spark.read.parquet(path).agg(F.max("ingest_id")).first()[0] or 0
+
+
 def ingest(spark: SparkSession, landing: str, root: str, as_of, full_refresh: bool = False,
-           assets=None, dry_run: bool = False, truncate: bool = False) -> IngestResult:
+           assets=None, dry_run: bool = False, scope: str = "keys") -> IngestResult:
     """Landed envelopes under ``landing/{market_chart,candles,info}`` -> raw tables.
 
-    History window: 365 days on a full refresh, 2 days otherwise. A full
-    refresh replaces the price partitions it covers (``truncate=True``
-    replaces the whole table, as a warehouse truncate-and-load would); an
-    incremental run appends (duplicates are resolved by staging). Metadata
-    versions are appended and staging keeps the newest per asset, so a run
-    over a subset keeps the other assets' metadata. Bad payloads go to the
-    quarantine table; they lose only their own fetch.
+    History window: 365 days on a full refresh, 2 days otherwise. An incremental
+    run appends (duplicates are resolved by staging). A full refresh replaces
+    the rows of the (asset, fetch date) pairs it brings, in prices and in
+    metadata, and leaves all others; ``scope="all"`` replaces both tables as a
+    whole. Bad payloads go to the quarantine table; they lose only their own
+    fetch.
     """
+    if scope not in ("keys", "all"):
+        raise ValueError(f"unknown scope {scope!r}")
     p = _paths(root)
     charts, bad_c = files.read_payloads(spark, f"{landing}/market_chart", "market_chart")
     candles, bad_k = files.read_payloads(spark, f"{landing}/candles", "candles")
@@ -72,13 +91,30 @@ def ingest(spark: SparkSession, landing: str, root: str, as_of, full_refresh: bo
         order = ["asset_id", "price_date", "fetched_at"]
         return IngestResult(rows.count(), meta.count(), bad.count(),
                             [r.asDict() for r in sinks.preview(rows, order, 3).collect()])
-    mode = "overwrite" if truncate else ("overwrite_partitions" if full_refresh else "append")
-    n_rows = sinks.write_table(rows, p["prices"], mode, ["fetched_date"], ["asset_id"])
-    # metadata versions accumulate by fetch date; staging keeps the newest per
-    # asset, so a run over a subset replaces only those assets' metadata
+    number = _last_ingest(spark, root) + 1
+    rows = sinks.staged_copy(spark, rows.withColumn("ingest_id", F.lit(number).cast("long")), "ingest")
     meta = meta.withColumn("fetched_date", F.col("fetched_at").cast("date"))
-    n_meta = sinks.write_table(meta, p["metadata"], "append", ["fetched_date"])
+    if scope == "all" and full_refresh:
+        n_rows = sinks.write_table(rows, p["prices"], "overwrite", ["fetched_date"], ["asset_id"])
+        n_meta = sinks.write_table(meta, p["metadata"], "overwrite", ["fetched_date"])
+    else:
+        sinks.ensure_table(spark, p["prices"], STORED_PRICES, ["fetched_date"])
+        sinks.ensure_table(spark, p["metadata"], STORED_METADATA, ["fetched_date"])
+        if full_refresh:
+            key = ["asset_id", "fetched_date"]
+            n_rows = rows.count()
+            sinks.upsert_table(spark, p["prices"], rows, key, "fetched_date", schema_guard=False)
+            meta = sinks.staged_copy(spark, meta, "metadata")
+            n_meta = meta.count()
+            sinks.upsert_table(spark, p["metadata"], meta, key, "fetched_date", schema_guard=False)
+        else:
+            n_rows = sinks.write_table(rows, p["prices"], "append", ["fetched_date"], ["asset_id"])
+            n_meta = sinks.write_table(meta, p["metadata"], "append", ["fetched_date"])
     n_bad = sinks.write_table(bad, p["quarantine"], "append")
+    # what a build has to look at: the fetch dates of this ingest, and whether rows went
+    seen = rows.agg(F.lit(number).cast("long").alias("ingest_id"), F.min("fetched_date").alias("lo"),
+                    F.max("fetched_date").alias("hi"), F.lit(full_refresh).alias("replaced"))
+    sinks.write_table(seen, f"{root.rstrip('/')}/raw/_ingests", "append", guard_empty=False)
     return IngestResult(n_rows, n_meta, n_bad)
 
 
@@ -88,95 +124,94 @@ def staged_prices(spark: SparkSession, root: str) -> DataFrame:
 
 def staged_metadata(spark: SparkSession, root: str) -> DataFrame:
     path = _paths(root)["metadata"]
-    raw = spark.read.parquet(path) if sinks.table_exists(spark, path) else \
-        spark.createDataFrame([], schemas.RAW_METADATA)
-    return staging.stage_metadata(raw)
+    raw = sinks.stored(spark, path)
+    return staging.stage_metadata(spark.createDataFrame([], schemas.RAW_METADATA) if raw is None else raw)
 
 
 def _state_path(root: str) -> str:
     return f"{root.rstrip('/')}/marts/_build_state"
 
 
+def changed_prices(spark: SparkSession, root: str, since: int) -> DataFrame | None:
+    """Newest versions of the (asset, date) pairs that the ingests after ``since``
+    brought, whatever their fetch times; None if they brought none.
+
+    Unseen rows are found by ingest number within the fetch dates those ingests
+    wrote (literal bounds). The versions that may compete with them were fetched
+    on or after the prices' own dates (a day's slack for time zones), so older
+    partitions are not read.
+    """
+    p = _paths(root)
+    unseen = spark.read.parquet(f"{root.rstrip('/')}/raw/_ingests").filter(F.col("ingest_id") > since)
+    bounds = unseen.agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).first()
+    if bounds["lo"] is None:
+        return None
+    raw = spark.read.parquet(p["prices"])
+    new = sinks.staged_copy(spark, sinks.within(raw, "fetched_date", bounds).filter(F.col("ingest_id") > since), "unseen")
+    first = new.agg(F.min("price_date")).first()[0]
+    if first is None:
+        return None
+    keys = new.select("asset_id", "price_date").distinct()
+    rivals = raw.filter(F.col("fetched_date") >= F.date_sub(F.lit(first), 1)) \
+        .filter(F.col("ingest_id") <= since).join(keys, ["asset_id", "price_date"], "left_semi")
+    return staging.stage_prices(rivals.unionByName(new.select(*rivals.columns)))
+
+
 def build(spark: SparkSession, root: str, watchlist_csv: str, as_of,
-          mode: str = "per_asset", lookback_days: int = 2) -> dict[str, int]:
-    """Raw tables -> fact (incremental), weekly and dimension (rewritten).
-
-    First run (no fact yet): the full fact is written. Later runs:
-
-    * ``mode="tail"`` (for large histories): only raw partitions fetched
-      since the last build are read (partition pruning on ``fetched_date``);
-      their newest versions get features from a 30-row stored tail per
-      touched asset, assets with late or corrected rows are recomputed, and
-      the rows are upserted. The newest fetch time processed is kept in a
-      one-row state table.
-    * ``mode="per_asset"`` / ``"strict"``: features over the staged history
-      (windows need it), then the slice the mode selects is upserted;
-      ``per_asset`` also lands corrections of the last ``lookback_days`` days
-      and new assets' back-history.
+          mode: str = "tail", lookback_days: int = 2) -> dict[str, int]:
+    """Raw tables -> fact (incremental), weekly and dimension.
+
+    The first run (no fact yet) writes the full fact, and so does the first run
+    after a full refresh, which may have taken rows away. Other runs:
+
+    * ``mode="tail"``: the rows of the ingests not built yet are found by number;
+      their newest versions get features per touched asset from its first
+      incoming date on, and what differs from the stored fact is upserted. The
+      weekly table is recomputed for the touched assets from that week on.
+    * ``mode="per_asset"`` / ``"strict"``: features over the staged history, then
+      the slice the mode selects is upserted; ``per_asset`` also lands
+      corrections of the last ``lookback_days`` days and new assets'
+      back-history.
     """
     p = _paths(root)
-    if not sinks.table_exists(spark, p["prices"]) or spark.read.parquet(p["prices"]).isEmpty():
+    raw = sinks.stored(spark, p["prices"])
+    if raw is None or raw.isEmpty():
         return {"fact_rows_written": 0, "weekly_rows": 0, "dim_rows": 0}
-    raw = spark.read.parquet(p["prices"])
     staged = staged_prices(spark, root)
     keys = ["asset_id", "price_date"]
     state = _state_path(root)
+    last = _last_ingest(spark, root)
+    built = spark.read.parquet(state).agg(F.max("ingest_id")).first()[0] if sinks.table_exists(spark, state) else 0
+    replaced = not spark.read.parquet(f"{root.rstrip('/')}/raw/_ingests").filter(
+        (F.col("ingest_id") > built) & F.col("replaced")).isEmpty()
     weekly_done = False
-    if mode == "tail" and sinks.table_exists(spark, p["fact"]) and \
-            sinks.table_exists(spark, state):
-        from pricelake.streaming.jobs import features_batch
-        last = spark.read.parquet(state).agg(F.max("last_fetched_at")).scalar()
-        # the date bound prunes partitions; the timestamp bound is exact
-        last_date = spark.read.parquet(state).agg(F.max("last_fetched_date")).scalar()
-        new_raw = raw.filter((F.col("fetched_date") >= last_date) & (F.col("fetched_at") > last))
-        new_staged = staging.stage_prices(new_raw)
-        n_fact = features_batch(spark, p["fact"], new_staged)
-        seen = new_raw
-        # only weeks from each touched asset's first new date on can change
-        # (features look backward only): recompute those and upsert them
-        fact_now = spark.read.parquet(p["fact"]).select(*marts.FACT_COLUMNS)
-        if sinks.table_exists(spark, p["weekly"]):
-            since = new_staged.groupBy("asset_id").agg(
-                week_start(F.min("price_date")).alias("__from"))
-            first_week = week_start(new_staged.agg(F.min("price_date")).scalar())
-            recent = (fact_now.filter(F.col("price_date") >= first_week)   # prunes partitions
-                      .join(since, "asset_id").filter(F.col("price_date") >= F.col("__from"))
-                      .drop("__from"))
-            n_week = sinks.upsert_table(spark, p["weekly"], marts.weekly_rollup(recent),
-                                        ["asset_id", "week_start"], "week_start")
-        else:
-            n_week = sinks.write_table(marts.weekly_rollup(fact_now), p["weekly"], "overwrite",
-                                       ["week_start"], guard_empty=False)
-        weekly_done = True
-    elif sinks.table_exists(spark, p["fact"]):
-        features = marts.fact_daily(staged)
-        target = spark.read.parquet(p["fact"]).select(*marts.FACT_COLUMNS)
-        slice_ = incremental.incremental_slice(features, target,
-                                               "per_asset" if mode == "tail" else mode,
-                                               lookback_days)
-        # cut the lineage to the target before writing into it
-        slice_path = f"{p['fact']}_slice"
-        sinks.write_table(slice_, slice_path, "overwrite", guard_empty=False)
-        n_fact = sinks.upsert_table(spark, p["fact"],
-                                    spark.read.parquet(slice_path).select(*marts.FACT_COLUMNS),
-                                    keys, "price_date")
-        seen = raw
-    else:
+    if not sinks.table_exists(spark, p["fact"]) or replaced:
         # the raw table has rows (checked above), so the fact has rows
         n_fact = sinks.write_table(marts.fact_daily(staged), p["fact"], "overwrite",
                                    ["price_date"], ["asset_id"], guard_empty=False)
-        seen = raw
-    # one row: the newest fetch processed (read back by the next tail build);
-    # a tail build only looks at the partitions it read
-    newest = seen.agg(F.max("fetched_at").alias("last_fetched_at"),
-                      F.max("fetched_date").alias("last_fetched_date"))
-    if sinks.table_exists(spark, state):
-        newest = newest.unionByName(spark.read.parquet(state)).agg(
-            F.max("last_fetched_at").alias("last_fetched_at"),
-            F.max("last_fetched_date").alias("last_fetched_date"))
-        state_rows = newest.collect()           # one row
-        newest = spark.createDataFrame(state_rows, newest.schema)
-    sinks.write_table(newest, state, "overwrite", guard_empty=False)
+    elif mode == "tail":
+        n_fact = n_week = 0
+        changed = changed_prices(spark, root, built)
+        if changed is not None:
+            changed = sinks.staged_copy(spark, changed, "changed")
+            n_fact = features_batch(spark, p["fact"], changed)
+            # features look backward only: weeks before an asset's first incoming
+            # date stay as they are
+            since = changed.groupBy("asset_id").agg(week_start(F.min("price_date")).alias("__from"))
+            first_week = changed.agg(week_start(F.min("price_date"))).first()[0]
+            if first_week is not None and sinks.table_exists(spark, p["weekly"]):
+                recent = (spark.read.parquet(p["fact"]).select(*marts.FACT_COLUMNS)
+                          .filter(F.col("price_date") >= F.lit(first_week))        # prunes partitions
+                          .join(since, "asset_id").filter(F.col("price_date") >= F.col("__from"))
+                          .drop("__from"))
+                n_week = sinks.upsert_table(spark, p["weekly"], marts.weekly_rollup(recent),
+                                            ["asset_id", "week_start"], "week_start")
+        weekly_done = sinks.table_exists(spark, p["weekly"])
+    else:
+        features = marts.fact_daily(staged)
+        target = spark.read.parquet(p["fact"]).select(*marts.FACT_COLUMNS)
+        slice_ = incremental.incremental_slice(features, target, mode, lookback_days)
+        n_fact = sinks.upsert_table(spark, p["fact"], slice_, keys, "price_date")
     if not weekly_done:
         fact = spark.read.parquet(p["fact"]).select(*marts.FACT_COLUMNS)
         n_week = sinks.write_table(marts.weekly_rollup(fact), p["weekly"], "overwrite",
@@ -188,6 +223,9 @@ def build(spark: SparkSession, root: str, watchlist_csv: str, as_of,
     dim = marts.dim_assets(wl, staged_metadata(spark, root), marts.latest_price(latest_src),
                            as_of)
     n_dim = sinks.write_table(dim, p["dim"], "overwrite", guard_empty=False)
+    # last of all: a build that failed before is done again in full
+    sinks.write_table(spark.range(1).select(F.lit(last).cast("long").alias("ingest_id")), state, "overwrite",
+                      guard_empty=False)
     return {"fact_rows_written": n_fact, "weekly_rows": n_week, "dim_rows": n_dim}
 
 
@@ -195,32 +233,19 @@ def check(spark: SparkSession, root: str, as_of_ts) -> DataFrame:
     """The declared tests over raw, staged and mart tables, plus freshness of
     the two raw sources (warn after 1 day, error after 2)."""
     p = _paths(root)
+    staged = staged_prices(spark, root)
     tables = {
         "raw_prices": spark.read.parquet(p["prices"]),
-        "stg_prices": staged_prices(spark, root),
+        "stg_prices": staged,
         "raw_metadata": spark.read.parquet(p["metadata"]),
+        "stg_metadata": staged_metadata(spark, root),
+        "daily_returns": marts.daily_returns(staged),
+        "rolling_metrics": marts.rolling_metrics(staged),
         "fact_daily": spark.read.parquet(p["fact"]),
         "weekly": spark.read.parquet(p["weekly"]),
         "dim_assets": spark.read.parquet(p["dim"]),
     }
-    C = quality.Check
-    checks = (quality.price_checks("raw_prices", "raw_prices")
-              + quality.price_checks("stg_prices", "stg_prices")
-              + quality.price_checks("fact_daily", "fact_daily")
-              + [C("stg_prices.unique_asset_date", "stg_prices", "unique_combo",
-                   ["asset_id", "price_date"]),
-                 C("fact_daily.unique_asset_date", "fact_daily", "unique_combo",
-                   ["asset_id", "price_date"]),
-                 C("fact_daily.close_usd_positive", "fact_daily", "expression",
-                   expr="close_usd > 0"),
-                 C("weekly.not_null_asset_id", "weekly", "not_null", ["asset_id"]),
-                 C("weekly.not_null_week_start", "weekly", "not_null", ["week_start"]),
-                 C("weekly.unique_asset_week", "weekly", "unique_combo",
-                   ["asset_id", "week_start"]),
-                 C("raw_metadata.not_null_asset_id", "raw_metadata", "not_null", ["asset_id"]),
-                 C("dim_assets.not_null_asset_id", "dim_assets", "not_null", ["asset_id"]),
-                 C("dim_assets.unique_asset_id", "dim_assets", "unique", ["asset_id"]),
-                 C("dim_assets.not_null_name", "dim_assets", "not_null", ["name"])])
+    checks = quality.declared_checks()
     suite = quality.run_suite(tables, checks)
     fresh = quality.freshness(tables["raw_prices"], "fetched_at", as_of_ts, source="prices") \
         .unionByName(quality.freshness(tables["raw_metadata"], "fetched_at", as_of_ts,

@@ -204,8 +204,9 @@ def q_dq_expression(spark, sf):
 
 @register("q_dq_price_positive")
 def q_dq_price_positive(spark, sf):
-    return rounded(quality.expression_is_true(f1_fact(spark, sf), "close_usd > 0")
-                   .select("asset_id", "price_date", "close_usd"))
+    # on fetched metadata, whose older fetch reports no price yet
+    return rounded(quality.expression_is_true(f3_metadata_raw(spark, sf), "ath_usd > 0")
+                   .select("asset_id", "fetched_at", "ath_usd"))
 
 
 F1_AS_OF_TS = "2001-11-05 06:00:00"
@@ -222,21 +223,14 @@ def q_dq_freshness(spark, sf):
 
 @register("q_dq_summary")
 def q_dq_summary(spark, sf):
-    tables = {"raw_prices": fx.f1_raw_prices(spark, sf), "fact_daily": f1_fact(spark, sf),
-              "raw_metadata": f3_metadata_raw(spark, sf)}
-    checks = (quality.price_checks("raw_prices", "raw_prices")
-              + quality.price_checks("fact_daily", "fact_daily")
-              + [quality.Check("fact_daily.unique_asset_date", "fact_daily", "unique_combo",
-                               ["asset_id", "price_date"]),
-                 quality.Check("raw_metadata.not_null_asset_id", "raw_metadata", "not_null",
-                               ["asset_id"]),
-                 quality.Check("raw_metadata.unique_asset_id", "raw_metadata", "unique",
-                               ["asset_id"]),
-                 quality.Check("raw_metadata.not_null_name", "raw_metadata", "not_null",
-                               ["name"]),
-                 quality.Check("raw_metadata.not_null_symbol", "raw_metadata", "not_null",
-                               ["symbol"])])
-    return quality.run_suite(tables, checks)
+    staged = f1_staged(spark, sf)
+    tables = {"raw_prices": fx.f1_raw_prices(spark, sf), "stg_prices": staged,
+              "daily_returns": marts.daily_returns(staged), "rolling_metrics": marts.rolling_metrics(staged),
+              "fact_daily": f1_fact(spark, sf), "weekly": f1_weekly(spark, sf),
+              "raw_metadata": f3_metadata_raw(spark, sf),
+              "stg_metadata": staging.stage_metadata(f3_metadata_raw(spark, sf)),
+              "dim_assets": f3_dim(spark, sf)}
+    return quality.run_suite(tables, quality.declared_checks())
 
 
 # ---- serving frames ------------------------------------------------------------
@@ -502,3 +496,57 @@ def q_rolling_days(spark, sf):
     return rounded(marts.rolling_metrics(f1_staged(spark, sf), frame="days")
                    .select("asset_id", "price_date", "sma_7d", "sma_30d", "return_stddev_7d",
                            "return_stddev_30d"))
+
+
+# ---- daily window, subset refresh, overlap, one-asset page, default set, order ------
+
+@register("q_batch_window_daily")
+def q_batch_window_daily(spark, sf):
+    # the daily run asks for two days of history
+    return rounded(staging.batch_window(fx.f1_raw_prices(spark, sf), fx.F1_AS_OF, full_refresh=False))
+
+
+@register("q_refresh_subset")
+def q_refresh_subset(spark, sf):
+    """A full refresh of two assets: their fetch dates are replaced, all else stays."""
+    raw = fx.f1_raw_prices(spark, sf)
+    later = F.col("fetched_at") + F.expr("INTERVAL 1 HOUR")
+    fresh = raw.filter(F.col("asset_id").isin("1", "2") & (F.col("price_date") >= F.lit("2001-06-01").cast("date"))) \
+        .withColumns({"close_usd": F.col("close_usd") * 2, "fetched_at": later, "fetched_date": later.cast("date")})
+    return rounded(sinks.upsert(raw, fresh, ["asset_id", "fetched_date"]))
+
+
+@register("q_incremental_overlap")
+def q_incremental_overlap(spark, sf):
+    """A batch that overlaps and corrects stored days: four months of it were
+    stored with other prices."""
+    staged = f1_staged(spark, sf)
+    start, end = F.lit("2001-03-01").cast("date"), F.lit(F1_TARGET_END).cast("date")
+    wrong = F.when(F.col("price_date") >= start, F.col("close_usd") * 3).otherwise(F.col("close_usd"))
+    stored = marts.fact_daily(staged.filter(F.col("price_date") <= end).withColumn("close_usd", wrong))
+    return rounded(incremental.incremental_features(stored, staged.filter(F.col("price_date") >= start)))
+
+
+@register("q_asset_page")
+def q_asset_page(spark, sf):
+    """One asset's page: its candles and its drawdown."""
+    daily = f1_daily(spark, sf)
+    return rounded(serving.candle_frame(daily, asset="7").join(
+        serving.drawdown_series(daily, asset="7"), ["asset_id", "price_date"]))
+
+
+@register("q_default_assets")
+def q_default_assets(spark, sf):
+    # nothing chosen: the default set
+    return rounded(staging.select_assets(f1_staged(spark, sf), [], default=["1", "2", "3"]))
+
+
+@register("q_dim_ranked_order")
+def q_dim_ranked_order(spark, sf):
+    return serving.positions(serving.dim_ranked(f3_dim(spark, sf), 50), "latest_market_cap_usd")
+
+
+@register("q_cards_order")
+def q_cards_order(spark, sf):
+    cards = serving.latest_cards(f1_daily(spark, sf), f3_dim(spark, sf))
+    return serving.positions(cards, "market_cap_usd").filter("position <= 50")

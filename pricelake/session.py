@@ -59,13 +59,15 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the session's checkpoint dir; create a scratch one only when unset.
-
-    A cluster always names a shared folder; the scratch folder is only for
-    local runs and tests.
+    """The session's checkpoint dir. Where none is set, a local session (one
+    machine, as in tests) gets a scratch folder; a cluster must name a folder
+    that all its executors share.
     """
     d = checkpoint_dir(spark)
     if not d:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="pricelake-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", d)
     if not spark.sparkContext.getCheckpointDir():

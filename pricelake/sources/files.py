@@ -10,13 +10,10 @@ from pricelake.sources.payloads import split_payloads
 
 
 def read_watchlist(spark: SparkSession, path: str, id_column: str = "coin_id") -> DataFrame:
-    """Header CSV of (id, name, symbol, category), all text; the id column is
-    renamed to ``asset_id``. No schema inference."""
-    header = spark.read.option("header", True).schema(
-        "c0 string, name string, symbol string, category string")
-    df = header.csv(path)
-    return df.select(F.col("c0").alias("asset_id"), "name", "symbol", "category") \
-        if id_column else df
+    """Header CSV of (id, name, symbol, category) in any column order, all text;
+    ``id_column`` names the id and becomes ``asset_id``. No schema inference."""
+    df = spark.read.option("header", True).csv(path)
+    return df.select(F.col(id_column).alias("asset_id"), "name", "symbol", "category")
 
 
 def read_payloads(spark: SparkSession, path: str, kind: str) -> tuple[DataFrame, DataFrame]:

@@ -19,41 +19,18 @@ F1_AS_OF = dt.date(2001, 11, 5)          # day after the last ship date
 F2_AS_OF = dt.date(2024, 1, 31)          # day after the last event
 F1_TIEBREAK = ["src_orderkey", "src_partkey", "close_usd"]
 F2_TIEBREAK = ["source_ts"]
-PAYLOAD_CHUNK_EVENTS = 512               # at most this many points per landed payload
-
-
-SPREAD_MIN_BYTES = 4 << 20
-
-
-def _input_bytes(spark: SparkSession, path: str) -> int:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    return int(fs.getContentSummary(p).getLength())
+#: Events (of all series) a landed payload covers, and the series they fall in:
+#: about 400 points a payload, whatever the number of events.
+PAYLOAD_CHUNK_EVENTS, PAYLOAD_SERIES = 2048, 5
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one shared table.
-
-    A Parquet row group cannot be split, so a mid-sized single-row-group file
-    is read by one task whatever the core count. Such an input (bigger than
-    ``SPREAD_MIN_BYTES``, smaller than one split) is hash-spread on its
-    leading key column over the default parallelism (deterministic, so a
-    retried task sees the same rows). Inputs of many splits -- every real
-    table -- are read as they are.
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
-    if key in _TABLES:                    # a DataFrame is an immutable plan: reuse it
-        return _TABLES[key]
-    df = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    split = int(spark.conf.get("spark.sql.files.maxPartitionBytes", str(128 << 20))
-                .rstrip("b").rstrip("B") or 128 << 20)
-    size = _input_bytes(spark, path)
-    if cores > 1 and SPREAD_MIN_BYTES < size < split:
-        df = df.repartition(cores, F.col(df.columns[0]))
-    _TABLES[key] = df
-    return df
+    """One shared table, as it is; a DataFrame is an immutable plan, so it is
+    reused within its session."""
+    key = (id(spark), f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if key not in _TABLES or _TABLES[key][0] is not spark:
+        _TABLES[key] = (spark, spark.read.parquet(key[1]))
+    return _TABLES[key][1]
 
 
 _TABLES: dict = {}
@@ -159,25 +136,26 @@ def f3_info_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return new.unionByName(old)
 
 
-def _events_chunked(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _events_chunked(spark: SparkSession, sf_dir: str, chunk_events: int) -> DataFrame:
     ev = table(spark, sf_dir, "events")
     return ev.select(
-        F.col("user_id").cast("string").alias("asset_id"),
-        F.floor(F.col("event_id") / PAYLOAD_CHUNK_EVENTS).alias("chunk"),
+        F.concat(F.lit("u"), (F.col("user_id") % PAYLOAD_SERIES).cast("string")).alias("asset_id"),
+        F.floor(F.col("event_id") / chunk_events).alias("chunk"),
         "event_id", "ts", "event_type", "value",
         ntz_to_epoch_ms("ts").alias("ts_ms"),
     )
 
 
-def f4_chart_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Market-chart payload text per (user, chunk of event ids), points in event order.
+def f4_chart_payloads(spark: SparkSession, sf_dir: str, chunk_events: int = PAYLOAD_CHUNK_EVENTS) -> DataFrame:
+    """Market-chart payload text per (series, chunk of event ids), points in event order.
 
     Volumes are reported for every event except views; caps are never
-    reported. A payload whose first event is an error is landed truncated.
-    Grouping by event-id chunk bounds every payload, so no group is larger
-    than ``PAYLOAD_CHUNK_EVENTS`` whatever the user's share of events.
+    reported. A payload whose first event is an error is malformed, in one of
+    four ways by its chunk: truncated text, a price without members, a volume
+    of one member, a cap without a time. Grouping by event-id chunk bounds every
+    payload whatever the series' share of events.
     """
-    e = _events_chunked(spark, sf_dir)
+    e = _events_chunked(spark, sf_dir, chunk_events)
     pt = F.struct(F.col("event_id"),
                   F.array(F.col("ts_ms").cast("double"), F.col("value")).alias("p"),
                   (F.col("event_type") != "view").alias("has_vol"),
@@ -187,28 +165,33 @@ def f4_chart_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.max("ts").alias("fetched_at"))
     prices = F.transform("pts", lambda x: x["p"])
     vols = F.transform(F.filter("pts", lambda x: x["has_vol"]), lambda x: x["p"])
-    doc = F.to_json(F.struct(prices.alias("prices"),
-                             F.array().cast("array<array<double>>").alias("market_caps"),
-                             vols.alias("total_volumes")))
-    first_kind = F.col("pts")[0]["kind"]
-    text = F.when(first_kind == "error",
-                  F.substring(doc, 1, F.floor(F.length(doc) / 2).cast("int"))).otherwise(doc)
+    none = F.array().cast("array<array<double>>")
+    odd = F.when(F.col("pts")[0]["kind"] == "error", F.col("chunk") % 4).otherwise(F.lit(-1))
+    zero = F.lit(0.0)
+    doc = F.to_json(F.struct(
+        F.when(odd == 1, F.concat(prices, F.array(F.array().cast("array<double>")))).otherwise(prices).alias("prices"),
+        F.when(odd == 3, F.array(F.array(F.lit(None).cast("double"), zero))).otherwise(none).alias("market_caps"),
+        F.when(odd == 2, F.concat(vols, F.array(F.array(zero)))).otherwise(vols).alias("total_volumes")))
+    text = F.when(odd == 0, F.substring(doc, 1, F.floor(F.length(doc) / 2).cast("int"))).otherwise(doc)
     return g.select("asset_id", "chunk", "fetched_at", text.alias("payload"))
 
 
-def f4_candle_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Candle payload text per (user, chunk): one [ts, v, 1.1v, 0.9v, v] per event.
+def f4_candle_payloads(spark: SparkSession, sf_dir: str, chunk_events: int = PAYLOAD_CHUNK_EVENTS) -> DataFrame:
+    """Candle payload text per (series, chunk): one [ts, v, 1.1v, 0.9v, v] per event.
 
-    A payload whose first event is a signup carries a four-element candle.
+    A payload whose first event is a signup is malformed: with an even chunk its
+    candles have four members, with an odd one the last candle has no time.
     """
-    e = _events_chunked(spark, sf_dir)
+    e = _events_chunked(spark, sf_dir, chunk_events)
     c = F.struct(F.col("event_id"),
                  F.array(F.col("ts_ms").cast("double"), F.col("value"),
                          F.col("value") * 1.1, F.col("value") * 0.9, F.col("value")).alias("c"),
                  F.col("event_type").alias("kind"))
     g = e.groupBy("asset_id", "chunk").agg(F.array_sort(F.collect_list(c)).alias("cs"),
                                            F.max("ts").alias("fetched_at"))
-    first_kind = F.col("cs")[0]["kind"]
-    candles = F.transform("cs", lambda x: F.when(
-        first_kind == "signup", F.slice(x["c"], 1, 4)).otherwise(x["c"]))
+    signup, even = F.col("cs")[0]["kind"] == "signup", F.col("chunk") % 2 == 0
+    zero = F.lit(0.0)
+    candles = F.transform("cs", lambda x: F.when(signup & even, F.slice(x["c"], 1, 4)).otherwise(x["c"]))
+    candles = F.when(signup & ~even, F.concat(candles, F.array(F.array(F.lit(None).cast("double"), zero, zero, zero, zero)))) \
+        .otherwise(candles)
     return g.select("asset_id", "chunk", "fetched_at", F.to_json(candles).alias("payload"))

@@ -28,21 +28,30 @@ def _parsed(df: DataFrame, kind: str, col: str = "payload") -> Column:
     return F.col(col)
 
 
+def _short(points: Column, size: int | None = None) -> Column:
+    """Whether an array holds a point without a time, or of too few (not
+    ``size``) members. A missing array holds none."""
+    def bad(x):
+        wrong = F.size(x) < 2 if size is None else F.size(x) != size
+        return x.isNull() | wrong | F.get(x, F.lit(0)).isNull()
+    return F.exists(F.coalesce(points, F.array().cast("array<array<double>>")), lambda x: F.coalesce(bad(x), F.lit(True)))
+
+
 def split_payloads(df: DataFrame, kind: str, col: str = "payload",
                    keys: Sequence[str] = ENVELOPE_KEYS) -> tuple[DataFrame, DataFrame]:
     """(good, quarantine). Parsing is lazy and per row; a bad payload loses only
-    its own fetch. Quarantine rows keep the envelope keys, the text and a reason."""
+    its own fetch. Quarantine rows keep the envelope keys, the text and a reason:
+    ``unparseable``, or the first array (prices, volumes, caps, candles) holding a
+    point without a time or of the wrong size."""
     p = df.withColumn("__p", _parsed(df, kind, col))
     if kind == "candles":
-        bad_shape = F.exists(F.col("__p"), lambda c: F.size(c) != 5)
         reason = (F.when(F.col("__p").isNull(), F.lit("unparseable"))
-                  .when(bad_shape, F.lit("candle_arity")))
+                  .when(_short(F.col("__p"), 5), F.lit("candle_arity")))
     elif kind == "market_chart":
-        bad_pt = F.exists(F.coalesce(F.col("__p.prices"), F.array()),
-                          lambda x: (F.size(x) < 2) | x[0].isNull())
-        reason = (F.when(F.col("__p").isNull() | F.col("__p.prices").isNull(),
-                         F.lit("unparseable"))
-                  .when(bad_pt, F.lit("point_shape")))
+        reason = (F.when(F.col("__p").isNull() | F.col("__p.prices").isNull(), F.lit("unparseable"))
+                  .when(_short(F.col("__p.prices")), F.lit("point_shape"))
+                  .when(_short(F.col("__p.total_volumes")), F.lit("volume_shape"))
+                  .when(_short(F.col("__p.market_caps")), F.lit("cap_shape")))
     else:
         reason = F.when(F.col("__p").isNull(), F.lit("unparseable"))
     p = p.withColumn("__reason", reason)
@@ -55,90 +64,142 @@ def split_payloads(df: DataFrame, kind: str, col: str = "payload",
     return good, bad
 
 
-def _last_by_key(arr: str, key) -> Column:
-    """Entries of ``arr`` (in array order) with a unique key: the last one wins.
+def unique_fetches(payloads: DataFrame, keys: Sequence[str] = ENVELOPE_KEYS, col: str = "payload") -> DataFrame:
+    """One payload per fetch: a file delivered twice counts once (of differing
+    payloads under one key the greatest, so a re-run picks the same)."""
+    rest = [c for c in payloads.columns if c not in (*keys, col)]
+    best = F.max(F.struct(col, *rest)).alias("__best")
+    return payloads.groupBy(*keys).agg(best).select(*keys, *[F.col(f"__best.{c}").alias(c) for c in (col, *rest)]) \
+        .select(*payloads.columns)
 
-    Entries are tagged with their position, sorted by (key, position), and an
-    entry is kept when the next one has another key. O(n log n) per payload.
-    """
-    tagged = F.transform(F.col(arr), lambda x, i: F.struct(key(x).alias("k"), i.alias("pos"),
-                                                           x.alias("v")))
-    return F.array_sort(tagged)
 
+def _bound(value: Column, fn) -> Column:
+    """``fn`` of ``value`` computed once: a lambda's variable is a plain reference,
+    where a repeated expression would be computed again for every element."""
+    return F.get(F.transform(F.array(value), fn), F.lit(0))
 
-def _dedup_sorted(sorted_col: str) -> Column:
-    s = F.col(sorted_col)
-    return F.filter(s, lambda x, i: (i + 1 == F.size(s)) | (s[i + 1]["k"] != x["k"]))
 
+_VOLUME, _CAP, _PRICE = 0, 1, 2
+
+
+def _tagged(points: Column, kind: int) -> Column:
+    return F.transform(
+        F.coalesce(points, F.array().cast("array<array<double>>")),
+        lambda x, i: F.struct(F.get(x, F.lit(0)).cast("bigint").alias("k"), F.lit(kind).alias("kind"), i.alias("pos"),
+                              F.get(x, F.lit(1)).alias("v")))
 
-def parse_market_chart(payloads: DataFrame, keys: Sequence[str] = ENVELOPE_KEYS,
-                       col: str = "payload", with_source_ts: bool = True) -> DataFrame:
-    """Raw price rows: one per distinct timestamp of ``prices`` (last wins);
-    volume and cap looked up by the same timestamp, missing -> NULL."""
-    p = payloads.select(*keys, _parsed(payloads, "market_chart", col).alias("__p"))
 
-    def ts_key(x):
-        return x[0].cast("bigint")
-
-    p = p.select(*keys,
-                 _last_by_key("__p.prices", ts_key).alias("__ps"),
-                 _last_by_key("__p.total_volumes", ts_key).alias("__vs"),
-                 _last_by_key("__p.market_caps", ts_key).alias("__cs"))
-    p = p.select(*keys,
-                 _dedup_sorted("__ps").alias("__ps"),
-                 F.map_from_entries(F.transform(_dedup_sorted("__vs"), lambda x: F.struct(
-                     x["k"], x["v"][1]))).alias("__vm"),
-                 F.map_from_entries(F.transform(_dedup_sorted("__cs"), lambda x: F.struct(
-                     x["k"], x["v"][1]))).alias("__cm"))
-    pts = p.select(*keys, "__vm", "__cm", F.explode("__ps").alias("__pt"))
-    ts = F.col("__pt.k")
+def _chart_points(p: str) -> Column:
+    """The finished points of one chart payload, in O(n log n).
+
+    All three arrays are sorted together by (time, kind, position); of each
+    (time, kind) the last stays. A time's volume and cap then stand right before
+    its price, so each price looks at two neighbours.
+    """
+    entries = F.concat(_tagged(F.col(f"{p}.total_volumes"), _VOLUME), _tagged(F.col(f"{p}.market_caps"), _CAP),
+                       _tagged(F.col(f"{p}.prices"), _PRICE))
+
+    def last_of_each(s):
+        def final(x, i):
+            following = F.get(s, i + 1)
+            return following.isNull() | (following["k"] != x["k"]) | (following["kind"] != x["kind"])
+        return F.filter(s, final)
+
+    def points(s):
+        def before(x, i, kind):
+            def at(n):
+                e = F.get(s, i - n)
+                return F.when((i >= n) & (e["k"] == x["k"]) & (e["kind"] == kind), e["v"])
+            return F.coalesce(at(1), at(2))
+        joined = F.transform(s, lambda x, i: F.struct(
+            x["k"].alias("k"), x["kind"].alias("kind"), x["v"].alias("close"),
+            before(x, i, _VOLUME).alias("volume"), before(x, i, _CAP).alias("cap")))
+        return F.filter(joined, lambda x: (x["kind"] == _PRICE) & x["k"].isNotNull())
+
+    return _bound(F.array_sort(entries), lambda s: _bound(last_of_each(s), points))
+
+
+def _price_rows(p: DataFrame, keys: Sequence[str], points: Column, with_source_ts: bool) -> DataFrame:
+    pt = F.col("__pt")
     out = [
         F.col("asset_id"),
-        epoch_ms_to_date(ts).alias("price_date"),
-        F.lit(None).cast("double").alias("open_usd"),
-        F.lit(None).cast("double").alias("high_usd"),
-        F.lit(None).cast("double").alias("low_usd"),
-        F.col("__pt.v")[1].alias("close_usd"),
-        F.try_element_at("__vm", ts).alias("volume_usd"),
-        F.try_element_at("__cm", ts).alias("market_cap_usd"),
+        epoch_ms_to_date(pt["k"]).alias("price_date"),
+        pt["open"].alias("open_usd"),
+        pt["high"].alias("high_usd"),
+        pt["low"].alias("low_usd"),
+        pt["close"].alias("close_usd"),
+        pt["volume"].alias("volume_usd"),
+        pt["cap"].alias("market_cap_usd"),
         F.col("fetched_at").cast("date").alias("fetched_date"),
         F.col("fetched_at"),
     ]
     if with_source_ts:
-        out.append(epoch_ms_to_ts(ts).alias("source_ts"))
+        out.append(epoch_ms_to_ts(pt["k"]).alias("source_ts"))
     extra = [F.col(k) for k in keys if k not in ("asset_id", "fetched_at")]
-    return pts.select(*out, *extra)
+    return p.select(*keys, F.explode(points).alias("__pt")).select(*out, *extra)
+
+
+def _with_candles(points: Column, candle_map: Column | None) -> Column:
+    """Points with open, high and low of their date (missing: NULL); done before
+    the explode, so the map is not copied to the rows."""
+    def one(x):
+        if candle_map is None:
+            none = F.lit(None).cast("double")
+            ohl = [none.alias("open"), none.alias("high"), none.alias("low")]
+        else:
+            c = F.try_element_at(candle_map, epoch_ms_to_date(x["k"]))
+            ohl = [c["o"].alias("open"), c["h"].alias("high"), c["l"].alias("low")]
+        return F.struct(x["k"].alias("k"), *ohl, x["close"].alias("close"), x["volume"].alias("volume"), x["cap"].alias("cap"))
+    return F.transform(points, one)
+
+
+def parse_market_chart(payloads: DataFrame, keys: Sequence[str] = ENVELOPE_KEYS,
+                       col: str = "payload", with_source_ts: bool = True) -> DataFrame:
+    """Raw price rows: one per distinct timestamp of ``prices`` (last wins);
+    volume and cap looked up by the same timestamp, missing -> NULL."""
+    p = payloads.select(*keys, _parsed(payloads, "market_chart", col).alias("__p"))
+    return _price_rows(p, keys, _with_candles(_chart_points("__p"), None), with_source_ts)
 
 
 def candles_by_date(candles: DataFrame, keys: Sequence[str] = ENVELOPE_KEYS,
                     col: str = "payload", resample: str | None = None) -> DataFrame:
-    """Per candle payload: map date -> (open, high, low).
+    """Per candle payload: map date -> (open, high, low), a row per fetch.
 
     Default: the last candle of a date wins (all three values from it).
     ``resample="ohlc"``: a daily resample -- the first candle's open, the
-    highest high and the lowest low of the date. A payload holding any candle
-    of the wrong arity yields no map (the merge for that fetch is skipped,
-    the price rows stay)."""
-    c = candles.select(*keys, _parsed(candles, "candles", col).alias("__c"))
-    c = c.filter(F.col("__c").isNotNull() &
-                 ~F.exists(F.col("__c"), lambda x: F.size(x) != 5))
-    c = c.select(*keys, _last_by_key("__c", lambda x: epoch_ms_to_date(x[0])).alias("__s"))
-    if resample is None:
-        entries = F.transform(_dedup_sorted("__s"), lambda x: F.struct(
-            x["k"], F.struct(x["v"][1].alias("o"), x["v"][2].alias("h"), x["v"][3].alias("l"))))
-    elif resample == "ohlc":
-        s = F.col("__s")
-        firsts = F.filter(s, lambda x, i: (i == 0) | (s[i - 1]["k"] != x["k"]))
-
-        def same_day(x):
-            return F.filter(s, lambda y: y["k"] == x["k"])
-        entries = F.transform(firsts, lambda x: F.struct(x["k"], F.struct(
-            x["v"][1].alias("o"),
-            F.array_max(F.transform(same_day(x), lambda y: y["v"][2])).alias("h"),
-            F.array_min(F.transform(same_day(x), lambda y: y["v"][3])).alias("l"))))
-    else:
+    highest high and the lowest low of the date. A payload holding any malformed
+    candle yields no map (the merge for that fetch is skipped, the price rows
+    stay)."""
+    if resample not in (None, "ohlc"):
         raise ValueError(f"unknown resample {resample!r}")
-    return c.select(*keys, F.map_from_entries(entries).alias("candle_map"))
+    c = candles.select(*keys, _parsed(candles, "candles", col).alias("__c"))
+    c = unique_fetches(c.filter(F.col("__c").isNotNull() & ~_short(F.col("__c"), 5)), keys, "__c")
+    v = lambda x, i: F.get(x, F.lit(i))
+    entries = F.array_sort(F.transform("__c", lambda x, i: F.struct(
+        epoch_ms_to_date(v(x, 0)).alias("k"), i.alias("pos"), v(x, 1).alias("o"), v(x, 2).alias("h"), v(x, 3).alias("l"))))
+
+    def last_of_day(s):
+        return F.filter(s, lambda x, i: F.get(s, i + 1).isNull() | (F.get(s, i + 1)["k"] != x["k"]))
+
+    def days(s):
+        """One fold over the sorted candles: each day's first open, running high and low."""
+        first = F.array().cast("array<struct<k:date,o:double,h:double,l:double>>")
+        zero = F.struct(first.alias("done"), F.lit(None).cast("struct<k:date,o:double,h:double,l:double>").alias("day"))
+
+        def step(acc, x):
+            new = F.struct(x["k"].alias("k"), x["o"].alias("o"), x["h"].alias("h"), x["l"].alias("l"))
+            day = acc["day"]
+            same = F.coalesce(day["k"] == x["k"], F.lit(False))
+            grown = F.struct(day["k"].alias("k"), day["o"].alias("o"), F.greatest(day["h"], x["h"]).alias("h"),
+                             F.least(day["l"], x["l"]).alias("l"))
+            closed = F.when(same | day.isNull(), acc["done"]).otherwise(F.concat(acc["done"], F.array(day)))
+            return F.struct(closed.alias("done"), F.when(same, grown).otherwise(new).alias("day"))
+        return F.aggregate(s, zero, step, lambda acc: F.when(acc["day"].isNull(), acc["done"]).otherwise(
+            F.concat(acc["done"], F.array(acc["day"]))))
+
+    chosen = _bound(entries, last_of_day if resample is None else days)
+    pairs = F.transform(chosen, lambda x: F.struct(x["k"], F.struct(x["o"].alias("o"), x["h"].alias("h"), x["l"].alias("l"))))
+    return c.select(*keys, F.map_from_entries(pairs).alias("candle_map"))
 
 
 def merge_ohlc(charts: DataFrame, candles: DataFrame | None,
@@ -146,22 +207,16 @@ def merge_ohlc(charts: DataFrame, candles: DataFrame | None,
                resample: str | None = None) -> DataFrame:
     """Parse the chart payloads and set open/high/low from the candle payload of
     the same fetch (matched on ``keys``) for the same date; the candle close is
-    not used. Fetches without a usable candle payload keep NULLs."""
+    not used. Fetches without a usable candle payload keep NULLs. A chart or
+    candle payload delivered twice counts once."""
+    charts = unique_fetches(charts, keys, col)
     if candles is None:
         return parse_market_chart(charts, keys, col)
-    cm = candles_by_date(candles, keys, col, resample)
     # payload-level join: one row per asset fetch on each side
-    joined = charts.join(cm, list(keys), "left")
-    rows = parse_market_chart(joined, list(keys) + ["candle_map"], col)
-    cand = F.try_element_at("candle_map", F.col("price_date"))
-    return rows.select(
-        "asset_id", "price_date",
-        F.coalesce(cand["o"], F.col("open_usd")).alias("open_usd"),
-        F.coalesce(cand["h"], F.col("high_usd")).alias("high_usd"),
-        F.coalesce(cand["l"], F.col("low_usd")).alias("low_usd"),
-        "close_usd", "volume_usd", "market_cap_usd", "fetched_date", "fetched_at",
-        *[c for c in rows.columns if c not in schemas.PRICE_COLUMNS + ["candle_map"]],
-    )
+    joined = charts.join(candles_by_date(candles, keys, col, resample), list(keys), "left")
+    p = joined.select(*keys, "candle_map", _parsed(joined, "market_chart", col).alias("__p"))
+    points = _with_candles(_chart_points("__p"), F.col("candle_map"))
+    return _price_rows(p.withColumn("__points", points).select(*keys, "__points"), keys, F.col("__points"), True)
 
 
 def parse_metadata(infos: DataFrame, keys: Sequence[str] = ENVELOPE_KEYS,

@@ -12,7 +12,8 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -39,6 +40,19 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def stored(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at ``path``; None if there is none, or none of its partitions
+    holds a file yet."""
+    if not table_exists(spark, path):
+        return None
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return None
+
+
 def ensure_table(spark: SparkSession, path: str, schema: StructType,
                  partition_by: Sequence[str] = ()) -> None:
     """Create an empty Parquet table at ``path`` when none is there."""
@@ -88,8 +102,8 @@ def write_table(df: DataFrame, path: str, mode: str = "append",
     w = out.write
     if mode == "overwrite_partitions":
         w = w.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    else:
-        w = w.mode(mode)
+    else:                              # the whole table, whatever the session's partition mode
+        w = w.mode(mode).option("partitionOverwriteMode", "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
@@ -100,7 +114,7 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFram
     """Keyed merge: batch rows replace target rows with the same key, the rest
     of the target stays, new keys are inserted. (Anti join + union.)"""
     keys = list(keys)
-    kept = target.join(batch.select(*keys), keys, "left_anti")
+    kept = target.join(batch.select(*keys).distinct(), keys, "left_anti")
     return kept.unionByName(batch.select(*target.columns))
 
 
@@ -113,37 +127,49 @@ def upsert_latest(target: DataFrame, batch: DataFrame, keys: Sequence[str],
                        list(order)[:1], list(order)[1:])
 
 
+def staged_copy(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """``df`` computed once: written to the shared checkpoint folder and read back."""
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def within(df: DataFrame, col: str, bounds: Row, lo: str = "lo", hi: str = "hi") -> DataFrame:
+    """Rows whose ``col`` lies in the literal bounds: prunes partitions at planning."""
+    return df.filter((F.col(col) >= F.lit(bounds[lo])) & (F.col(col) <= F.lit(bounds[hi])))
+
+
 def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str],
                  partition_col: str = "price_date", schema_guard: bool = True,
                  order: Sequence[str] | None = None) -> int:
     """Upsert ``batch`` into the partitioned Parquet table at ``path``.
 
-    Only the target partitions the batch touches are read (a semi join on
-    the partition column, which prunes the scan), merged, staged as a copy in
-    the shared checkpoint folder (so the overwrite never reads the files it
-    replaces, and a lost executor can recompute from the copy), then written
-    back with dynamic partition overwrite. Returns rows written. With
-    ``order`` the merge keeps the newest version per key instead of the
-    batch's.
+    The batch is computed once, into the shared checkpoint folder. Its first and
+    last partition value (one small aggregate) bound the target's scan as
+    literals, so only partitions in that range are listed, and a semi join
+    keeps those it touches. The merged partitions are staged as a copy in the
+    same folder (so the overwrite never reads the files it replaces, and a lost
+    executor can recompute from the copy), then written back with dynamic
+    partition overwrite. Returns rows written. Batch rows replace the target
+    rows of their ``keys``; with ``order`` the newest version per key stays.
     """
-    if batch.isEmpty():
+    batch = staged_copy(spark, batch, "upsert-batch")
+    bounds = batch.agg(F.min(partition_col).alias("lo"), F.max(partition_col).alias("hi"),
+                       F.count(F.lit(1)).alias("n")).first()
+    if not bounds["n"]:
         return 0
-    if not table_exists(spark, path):
-        return write_table(batch, path, "overwrite", [partition_col], ["asset_id"]
-                           if "asset_id" in batch.columns else (), guard_empty=False)
-    target = spark.read.parquet(path)
+    sort = ["asset_id"] if "asset_id" in batch.columns else []
+    target = stored(spark, path)
+    if target is None:
+        return write_table(batch, path, "overwrite", [partition_col], sort, guard_empty=False)
     target = target.select(*batch.columns) if set(target.columns) == set(batch.columns) \
         else target
     if schema_guard:
         check_schema(target.schema, batch.schema)
     touched = batch.select(partition_col).distinct()
-    scope = target.join(touched, partition_col, "left_semi")
+    scope = within(target, partition_col, bounds).join(touched, partition_col, "left_semi")
     merged = upsert_latest(scope, batch, keys, order) if order else upsert(scope, batch, keys)
-    stage = scratch_path(spark, f"upsert-{uuid.uuid4().hex}")
-    # fresh scratch path and a non-empty batch: nothing to guard
-    write_table(merged, stage, "overwrite", [partition_col], guard_empty=False)
-    staged = spark.read.parquet(stage).select(*batch.columns)
-    sort = ["asset_id"] if "asset_id" in batch.columns else []
+    staged = staged_copy(spark, merged.select(*batch.columns), "upsert")
     return write_table(staged, path, "overwrite_partitions", [partition_col], sort,
                        guard_empty=False)
 

@@ -5,24 +5,25 @@ The daily batch maps onto streams as follows:
 
 * ``stream_raw``: landed payload files -> parsed raw rows, appended
   (stateless; exactly-once through the checkpoint and the file sink log);
-* ``stream_ingest``: the same with the candle merge, per micro-batch;
+* ``stream_ingest``: the same with the candle merge, per micro-batch, into a
+  folder of the epoch (a replayed epoch replaces its own rows);
 * ``stream_upsert``: each micro-batch is deduplicated and merged into the
   keyed table, newest version wins (``foreachBatch``; replaying an epoch
   gives the same table);
 * ``stream_weekly``: Sunday-aligned 7-day event-time windows with a
   watermark bounding late data;
 * ``stream_features``: row-frame windows are not allowed on streams, so each
-  micro-batch computes features from a 30-row stored tail per asset
-  (``foreachBatch``), recomputing in full only assets that got late rows.
+  micro-batch computes features from each touched asset's first incoming
+  date on, after a 30-row stored tail (``foreachBatch``).
 
-Checkpoints default to a folder under the session's ``spark.checkpoint.dir``.
+Every job needs the caller's checkpoint folder: a restart under another one would
+read all files again.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import math
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,12 +34,22 @@ from pricelake import schemas
 from pricelake.functions import pct_change
 from pricelake.operators import marts, staging
 from pricelake.plans import incremental
-from pricelake.session import scratch_path
 from pricelake.sources import payloads, sinks
 
 
-def _ckpt(spark: SparkSession, checkpoint: str | None, name: str) -> str:
-    return checkpoint or scratch_path(spark, f"stream-{name}-{uuid.uuid4().hex[:8]}")
+def _started(w, checkpoint: str, available_now: bool) -> StreamingQuery:
+    if not checkpoint:
+        raise ValueError("a stream needs a checkpoint folder that stays the same over restarts")
+    w = w.option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
+    return w.start()
+
+
+def _good_charts(landed: DataFrame) -> DataFrame:
+    """Well-formed chart payloads of a landed stream, by the same split as in
+    batch; ``sources.files.read_payloads`` reports the others."""
+    src = landed.filter(F.col("_corrupt_record").isNull() & F.col("asset_id").isNotNull()).drop("_corrupt_record")
+    return payloads.split_payloads(src, "market_chart")[0]
 
 
 def read_landed(spark: SparkSession, landing_dir: str, kind: str = "market_chart",
@@ -53,66 +64,54 @@ def read_landed(spark: SparkSession, landing_dir: str, kind: str = "market_chart
 
 
 def stream_raw(spark: SparkSession, landing_dir: str, out_path: str,
-               checkpoint: str | None = None, available_now: bool = True) -> StreamingQuery:
+               checkpoint: str, available_now: bool = True) -> StreamingQuery:
     """Landed chart payloads -> raw price rows appended to ``out_path``
-    (partitioned by fetch date). Corrupt or shapeless payloads are skipped
-    here; ``sources.files.read_payloads`` reports them in batch."""
-    src = read_landed(spark, landing_dir, "market_chart")
-    good = src.filter(F.col("_corrupt_record").isNull() &
-                      F.col("payload.prices").isNotNull()).drop("_corrupt_record")
-    rows = payloads.parse_market_chart(good)
+    (partitioned by fetch date). Malformed payloads are left to the batch
+    quarantine."""
+    rows = payloads.parse_market_chart(_good_charts(read_landed(spark, landing_dir, "market_chart")))
     w = (rows.writeStream.format("parquet").option("path", out_path)
-         .option("checkpointLocation", _ckpt(spark, checkpoint, "raw"))
          .partitionBy("fetched_date").outputMode("append"))
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
-    return w.start()
+    return _started(w, checkpoint, available_now)
 
 
 def stream_ingest(spark: SparkSession, landing: str, raw_path: str,
-                  checkpoint: str | None = None, available_now: bool = True) -> StreamingQuery:
+                  checkpoint: str, available_now: bool = True) -> StreamingQuery:
     """Landed chart payloads under ``landing/market_chart`` as a stream; each
     micro-batch looks up the candle payloads of the same fetches in
     ``landing/candles`` (a semi join on the fetch keys, so only those files'
-    rows are kept), merges them and appends the rows to the raw table
-    partitioned by fetch date. Bad chart lines are skipped (``read_payloads``
-    reports them in batch)."""
+    rows are kept), merges them and writes the rows to ``raw_path`` under
+    ``ingest_epoch=<n>/fetched_date=<d>``: an epoch that is replayed replaces what
+    it had written."""
     from pricelake.sources import files
 
-    src = read_landed(spark, f"{landing}/market_chart", "market_chart")
-    charts = src.filter(F.col("_corrupt_record").isNull() &
-                        F.col("payload.prices").isNotNull()).drop("_corrupt_record")
-
     def merge(batch: DataFrame, epoch_id: int) -> None:
         session = batch.sparkSession
         keys = list(payloads.ENVELOPE_KEYS)
         cands, _ = files.read_payloads(session, f"{landing}/candles", "candles")
         cands = cands.join(batch.select(*keys).distinct(), keys, "left_semi")
         rows = payloads.merge_ohlc(batch, cands).select(*schemas.PRICE_COLUMNS, "source_ts")
-        sinks.write_table(rows, raw_path, "append", ["fetched_date"], ["asset_id"])
+        sinks.write_table(rows, f"{raw_path}/ingest_epoch={epoch_id}", "overwrite", ["fetched_date"], ["asset_id"])
 
-    w = (charts.writeStream.foreachBatch(merge)
-         .option("checkpointLocation", _ckpt(spark, checkpoint, "ingest")))
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
-    return w.start()
+    w = _good_charts(read_landed(spark, f"{landing}/market_chart", "market_chart")).writeStream.foreachBatch(merge)
+    return _started(w, checkpoint, available_now)
 
 
 def stream_upsert(spark: SparkSession, raw_stream: DataFrame, target_path: str,
-                  checkpoint: str | None = None, tiebreak: Sequence[str] = ("source_ts",),
+                  checkpoint: str, tiebreak: Sequence[str] = ("source_ts",),
                   available_now: bool = True) -> StreamingQuery:
     """Each micro-batch: stage (type, filter, keep latest per key), then merge
-    into the table at ``target_path`` keeping the newest ``fetched_at`` (value
-    columns close the order, so a tie is resolved the same way on a replay)."""
-    order = ["fetched_at", *staging.VALUE_ORDER]
+    into the table at ``target_path`` keeping the newest ``fetched_at``. The
+    tie-break columns are stored too, so a tie over two micro-batches is
+    resolved as within one, in any order of arrival and on a replay."""
+    kept = [c for c in tiebreak if c in raw_stream.columns and c not in schemas.PRICE_COLUMNS]
+    order = ["fetched_at", *[c for c in tiebreak if c in raw_stream.columns], *staging.VALUE_ORDER]
 
     def merge(batch: DataFrame, epoch_id: int) -> None:
-        staged = staging.stage_prices(batch, tiebreak=tiebreak)
+        staged = staging.stage_prices(batch, tiebreak=tiebreak, keep=kept)
         sinks.upsert_table(batch.sparkSession, target_path, staged,
                            ["asset_id", "price_date"], "price_date", order=order)
 
-    w = (raw_stream.writeStream.foreachBatch(merge)
-         .option("checkpointLocation", _ckpt(spark, checkpoint, "upsert")))
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
-    return w.start()
+    return _started(raw_stream.writeStream.foreachBatch(merge), checkpoint, available_now)
 
 
 def weekly_stream(fact_stream: DataFrame, watermark: str = "14 days") -> DataFrame:
@@ -147,71 +146,66 @@ def weekly_stream(fact_stream: DataFrame, watermark: str = "14 days") -> DataFra
         pct_change("__close", "__open").alias("weekly_return_pct"))
 
 
-def stream_weekly(spark: SparkSession, fact_stream: DataFrame, out_path: str | None = None,
-                  query_name: str | None = None, checkpoint: str | None = None,
-                  watermark: str = "14 days", output_mode: str = "append",
-                  available_now: bool = True) -> StreamingQuery:
-    """Run ``weekly_stream`` into Parquet (append: a week is written once the
-    watermark passes its end) or into a memory table (for checks)."""
-    out = weekly_stream(fact_stream, watermark)
-    w = out.writeStream.outputMode(output_mode).option(
-        "checkpointLocation", _ckpt(spark, checkpoint, "weekly"))
-    if out_path:
-        w = w.format("parquet").option("path", out_path)
-    else:
-        w = w.format("memory").queryName(query_name or "weekly_stream")
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
-    return w.start()
+def stream_weekly(spark: SparkSession, fact_stream: DataFrame, out_path: str, checkpoint: str,
+                  watermark: str = "14 days", available_now: bool = True) -> StreamingQuery:
+    """Run ``weekly_stream`` into Parquet: a week is appended once the watermark
+    passes its end."""
+    w = weekly_stream(fact_stream, watermark).writeStream.outputMode("append").format("parquet").option("path", out_path)
+    return _started(w, checkpoint, available_now)
+
+
+def _tail_by_date(spark: SparkSession, stored: DataFrame, first: DataFrame, bounds, days: int) -> DataFrame:
+    """Each touched asset's 30-row tail: from the partitions of the last ``days``
+    days before the batch, and for the assets that are too sparse to have 30
+    rows there from the older ones as well."""
+    recent = stored.filter((F.col("price_date") >= F.date_sub(F.lit(bounds["lo"]), days)) &
+                           (F.col("price_date") < F.lit(bounds["hi"])))
+    tail = sinks.staged_copy(spark, incremental.stored_tail(recent, first), "tail")
+    short = first.join(tail.groupBy("asset_id").count().filter("count >= 30"), "asset_id", "left_anti")
+    short = sinks.staged_copy(spark, short, "short")
+    if short.isEmpty():
+        return tail
+    older = stored.filter(F.col("price_date") < F.lit(bounds["hi"]))
+    return tail.join(short, "asset_id", "left_anti").unionByName(incremental.stored_tail(older, short))
 
 
 def features_batch(spark: SparkSession, fact_path: str, staged_batch: DataFrame,
-                   late: str = "recompute") -> int:
-    """Merge one batch of staged rows into the fact table at ``fact_path``.
-
-    Assets whose new rows all follow their stored history get features from
-    a 30-row tail; new assets from the batch alone. Rows dated on or before an
-    asset's last stored date are late: ``late="recompute"`` recomputes those
-    assets from their stored base columns plus the batch, ``late="drop"``
-    ignores the late rows (the strict-watermark behaviour).
+                   late: str = "recompute", tail_days: int = 60) -> int:
+    """Merge one batch of staged rows into the fact table at ``fact_path``;
+    returns the rows written.
+
+    Features are computed per touched asset from its first incoming date on,
+    after a 30-row stored tail, and only rows that differ from the stored ones
+    are merged. ``late="drop"`` ignores rows dated on or before an asset's last
+    stored date (the strict-watermark behaviour).
     """
     keys = ["asset_id", "price_date"]
+    if late not in ("recompute", "drop"):
+        raise ValueError(f"unknown late policy {late!r}")
     if not sinks.table_exists(spark, fact_path):
         return sinks.write_table(marts.fact_daily(staged_batch), fact_path, "overwrite",
                                  ["price_date"], ["asset_id"])
     stored = spark.read.parquet(fact_path).select(*marts.FACT_COLUMNS)
     if late == "drop":
         last = stored.groupBy("asset_id").agg(F.max("price_date").alias("__last"))
-        fresh = staged_batch.join(last, "asset_id", "left").filter(
+        staged_batch = staged_batch.join(last, "asset_id", "left").filter(
             F.col("__last").isNull() | (F.col("price_date") > F.col("__last"))).drop("__last")
-        return sinks.upsert_table(spark, fact_path,
-                                  incremental.incremental_features(stored, fresh), keys,
-                                  "price_date")
-    if late != "recompute":
-        raise ValueError(f"unknown late policy {late!r}")
-    # a late row is dated on or before its asset's last stored date, so only
-    # stored rows from the batch's first date on can reveal one: the date
-    # bound (a scalar subquery) prunes the fact's partitions
-    first_new = staged_batch.agg(F.min("price_date")).scalar()
-    late = incremental.late_assets(stored.filter(F.col("price_date") >= first_new),
-                                   staged_batch)
-    on_time = staged_batch.join(late, "asset_id", "left_anti")
-    fast = incremental.incremental_features(stored, on_time)
-    base_cols = marts.RETURNS_COLUMNS[:8]
-    late_stored = stored.join(late, "asset_id", "left_semi").select(*base_cols)
-    late_batch = staged_batch.join(late, "asset_id", "left_semi").select(*base_cols)
-    redo = marts.fact_daily(sinks.upsert(late_stored, late_batch, keys))
-    changed = fast.unionByName(redo)
-    return sinks.upsert_table(spark, fact_path, changed, keys, "price_date")
+    batch = sinks.staged_copy(spark, staged_batch.select(*marts.RETURNS_COLUMNS[:8]), "features-batch")
+    bounds = batch.agg(F.min("price_date").alias("lo"), F.max("price_date").alias("hi")).first()
+    if bounds["lo"] is None:
+        return 0
+    first = batch.groupBy("asset_id").agg(F.min("price_date").alias("__first"))
+    tail = _tail_by_date(spark, stored, first, bounds, tail_days)
+    since = stored.filter(F.col("price_date") >= F.lit(bounds["lo"]))      # prunes the partitions
+    computed = incremental.incremental_features(since, batch, tail=tail)
+    return sinks.upsert_table(spark, fact_path, incremental.changed_rows(computed, since), keys, "price_date")
 
 
 def stream_features(spark: SparkSession, raw_stream: DataFrame, fact_path: str,
-                    checkpoint: str | None = None, tiebreak: Sequence[str] = ("source_ts",),
+                    checkpoint: str, tiebreak: Sequence[str] = ("source_ts",),
                     available_now: bool = True, late: str = "recompute") -> StreamingQuery:
     def run(batch: DataFrame, epoch_id: int) -> None:
         features_batch(batch.sparkSession, fact_path,
                        staging.stage_prices(batch, tiebreak=tiebreak), late)
 
-    w = (raw_stream.writeStream.foreachBatch(run)
-         .option("checkpointLocation", _ckpt(spark, checkpoint, "features")))
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
-    return w.start()
+    return _started(raw_stream.writeStream.foreachBatch(run), checkpoint, available_now)

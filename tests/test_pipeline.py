@@ -1,8 +1,10 @@
 """The daily job end to end: land payloads, ingest twice, build twice, check."""
 
 import datetime as dt
+import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF001
@@ -30,13 +32,10 @@ def rows_of(df):
     return sorted(out, key=repr)
 
 
-import pytest
-
-
 @pytest.mark.parametrize("mode", ["per_asset", "tail"])
 def test_ingest_build_check(spark, tmp_path, mode):
-    charts = fx.f4_chart_payloads(spark, SF001)
-    candles = fx.f4_candle_payloads(spark, SF001)
+    charts = fx.f4_chart_payloads(spark, SF001, 256)
+    candles = fx.f4_candle_payloads(spark, SF001, 256)
     info = fx.f3_info_payloads(spark, SF001)
     root, landing = str(tmp_path / "lake"), str(tmp_path / "landing")
     wl = str(tmp_path / "watchlist")
@@ -90,3 +89,90 @@ def test_ingest_build_check(spark, tmp_path, mode):
     assert pipeline.load_dim_assets(spark, root).count() == dim.count()
     assert pipeline.load_weekly(spark, root, AS_OF).count() > 0
     assert pipeline.load_pipeline_status(spark, root, AS_OF).count() > 0
+
+
+# ---- the daily run, late files and refreshes -------------------------------------
+
+def chart(days, price):
+    ms = lambda d: 1000.0 * (d - dt.date(1970, 1, 1)).days * 86400
+    return {"prices": [[ms(d), price(d)] for d in days], "market_caps": [], "total_volumes": []}
+
+
+def fetch(tmp, name, assets, fetched, days, price):
+    """Land one fetch of the assets' charts; returns the landing folder."""
+    for kind in ("market_chart", "candles", "info"):
+        os.makedirs(tmp / name / kind)
+        (tmp / name / kind / "none.json").write_text("")
+    for a in assets:
+        env = {"asset_id": a, "fetched_at": fetched, "payload": chart(days, price)}
+        (tmp / name / "market_chart" / f"{a}.json").write_text(json.dumps(env) + "\n")
+        info = {"asset_id": a, "fetched_at": fetched, "payload": {"id": a, "name": a.upper(), "symbol": a}}
+        (tmp / name / "info" / f"{a}.json").write_text(json.dumps(info) + "\n")
+    return str(tmp / name)
+
+
+def daterange(first, last):
+    return [first + dt.timedelta(days=k) for k in range((last - first).days + 1)]
+
+
+@pytest.fixture()
+def lake(spark, tmp_path):
+    (tmp_path / "wl.csv").write_text("coin_id,name,symbol,category\n" + "".join(f"a{k},A{k},s{k},c\n" for k in range(3)))
+    root = str(tmp_path / "lake")
+    full = daterange(dt.date(2024, 1, 1), dt.date(2024, 4, 10))
+    land0 = fetch(tmp_path, "full", ("a0", "a1", "a2"), "2024-04-10T06:00:00", full, lambda d: 10.0 + d.toordinal() % 17)
+    pipeline.ingest(spark, land0, root, dt.date(2024, 4, 10), full_refresh=True)
+    built = pipeline.build(spark, root, str(tmp_path / "wl.csv"), dt.date(2024, 4, 10))
+    assert built["fact_rows_written"] == 303
+    return tmp_path, root
+
+
+def build_and_compare(spark, tmp, root, as_of):
+    out = pipeline.build(spark, root, str(tmp / "wl.csv"), as_of)
+    want = marts.fact_daily(pipeline.staged_prices(spark, root))
+    assert rows_of(spark.read.parquet(f"{root}/marts/fact_daily").select(*marts.FACT_COLUMNS)) == rows_of(want)
+    assert rows_of(spark.read.parquet(f"{root}/marts/weekly").select(*marts.WEEKLY_COLUMNS)) == rows_of(marts.weekly_rollup(want))
+    return out
+
+
+def test_two_daily_runs_then_an_older_fetch(spark, lake):
+    tmp, root = lake
+    assets = ("a0", "a1", "a2")
+    for k, day in enumerate((dt.date(2024, 4, 11), dt.date(2024, 4, 12))):
+        land_k = fetch(tmp, f"d{k}", assets, f"{day}T06:00:00", daterange(day - dt.timedelta(days=2), day),
+                       lambda d: 10.0 + d.toordinal() % 17)
+        assert pipeline.ingest(spark, land_k, root, day).price_rows == 9       # two days of history and today
+        assert build_and_compare(spark, tmp, root, day)["fact_rows_written"] == 3
+    # a file with older fetch times lands last: an asset never seen, and a value that must lose
+    days = daterange(dt.date(2024, 4, 9), dt.date(2024, 4, 10))
+    late = fetch(tmp, "late", ("a9", "a1"), "2024-04-09T01:00:00", days, lambda d: 77.0)
+    pipeline.ingest(spark, late, root, dt.date(2024, 4, 11))
+    build_and_compare(spark, tmp, root, dt.date(2024, 4, 12))
+    fact = {(r.asset_id, r.price_date): r.close_usd for r in spark.read.parquet(f"{root}/marts/fact_daily").collect()}
+    assert fact["a9", dt.date(2024, 4, 10)] == 77.0 and fact["a1", dt.date(2024, 4, 10)] != 77.0
+    assert pipeline.build(spark, root, str(tmp / "wl.csv"), dt.date(2024, 4, 12))["fact_rows_written"] == 0
+
+
+def test_refresh_of_a_subset_keeps_other_assets(spark, lake):
+    tmp, root = lake
+    day = dt.date(2024, 4, 10)
+    short = daterange(dt.date(2024, 4, 1), day)
+    again = fetch(tmp, "again", ("a0",), "2024-04-10T06:00:00", short, lambda d: 50.0)
+    pipeline.ingest(spark, again, root, day, full_refresh=True, assets=["a0"])
+    counts = {r.asset_id: r["count"] for r in spark.read.parquet(f"{root}/raw/prices").groupBy("asset_id").count().collect()}
+    assert counts == {"a0": 10, "a1": 101, "a2": 101}
+    meta = spark.read.parquet(f"{root}/raw/asset_metadata").groupBy("asset_id").count().collect()
+    assert {r.asset_id: r["count"] for r in meta} == {"a0": 1, "a1": 1, "a2": 1}
+    build_and_compare(spark, tmp, root, day)
+    pipeline.ingest(spark, again, root, day, full_refresh=True, scope="all")
+    assert {r.asset_id for r in spark.read.parquet(f"{root}/raw/prices").collect()} == {"a0"}
+    assert spark.read.parquet(f"{root}/raw/asset_metadata").count() == 1
+    build_and_compare(spark, tmp, root, day)
+
+
+def test_declared_tests_can_fail(spark):
+    from pricelake.operators import quality
+    from pricelake.plans.queries import q_dq_summary
+    got = {r.test_name: r.failures for r in q_dq_summary(spark, SF001).collect()}
+    assert set(got) == {c.name for c in quality.declared_checks()} and len(got) >= 40
+    assert got["raw_metadata.unique_asset_id"] > 0

@@ -120,12 +120,15 @@ def _land(tmp_path, name, payload_df):
 
 
 def test_stream_raw_equals_batch(spark, tmp_path):
-    charts = fx.f4_chart_payloads(spark, SF001)
+    charts = fx.f4_chart_payloads(spark, SF001, 128)
     good, _ = pl.split_payloads(charts, "market_chart")
     land = _land(tmp_path, "landing", charts.drop("chunk"))
     out = str(tmp_path / "raw_out")
-    q = jobs.stream_raw(spark, land, out)
-    q.awaitTermination()
+    ck = str(tmp_path / "ck_raw")
+    jobs.stream_raw(spark, land, out, ck).awaitTermination()
+    jobs.stream_raw(spark, land, out, ck).awaitTermination()      # a restart reads nothing twice
+    with pytest.raises(ValueError, match="checkpoint"):
+        jobs.stream_raw(spark, land, out, "")
     got = spark.read.parquet(out).select(*schemas.PRICE_COLUMNS, "source_ts")
     exp = pl.parse_market_chart(good).select(*schemas.PRICE_COLUMNS, "source_ts")
     assert rows_of(got) == rows_of(exp)
@@ -149,18 +152,35 @@ def test_stream_upsert_two_batches_equals_batch_dedup(spark, tmp_path):
     assert rows_of(got) == rows_of(exp)
 
 
+def test_stream_upsert_tie_over_two_batches_and_replay(spark, tmp_path):
+    """Two points of one fetch and date in different micro-batches: the later
+    source time wins, in either order of arrival."""
+    f = T(2024, 1, 2)
+    rows = price_rows(spark, [("a", D(2024, 1, 1), 9.0, f), ("a", D(2024, 1, 1), 5.0, f)]).withColumn(
+        "source_ts", F.when(F.col("close_usd") == 9.0, F.lit("2024-01-01 01:00:00")).otherwise(F.lit("2024-01-01 02:00:00"))
+        .cast("timestamp_ntz"))
+    want = rows_of(staging.stage_prices(rows))
+    for first, second in ((9.0, 5.0), (5.0, 9.0)):
+        src, out = str(tmp_path / f"s{first}"), str(tmp_path / f"t{first}")
+        for k, close in enumerate((first, second, first)):       # the last delivery is a replay
+            rows.filter(F.col("close_usd") == close).write.parquet(f"{src}/b{k}")
+            stream = spark.readStream.schema(rows.schema).parquet(src + "/*")
+            jobs.stream_upsert(spark, stream, out, str(tmp_path / f"ck{first}")).awaitTermination()
+        assert rows_of(spark.read.parquet(out).select(*schemas.PRICE_COLUMNS)) == want
+
+
 def test_stream_weekly_equals_batch(spark, tmp_path):
+    """Weeks that the watermark has passed equal the batch roll-up."""
     f2 = staging.stage_prices(fx.f2_raw_prices(spark, SF001), tiebreak=fx.F2_TIEBREAK)
     fact = marts.fact_daily(f2)
-    src = str(tmp_path / "fact")
-    fact.write.parquet(src)
-    stream = spark.readStream.schema(fact.schema).parquet(src)
-    q = jobs.stream_weekly(spark, stream, query_name="weekly_chk", output_mode="complete",
-                           checkpoint=str(tmp_path / "ck_w"))
-    q.awaitTermination()
-    got = spark.table("weekly_chk").select(*marts.WEEKLY_COLUMNS)
-    exp = marts.weekly_rollup(fact)
-    assert rows_of(got) == rows_of(exp)
+    src, out = str(tmp_path / "fact"), str(tmp_path / "weeks")
+    fact.write.parquet(src + "/b1")
+    # a far later row moves the watermark past every week
+    fact.limit(1).withColumn("price_date", F.lit("2030-01-01").cast("date")).write.parquet(src + "/b2")
+    stream = spark.readStream.schema(fact.schema).parquet(src + "/*")
+    jobs.stream_weekly(spark, stream, out, str(tmp_path / "ck_w")).awaitTermination()
+    got = spark.read.parquet(out).select(*marts.WEEKLY_COLUMNS)
+    assert rows_of(got) == rows_of(marts.weekly_rollup(fact))
 
 
 def test_stream_features_equals_full(spark, tmp_path):
@@ -220,8 +240,7 @@ def test_stream_weekly_append_watermark_drops_late_rows(spark, tmp_path):
 
     def run():
         stream = spark.readStream.schema(fact_schema_src.schema).parquet(f"{src}/*")
-        jobs.stream_weekly(spark, stream, out_path=out, checkpoint=ck, watermark="2 days",
-                           output_mode="append").awaitTermination()
+        jobs.stream_weekly(spark, stream, out, ck, watermark="2 days").awaitTermination()
 
     land([("a", D(2024, 1, d), float(d), f) for d in range(7, 14)], "b1")   # week of Jan 7
     land([("a", D(2024, 1, 22), 22.0, f)], "b2")                         # moves the watermark
@@ -235,8 +254,8 @@ def test_stream_weekly_append_watermark_drops_late_rows(spark, tmp_path):
 
 
 def test_stream_ingest_with_candles_equals_batch(spark, tmp_path):
-    charts = fx.f4_chart_payloads(spark, SF001).drop("chunk")
-    candles = fx.f4_candle_payloads(spark, SF001).drop("chunk")
+    charts = fx.f4_chart_payloads(spark, SF001, 128).drop("chunk")
+    candles = fx.f4_candle_payloads(spark, SF001, 128).drop("chunk")
     landing = tmp_path / "landing"
     landing.mkdir()
     _land(landing, "market_chart", charts)
@@ -247,6 +266,38 @@ def test_stream_ingest_with_candles_equals_batch(spark, tmp_path):
     exp = pl.merge_ohlc(good, candles).select(*schemas.PRICE_COLUMNS, "source_ts")
     got = spark.read.parquet(out).select(*schemas.PRICE_COLUMNS, "source_ts")
     assert rows_of(got) == rows_of(exp)
+    # the last epoch runs again: its commit is lost, its output is there
+    import glob
+    for c in glob.glob(str(tmp_path / "ck_i" / "commits" / "[0-9]*")) + glob.glob(str(tmp_path / "ck_i" / "commits" / ".[0-9]*")):
+        os.remove(c)
+    jobs.stream_ingest(spark, str(landing), out, str(tmp_path / "ck_i")).awaitTermination()
+    got = spark.read.parquet(out).select(*schemas.PRICE_COLUMNS, "source_ts")
+    assert rows_of(got) == rows_of(exp)
+
+
+def test_features_batch_writes_only_what_changes(spark, tmp_path):
+    """A daily fetch that repeats stored days and adds one."""
+    f, path = T(2024, 6, 1), str(tmp_path / "fact")
+    day = lambda k: D(2024, 1, 1) + dt.timedelta(days=k)
+    hist = [(a, day(k), 10.0 + (k * 7) % 13, f) for a in ("a", "b", "c") for k in range(101)]
+    jobs.features_batch(spark, path, staging.stage_prices(price_rows(spark, hist)))
+    fetch = [r for r in hist if r[1] >= day(99)] + [(a, day(101), 12.0, f) for a in ("a", "b", "c")]
+    assert jobs.features_batch(spark, path, staging.stage_prices(price_rows(spark, fetch))) == 3
+    fix = [("a", day(40), 99.0, T(2024, 6, 2))]                   # an old correction, in the running max
+    jobs.features_batch(spark, path, staging.stage_prices(price_rows(spark, fix)))
+    rows = [r for r in hist if (r[0], r[1]) != ("a", day(40))] + fix + fetch[-3:]
+    exp = marts.fact_daily(staging.stage_prices(price_rows(spark, rows)))
+    assert rows_of(spark.read.parquet(path).select(*marts.FACT_COLUMNS)) == rows_of(exp)
+
+
+def test_sparse_series_take_their_tail_from_older_partitions(spark, tmp_path):
+    f, path = T(2024, 6, 1), str(tmp_path / "fact")
+    hist = [("a", D(2015, 1, 1) + dt.timedelta(days=60 * k), float(k % 9 + 1), f) for k in range(50)]
+    new = [("a", D(2024, 1, 1), 4.0, f), ("new", D(2024, 1, 1), 4.0, f)]
+    jobs.features_batch(spark, path, staging.stage_prices(price_rows(spark, hist)))
+    jobs.features_batch(spark, path, staging.stage_prices(price_rows(spark, new)))
+    exp = marts.fact_daily(staging.stage_prices(price_rows(spark, hist + new)))
+    assert rows_of(spark.read.parquet(path).select(*marts.FACT_COLUMNS)) == rows_of(exp)
 
 
 def test_weekly_windows_ignore_session_time_zone(spark):
