@@ -152,11 +152,6 @@ def f3_dim(spark, sf):
     return marts.dim_assets(wl, meta, latest, fx.F1_AS_OF)
 
 
-@register("q_watchlist_scan")
-def q_watchlist_scan(spark, sf):
-    return staging.typed(fx.f3_watchlist(spark, sf), schemas.WATCHLIST)
-
-
 @register("q_parse_metadata")
 def q_parse_metadata(spark, sf):
     return rounded(f3_metadata_raw(spark, sf))
@@ -327,6 +322,7 @@ def q_risk_return(spark, sf):
 
 # ---- reshapes (fixture F2: one series per event type, every day present) -------
 
+# the chosen assets of the reshapes: a selection, other event types are not shown
 F2_ASSETS = ["click", "error", "purchase", "signup", "view"]
 
 
