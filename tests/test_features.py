@@ -1,4 +1,4 @@
-"""Golden values on the reference's three-day payload, and edge cases."""
+"""Values worked out by hand on a three-day payload (closes 8, 10, 9.5), and edge cases."""
 
 import datetime as dt
 import math
@@ -15,7 +15,7 @@ T = dt.datetime
 
 @pytest.fixture(scope="module")
 def fact(spark):
-    raw = pl.parse_market_chart(envelope_df(spark, [("bitcoin", FETCHED, CHART)], None))
+    raw = pl.parse_market_chart(envelope_df(spark, [("kelp", FETCHED, CHART)], None))
     return marts.fact_daily(staging.stage_prices(raw))
 
 
@@ -27,11 +27,11 @@ def close(a, b, tol=1e-9):
 
 def test_golden_fact(fact):
     rows = sorted(fact.collect(), key=lambda r: r.price_date)
+    dev = 30 / math.sqrt(2)              # sample deviation of the returns 25 and -5
     exp = [
-        (None, None, 42000.0, None, 42000.0, None, 0.0, 0.0),
-        (42000.0, 2.380952380952381, 42500.0, None, 43000.0, None, 0.0, 1.1764705882352942),
-        (43000.0, -3.488372093023256, 42166.666666666664, 4.150239136532338, 43000.0,
-         79.290207371388, -3.488372093023256, -1.5810276679841841),
+        (None, None, 8.0, None, 8.0, None, 0.0, 0.0),
+        (8.0, 25.0, 9.0, None, 10.0, None, 0.0, 100 / 9),
+        (10.0, -5.0, 27.5 / 3, dev, 10.0, dev * math.sqrt(365), -5.0, 100 * (28.5 / 27.5 - 1)),
     ]
     for r, e in zip(rows, exp):
         got = (r.prev_close_usd, r.daily_return_pct, r.sma_7d, r.return_stddev_30d,
@@ -45,12 +45,12 @@ def test_golden_week(fact):
     w = marts.weekly_rollup(fact).collect()
     assert len(w) == 1
     w = w[0]
-    assert w.week_start == D(2024, 1, 7)
-    assert (w.weekly_low, w.weekly_high, w.trading_days) == (41500.0, 43000.0, 3)
-    assert close(w.weekly_avg_close, 42166.666666666664)
-    assert close(w.weekly_return_stddev, 4.150239136532338)
-    assert close(w.annualised_volatility_weekly, 29.927800024409475)
-    assert close(w.weekly_return_pct, -1.1904761904761905)
+    assert w.week_start == D(2024, 3, 3)
+    assert (w.weekly_low, w.weekly_high, w.trading_days) == (8.0, 10.0, 3)
+    assert close(w.weekly_avg_close, 27.5 / 3)
+    assert close(w.weekly_return_stddev, 30 / math.sqrt(2))
+    assert close(w.annualised_volatility_weekly, 30 / math.sqrt(2) * math.sqrt(52))
+    assert close(w.weekly_return_pct, 18.75)
 
 
 def test_dedup_tie_later_point_wins(spark):
