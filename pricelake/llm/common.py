@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import ctypes.util
 import os
 import tempfile
 import uuid
@@ -16,17 +18,21 @@ import pricelake
 from pricelake.session import scratch_path
 
 #: A staged side of a join is broadcast only up to this many bytes (rows x row width).
-BROADCAST_BYTES = 48 << 20
+BROADCAST_BYTES = 16 << 20
 
 #: White space of the word and copy definitions, as a Java/Python regex class body.
 WHITE = r"\x20\x09-\x0D"
 
 
+_BATCH, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "1000"
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the Python workers, once per application."""
+    """Send this package to the Python workers, once per application, and bound
+    the rows a worker holds at once unless the session sets them."""
+    if spark.conf.get(_BATCH) == "10000":        # Spark's default: texts are long, so take fewer at once
+        spark.conf.set(_BATCH, BATCH_ROWS)
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return
@@ -70,6 +76,18 @@ def join_staged(left: DataFrame, staged: DataFrame, on, how: str = "left",
     return left.join(staged.hint("merge"), on, how)
 
 
+def released(fn):
+    """``fn`` over a task's batches, then its memory handed back to the system:
+    Spark keeps idle workers, and an allocator keeps what they once used."""
+    def run(batches):
+        yield from fn(batches)
+        pa.default_memory_pool().release_unused()
+        libc = ctypes.util.find_library("c")
+        if libc and hasattr(trim := ctypes.CDLL(libc), "malloc_trim"):
+            trim.malloc_trim(0)
+    return run
+
+
 #: Stands for a null id in joins.
 NO_ID = -(1 << 63)
 

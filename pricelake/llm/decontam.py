@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricelake.llm import textvec
-from pricelake.llm.common import join_staged, stage, without
+from pricelake.llm.common import join_staged, released, stage, without
 
 GRAM, BLOCK = 3, 2
 SEED_SHARE = 0.15
@@ -156,10 +156,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     end_word (of the aligned passage in the document), seeds."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     items = stage(benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).alias("text"))
-                  .mapInArrow(_items, "item_id long, words binary, grams array<bigint>")
+                  .mapInArrow(released(_items), "item_id long, words binary, grams array<bigint>")
                   .withColumn("row", F.xxhash64("item_id", "words")).dropDuplicates(["row"]), "items")
     grams = stage(items.select("row", F.size("grams").alias("n_grams"), F.posexplode("grams").alias("at", "gram")), "grams")
-    counts = docs.select("text").mapInArrow(_counts(_bitmap(grams)), "gram long, n long") \
+    counts = docs.select("text").mapInArrow(released(_counts(_bitmap(grams))), "gram long, n long") \
         .groupBy("gram").agg(F.sum("n").alias("n"))
     known = stage(join_staged(counts, stage(grams.select("gram").distinct(), "known"), "gram", "inner", row_bytes=16), "counts")
     rarest = F.min(F.struct(F.coalesce("n", F.lit(0).cast("long")).alias("n"), "gram", "at"))
@@ -169,14 +169,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                 F.greatest(F.lit(1), F.floor(F.ceil(F.col("n_grams") / BLOCK) * SEED_SHARE)).alias("need"))
     seeds = stage(seeds, "seeds")
     reach = items.agg(F.max(F.octet_length("words"))).first()[0] or 0
-    passages = stage(docs.mapInArrow(_passages(_bitmap(seeds), reach // 8), _PASSAGE), "passages")
+    passages = stage(docs.mapInArrow(released(_passages(_bitmap(seeds), reach // 8)), _PASSAGE), "passages")
     hits = join_staged(passages.select("pid", F.inline("hits")), seeds, "gram", "inner", row_bytes=40)
     pairs = stage(hits.groupBy("pid", "row").agg(F.countDistinct("block").alias("seeds"), F.first("need").alias("need"))
                   .filter("seeds >= need").select("pid", "row", "seeds"), "pairs")
     both = join_staged(passages.select("pid", "doc_id", "first", F.col("words").alias("passage")), pairs, "pid", "inner", row_bytes=32)
     both = join_staged(both, items.select("row", "item_id", "words"), "row", "inner", row_bytes=max(64, reach + 32))
     aligned = both.select("doc_id", "item_id", "first", "seeds", "passage", "words").mapInArrow(
-        _align, "doc_id long, item_id long, score double, start_word long, end_word long, seeds long")
+        released(_align), "doc_id long, item_id long, score double, start_word long, end_word long, seeds long")
     best = F.max(F.struct("score", (-F.col("start_word")).alias("s"), "end_word", "seeds")).alias("b")
     return aligned.groupBy("doc_id", "item_id").agg(best).select(
         "doc_id", "item_id", "b.score", (-F.col("b.s")).alias("start_word"), "b.end_word", "b.seeds")

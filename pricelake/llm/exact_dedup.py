@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricelake.llm.common import WHITE, join_staged, stage
+from pricelake.llm.common import WHITE, join_staged, released, stage
 
 SLOTS_PER_ROW = 10
 MAX_FILTER_BYTES = 128 << 20
@@ -100,7 +100,7 @@ def repeat_filter(digests: DataFrame, blocks: int) -> DataFrame:
     sha = F.col("sha")
     lists = digests.select(_block(sha, blocks).alias("block"),
                            *[_probe(sha, k).alias(f"s{k}") for k in range(PROBES)]) \
-        .mapInArrow(_slot_lists, "block int, once binary, again binary")
+        .mapInArrow(released(_slot_lists), "block int, once binary, again binary")
     return lists.groupBy("block").applyInArrow(_repeat_bits, "block int, bits array<bigint>")
 
 

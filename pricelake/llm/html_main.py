@@ -33,6 +33,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pricelake.llm.common import released
+
 # Element classes of HTML.
 DROPPED = ("script", "style", "noscript", "template", "svg", "iframe", "object", "canvas", "math", "head", "title",
            "textarea", "select", "button", "option")
@@ -284,4 +286,4 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     """One row per page: page_id, url, text."""
     model = model or train(labelled())
     return pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"),
-                        F.col(html_col).alias("html")).mapInArrow(_extractor(model), "page_id long, url string, text string")
+                        F.col(html_col).alias("html")).mapInArrow(released(_extractor(model)), "page_id long, url string, text string")

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricelake.llm import textvec
-from pricelake.llm.common import NO_ID, join_staged, sorted_groups, stage, without
+from pricelake.llm.common import NO_ID, join_staged, released, sorted_groups, stage, without
 from pricelake.llm.components import Forest, components
 
 SHINGLE = 5
@@ -186,7 +186,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ``num / den``; ``component_id`` is the smallest doc_id of the group.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    signed = stage(docs.mapInArrow(_sign, "doc_id long, n_shingles long, node long, sig binary, keys array<bigint>"), "signed")
+    signed = stage(docs.mapInArrow(released(_sign), "doc_id long, n_shingles long, node long, sig binary, keys array<bigint>"), "signed")
     reps = stage(signed.filter("node is not null").groupBy("node").agg(
         F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("n_shingles").alias("n_shingles"),
         F.first("sig").alias("sig"), F.first("keys").alias("keys")), "reps")
@@ -198,7 +198,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     met = stage(met, "regions")
     met = join_staged(met, reps.select("node", "sig"), "node", "inner", row_bytes=VALUES + 24)
     edges = (met.select("region", "node", "tree", "sig").repartition("region").sortWithinPartitions("region", "node")
-             .mapInArrow(_regions, "a long, b long"))
+             .mapInArrow(released(_regions), "a long, b long"))
     blocks = components(edges)
 
     # blocks: every two parts of a block meet
@@ -214,7 +214,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     dealt = stage(dealt, "dealt")
     texts = join_staged(docs.withColumn("__id", F.coalesce("doc_id", F.lit(NO_ID))), dealt, "__id", "inner", row_bytes=32)
     links = (texts.select("group", "node", "text").repartition("group").sortWithinPartitions("group")
-             .mapInArrow(_verifier(num, den), "a long, b long"))
+             .mapInArrow(released(_verifier(num, den)), "a long, b long"))
     groups = components(links)
 
     # names: the smallest doc_id of all copies of all nodes of a group

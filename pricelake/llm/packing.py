@@ -29,6 +29,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from pricelake.llm.common import released
+
 POOL_TOKENS = 1 << 20
 STEP_TOKENS = 1 << 16
 MAX_LEN = 2048
@@ -192,4 +194,4 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_le
         raise ValueError("max_len must be a power of two, 128 at least")
     from pyspark.sql import functions as F
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")) \
-        .mapInArrow(_packer(max_len, tokenizer), SCHEMA)
+        .mapInArrow(released(_packer(max_len, tokenizer)), SCHEMA)

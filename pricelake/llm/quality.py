@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from pricelake.llm import textvec
-from pricelake.llm.common import stage
+from pricelake.llm.common import released, stage
 
 BITS = 18
 GRAMS = (1, 2)
@@ -71,9 +71,9 @@ def ftrl(rows: list[tuple[np.ndarray, np.ndarray, int]]) -> np.ndarray:
     def weights(zz, nn):
         return np.where(np.abs(zz) <= L1, 0.0, -(zz - np.sign(zz) * L1) / ((BETA + np.sqrt(nn)) / ALPHA + L2))
 
-    rows = [(np.append(p, size - 1), np.append(v, 1.0), y) for p, v, y in rows]
     for _ in range(EPOCHS):
         for p, v, y in rows:
+            p, v = np.append(p, size - 1), np.append(v, 1.0)
             zz, nn = z[p], n[p]
             w = weights(zz, nn)
             g = (1.0 / (1.0 + np.exp(-np.clip(w @ v, -35, 35))) - y) * v
@@ -86,7 +86,7 @@ def ftrl(rows: list[tuple[np.ndarray, np.ndarray, int]]) -> np.ndarray:
 def _fit(batches):
     rows = []
     for b in batches:
-        rows += [(np.frombuffer(p.as_py(), "<i4").astype(np.int64), np.frombuffer(v.as_py(), "<f4").astype(float), y.as_py())
+        rows += [(np.frombuffer(p.as_py(), "<i4"), np.frombuffer(v.as_py(), "<f4"), y.as_py())
                  for y, p, v in zip(b.column(1), b.column(2), b.column(3), strict=True)]
     w = ftrl(rows)
     at = np.flatnonzero(w)
@@ -104,8 +104,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     sample = stage(sample, "sample")
     rows = (docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).join(F.broadcast(sample), "__id")
             .select("__rank", F.col("__label").cast("int"), "__text")
-            .mapInArrow(_featurize, "rank long, label int, places binary, vals binary"))
-    weights = rows.repartition(1).sortWithinPartitions("rank", "places").mapInArrow(_fit, "place long, weight double")
+            .mapInArrow(released(_featurize), "rank long, label int, places binary, vals binary"))
+    weights = rows.repartition(1).sortWithinPartitions("rank", "places").mapInArrow(released(_fit), "place long, weight double")
     out = np.zeros((1 << BITS) + 1)
     found = weights.toArrow()            # at most 2 ** BITS + 1 rows
     out[found.column("place").to_numpy()] = found.column("weight").to_numpy()
@@ -128,7 +128,7 @@ def score(docs: DataFrame, weights: np.ndarray, text_col: str = "text", keep: li
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep or docs.columns]).alias("row"),
                          F.col(text_col).alias("text"))
     schema = StructType([packed.schema["row"], StructField("score", DoubleType())])
-    return packed.mapInArrow(_scorer(shared), schema)
+    return packed.mapInArrow(released(_scorer(shared)), schema)
 
 
 def drop_rejected(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

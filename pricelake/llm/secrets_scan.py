@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pricelake.llm.common import released
+
 # Kinds in their order, and the base patterns.
 BASE = ("assign", "access", "hex")
 KINDS = (*BASE, "identifier", "secret", "endpoint")
@@ -126,7 +128,7 @@ def _scan(batches):
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, spans (kind, start, end, value) by start."""
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        _scan, "doc_id long, spans array<struct<kind string, start bigint, end bigint, value string>>")
+        released(_scan), "doc_id long, spans array<struct<kind string, start bigint, end bigint, value string>>")
 
 
 def span_text(spans: Column) -> Column:

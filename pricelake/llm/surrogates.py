@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-from pricelake.llm.common import stage
+from pricelake.llm.common import released, stage
 
 KEY = b"change me: the secret of one release"
 MAX_RETRIES = 200_000
@@ -265,8 +265,8 @@ def _draw(key: bytes, syllables):
 
 def retried(docs: DataFrame, key: bytes, text_col: str, syllables: tuple[int, int] = SYLLABLE_COUNTS) -> dict[tuple[str, str], int]:
     """The values whose first surrogate collided, with the attempt that did not."""
-    values = stage(docs.select(F.col(text_col).alias("text")).mapInArrow(_values, "kind string, value string").distinct(), "values")
-    drawn = values.withColumn("attempt", F.lit(0)).mapInArrow(_draw(key, syllables), "kind string, value string, attempt int, new string")
+    values = stage(docs.select(F.col(text_col).alias("text")).mapInArrow(released(_values), "kind string, value string").distinct(), "values")
+    drawn = values.withColumn("attempt", F.lit(0)).mapInArrow(released(_draw(key, syllables)), "kind string, value string, attempt int, new string")
     while True:
         drawn = stage(drawn, "drawn")
         order = Window.partitionBy("kind", "new").orderBy(F.col("attempt"), "value")
@@ -275,7 +275,7 @@ def retried(docs: DataFrame, key: bytes, text_col: str, syllables: tuple[int, in
                       .filter((F.col("rank") > 1) | F.col("real")).select("kind", "value", (F.col("attempt") + 1).alias("attempt")), "clash")
         if clash.isEmpty():
             break
-        again = clash.mapInArrow(_draw(key, syllables), "kind string, value string, attempt int, new string")
+        again = clash.mapInArrow(released(_draw(key, syllables)), "kind string, value string, attempt int, new string")
         drawn = drawn.join(clash.select("kind", "value"), ["kind", "value"], "left_anti").unionByName(again)
     late = drawn.filter("attempt > 0")
     if late.count() > MAX_RETRIES:
@@ -314,4 +314,4 @@ def pseudonymise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     shared = docs.sparkSession.sparkContext.broadcast(retried(docs, key, text_col, syllables))
     schema = StructType([StructField("doc_id", LongType()), StructField("text", StringType()), StructField("spans", _SPANS)])
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")) \
-        .mapInArrow(_replacer(key, shared, syllables), schema)
+        .mapInArrow(released(_replacer(key, shared, syllables)), schema)

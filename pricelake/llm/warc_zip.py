@@ -36,7 +36,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelake.llm.common import join_staged, stage
+from pricelake.llm.common import join_staged, released, stage
 from pricelake.session import scratch_path
 
 PACKAGE_BYTES = 16 << 20
@@ -208,7 +208,7 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     revisit = F.coalesce("shared", F.lit(False)) & ~F.col("page_id").eqNullSafe(F.col("first"))
     tagged = join_staged(rows, first, "digest", "left", row_bytes=120).select(
         "page_id", "url", "html", "digest", F.when(revisit, F.col("first")).alias("refers_to"), revisit.alias("revisit"))
-    return stage(tagged.mapInArrow(_writer(folder), "package string, bytes long, records long"), "manifest")
+    return stage(tagged.mapInArrow(released(_writer(folder)), "package string, bytes long, records long"), "manifest")
 
 
 def _locate(batches):
@@ -262,9 +262,9 @@ def _batch(out):
 
 def read_archives(manifest: DataFrame) -> DataFrame:
     """One row per record of the packages, dealt by ranges of the packages."""
-    places = manifest.select("package").mapInArrow(_locate, "package string, offset long, length long")
+    places = manifest.select("package").mapInArrow(released(_locate), "package string, offset long, length long")
     deal = F.floor(F.col("offset") / RANGE_BYTES)
-    return places.repartition("package", deal).sortWithinPartitions("package", "offset").mapInArrow(_read, _RECORD)
+    return places.repartition("package", deal).sortWithinPartitions("package", "offset").mapInArrow(released(_read), _RECORD)
 
 
 def archive_folder(spark: SparkSession) -> str:
