@@ -1,9 +1,11 @@
-"""Connected components of an edge table by randomised contraction.
-
-Each round first contracts the edges a task holds with union-find, then hooks
-every vertex to its neighbour of least random priority and rewrites the edges;
-the expected number of vertices falls by a constant factor a round. Every
-intermediate table is staged; nothing is collected.
+"""Connected components of an edge table by contraction.
+
+Each round first contracts the edges a task holds with union-find (as few tasks
+as ``TASK_EDGES`` edges each allow), then hooks every vertex to its neighbour
+of least priority and rewrites the edges. The priority is the vertex itself in
+one round, so the tasks' stars fold at once, and random in the next, so the
+expected number of vertices falls by a constant factor whatever the order.
+Every intermediate table is staged; nothing is collected.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricelake.llm.common import join_staged, stage
+from pricelake.llm.common import join_staged, released, stage
 
 
 class Forest:
@@ -38,6 +40,7 @@ class Forest:
 
 
 EDGE_ROWS = 1 << 20
+TASK_EDGES = 1 << 14
 
 
 def _local(batches):
@@ -65,18 +68,27 @@ def _local(batches):
         yield stars()
 
 
+def _contracted(edges: DataFrame) -> DataFrame:
+    """Edges between different vertices, staged, after union-find in each task."""
+    e = stage(edges.select("a", "b").filter("a != b").mapInArrow(released(_local), "a long, b long"), "edges")
+    tasks = -(-e.count() // TASK_EDGES)
+    if 1 <= tasks < e.rdd.getNumPartitions():
+        e = stage(e.coalesce(tasks).mapInArrow(released(_local), "a long, b long"), "edges")
+    return e
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every vertex of ``edges`` (long columns a, b), staged.
 
     ``root`` is one vertex of the component, the same for all of it; a vertex
     without edges does not appear.
     """
-    e = stage(edges.select("a", "b").filter("a != b").mapInArrow(_local, "a long, b long"), "edges")
-    label = nodes = stage(e.select(F.col("a").alias("node")).union(e.select("b")).distinct()
-                          .select("node", F.col("node").alias("root")), "nodes")
+    e = _contracted(edges)
+    label = stage(e.select(F.col("a").alias("node")).union(e.select("b")).distinct()
+                  .select("node", F.col("node").alias("root")), "nodes")
     step = 0
     while not e.isEmpty():
-        rank = lambda c, step=step: F.xxhash64(c, F.lit(step))
+        rank = (lambda c: F.xxhash64(c, F.lit(step))) if step % 2 else (lambda c: c)
         both = e.union(e.select("b", "a"))
         hook = both.groupBy("a").agg(F.min(F.struct(rank(F.col("b")).alias("r"), F.col("b").alias("v"))).alias("m"))
         hook = stage(hook.filter(F.col("m.r") < rank(F.col("a"))).select(F.col("a").alias("x"), F.col("m.v").alias("to")), "hook")
@@ -85,8 +97,7 @@ def components(edges: DataFrame) -> DataFrame:
             return join_staged(df, hook.withColumnRenamed("x", c), c, "left", row_bytes=24) \
                 .withColumn(c, F.coalesce("to", c)).drop("to")
 
-        e = moved(moved(e, "a"), "b").select("a", "b").filter("a != b").distinct()
-        e = stage(e.mapInArrow(_local, "a long, b long"), "edges")
+        e = _contracted(moved(moved(e, "a"), "b"))
         label = stage(moved(label, "root").select("node", "root"), "label")
         step += 1
-    return label if label is not nodes else nodes
+    return label

@@ -13,9 +13,9 @@
    order (adaptive depth). A spanning set of edges leaves a region, never its
    pairs.
 3. Blocks (components of these edges) gather their texts once; inside a block
-   the exact intersections come from posting lists. A block of over
-   ``BLOCK_SHINGLES`` shingles is dealt into parts, and every two parts meet
-   in a task of their own.
+   the exact intersections come from posting lists. A large block is dealt
+   into parts, about the square root of its size in number and none over
+   ``BLOCK_SHINGLES`` shingles, and every two parts meet on their own.
 4. Components of the confirmed links name the groups.
 
 A pair at similarity 0.85 shares no region with probability below 1e-6
@@ -46,7 +46,9 @@ VALUES = TREES * DEPTH
 #: Leaders, all unlike one another, after which a region's rest is taken a value deeper.
 REGION_LEADERS = 2048
 LEAD, LINK = 0.70, 0.40
-BLOCK_SHINGLES = 400_000
+#: A block's parts: as many as evens its tasks out, and so many that a part's
+#: shingles fit a task.
+EVEN_SHINGLES, BLOCK_SHINGLES = 5_000, 400_000
 
 U = np.uint64
 _FLIP = textvec.mix(np.arange(1, VALUES + 1, dtype=U) * U(0x9E3779B97F4A7C15))
@@ -204,7 +206,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # blocks: every two parts of a block meet
     sized = join_staged(reps.select("node", "rep", "n_shingles"), blocks.withColumnRenamed("root", "block"),
                         "node", "inner", row_bytes=24)
-    parts = F.ceil(F.col("total") / BLOCK_SHINGLES).cast("int")
+    parts = F.greatest(F.ceil(F.sqrt(F.col("total") / EVEN_SHINGLES)), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int")
     totals = stage(sized.groupBy("block").agg(F.sum("n_shingles").alias("total")).select("block", parts.alias("parts")), "totals")
     dealt = join_staged(sized, totals, "block", "inner", row_bytes=24) \
         .withColumn("i", F.pmod(F.xxhash64("node", F.lit(5)), F.col("parts"))) \
