@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import base64
 import bisect
+import re
 from functools import lru_cache
 
 import numpy as np
@@ -38,8 +39,8 @@ MIN_TIER = 128
 END_ID = 1
 TOKENIZER = "byte_bpe_50k"
 _SPECIAL = "<|endoftext|>"
-#: Below this code point the two libraries' character classes cannot differ.
-_PLAIN = "ɐ"
+#: Below these characters the two libraries' character classes cannot differ.
+_WIDE = re.compile("[\u0250-\U0010ffff]")
 
 SCHEMA = ("doc_id long, start long, length long, token_ids binary, doc_tokens long, "
           "sequence_id long, offset long, tier int, step_group long")
@@ -55,16 +56,19 @@ def encoder(name: str = TOKENIZER):
     """
     import public_tokenizers as public
     import tiktoken
-    from tokenizers import Tokenizer
 
-    exact = Tokenizer.from_file(public.path(f"{name}.json"))
     with open(public.path(f"{name}.tiktoken"), "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     fast = tiktoken.Encoding(name, pat_str=public.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
+    @lru_cache(maxsize=1)
+    def exact():
+        from tokenizers import Tokenizer
+        return Tokenizer.from_file(public.path(f"{name}.json"))
+
     def ids(text: str) -> list[int]:
-        if text and (max(text) >= _PLAIN or _SPECIAL in text):
-            return exact.encode(text, add_special_tokens=False).ids
+        if _WIDE.search(text) or _SPECIAL in text:
+            return exact().encode(text, add_special_tokens=False).ids
         return fast.encode_ordinary(text)
 
     return ids
