@@ -261,10 +261,14 @@ def _batch(out):
 
 
 def read_archives(manifest: DataFrame) -> DataFrame:
-    """One row per record of the packages, dealt by ranges of the packages."""
+    """One row per record of the packages, dealt by ranges of the packages to
+    tasks of about ``PACKAGE_BYTES`` of records each (the index rows alone are
+    too small for Spark to size the tasks by)."""
+    total = manifest.agg(F.sum("bytes")).first()[0] or 0
+    tasks = max(1, -(-total // PACKAGE_BYTES))
     places = manifest.select("package").mapInArrow(released(_locate), "package string, offset long, length long")
     deal = F.floor(F.col("offset") / RANGE_BYTES)
-    return places.repartition("package", deal).sortWithinPartitions("package", "offset").mapInArrow(released(_read), _RECORD)
+    return places.repartition(tasks, "package", deal).sortWithinPartitions("package", "offset").mapInArrow(released(_read), _RECORD)
 
 
 def archive_folder(spark: SparkSession) -> str:
