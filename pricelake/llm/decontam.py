@@ -1,15 +1,13 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
-
-1. Every ``GRAM``-word gram of the test items is counted over all documents: a
-   fixed bitmap of the items' grams picks the documents' grams worth emitting,
-   which are counted by task before they are summed.
-2. Of each ``BLOCK`` consecutive grams of an item the rarest is its seed, so an
-   unedited stretch of ``GRAM + 2 * BLOCK - 2`` words always holds one, however
-   common the passage has become in the documents.
-3. Passages are the stretches of a document around its seed hits, by the longest
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
+
+1. Every ``GRAM``-word gram of a test item is a seed, so an unedited stretch of
+   ``GRAM`` words always holds one, however rare or common it is in the
+   documents. A fixed bitmap of the seeds picks the documents' grams.
+2. Passages are the stretches of a document around its seed hits, by the longest
    item's length on either side. Passages and items meet by a join on seeds; a
-   pair goes on with at least ``SEED_SHARE`` of the item's seeds (one at least).
-4. The pair's words are aligned locally (match 2, mismatch and gap -1); the score
+   pair goes on with at least ``SEED_SHARE`` of half the item's seeds (one at
+   least). A copy without an unedited stretch of ``GRAM`` words is not met.
+3. The pair's words are aligned locally (match 2, mismatch and gap -1); the score
    is the best alignment over that of the whole item, 0 to 1, and a pair at
    ``SCORE`` or more is contaminated: an exact copy has 1, one with a fifth of
    its words replaced 0.7, half an item 0.5.
@@ -31,7 +29,7 @@ from pyspark.sql import functions as F
 from pricelake.llm import textvec
 from pricelake.llm.common import join_staged, released, stage, without
 
-GRAM, BLOCK = 3, 2
+GRAM = 3
 SEED_SHARE = 0.15
 MATCH, MISS, GAP = 2, -1, -1
 SCORE = 0.5
@@ -64,23 +62,6 @@ def _items(batches):
             "grams": pa.array([_grams(w) for _, w in rows], pa.list_(pa.int64()))})
 
 
-def _counts(shared):
-    def run(batches):
-        bits = shared.value
-        for b in batches:
-            found = []
-            for _, _, data, offsets in textvec.text_chunks(b.column(0)):
-                _, _, h, bounds = textvec.words(data, offsets, textvec.ALNUM)
-                g, at = textvec.ngrams(h, bounds, GRAM)
-                hit = bits[_bit(g)]
-                doc = np.searchsorted(bounds, at[hit], side="right")
-                pair = np.unique(np.stack([doc.astype(np.int64), g[hit].view(np.int64)]), axis=1)
-                found.append(pair[1])
-            gram, n = np.unique(np.concatenate(found or [np.zeros(0, np.int64)]), return_counts=True)
-            yield pa.RecordBatch.from_pydict({"gram": gram, "n": n.astype(np.int64)})
-    return run
-
-
 _PASSAGE = "pid long, doc_id long, first long, words binary, hits array<struct<gram bigint, at int>>"
 
 
@@ -159,19 +140,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                   .mapInArrow(released(_items), "item_id long, words binary, grams array<bigint>")
                   .withColumn("row", F.xxhash64("item_id", "words")).dropDuplicates(["row"]), "items")
     grams = stage(items.select("row", F.size("grams").alias("n_grams"), F.posexplode("grams").alias("at", "gram")), "grams")
-    counts = docs.select("text").mapInArrow(released(_counts(_bitmap(grams))), "gram long, n long") \
-        .groupBy("gram").agg(F.sum("n").alias("n"))
-    known = stage(join_staged(counts, stage(grams.select("gram").distinct(), "known"), "gram", "inner", row_bytes=16), "counts")
-    rarest = F.min(F.struct(F.coalesce("n", F.lit(0).cast("long")).alias("n"), "gram", "at"))
-    seeds = join_staged(grams, known, "gram", "left", row_bytes=24) \
-        .groupBy("row", F.floor(F.col("at") / BLOCK).alias("block")).agg(rarest.alias("s"), F.first("n_grams").alias("n_grams")) \
-        .select("row", "block", F.col("s.gram").alias("gram"), F.col("s.at").alias("item_at"),
-                F.greatest(F.lit(1), F.floor(F.ceil(F.col("n_grams") / BLOCK) * SEED_SHARE)).alias("need"))
-    seeds = stage(seeds, "seeds")
+    need = F.greatest(F.lit(1), F.floor(F.ceil(F.col("n_grams") / 2) * SEED_SHARE))
+    seeds = grams.select("row", "gram", F.col("at").alias("item_at"), need.alias("need"))
     reach = items.agg(F.max(F.octet_length("words"))).first()[0] or 0
     passages = stage(docs.mapInArrow(released(_passages(_bitmap(seeds), reach // 8)), _PASSAGE), "passages")
     hits = join_staged(passages.select("pid", F.inline("hits")), seeds, "gram", "inner", row_bytes=40)
-    pairs = stage(hits.groupBy("pid", "row").agg(F.countDistinct("block").alias("seeds"), F.first("need").alias("need"))
+    pairs = stage(hits.groupBy("pid", "row").agg(F.countDistinct("item_at").alias("seeds"), F.first("need").alias("need"))
                   .filter("seeds >= need").select("pid", "row", "seeds"), "pairs")
     both = join_staged(passages.select("pid", "doc_id", "first", F.col("words").alias("passage")), pairs, "pid", "inner", row_bytes=32)
     both = join_staged(both, items.select("row", "item_id", "words"), "row", "inner", row_bytes=max(64, reach + 32))

@@ -86,3 +86,33 @@ def test_vector_alignment_equals_the_plain_one():
         a = [r.randrange(5) for _ in range(r.randint(1, 12))]
         b = [r.randrange(5) for _ in range(r.randint(1, 15))]
         assert D.smith_waterman(np.array(a), np.array(b))[0] == sw(a, b)
+
+
+def every_fourth_replaced(words):
+    return [f"edit{k}" if k % 4 == 3 else w for k, w in enumerate(words)]
+
+
+def test_every_fourth_word_replaced_alone_and_beside_an_exact_copy(make, bench):
+    item = [f"w{k}" for k in range(40)]
+    edited = every_fourth_replaced(item)
+    assert sw(item, edited) / (D.MATCH * len(item)) >= D.SCORE
+    alone = [(1, " ".join(["before", *edited, "after"])), (3, "clean words that do not match anything at all")]
+    exact = (2, " ".join(["start", *item, "end"]))
+    items = bench([(7, " ".join(item))])
+    assert {r.doc_id for r in D.contaminated(make(alone), items).collect()} == {1}
+    assert {r.doc_id for r in D.contaminated(make([*alone, exact]), items).collect()} == {1, 2}
+    assert [r.doc_id for r in D.drop_contaminated(make([*alone, exact]), items).collect()] == [3]
+
+
+def test_short_items_with_edits_are_found_while_three_words_in_a_row_stand(make, bench):
+    r = random.Random(6)
+    items = [(k, [f"i{k}w{j}" for j in range(10)]) for k in range(60)]
+    rows, want = [], set()
+    for k, w in items:
+        at = set(r.sample(range(10), 3))
+        edited = [f"e{k}x{j}" if j in at else x for j, x in enumerate(w)]
+        rows += [(k, " ".join(edited)), (1000 + k, " ".join(w))]
+        run = any(not at & {j, j + 1, j + 2} for j in range(8))
+        want |= {(k, k)} if run and sw(w, edited) / 20 >= D.SCORE else set()
+    got = {(x.doc_id, x.item_id) for x in D.contaminated(make(rows), bench([(k, " ".join(w)) for k, w in items])).collect()}
+    assert got == want | {(1000 + k, k) for k in range(60)} and len(want) > 20
