@@ -4,7 +4,7 @@ Each stage takes (spark, docs, sf_dir), works on all that its predecessor kept
 and returns a DataFrame; all but the last return the columns of ``documents``.
 Between stages the rows are written as Parquet and read back. A row is judged
 by its text (null counts as empty) and named by ``doc_id``; rows repeating a
-``doc_id`` share the decision of the near-duplicate and test-item stages.
+``doc_id`` (or having none) are judged each by its own text.
 """
 
 from __future__ import annotations

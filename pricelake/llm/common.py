@@ -11,7 +11,7 @@ import zipfile
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import pricelake
@@ -92,13 +92,23 @@ def released(fn):
 NO_ID = -(1 << 63)
 
 
-def without(docs: DataFrame, id_col: str, lost: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose id is among the staged ids ``lost.id``
-    (null: the rows that have none). Packed rows cannot clash with any name."""
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-                       F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID)).alias("id"))
-    gone = lost.select(F.coalesce("id", F.lit(NO_ID)).alias("id"), F.lit(True).alias("gone"))
-    return join_staged(rows, gone, "id", "left", row_bytes=16).filter(F.col("gone").isNull()).select("row.*")
+def row_key(id_col: str, text_col: str) -> Column:
+    """A row's own key: the SHA-256 of its id (none: empty) and its text (null: empty)."""
+    part = [F.coalesce(F.col(f"`{id_col}`").cast("long").cast("string"), F.lit("")), F.lit(":"),
+            F.coalesce(F.col(f"`{text_col}`"), F.lit(""))]
+    return F.unhex(F.sha2(F.concat(*part), 256))
+
+
+def without(docs: DataFrame, id_col: str, text_col: str, lost: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose ``row_key`` is among the staged keys
+    ``lost.key``; of the rows of a key with ``once`` one stays. Packed rows
+    cannot clash with any name."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), row_key(id_col, text_col).alias("key"))
+    met = join_staged(rows, lost.select("key", "once"), "key", "left", row_bytes=64)
+    kept = met.filter(F.col("once").isNull()).select("row")
+    if not lost.filter("once").isEmpty():
+        kept = kept.unionByName(met.filter("once").groupBy("key").agg(F.first("row").alias("row")).select("row"))
+    return kept.select("row.*")
 
 
 def sorted_groups(batches):

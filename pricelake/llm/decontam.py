@@ -15,8 +15,9 @@
 Words are runs of letters and digits, ASCII letters folded.
 Defined cases: null and empty texts have no words and match nothing; items of
 fewer words than a gram have no seeds and match nothing; a null item id is
-reported as null; rows repeating a ``doc_id`` (or having none) count as one
-document, as do items repeating an id; an empty table gives an empty result.
+reported as null; rows repeating a ``doc_id`` (or having none) are reported as
+one document, as are items repeating an id, but only rows that hold an item
+themselves are dropped; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricelake.llm import textvec
-from pricelake.llm.common import join_staged, released, stage, without
+from pricelake.llm.common import join_staged, released, row_key, stage, without
 
 GRAM = 3
 SEED_SHARE = 0.15
@@ -62,7 +63,7 @@ def _items(batches):
             "grams": pa.array([_grams(w) for _, w in rows], pa.list_(pa.int64()))})
 
 
-_PASSAGE = "pid long, doc_id long, first long, words binary, hits array<struct<gram bigint, at int>>"
+_PASSAGE = "pid long, doc_id long, key binary, first long, words binary, hits array<struct<gram bigint, at int>>"
 
 
 def _passages(shared, reach: int):
@@ -71,7 +72,7 @@ def _passages(shared, reach: int):
         bits, made = shared.value, TaskContext.get().partitionId() << 36
         kind = pa.list_(pa.struct([("gram", pa.int64()), ("at", pa.int32())]))
         for b in batches:
-            ids, out = b.column(0).to_pylist(), []
+            ids, keys, out = b.column(0).to_pylist(), b.column(2), []
             for row, w in _text_words(b.column(1)):
                 g = _grams(w)
                 at = np.flatnonzero(bits[_bit(g)])
@@ -79,13 +80,13 @@ def _passages(shared, reach: int):
                     continue
                 for part in np.split(at, np.flatnonzero(np.diff(at) > 2 * reach) + 1):
                     lo, hi = max(0, int(part[0]) - reach), int(part[-1]) + GRAM + reach
-                    out.append((made, ids[row], lo, w[lo:hi].tobytes(),
+                    out.append((made, ids[row], keys[row].as_py(), lo, w[lo:hi].tobytes(),
                                 [{"gram": int(g[p]), "at": int(p) - lo} for p in part]))
                     made += 1
-            cols = list(zip(*out, strict=True)) or [[]] * 5
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.binary(), kind), strict=True)],
-                names=["pid", "doc_id", "first", "words", "hits"])
+            cols = list(zip(*out, strict=True)) or [[]] * 6
+            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.binary(), kind)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)],
+                                             names=["pid", "doc_id", "key", "first", "words", "hits"])
     return run
 
 
@@ -110,17 +111,17 @@ def smith_waterman(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
 def _align(batches):
     for b in batches:
         out = []
-        for doc, item, first, n, text, words in zip(*(c.to_pylist() for c in b.columns), strict=True):
+        for doc, key, item, first, n, text, words in zip(*(c.to_pylist() for c in b.columns), strict=True):
             text, words = np.frombuffer(text, np.uint64), np.frombuffer(words, np.uint64)
             best, end = smith_waterman(words, text)
             score = best / (MATCH * len(words))
             if score >= SCORE:
                 back = smith_waterman(words[::-1], text[:end][::-1])[1]
-                out.append((doc, item, score, first + end - back, first + end, n))
-        cols = list(zip(*out, strict=True)) or [[]] * 6
-        kinds = (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.int64())
+                out.append((doc, key, item, score, first + end - back, first + end, n))
+        cols = list(zip(*out, strict=True)) or [[]] * 7
+        kinds = (pa.int64(), pa.binary(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.int64())
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)],
-                                         names=["doc_id", "item_id", "score", "start_word", "end_word", "seeds"])
+                                         names=["doc_id", "key", "item_id", "score", "start_word", "end_word", "seeds"])
 
 
 def _bitmap(grams: DataFrame):
@@ -131,11 +132,10 @@ def _bitmap(grams: DataFrame):
     return grams.sparkSession.sparkContext.broadcast(bits)
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """One row per contaminated pair: doc_id, item_id, score, start_word,
-    end_word (of the aligned passage in the document), seeds."""
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+def _aligned(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, item_col: str, item_text_col: str) -> DataFrame:
+    """One row per passage and item that align: doc_id, key (of the document's
+    row), item_id, score, start_word, end_word, seeds."""
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), row_key(id_col, text_col).alias("key"))
     items = stage(benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).alias("text"))
                   .mapInArrow(released(_items), "item_id long, words binary, grams array<bigint>")
                   .withColumn("row", F.xxhash64("item_id", "words")).dropDuplicates(["row"]), "items")
@@ -147,16 +147,22 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     hits = join_staged(passages.select("pid", F.inline("hits")), seeds, "gram", "inner", row_bytes=40)
     pairs = stage(hits.groupBy("pid", "row").agg(F.countDistinct("item_at").alias("seeds"), F.first("need").alias("need"))
                   .filter("seeds >= need").select("pid", "row", "seeds"), "pairs")
-    both = join_staged(passages.select("pid", "doc_id", "first", F.col("words").alias("passage")), pairs, "pid", "inner", row_bytes=32)
+    both = join_staged(passages.select("pid", "doc_id", "key", "first", F.col("words").alias("passage")), pairs, "pid", "inner", row_bytes=32)
     both = join_staged(both, items.select("row", "item_id", "words"), "row", "inner", row_bytes=max(64, reach + 32))
-    aligned = both.select("doc_id", "item_id", "first", "seeds", "passage", "words").mapInArrow(
-        released(_align), "doc_id long, item_id long, score double, start_word long, end_word long, seeds long")
+    return both.select("doc_id", "key", "item_id", "first", "seeds", "passage", "words").mapInArrow(
+        released(_align), "doc_id long, key binary, item_id long, score double, start_word long, end_word long, seeds long")
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                 item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """One row per contaminated pair: doc_id, item_id, score, start_word,
+    end_word (of the aligned passage in the document), seeds."""
     best = F.max(F.struct("score", (-F.col("start_word")).alias("s"), "end_word", "seeds")).alias("b")
-    return aligned.groupBy("doc_id", "item_id").agg(best).select(
+    return _aligned(docs, benchmark, id_col, text_col, item_col, item_text_col).groupBy("doc_id", "item_id").agg(best).select(
         "doc_id", "item_id", "b.score", (-F.col("b.s")).alias("start_word"), "b.end_word", "b.seeds")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the documents that hold a test item, all columns as they were."""
-    lost = stage(contaminated(docs, benchmark, id_col, text_col).select(F.col("doc_id").alias("id")).distinct(), "lost")
-    return without(docs, id_col, lost)
+    """``docs`` without the rows that hold a test item, all columns as they were."""
+    lost = _aligned(docs, benchmark, id_col, text_col, "item_id", "text").select("key", F.lit(False).alias("once")).distinct()
+    return without(docs, id_col, text_col, stage(lost, "lost"))

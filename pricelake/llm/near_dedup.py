@@ -25,8 +25,8 @@ Defined cases: null and empty texts and texts without words have an empty set,
 are linked with nothing and stay; fewer words than a shingle make one shingle
 of the whole sequence; equal sets are always linked; a null ``doc_id`` takes
 part but never names a group unless all its rows have none; rows repeating one
-``doc_id`` are separate rows of one group when their sets link; an empty table
-gives an empty result.
+``doc_id`` are separate rows of one group when their sets link, and of each group
+one row stays; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricelake.llm import textvec
-from pricelake.llm.common import NO_ID, join_staged, released, sorted_groups, stage, without
+from pricelake.llm.common import NO_ID, join_staged, released, row_key, sorted_groups, stage, without
 from pricelake.llm.components import Forest, components
 
 SHINGLE = 5
@@ -81,7 +81,7 @@ def _sign(batches):
             sig, keys = signatures(full) if full else (np.zeros((0, VALUES), np.uint8), np.zeros((0, TREES), np.int64))
             sigs, longs, names = iter(sig), iter(keys), iter([set_name(s) for s in full])
             yield pa.RecordBatch.from_pydict({
-                "doc_id": ids.slice(lo, hi - lo), "n_shingles": pa.array(n, pa.int64()),
+                "doc_id": ids.slice(lo, hi - lo), "key": b.column(2).slice(lo, hi - lo), "n_shingles": pa.array(n, pa.int64()),
                 "node": pa.array([next(names) if k else None for k in n], pa.int64()),
                 "sig": pa.array([next(sigs).tobytes() if k else None for k in n], pa.binary()),
                 "keys": pa.array([next(longs) if k else None for k in n], pa.list_(pa.int64()))})
@@ -180,17 +180,15 @@ def _verifier(num: int, den: int):
     return run
 
 
-def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                num: int = 85, den: int = 100) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept.
-
-    Documents link when their shingle sets' Jaccard similarity is at least
-    ``num / den``; ``component_id`` is the smallest doc_id of the group.
-    """
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    signed = stage(docs.mapInArrow(released(_sign), "doc_id long, n_shingles long, node long, sig binary, keys array<bigint>"), "signed")
+def _grouped(docs: DataFrame, id_col: str, text_col: str, num: int, den: int) -> DataFrame:
+    """One row per row of ``docs``: doc_id, key, n_shingles, component_id, named,
+    first; of a row in a group ``named`` is true and ``first`` holds the key of
+    the group's row with the smallest doc_id (then key), null ids last."""
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), row_key(id_col, text_col).alias("key"))
+    signed = stage(docs.mapInArrow(released(_sign), "doc_id long, key binary, n_shingles long, node long, sig binary, keys array<bigint>"), "signed")
     reps = stage(signed.filter("node is not null").groupBy("node").agg(
-        F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("n_shingles").alias("n_shingles"),
+        F.min("doc_id").alias("rep"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("first"),
+        F.count(F.lit(1)).alias("copies"), F.first("n_shingles").alias("n_shingles"),
         F.first("sig").alias("sig"), F.first("keys").alias("keys")), "reps")
 
     # regions: rows of one key that are not alone
@@ -220,22 +218,32 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     groups = components(links)
 
     # names: the smallest doc_id of all copies of all nodes of a group
-    names = reps.select("node", "rep", "copies").join(groups, "node", "left") \
+    names = reps.select("node", "rep", "first", "copies").join(groups, "node", "left") \
         .filter((F.col("copies") > 1) | F.col("root").isNotNull()) \
         .withColumn("root", F.coalesce("root", "node"))
-    least = stage(names.groupBy("root").agg(F.min("rep").alias("component_id")), "least")
-    names = stage(join_staged(names.select("node", "root"), least, "root", "inner", row_bytes=24)
-                  .select("node", "component_id", F.lit(True).alias("named")), "names")
-    out = join_staged(signed.select("doc_id", "n_shingles", "node"), names, "node", "left", row_bytes=32)
+    least = stage(names.groupBy("root").agg(F.min("rep").alias("component_id"), F.min("first").alias("first"))
+                  .select("root", "component_id", F.col("first.key").alias("first")), "least")
+    names = stage(join_staged(names.select("node", "root"), least, "root", "inner", row_bytes=72)
+                  .select("node", "component_id", "first", F.lit(True).alias("named")), "names")
+    return join_staged(signed.select("doc_id", "key", "n_shingles", "node"), names, "node", "left", row_bytes=80)
+
+
+def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                num: int = 85, den: int = 100) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id, kept.
+
+    Documents link when their shingle sets' Jaccard similarity is at least
+    ``num / den``; ``component_id`` is the smallest doc_id of the group.
+    """
     cid = F.when(F.col("named"), F.col("component_id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "n_shingles", cid.alias("component_id"),
-                      F.col("doc_id").eqNullSafe(cid).alias("kept"))
+    return _grouped(docs, id_col, text_col, num, den).select(
+        "doc_id", "n_shingles", cid.alias("component_id"), F.col("doc_id").eqNullSafe(cid).alias("kept"))
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      num: int = 80, den: int = 100) -> DataFrame:
-    """``docs`` with one document of each near-duplicate group (its smallest
+    """``docs`` with one row of each near-duplicate group (of its smallest
     doc_id), all columns as they were."""
-    lost = stage(near_groups(docs, id_col, text_col, num, den).filter(~F.col("kept"))
-                 .select(F.col("doc_id").alias("id")).distinct(), "lost")
-    return without(docs, id_col, lost)
+    lost = _grouped(docs, id_col, text_col, num, den).filter("named").groupBy("key").agg(
+        F.first(F.col("key") == F.col("first")).alias("once"), F.count(F.lit(1)).alias("n")).filter("n > 1 or not once")
+    return without(docs, id_col, text_col, stage(lost.select("key", "once"), "lost"))

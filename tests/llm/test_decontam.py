@@ -116,3 +116,10 @@ def test_short_items_with_edits_are_found_while_three_words_in_a_row_stand(make,
         want |= {(k, k)} if run and sw(w, edited) / 20 >= D.SCORE else set()
     got = {(x.doc_id, x.item_id) for x in D.contaminated(make(rows), bench([(k, " ".join(w)) for k, w in items])).collect()}
     assert got == want | {(1000 + k, k) for k in range(60)} and len(want) > 20
+
+
+def test_clean_rows_that_share_an_id_with_a_contaminated_one_stay(make, bench):
+    item = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
+    clean = [(None, "clean words of a row without an id"), (None, None), (3, "another text under the same number"), (3, "")]
+    kept = D.drop_contaminated(make([*clean, (None, item), (3, f"so {item} it is"), (4, item)]), bench([(1, item)]))
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(clean, key=str)

@@ -122,3 +122,18 @@ def test_word_hashes_do_not_depend_on_blocks(block, monkeypatch):
         want = rows
     assert [len(x) for x in want] == [3, 0, 0, 3, 2, 1, 1]
     assert want[0][0] == want[3][2] == want[6][0] and want[0][1] == want[5][0]
+
+
+def test_one_row_of_each_group_stays_whatever_the_ids(make):
+    say = lambda n, *end: " ".join([f"g{n}w{k}" for k in range(60)] + list(end))
+    rows = [(1, say(1)), (None, say(1, "x")), (None, say(2)), (None, say(3)), (None, say(3, "y")), (None, None),
+            (7, say(4)), (7, say(5)), (7, say(5, "z")), (2, say(4, "v")), (8, say(6)), (8, say(6)), (8, say(7)), (9, None)]
+    kept = sorted(((r.doc_id, r.text) for r in N.drop_near_copies(make(rows)).collect()), key=str)
+    texts = [t for _, t in kept]
+    assert (1, say(1)) in kept and say(1, "x") not in texts                 # a null id loses to a number
+    assert (None, say(2)) in kept                                           # and its namesakes stay
+    assert (say(3) in texts) + (say(3, "y") in texts) == 1                  # a group without any id
+    assert (2, say(4, "v")) in kept and (7, say(4)) not in kept
+    assert ((7, say(5)) in kept) + ((7, say(5, "z")) in kept) == 1          # two texts of a group under one id
+    assert kept.count((8, say(6))) == 1 and (8, say(7)) in kept and (9, None) in kept and (None, None) in kept
+    assert len(kept) == 9
