@@ -16,8 +16,9 @@ makes a bounded set of them from a rule, and ``train`` takes any.
 Blocks: block-level elements part the text; ``br`` and inline elements do not.
 Character references are decoded, white space within a block becomes one
 space, blocks are joined by a blank line. Defined cases: null, empty or purely
-decorative html gives the empty text; unclosed elements and scripts run to the
-end of their parent or page; a null id is kept; repeated rows give repeated
+decorative html gives the empty text; unclosed elements run to the end of
+their parent, scripts and other raw text to that of the page, an unclosed or
+self-closed svg or math is empty; a null id is kept; repeated rows give repeated
 rows; an empty table gives an empty result.
 """
 
@@ -44,8 +45,12 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 CLOSES_P = frozenset("address article aside blockquote details dir div dl fieldset figure footer form h1 h2 h3 h4 h5 "
                      "h6 header hr main menu nav ol p pre section table ul".split())
 
-_SKIP = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[|\]\]>|<[!?][^>]*>?|<(script|style|noscript|template|svg|iframe|object|"
-                   r"canvas|math|textarea|select|button|title)\b[^>]*>.*?(?:</\1\s*>|\Z)", re.S | re.I)
+# Elements left out before the tags are read; of the raw ones no tag but their own end tag is one.
+RAW = frozenset("script style textarea title iframe".split())
+SKIPPED = (*sorted(RAW), "noscript", "template", "svg", "object", "canvas", "math", "select", "button")
+_SKIP = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[|\]\]>|<[!?][^>]*>?|<(" + "|".join(SKIPPED) + r")(?=[\s/>])"
+                   r"(?:((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|([^>]*)>)", re.S | re.I)
+_END = {e: re.compile(rf"</{e}(?=[\s/>])[^>]*>", re.I) for e in SKIPPED}
 _TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)>")
 _ATTR = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
@@ -65,9 +70,39 @@ def _names(attributes: str) -> tuple[str, ...]:
     return tuple(dict.fromkeys(out))
 
 
+def _skipped(page: str) -> str:
+    """The page with a space for each comment, declaration and skipped element.
+
+    A self-closed element that is not raw is empty. Without an end tag a raw
+    element runs to the end of the page, of svg and math only the tag goes, and
+    another's tag stays: its text ends with its parent. Each end tag is sought
+    to the end of the page once at most.
+    """
+    out, pos, open_ended = [], 0, set()
+    while m := _SKIP.search(page, pos):
+        out += (page[pos:m.start()], " ")
+        pos = m.end()
+        if not m[1]:
+            continue
+        name, attributes = m[1].lower(), m[3] if m[2] is None else m[2]
+        if name not in RAW and attributes.endswith("/"):
+            continue
+        end = None if name in open_ended else _END[name].search(page, pos)
+        if end:
+            pos = end.end()
+        elif name in RAW:
+            pos = len(page)
+        else:
+            open_ended.add(name)
+            if name not in ("svg", "math"):
+                out[-1] = m[0]
+    out.append(page[pos:])
+    return "".join(out)
+
+
 def blocks_of(page: str) -> list[Block]:
     """The page's text blocks in order, with their context and the tags before them."""
-    page = _SKIP.sub(" ", page) if "<" in page else page
+    page = _skipped(page) if "<" in page else page
     out: list[Block] = []
     stack: list[tuple[str, tuple[str, ...], int]] = []
     tags: list[str] = []

@@ -66,3 +66,17 @@ def test_test_pages_give_their_article(spark, model):
         body = re.search(r"<article>(.*)</article>", r.html, re.S)[1]
         parts = (" ".join(unescape(re.sub(r"</?b>", "", re.sub(r"<br>", " ", x))).split()) for x in re.split(r"</?(?:h1|p)>", body))
         assert r.text == "\n\n".join(p for p in parts if p)
+
+
+def test_custom_elements_and_self_closed_icons_do_not_end_the_page(model):
+    said = "<article><p>Hello, this paragraph of many words is the article of the page.</p></article></body>"
+    for early in ('<svg-icon name="m"></svg-icon>', '<svg class="i"/>', '<svg aria-label="a>b" />', "<math/>", "<button-group></button-group>",
+                  "<title-bar></title-bar>", "<template-x></template-x>", "<svg class='i'>", "<div><button>Menu</div>",
+                  "<svg><path d='M0'/></svg >", "<SVG>x</SVG>", "<button type=button>Menu</button>", '<script src="a/"></script >',
+                  "<div><select><option>one</div>", "<noscript>Turn it on</noscript>"):
+        assert H.extract("<body>" + early + said, model) == "Hello, this paragraph of many words is the article of the page.", early
+    assert [H.text_of(b) for b in H.blocks_of("<p>One <svg/> two <svg><path/></svg> three <script/>four")] == ["One two three"]
+
+
+def test_many_unclosed_elements_take_linear_time():
+    assert len(H.blocks_of("<div><svg><button>x</div><p>said</p>" * 30_000)) == 30_000
