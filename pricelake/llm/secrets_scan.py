@@ -39,7 +39,9 @@ MIN_VALUE = 6
 SCOPE = 300
 IDENTIFIER = re.compile(r"(?i:access_?key_?id|client_?id|account(?:_?id)?|app_?id|user_?(?:name|id)?|login)"
                         r"[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9._@-]{3,})", re.ASCII)
-WEAK_SECRET = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{16,128}={0,2}(?![A-Za-z0-9+/_=-])")
+WEAK_SECRET = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{16,}+={0,2}(?![A-Za-z0-9+/_=-])")
+#: The alphabet is small: a longer value has no more distinct characters.
+FULL = 128
 ENDPOINT = re.compile(r"[a-z][a-z0-9+.-]{1,15}://[A-Za-z0-9._~-]+(?::[0-9]+)?[^\s\"'<>]*"
                       r"|(?i:endpoint|host|server)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+(?::[0-9]+)?")
 BLANK = re.compile(r"\n[\x20\t\r]*\n")
@@ -57,9 +59,10 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 
 def _mixed(value: str) -> bool:
-    """Looks random: letters of both cases and digits, at least a third distinct."""
+    """Looks random: letters of both cases and digits, at least a third distinct
+    (of a value over ``FULL`` characters, as many as of one of ``FULL``)."""
     return (any(c.isdigit() for c in value) and any(c.islower() for c in value) and any(c.isupper() for c in value)
-            and 3 * len(set(value)) >= len(value))
+            and 3 * len(set(value)) >= min(len(value), FULL))
 
 
 class _Kind:

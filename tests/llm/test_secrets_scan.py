@@ -83,3 +83,17 @@ def test_query_digest_and_empty_table(spark, make, monkeypatch):
     assert a.base_sha256 == hashlib.sha256(want.encode()).hexdigest()
     assert b.base_sha256 == hashlib.sha256(b"").hexdigest() and b.spans == ""
     assert S.find_secrets(make([])).count() == 0
+
+
+def test_weak_secrets_of_any_length_are_linked():
+    import random
+    import string
+    r = random.Random(5)
+    kinds = lambda t: [k for _, _, k in S.spans_of(t)]
+    for n in (128, 129, 200, 1000, 100_000):
+        token = "aZ7" + "".join(r.choices(string.ascii_letters + string.digits + "+/", k=n - 3))
+        assert kinds(f"id {KEY} and {token}==") == ["access", "secret"]
+        assert S.spans_of(f"id {KEY} and {token}")[1][:2] == (len(KEY) + 8, len(KEY) + 8 + n)
+        assert kinds(f"host=db.example.org:5432 client_id=my-app {token}") == ["endpoint", "identifier", "secret"]
+        assert kinds(f"only {token} here") == []
+    assert kinds(f"{KEY} {'aZ7' * 100}") == ["access"]
