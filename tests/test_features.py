@@ -4,7 +4,7 @@ import datetime as dt
 import math
 
 import pytest
-from conftest import CHART, FETCHED, envelope_df, price_rows
+from helpers import CHART, FETCHED, envelope_df, price_rows
 
 from pricelake.operators import marts, staging
 from pricelake.sources import payloads as pl

@@ -3,7 +3,7 @@ import datetime as dt
 import json
 
 import pytest
-from conftest import CANDLES, CHART, DAY1, DAY2, FETCHED, INFO, envelope_df
+from helpers import CANDLES, CHART, DAY1, DAY2, FETCHED, INFO, envelope_df
 
 from pricelake.sources import payloads as pl
 

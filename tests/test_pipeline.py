@@ -7,7 +7,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from helpers import SF001
 from pricelake.operators import marts, staging
 from pricelake.plans import pipeline
 from pricelake.sources import fixtures as fx

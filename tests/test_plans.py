@@ -3,7 +3,7 @@ and the driver contract."""
 
 import pytest
 
-from conftest import SF001
+from helpers import SF001
 from pricelake.operators import marts, staging
 from pricelake.sources import fixtures as fx
 
@@ -87,7 +87,7 @@ def test_results_do_not_depend_on_session_time_zone(spark):
 def test_upsert_scans_only_the_batch_dates(spark, tmp_path):
     import datetime as dt
 
-    from conftest import price_rows
+    from helpers import price_rows
     from pricelake.sources import sinks
     path = str(tmp_path / "t")
     days = [(f"a{k}", dt.date(2024, 1, d), 1.0, dt.datetime(2024, 1, d, 6)) for k in range(2) for d in range(1, 29)]

@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import SF001, price_rows
+from helpers import SF001, price_rows
 from pricelake.operators import marts, staging
 from pricelake.plans import incremental
 from pricelake.sources import fixtures as fx

@@ -3,7 +3,7 @@ freshness thresholds and the empty table, the suite summary."""
 
 import datetime as dt
 
-from conftest import price_rows
+from helpers import price_rows
 from pricelake.operators import quality
 
 D = dt.date

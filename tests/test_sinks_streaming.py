@@ -7,7 +7,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF001, price_rows
+from helpers import SF001, price_rows
 from pricelake import schemas
 from pricelake.operators import marts, staging
 from pricelake.plans import incremental
