@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelake.llm import decontam, exact_dedup, html_main, near_dedup, packing, quality, secrets_scan, surrogates, url_filter, warc_zip
+from pricelake.llm import decontam, exact_dedup, html_main, near_dedup, packing, quality, ranked_search, secrets_scan, surrogates, url_filter, warc_zip
 from pricelake.llm.common import table
 
 
@@ -77,9 +77,13 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op12_nra_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark"))
+
+
 REGISTRY = {"op1_packing": op1_packing, "op2_secrets": op2_secrets, "op3_decontam": op3_decontam, "op4_quality": op4_quality, "op5_html_main": op5_html_main, "op6_url_filter": op6_url_filter, "op7_warc_zip": op7_warc_zip,
             "op8_lsh_forest": op8_lsh_forest, "op9_surrogates": op9_surrogates,
-            "op10_exact_dedup": op10_exact_dedup}
+            "op10_exact_dedup": op10_exact_dedup, "op12_nra_search": op12_nra_search}
 
 SQL = {
     "op7_warc_zip": """
@@ -96,4 +100,18 @@ SQL = {
         SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                doc_id = min(doc_id) OVER g AS kept, text_sha256
         FROM d WINDOW g AS (PARTITION BY text_sha256)""",
+    "op12_nra_search": r"""
+        WITH d AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+             q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+             k AS (SELECT doc_id, t, len(t) AS n FROM d WHERE len(t) > 0),
+             s AS (SELECT count(*) AS nn, sum(n)::BIGINT AS l FROM k),
+             p AS (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, n, unnest(t) AS term FROM k) GROUP BY ALL),
+             w AS (SELECT term, floor(1000 * ln((2 * any_value(nn) + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM p, s GROUP BY term),
+             g AS (SELECT item_id, doc_id,
+                          sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + ((90 * n * nn) // l)))))::BIGINT AS score
+                   FROM q JOIN p USING (term) JOIN w USING (term), s GROUP BY item_id, doc_id)
+        SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+        FROM g WHERE score > 0 QUALIFY rank <= 10""",
 }
