@@ -111,6 +111,23 @@ def without(docs: DataFrame, id_col: str, text_col: str, lost: DataFrame) -> Dat
     return kept.select("row.*")
 
 
+def key_bitmap(keys: DataFrame, col: str, width: int) -> np.ndarray:
+    """One bit for each value of the top ``width`` bits of the hashes in ``col``:
+    ``2 ** (width - 3)`` bytes, whatever the number of rows."""
+    rows = keys.selectExpr(f"shiftrightunsigned(`{col}`, {64 - width}) AS place") \
+        .groupBy(F.expr("cast(shiftright(place, 3) AS int)").alias("at")) \
+        .agg(F.expr("cast(bit_or(shiftleft(1, cast(place & 7 AS int))) AS int)").alias("b")).toArrow()
+    bits = np.zeros(1 << (width - 3), dtype=np.uint8)
+    bits[rows.column("at").to_numpy()] = rows.column("b").to_numpy()
+    return bits
+
+
+def in_bitmap(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which of the hashes have their bit set (all of a set's, few others)."""
+    place = hashes.view(np.uint64) >> np.uint64(61 - (len(bits).bit_length() - 1))
+    return ((bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
+
+
 def sorted_groups(batches):
     """(table, bounds) of whole runs of equal first column, from sorted batches.
 

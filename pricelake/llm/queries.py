@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelake.llm import decontam, exact_dedup, html_main, near_dedup, packing, quality, ranked_search, secrets_scan, spelling, surrogates, url_filter, warc_zip
+from pricelake.llm import decontam, exact_dedup, html_main, near_dedup, ngram_join, packing, quality, ranked_search, secrets_scan, spelling, surrogates, url_filter, warc_zip
 from pricelake.llm.common import table
 
 
@@ -86,9 +86,14 @@ def op12_nra_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search.search(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.classes(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 REGISTRY = {"op1_packing": op1_packing, "op2_secrets": op2_secrets, "op3_decontam": op3_decontam, "op4_quality": op4_quality, "op5_html_main": op5_html_main, "op6_url_filter": op6_url_filter, "op7_warc_zip": op7_warc_zip,
             "op8_lsh_forest": op8_lsh_forest, "op9_surrogates": op9_surrogates,
-            "op10_exact_dedup": op10_exact_dedup, "op11_spelling": op11_spelling, "op12_nra_search": op12_nra_search}
+            "op10_exact_dedup": op10_exact_dedup, "op11_spelling": op11_spelling, "op12_nra_search": op12_nra_search,
+            "op13_ngram_join": op13_ngram_join}
 
 SQL = {
     "op7_warc_zip": """

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricelake.llm import textvec
-from pricelake.llm.common import released, stage
+from pricelake.llm.common import in_bitmap, key_bitmap, released, stage
 
 # What a run is, which runs lose a code point, which words count.
 RUN = r"[A-Za-zÀ-ÿ]+"
@@ -169,35 +169,21 @@ def _reduce(batches):
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(key)], ["word", "n", "key"])
 
 
-def _generate(bits: np.ndarray, width: int):
-    shift = U(64 - width)
-
+def _generate(bits: np.ndarray):
     def run(batches):
         for b in batches:
             for at, words in _by_length(b) if b.num_rows else ():
                 for row, h in neighbourhood(words):
-                    place = h.view(U) >> shift
-                    met = np.flatnonzero((bits[place >> U(3)] >> (place & U(7)).astype(np.uint8)) & 1)
+                    met = np.flatnonzero(in_bitmap(bits, h))
                     yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at[row[met]])), pa.array(h[met])], ["word", "key"])
     return run
 
 
-def _bitmap(words: DataFrame, width: int) -> np.ndarray:
-    """One bit a place of the reduced vocabulary: at most 2 ** MAX_BITS bits
-    (16 MB), gathered as bytes."""
-    rows = words.selectExpr(f"shiftrightunsigned(key, {64 - width}) AS place") \
-        .groupBy(F.expr("cast(shiftright(place, 3) AS int)").alias("at")) \
-        .agg(F.expr("cast(bit_or(shiftleft(1, cast(place & 7 AS int))) AS int)").alias("b")).toArrow()
-    bits = np.zeros(1 << (width - 3), dtype=np.uint8)
-    bits[rows.column("at").to_numpy()] = rows.column("b").to_numpy()
-    return bits
-
-
 def near_pairs(words: DataFrame) -> DataFrame:
     """(word, near, near_n) of the words that differ by exactly one edit, both ways,
     from staged rows (word, n, key)."""
     width = int(np.clip(int(words.count() * PLACES).bit_length(), MIN_BITS, MAX_BITS))
-    made = words.select("word").mapInArrow(released(_generate(_bitmap(words, width), width)), "word string, key long")
+    made = words.select("word").mapInArrow(released(_generate(key_bitmap(words, "key", width))), "word string, key long")
     met = made.join(words.select("key", F.col("word").alias("near"), F.col("n").alias("near_n")), "key")
     return met.filter(F.levenshtein("word", "near", 1) == 1).select("word", "near", "near_n")
 
