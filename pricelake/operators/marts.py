@@ -121,12 +121,13 @@ def weekly_open_close(fact: DataFrame, first_day: str = "sunday",
 
 
 def latest_price(staged: DataFrame) -> DataFrame:
-    """Latest date, close and cap at that date (a NULL cap stays NULL), day count."""
+    """Latest date, close and cap at that date (a NULL cap stays NULL), day count
+    (rows are unique by asset and date, so days are rows)."""
     return staged.groupBy("asset_id").agg(
         F.max("price_date").alias("latest_price_date"),
         F.max_by("close_usd", "price_date").alias("latest_close_usd"),
         F.max_by("market_cap_usd", "price_date").alias("latest_market_cap_usd"),
-        F.count_distinct("price_date").alias("days_of_data"),
+        F.count(F.lit(1)).alias("days_of_data"),
     )
 
 

@@ -3,10 +3,11 @@ zero rows = pass. ``run_suite`` folds many checks into few passes."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from pricelake.functions import as_ts_lit
@@ -82,39 +83,97 @@ def _violation(c: Check) -> Column:
     raise ValueError(c.kind)
 
 
-def run_suite(tables: dict[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
+def _rows_of(frame: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """(test_name, table_name, failures) of the checks from an aggregate with one column a check."""
+    return frame.select(F.explode(F.array(*[
+        F.struct(F.lit(c.name).alias("test_name"), F.lit(c.table).alias("table_name"),
+                 F.coalesce(F.col(f"c{i}").cast("bigint"), F.lit(0)).alias("failures"))
+        for i, c in enumerate(checks)])).alias("r")).select("r.*")
+
+
+def _one_pass(df: DataFrame, checks: Sequence[Check]) -> list[DataFrame]:
+    """The checks of one table. Uniqueness takes one grouped pass per key, shared
+    by all its tests; the row checks ride on the first of those passes."""
+    row = [c for c in checks if c.kind in ("not_null", "expression")]
+    keyed: dict[tuple, list[Check]] = {}
+    for c in checks:
+        if c.kind in ("unique", "unique_combo"):
+            keyed.setdefault(tuple(c.cols), []).append(c)
+    if not keyed:
+        return [_rows_of(df.agg(*[F.count_if(_violation(c)).alias(f"c{i}") for i, c in enumerate(row)]), row)]
+    out = []
+    for key, cs in keyed.items():
+        groups = df.groupBy(*key).agg(F.count(F.lit(1)).alias("__n"), *[F.count_if(_violation(c)).alias(f"__c{i}") for i, c in enumerate(row)])
+        bad = [F.count_if((F.col("__n") > 1) if c.kind == "unique_combo" else (F.col("__n") > 1) & F.col(c.cols[0]).isNotNull()) for c in cs]
+        measures = [F.sum(f"__c{i}") for i in range(len(row))] + bad
+        out.append(_rows_of(groups.agg(*[m.alias(f"c{i}") for i, m in enumerate(measures)]), [*row, *cs]))
+        row = []
+    return out
+
+
+def _status(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("status", F.when(F.col("failures") == 0, F.lit("pass")).otherwise(F.lit("fail")))
+
+
+def run_suite(tables: dict[str, DataFrame], checks: Sequence[Check], views: dict[str, str] | None = None,
+              measured: Sequence[tuple[str, str, int]] = ()) -> DataFrame:
     """One row per check: (test_name, table_name, failures, status).
 
-    Row-level checks of one table are folded into a single aggregate pass
-    (``sum(when(violation))`` per check); key checks are one grouped
-    aggregate each. The partial results are unioned.
+    Each table is one plan: its row-level checks are folded into one aggregate
+    (a count per check), which rides on the grouped pass of its key where it has
+    one. ``views`` names tables that are columns of another table's rows, row for
+    row: their checks are evaluated there, without a plan of their own.
+    ``measured`` are results taken while a table was written (``written``).
     """
-    parts = []
+    views = views or {}
     by_table: dict[str, list[Check]] = {}
     for c in checks:
-        if c.kind in ("not_null", "expression"):
-            by_table.setdefault(c.table, []).append(c)
-    for t, cs in by_table.items():
-        agg = tables[t].agg(*[F.count_if(_violation(c)).alias(f"c{i}") for i, c in enumerate(cs)])
-        stacked = agg.select(F.explode(F.array(*[
-            F.struct(F.lit(c.name).alias("test_name"), F.lit(t).alias("table_name"),
-                     F.col(f"c{i}").cast("bigint").alias("failures"))
-            for i, c in enumerate(cs)])).alias("r")).select("r.*")
-        parts.append(stacked)
-    for c in checks:
-        if c.kind == "unique":
-            v = unique(tables[c.table], c.cols[0])
-        elif c.kind == "unique_combo":
-            v = unique_combo(tables[c.table], c.cols)
-        else:
-            continue
-        parts.append(v.agg(F.count(F.lit(1)).cast("bigint").alias("failures")).select(
-            F.lit(c.name).alias("test_name"), F.lit(c.table).alias("table_name"), "failures"))
+        by_table.setdefault(views.get(c.table, c.table), []).append(c)
+    parts = [p for t, cs in by_table.items() for p in _one_pass(tables[t], cs)]
+    if measured:
+        spark = next(iter(tables.values())).sparkSession
+        parts.append(spark.createDataFrame(list(measured), "test_name string, table_name string, failures bigint"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.withColumn("status", F.when(F.col("failures") == 0, F.lit("pass"))
-                          .otherwise(F.lit("fail")))
+    return _status(out)
+
+
+def metrics(checks: Sequence[Check]) -> list[Column]:
+    """The checks as aggregates of one pass, named by position. Uniqueness needs
+    the column that ``with_repeats`` adds."""
+    return [F.count_if(_violation(c) if c.kind in ("not_null", "expression") else F.col("__repeat")).alias(f"c{i}")
+            for i, c in enumerate(checks)]
+
+
+def with_repeats(df: DataFrame, series: str, order: str) -> DataFrame:
+    """``__repeat`` marks one row of every (series, order) key that occurs more than
+    once. On rows that series windows hold sorted this needs no exchange or sort."""
+    w = Window.partitionBy(series).orderBy(order)
+    this = F.struct(order)
+    again, before = F.lag(this, 1).over(w).eqNullSafe(this), F.lag(this, 2).over(w).eqNullSafe(this)
+    return df.withColumn("__repeat", again & ~before)
+
+
+def written(df: DataFrame, path: str, checks: Sequence[Check], series: str = "asset_id",
+            order: str = "price_date") -> tuple[DataFrame, list[tuple[str, str, int]]]:
+    """``df`` written once to ``path`` with its checks as metrics of the write itself:
+    the stored frame and (test_name, table_name, failures) of every check.
+
+    The metrics are taken in the write's own tasks, each of which counts once
+    however often executors are lost.
+    """
+    seen = Observation(f"checks_{uuid.uuid4().hex[:8]}")
+    if any(c.kind in ("unique", "unique_combo") and tuple(c.cols) != (series, order) for c in checks):
+        raise ValueError("only the key of the series can be checked during its write")
+    with_repeats(df, series, order).observe(seen, *metrics(checks)).drop("__repeat").write.parquet(path)
+    got = seen.get
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    return stored, [(c.name, c.table, int(got[f"c{i}"])) for i, c in enumerate(checks)]
+
+
+#: Tables whose rows the fact holds, row for row, with all their columns.
+FACT_VIEWS = {"stg_prices": "fact_daily", "daily_returns": "fact_daily", "rolling_metrics": "fact_daily"}
 
 
 def price_checks(table: str, prefix: str) -> list[Check]:

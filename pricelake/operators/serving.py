@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pricelake.functions import (
     as_of_date, fmt_billions, fmt_pct, fmt_price, month_text, staleness_class,
 )
+from pricelake.operators.ranking import total_rank
 from pricelake.operators.staging import lookback, select_assets
 
 DAILY_SERVING_COLUMNS = [
@@ -53,10 +54,10 @@ def dim_ranked(dim: DataFrame, n: int | None = None) -> DataFrame:
 
 
 def positions(ranked: DataFrame, by: str) -> DataFrame:
-    """(position, asset_id) of a page's rows: largest ``by`` first, missing last.
-    One row per shown asset, so one task orders them."""
-    order = Window.orderBy(F.col(by).desc_nulls_last(), "asset_id")
-    return ranked.select(F.row_number().over(order).cast("bigint").alias("position"), "asset_id")
+    """(position, asset_id) of a page's rows: largest ``by`` first, missing last,
+    over any number of rows (``ranking.total_rank``)."""
+    shown = ranked.select("asset_id", by)
+    return total_rank(shown, [F.col(by).desc_nulls_last(), F.col("asset_id")]).select("position", "asset_id")
 
 
 def pipeline_status(raw: DataFrame, as_of, recent_days: int = 7) -> DataFrame:
@@ -148,17 +149,18 @@ def asset_list(daily: DataFrame) -> DataFrame:
 def return_histogram(daily: DataFrame, asset: str | None = None, bins: int = 60) -> DataFrame:
     """Counts of daily returns in ``bins`` equal-width bins per asset.
 
-    Bounds are each asset's min and max (one grouped aggregate, joined back on
-    the asset); the maximum falls in the last bin; empty bins are omitted."""
+    Bounds are each asset's min and max, as windows over the rows the features
+    already hold together by asset: the rows are computed once, without a join.
+    The maximum falls in the last bin; empty bins are omitted."""
     d = daily if asset is None else daily.filter(F.col("asset_id") == asset)
     r = d.filter(F.col("daily_return_pct").isNotNull()).select("asset_id", "daily_return_pct")
-    bounds = r.groupBy("asset_id").agg(F.min("daily_return_pct").alias("lo"),
-                                       F.max("daily_return_pct").alias("hi"))
+    of = Window.partitionBy("asset_id")
+    r = r.select("*", F.min("daily_return_pct").over(of).alias("lo"), F.max("daily_return_pct").over(of).alias("hi"))
     x, lo, hi = F.col("daily_return_pct"), F.col("lo"), F.col("hi")
     raw_bin = F.floor(F.try_divide((x - lo) * F.lit(float(bins)), hi - lo)) + 1
     b = F.least(F.coalesce(raw_bin, F.lit(1)), F.lit(bins)).cast("int")
     width = (hi - lo) / F.lit(float(bins))
-    return (r.join(bounds, "asset_id").withColumn("bin", b)
+    return (r.withColumn("bin", b)
             .groupBy("asset_id", "bin", "lo", "hi").agg(F.count(F.lit(1)).alias("n_days"))
             .select("asset_id", "bin",
                     (lo + (F.col("bin") - 1) * width).alias("bin_lo"),

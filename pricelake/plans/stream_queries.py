@@ -14,7 +14,7 @@ from pricelake.operators import marts, staging
 from pricelake.plans.common import rounded
 from pricelake.plans.queries import register
 from pricelake.session import scratch_path
-from pricelake.sources import files, sinks
+from pricelake.sources import files, sinks, versioned
 from pricelake.sources import fixtures as fx
 from pricelake.streaming import jobs
 
@@ -87,7 +87,7 @@ def q_stream_upsert(spark, sf):
     out = _folder(spark, "stream-upsert")
     stream = _landed(fx.f2_raw_prices(spark, sf, by="event_type"), "stream-in", "source_ts")
     jobs.stream_upsert(spark, stream, out, f"{out}-checkpoint").awaitTermination()
-    return rounded(spark.read.parquet(out).select("asset_id", "price_date", "close_usd", "fetched_at"))
+    return rounded(versioned.read(spark, out, "price_date").select("asset_id", "price_date", "close_usd", "fetched_at"))
 
 
 @register("q_stream_weekly")

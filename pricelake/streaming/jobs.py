@@ -34,7 +34,7 @@ from pricelake import schemas
 from pricelake.functions import pct_change
 from pricelake.operators import marts, staging
 from pricelake.plans import incremental
-from pricelake.sources import payloads, sinks
+from pricelake.sources import payloads, sinks, versioned
 
 
 def _started(w, checkpoint: str, available_now: bool) -> StreamingQuery:
@@ -100,16 +100,18 @@ def stream_upsert(spark: SparkSession, raw_stream: DataFrame, target_path: str,
                   checkpoint: str, tiebreak: Sequence[str] = ("source_ts",),
                   available_now: bool = True) -> StreamingQuery:
     """Each micro-batch: stage (type, filter, keep latest per key), then merge
-    into the table at ``target_path`` keeping the newest ``fetched_at``. The
-    tie-break columns are stored too, so a tie over two micro-batches is
-    resolved as within one, in any order of arrival and on a replay."""
+    into the versioned table at ``target_path`` (``sources.versioned``,
+    partitioned by ``price_date``) keeping the newest ``fetched_at``. The tie-break columns are
+    stored too, so a tie over two micro-batches is resolved as within one, in any
+    order of arrival and on a replay. Readers see whole micro-batches only; one
+    that is lost half-way leaves the version before it."""
     kept = [c for c in tiebreak if c in raw_stream.columns and c not in schemas.PRICE_COLUMNS]
     order = ["fetched_at", *[c for c in tiebreak if c in raw_stream.columns], *staging.VALUE_ORDER]
 
     def merge(batch: DataFrame, epoch_id: int) -> None:
         staged = staging.stage_prices(batch, tiebreak=tiebreak, keep=kept)
-        sinks.upsert_table(batch.sparkSession, target_path, staged,
-                           ["asset_id", "price_date"], "price_date", order=order)
+        versioned.upsert(batch.sparkSession, target_path, staged, ["asset_id", "price_date"], "price_date",
+                         order=order, sort_within=["asset_id"])
 
     return _started(raw_stream.writeStream.foreachBatch(merge), checkpoint, available_now)
 

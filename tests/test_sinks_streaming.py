@@ -13,7 +13,7 @@ from pricelake.operators import marts, staging
 from pricelake.plans import incremental
 from pricelake.sources import fixtures as fx
 from pricelake.sources import payloads as pl
-from pricelake.sources import sinks
+from pricelake.sources import sinks, versioned
 from pricelake.streaming import jobs
 
 D = dt.date
@@ -147,7 +147,7 @@ def test_stream_upsert_two_batches_equals_batch_dedup(spark, tmp_path):
     raw.filter(F.col("fetched_at") >= split).write.parquet(src + "/b2")
     stream = spark.readStream.schema(raw.schema).parquet(src + "/*")
     jobs.stream_upsert(spark, stream, target, ck, tiebreak=fx.F1_TIEBREAK).awaitTermination()
-    got = spark.read.parquet(target).select(*schemas.PRICE_COLUMNS)
+    got = versioned.read(spark, target, "price_date").select(*schemas.PRICE_COLUMNS)
     exp = staging.stage_prices(raw, tiebreak=fx.F1_TIEBREAK)
     assert rows_of(got) == rows_of(exp)
 
@@ -166,7 +166,7 @@ def test_stream_upsert_tie_over_two_batches_and_replay(spark, tmp_path):
             rows.filter(F.col("close_usd") == close).write.parquet(f"{src}/b{k}")
             stream = spark.readStream.schema(rows.schema).parquet(src + "/*")
             jobs.stream_upsert(spark, stream, out, str(tmp_path / f"ck{first}")).awaitTermination()
-        assert rows_of(spark.read.parquet(out).select(*schemas.PRICE_COLUMNS)) == want
+        assert rows_of(versioned.read(spark, out, "price_date").select(*schemas.PRICE_COLUMNS)) == want
 
 
 def test_stream_weekly_equals_batch(spark, tmp_path):
