@@ -115,11 +115,11 @@ def key_bitmap(keys: DataFrame, col: str, width: int) -> np.ndarray:
     """One bit for each value of the top ``width`` bits of the hashes in ``col``:
     ``2 ** (width - 3)`` bytes, whatever the number of rows."""
     rows = keys.selectExpr(f"shiftrightunsigned(`{col}`, {64 - width}) AS place") \
-        .groupBy(F.expr("cast(shiftright(place, 3) AS int)").alias("at")) \
-        .agg(F.expr("cast(bit_or(shiftleft(1, cast(place & 7 AS int))) AS int)").alias("b")).toArrow()
-    bits = np.zeros(1 << (width - 3), dtype=np.uint8)
+        .groupBy(F.expr("cast(shiftright(place, 6) AS int)").alias("at")) \
+        .agg(F.expr("bit_or(shiftleft(1L, cast(place & 63 AS int)))").alias("b")).toArrow()
+    bits = np.zeros(1 << (width - 6), dtype=np.int64)
     bits[rows.column("at").to_numpy()] = rows.column("b").to_numpy()
-    return bits
+    return bits.view(np.uint8)               # little-endian: byte k holds places 8k to 8k + 7
 
 
 def in_bitmap(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
