@@ -29,7 +29,7 @@ from pyspark.sql.types import DateType, LongType, StructField, StructType, Times
 from pricelake import schemas
 from pricelake.functions import week_start
 from pricelake.operators import marts, quality, staging
-from pricelake.plans import incremental
+from pricelake.plans import incremental, series_state
 from pricelake.sources import files, payloads, sinks
 from pricelake.streaming.jobs import features_batch
 
@@ -187,6 +187,7 @@ def build(spark: SparkSession, root: str, watchlist_csv: str, as_of,
     weekly_done = False
     if not sinks.table_exists(spark, p["fact"]) or replaced:
         # the raw table has rows (checked above), so the fact has rows
+        series_state.forget(spark, p["fact"])
         n_fact = sinks.write_table(marts.fact_daily(staged), p["fact"], "overwrite",
                                    ["price_date"], ["asset_id"], guard_empty=False)
     elif mode == "tail":
@@ -211,17 +212,15 @@ def build(spark: SparkSession, root: str, watchlist_csv: str, as_of,
         features = marts.fact_daily(staged)
         target = spark.read.parquet(p["fact"]).select(*marts.FACT_COLUMNS)
         slice_ = incremental.incremental_slice(features, target, mode, lookback_days)
+        series_state.forget(spark, p["fact"])
         n_fact = sinks.upsert_table(spark, p["fact"], slice_, keys, "price_date")
     if not weekly_done:
         fact = spark.read.parquet(p["fact"]).select(*marts.FACT_COLUMNS)
         n_week = sinks.write_table(marts.weekly_rollup(fact), p["weekly"], "overwrite",
                                    ["week_start"], guard_empty=False)
     wl = files.read_watchlist(spark, watchlist_csv)
-    # in tail mode the fact holds exactly the staged rows, so the latest
-    # prices come from its (already deduplicated) columns, not a raw re-dedup
-    latest_src = spark.read.parquet(p["fact"]) if weekly_done else staged
-    dim = marts.dim_assets(wl, staged_metadata(spark, root), marts.latest_price(latest_src),
-                           as_of)
+    # the latest prices come from the state of the touched series, not from the fact
+    dim = marts.dim_assets(wl, staged_metadata(spark, root), series_state.latest_price(series_state.load(spark, p["fact"])), as_of)
     n_dim = sinks.write_table(dim, p["dim"], "overwrite", guard_empty=False)
     # last of all: a build that failed before is done again in full
     sinks.write_table(spark.range(1).select(F.lit(last).cast("long").alias("ingest_id")), state, "overwrite",

@@ -132,6 +132,13 @@ def upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str]
     return replace_partitions(spark, path, merged, partition_col, sort_within)
 
 
+def drop(spark: SparkSession, path: str) -> None:
+    """Forget the table: its pointers go, first of all, then its files."""
+    for sub in ("current", "manifest", "data"):
+        fs, p = _fs(spark, f"{path}/{sub}")
+        fs.delete(p, True)
+
+
 def vacuum(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
     """Remove the partition directories that none of the last ``keep`` versions
     names, and older manifests and pointers; returns the directories removed. Not

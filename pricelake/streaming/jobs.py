@@ -14,7 +14,7 @@ The daily batch maps onto streams as follows:
   watermark bounding late data;
 * ``stream_features``: row-frame windows are not allowed on streams, so each
   micro-batch computes features from each touched asset's first incoming
-  date on, after a 30-row stored tail (``foreachBatch``).
+  date on, after the 30 rows its stored state keeps (``foreachBatch``).
 
 Every job needs the caller's checkpoint folder: a restart under another one would
 read all files again.
@@ -33,7 +33,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pricelake import schemas
 from pricelake.functions import pct_change
 from pricelake.operators import marts, staging
-from pricelake.plans import incremental
+from pricelake.plans import incremental, series_state
 from pricelake.sources import payloads, sinks, versioned
 
 
@@ -157,7 +157,7 @@ def stream_weekly(spark: SparkSession, fact_stream: DataFrame, out_path: str, ch
 
 
 def _tail_by_date(spark: SparkSession, stored: DataFrame, first: DataFrame, bounds, days: int) -> DataFrame:
-    """Each touched asset's 30-row tail: from the partitions of the last ``days``
+    """The 30-row tail of each asset with late rows: from the partitions of the last ``days``
     days before the batch, and for the assets that are too sparse to have 30
     rows there from the older ones as well."""
     recent = stored.filter((F.col("price_date") >= F.date_sub(F.lit(bounds["lo"]), days)) &
@@ -176,31 +176,46 @@ def features_batch(spark: SparkSession, fact_path: str, staged_batch: DataFrame,
     """Merge one batch of staged rows into the fact table at ``fact_path``;
     returns the rows written.
 
-    Features are computed per touched asset from its first incoming date on,
-    after a 30-row stored tail, and only rows that differ from the stored ones
-    are merged. ``late="drop"`` ignores rows dated on or before an asset's last
-    stored date (the strict-watermark behaviour).
+    Features are computed per touched asset from its first incoming date on. Where
+    that is after the asset's last date, the 30 rows and the running maximum before
+    it come from the stored state of the series (``plans.series_state``), and the
+    fact is not read. For assets with late rows they come from the fact, and only
+    rows that differ from the stored ones are merged. ``late="drop"`` ignores rows
+    dated on or before an asset's last stored date (the strict-watermark behaviour).
     """
     keys = ["asset_id", "price_date"]
     if late not in ("recompute", "drop"):
         raise ValueError(f"unknown late policy {late!r}")
     if not sinks.table_exists(spark, fact_path):
+        series_state.forget(spark, fact_path)
         return sinks.write_table(marts.fact_daily(staged_batch), fact_path, "overwrite",
                                  ["price_date"], ["asset_id"])
-    stored = spark.read.parquet(fact_path).select(*marts.FACT_COLUMNS)
+    state = series_state.load(spark, fact_path)
     if late == "drop":
-        last = stored.groupBy("asset_id").agg(F.max("price_date").alias("__last"))
+        last = state.select("asset_id", F.col("last_date").alias("__last"))
         staged_batch = staged_batch.join(last, "asset_id", "left").filter(
             F.col("__last").isNull() | (F.col("price_date") > F.col("__last"))).drop("__last")
-    batch = sinks.staged_copy(spark, staged_batch.select(*marts.RETURNS_COLUMNS[:8]), "features-batch")
-    bounds = batch.agg(F.min("price_date").alias("lo"), F.max("price_date").alias("hi")).first()
-    if bounds["lo"] is None:
-        return 0
+    batch = sinks.staged_copy(spark, staged_batch.select(*series_state.BASE), "features-batch")
     first = batch.groupBy("asset_id").agg(F.min("price_date").alias("__first"))
-    tail = _tail_by_date(spark, stored, first, bounds, tail_days)
-    since = stored.filter(F.col("price_date") >= F.lit(bounds["lo"]))      # prunes the partitions
-    computed = incremental.incremental_features(since, batch, tail=tail)
-    return sinks.upsert_table(spark, fact_path, incremental.changed_rows(computed, since), keys, "price_date")
+    touched = sinks.staged_copy(spark, first.join(state, "asset_id", "left"), "features-state")
+    late_first = touched.filter(F.col("last_date") >= F.col("__first")).select("asset_id", "__first")
+    ordered = touched.filter(F.col("last_date").isNull() | (F.col("last_date") < F.col("__first")))
+    tail = series_state.unrolled(ordered)
+    span = batch.join(late_first, "asset_id", "left_semi").agg(F.min("price_date").alias("lo"), F.max("price_date").alias("hi")).first()
+    stored = None
+    if span["lo"] is not None:
+        fact = spark.read.parquet(fact_path).select(*marts.FACT_COLUMNS)
+        tail = tail.unionByName(_tail_by_date(spark, fact, late_first, span, tail_days).select(*tail.columns))
+        stored = fact.filter(F.col("price_date") >= F.lit(span["lo"])).join(late_first, "asset_id", "left_semi")     # prunes the partitions
+    tail = sinks.staged_copy(spark, tail, "features-tail")
+    computed = sinks.staged_copy(spark, incremental.incremental_features(
+        batch.filter(F.lit(False)) if stored is None else stored, batch, tail=tail), "features-rows")
+    new = batch if stored is None else batch.join(stored.select(*keys), keys, "left_anti")
+    fresh = sinks.staged_copy(spark, new.groupBy("asset_id").agg(F.count(F.lit(1)).alias("new_days"), F.min("price_date").alias("came")), "features-days")
+    n = sinks.upsert_table(spark, fact_path, computed if stored is None else incremental.changed_rows(computed, stored), keys, "price_date")
+    rows = tail.unionByName(computed.select(*tail.columns))
+    series_state.save(spark, fact_path, series_state.merged(touched, rows, fresh))
+    return n
 
 
 def stream_features(spark: SparkSession, raw_stream: DataFrame, fact_path: str,
