@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricelake import schemas
+from pricelake.functions import week_start
 from pricelake.operators import marts, staging
 from pricelake.plans.common import rounded
 from pricelake.plans.queries import register
@@ -18,18 +19,23 @@ from pricelake.sources import files, sinks, versioned
 from pricelake.sources import fixtures as fx
 from pricelake.streaming import jobs
 
-STREAM_PARTS = 2        # files, hence micro-batches, of a landed stream
+STREAM_RUNS = 3         # deliveries of a landed stream
 
 
 def _folder(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
 
 
-def _landed(raw: DataFrame, name: str, by: str) -> DataFrame:
-    """``raw`` as a stream of micro-batches, dealt by the hash of ``by``."""
-    spark, path = raw.sparkSession, _folder(raw.sparkSession, name)
-    raw.repartition(STREAM_PARTS, by).write.parquet(path)
-    return spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 1).parquet(path)
+def _delivered(raw: DataFrame, name: str, by: str, run) -> None:
+    """``raw`` as a stream: dealt by the hash of ``by`` into deliveries that land one
+    after the other, each in files by its size; ``run(stream)`` starts the job, which
+    takes up what is new each time."""
+    spark = raw.sparkSession
+    dealt = sinks.staged_copy(spark, raw.withColumn("__run", F.pmod(F.xxhash64(by), F.lit(STREAM_RUNS))), name)
+    path = _folder(spark, name)
+    for k in range(STREAM_RUNS):
+        dealt.filter(F.col("__run") == k).drop("__run").write.parquet(f"{path}/{k}")
+        run(spark.readStream.schema(raw.schema).parquet(f"{path}/*")).awaitTermination()
 
 
 def _lines(payloads: DataFrame) -> DataFrame:
@@ -81,35 +87,47 @@ def q_stream_ingest(spark, sf):
     return rounded(spark.read.parquet(out).select(*schemas.PRICE_COLUMNS, "source_ts"))
 
 
+@register("q_stream_quarantine")
+def q_stream_quarantine(spark, sf):
+    """What the two-table stream quarantines of the landed chart files."""
+    landing, out = _folder(spark, "landing"), _folder(spark, "stream-landed")
+    _lines(fx.f4_chart_payloads(spark, sf)).write.text(landing)
+    jobs.stream_landed(spark, landing, f"{out}/rows", f"{out}/bad", f"{out}/checkpoint").awaitTermination()
+    bad = spark.read.parquet(f"{out}/bad")
+    # a line that is no JSON has only its text
+    at = F.to_timestamp_ntz(F.regexp_extract("payload_text", '"fetched_at": "([^"]*)"', 1), F.lit("yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
+    return bad.select(F.coalesce("asset_id", F.regexp_extract("payload_text", '"asset_id": "([^"]*)"', 1)).alias("asset_id"),
+                      F.coalesce("fetched_at", at).alias("fetched_at"), "kind", "reason")
+
+
 @register("q_stream_upsert")
 def q_stream_upsert(spark, sf):
-    """Versions of one day in different micro-batches: the newest stays."""
+    """Versions of one day in different deliveries: the newest stays."""
     out = _folder(spark, "stream-upsert")
-    stream = _landed(fx.f2_raw_prices(spark, sf, by="event_type"), "stream-in", "source_ts")
-    jobs.stream_upsert(spark, stream, out, f"{out}-checkpoint").awaitTermination()
+    _delivered(fx.f2_raw_prices(spark, sf, by="event_type"), "stream-in", "source_ts",
+               lambda stream: jobs.stream_upsert(spark, stream, out, f"{out}-checkpoint"))
     return rounded(versioned.read(spark, out, "price_date").select("asset_id", "price_date", "close_usd", "fetched_at"))
 
 
 @register("q_stream_weekly")
 def q_stream_weekly(spark, sf):
-    """Weeks that the watermark has closed: a far later row closes all others."""
+    """Whole weeks in deliveries out of order: most come late, are stored and merged.
+    A far later row of each asset closes all weeks."""
     out = _folder(spark, "stream-weekly")
     fact = marts.fact_daily(staging.stage_prices(fx.f2_raw_prices(spark, sf, by="event_type"), tiebreak=fx.F2_TIEBREAK))
     last = fact.groupBy("asset_id").agg(F.max("price_date").alias("price_date")).withColumn(
         "price_date", F.date_add("price_date", 100))
-    fact = fact.unionByName(last, allowMissingColumns=True)
-    source = _folder(spark, "stream-in")
-    fact.coalesce(1).write.parquet(source)
-    stream = spark.readStream.schema(fact.schema).parquet(source)
-    jobs.stream_weekly(spark, stream, out, f"{out}-checkpoint").awaitTermination()
-    return rounded(spark.read.parquet(out).select(*marts.WEEKLY_COLUMNS))
+    fact = fact.unionByName(last, allowMissingColumns=True).withColumn("__week", week_start("price_date"))
+    _delivered(fact, "stream-in", "__week",
+               lambda stream: jobs.stream_weekly(spark, stream, out, f"{out}-checkpoint", late="merge"))
+    return rounded(jobs.read_weekly(spark, out).select(*marts.WEEKLY_COLUMNS))
 
 
 @register("q_stream_features")
 def q_stream_features(spark, sf):
-    """The daily fact from micro-batches of whole days in any order: late days
+    """The daily fact from deliveries of whole days in any order: late days
     are computed in, and what follows them again."""
     out = _folder(spark, "stream-features")
-    stream = _landed(fx.f2_raw_prices(spark, sf, by="event_type"), "stream-in", "price_date")
-    jobs.stream_features(spark, stream, out, f"{out}-checkpoint", tiebreak=fx.F2_TIEBREAK).awaitTermination()
+    _delivered(fx.f2_raw_prices(spark, sf, by="event_type"), "stream-in", "price_date",
+               lambda stream: jobs.stream_features(spark, stream, out, f"{out}-checkpoint", tiebreak=fx.F2_TIEBREAK))
     return rounded(spark.read.parquet(out).select(*marts.FACT_COLUMNS))

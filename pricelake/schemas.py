@@ -65,12 +65,12 @@ ASSET_INFO = StructType([
 ENVELOPE_KINDS = {"market_chart": MARKET_CHART, "candles": CANDLES, "info": ASSET_INFO}
 
 
-def envelope(kind: str, corrupt_col: str | None = "_corrupt_record") -> StructType:
-    """Landed file row: ``{asset_id, fetched_at, payload}``."""
+def envelope(kind: str, corrupt_col: str | None = "_corrupt_record", text: bool = False) -> StructType:
+    """Landed file row: ``{asset_id, fetched_at, payload}``, the payload parsed or as text."""
     fields = [
         StructField("asset_id", StringType(), True),
         StructField("fetched_at", TimestampNTZType(), True),
-        StructField("payload", ENVELOPE_KINDS[kind], True),
+        StructField("payload", StringType() if text else ENVELOPE_KINDS[kind], True),
     ]
     if corrupt_col:
         fields.append(StructField(corrupt_col, StringType(), True))

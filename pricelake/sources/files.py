@@ -21,8 +21,14 @@ def read_payloads(spark: SparkSession, path: str, kind: str) -> tuple[DataFrame,
     (good, quarantine). Lines are read as text and parsed with ``from_json``,
     so a line that is not valid JSON stays as text and is attributed to its
     file (one asset per landed file); one bad payload loses only its own fetch."""
-    raw = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("source_file"))
-    env = F.from_json(F.col("value"), schemas.envelope(kind, corrupt_col=None))
+    return split_lines(spark.read.text(path), kind)
+
+
+def split_lines(lines: DataFrame, kind: str) -> tuple[DataFrame, DataFrame]:
+    """``read_payloads`` on lines read by the text source, in batch or as a stream."""
+    raw = lines.select("value", F.col("_metadata.file_path").alias("source_file"))
+    # the payload stays text here: which arrays it has tells a missing one from a null
+    env = F.from_json(F.col("value"), schemas.envelope(kind, corrupt_col=None, text=True))
     parsed = raw.select("value", "source_file", env.alias("e"))
     unreadable = F.col("e").isNull() | (F.col("e.asset_id").isNull() &
                                          F.col("e.fetched_at").isNull() &

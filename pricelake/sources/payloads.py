@@ -28,12 +28,11 @@ def _parsed(df: DataFrame, kind: str, col: str = "payload") -> Column:
     return F.col(col)
 
 
-def _short(points: Column, size: int | None = None) -> Column:
-    """Whether an array holds a point without a time, or of too few (not
-    ``size``) members. A missing array holds none."""
+def _short(points: Column, size: int) -> Column:
+    """Whether an array holds a point without a time, or not of ``size`` members.
+    A missing array holds none."""
     def bad(x):
-        wrong = F.size(x) < 2 if size is None else F.size(x) != size
-        return x.isNull() | wrong | F.get(x, F.lit(0)).isNull()
+        return x.isNull() | (F.size(x) != size) | F.get(x, F.lit(0)).isNull()
     return F.exists(F.coalesce(points, F.array().cast("array<array<double>>")), lambda x: F.coalesce(bad(x), F.lit(True)))
 
 
@@ -42,16 +41,24 @@ def split_payloads(df: DataFrame, kind: str, col: str = "payload",
     """(good, quarantine). Parsing is lazy and per row; a bad payload loses only
     its own fetch. Quarantine rows keep the envelope keys, the text and a reason:
     ``unparseable``, or the first array (prices, volumes, caps, candles) holding a
-    point without a time or of the wrong size."""
+    point without a time or of the wrong size. A chart whose text lacks an array is
+    good and has no points of it; an array that is null or no array is not."""
     p = df.withColumn("__p", _parsed(df, kind, col))
     if kind == "candles":
         reason = (F.when(F.col("__p").isNull(), F.lit("unparseable"))
                   .when(_short(F.col("__p"), 5), F.lit("candle_arity")))
     elif kind == "market_chart":
-        reason = (F.when(F.col("__p").isNull() | F.col("__p.prices").isNull(), F.lit("unparseable"))
-                  .when(_short(F.col("__p.prices")), F.lit("point_shape"))
-                  .when(_short(F.col("__p.total_volumes")), F.lit("volume_shape"))
-                  .when(_short(F.col("__p.market_caps")), F.lit("cap_shape")))
+        # text that is no JSON object parses to empty fields, like an object without them;
+        # of a payload parsed before, a missing array cannot be told from a null
+        broken = F.col("__p.prices").isNull()
+        if isinstance(df.schema[col].dataType, StringType):
+            keys_there = F.json_object_keys(F.col(col))
+            lost = [F.array_contains(keys_there, a) & F.col(f"__p.{a}").isNull() for a in ("prices", "total_volumes", "market_caps")]
+            broken = keys_there.isNull() | lost[0] | lost[1] | lost[2]
+        reason = (F.when(F.col("__p").isNull() | broken, F.lit("unparseable"))
+                  .when(_short(F.col("__p.prices"), 2), F.lit("point_shape"))
+                  .when(_short(F.col("__p.total_volumes"), 2), F.lit("volume_shape"))
+                  .when(_short(F.col("__p.market_caps"), 2), F.lit("cap_shape")))
     else:
         reason = F.when(F.col("__p").isNull(), F.lit("unparseable"))
     p = p.withColumn("__reason", reason)

@@ -10,8 +10,10 @@ The daily batch maps onto streams as follows:
 * ``stream_upsert``: each micro-batch is deduplicated and merged into the
   keyed table, newest version wins (``foreachBatch``; replaying an epoch
   gives the same table);
-* ``stream_weekly``: Sunday-aligned 7-day event-time windows with a
-  watermark bounding late data;
+* ``stream_landed``: the same into two tables, rows and quarantined lines, each
+  micro-batch replaced as a whole when it is done again;
+* ``stream_weekly``: Sunday-aligned 7-day event-time windows with a watermark
+  bounding late data, which is dropped, or stored and merged into its weeks;
 * ``stream_features``: row-frame windows are not allowed on streams, so each
   micro-batch computes features from each touched asset's first incoming
   date on, after the 30 rows its stored state keeps (``foreachBatch``).
@@ -29,12 +31,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import DateType, LongType, StructField, StructType
 
 from pricelake import schemas
-from pricelake.functions import pct_change
+from pricelake.functions import pct_change, week_start
 from pricelake.operators import marts, staging
 from pricelake.plans import incremental, series_state
-from pricelake.sources import payloads, sinks, versioned
+from pricelake.sources import files, payloads, sinks, versioned
 
 
 def _started(w, checkpoint: str, available_now: bool) -> StreamingQuery:
@@ -74,6 +77,24 @@ def stream_raw(spark: SparkSession, landing_dir: str, out_path: str,
     return _started(w, checkpoint, available_now)
 
 
+def stream_landed(spark: SparkSession, landing_dir: str, out_path: str, quarantine_path: str,
+                  checkpoint: str, available_now: bool = True, max_files: int | None = None) -> StreamingQuery:
+    """Landed chart payloads -> raw price rows in ``out_path`` and what is bad, line
+    by line, in ``quarantine_path``. Both are written per micro-batch, under
+    ``ingest_epoch=<n>``: one that is done again replaces what it had written to
+    either, so no line is in both, lost or there twice."""
+    lines = spark.readStream.option("maxFilesPerTrigger", max_files or 1000).text(landing_dir).select("value", "_metadata")
+
+    def split(batch: DataFrame, epoch_id: int) -> None:
+        good, bad = files.split_lines(batch, "market_chart")
+        rows = payloads.parse_market_chart(good).select(*schemas.PRICE_COLUMNS, "source_ts")
+        # good rows last: they tell that the epoch is whole
+        sinks.write_table(bad, f"{quarantine_path}/ingest_epoch={epoch_id}", "overwrite", guard_empty=False)
+        sinks.write_table(rows, f"{out_path}/ingest_epoch={epoch_id}", "overwrite", ["fetched_date"], ["asset_id"], guard_empty=False)
+
+    return _started(lines.writeStream.foreachBatch(split), checkpoint, available_now)
+
+
 def stream_ingest(spark: SparkSession, landing: str, raw_path: str,
                   checkpoint: str, available_now: bool = True) -> StreamingQuery:
     """Landed chart payloads under ``landing/market_chart`` as a stream; each
@@ -82,8 +103,6 @@ def stream_ingest(spark: SparkSession, landing: str, raw_path: str,
     rows are kept), merges them and writes the rows to ``raw_path`` under
     ``ingest_epoch=<n>/fetched_date=<d>``: an epoch that is replayed replaces what
     it had written."""
-    from pricelake.sources import files
-
     def merge(batch: DataFrame, epoch_id: int) -> None:
         session = batch.sparkSession
         keys = list(payloads.ENVELOPE_KEYS)
@@ -148,12 +167,82 @@ def weekly_stream(fact_stream: DataFrame, watermark: str = "14 days") -> DataFra
         pct_change("__close", "__open").alias("weekly_return_pct"))
 
 
+#: What the roll-up needs of a day.
+WEEK_ROWS = ["asset_id", "price_date", "close_usd", "daily_return_pct", "volume_usd", "market_cap_usd", "annualised_volatility_30d"]
+EPOCHS = StructType([StructField("until", DateType()), StructField("late_rows", LongType()), StructField("ingest_epoch", LongType())])
+
+
+def _closed_until(spark: SparkSession, path: str, epoch_id: int) -> dt.date | None:
+    """The date up to which the epochs before ``epoch_id`` have closed weeks."""
+    if not sinks.table_exists(spark, f"{path}/epochs"):
+        return None
+    return spark.read.schema(EPOCHS).parquet(f"{path}/epochs").filter(F.col("ingest_epoch") < epoch_id).agg(F.max("until")).first()[0]
+
+
+def weekly_batch(spark: SparkSession, path: str, batch: DataFrame, epoch_id: int, lateness_days: int = 14) -> None:
+    """One micro-batch of fact rows into the weekly roll-up under ``path``:
+
+    ``days`` (versioned, by week): the rows themselves, keyed by asset and date;
+    ``weekly`` (versioned, by week): the published weeks, ``late``: rows of weeks
+    that were closed before they came, per epoch; ``epochs``: how far weeks are closed
+    and how many rows were late.
+
+    A week is closed, and published, once a row ``lateness_days`` beyond its end has
+    come. Late rows are stored, counted, and merged: only the weeks (of the assets)
+    they belong to are rolled up again. A replayed epoch gives the same tables.
+    """
+    rows = sinks.staged_copy(spark, batch.select(*WEEK_ROWS, week_start("price_date").alias("week_start")), "weekly-batch")
+    newest = rows.agg(F.max("price_date")).first()[0]
+    if newest is None:
+        return
+    closed = _closed_until(spark, path, epoch_id)
+    until = newest - dt.timedelta(days=lateness_days)
+    until = until if closed is None else max(until, closed)
+    end = F.date_add("week_start", 7)
+    late = rows.filter(F.lit(False) if closed is None else end <= F.lit(closed))
+    n_late = sinks.write_table(late, f"{path}/late/ingest_epoch={epoch_id}", "overwrite", guard_empty=False)
+    versioned.upsert(spark, f"{path}/days", rows, ["asset_id", "price_date"], "week_start", sort_within=["asset_id"])
+    days = versioned.read(spark, f"{path}/days", "week_start", rows.schema)
+    now = days.filter((end <= F.lit(until)) & (F.lit(True) if closed is None else end > F.lit(closed)))
+    if n_late:
+        weeks = late.select("asset_id", "week_start").distinct()
+        bounds = late.agg(F.min("week_start").alias("lo"), F.max("week_start").alias("hi")).first()
+        now = now.unionByName(sinks.within(days, "week_start", bounds).join(weeks, ["asset_id", "week_start"], "left_semi"))
+    versioned.upsert(spark, f"{path}/weekly", marts.weekly_rollup(now), ["asset_id", "week_start"], "week_start", sort_within=["asset_id"])
+    mark = spark.createDataFrame([(until, n_late)], StructType(EPOCHS.fields[:2]))
+    sinks.write_table(mark, f"{path}/epochs/ingest_epoch={epoch_id}", "overwrite", guard_empty=False)
+
+
+def read_weekly(spark: SparkSession, path: str) -> DataFrame | None:
+    """The weeks that ``stream_weekly(late="merge")`` has published."""
+    return versioned.read(spark, f"{path}/weekly", "week_start")
+
+
+def late_rows(spark: SparkSession, path: str) -> DataFrame:
+    """(ingest_epoch, late_rows) of every epoch of ``stream_weekly(late="merge")``."""
+    return spark.read.schema(EPOCHS).parquet(f"{path}/epochs").select("ingest_epoch", "late_rows")
+
+
 def stream_weekly(spark: SparkSession, fact_stream: DataFrame, out_path: str, checkpoint: str,
-                  watermark: str = "14 days", available_now: bool = True) -> StreamingQuery:
-    """Run ``weekly_stream`` into Parquet: a week is appended once the watermark
-    passes its end."""
-    w = weekly_stream(fact_stream, watermark).writeStream.outputMode("append").format("parquet").option("path", out_path)
-    return _started(w, checkpoint, available_now)
+                  watermark: str = "14 days", available_now: bool = True, late: str = "drop") -> StreamingQuery:
+    """The weekly roll-up of a stream of fact rows.
+
+    ``late="drop"``: ``weekly_stream`` into Parquet; a week is appended once the
+    watermark passes its end, and rows behind the watermark are lost.
+    ``late="merge"``: ``weekly_batch`` per micro-batch; late rows are kept and re-open
+    their weeks.
+    """
+    if late == "drop":
+        w = weekly_stream(fact_stream, watermark).writeStream.outputMode("append").format("parquet").option("path", out_path)
+        return _started(w, checkpoint, available_now)
+    if late != "merge":
+        raise ValueError(f"unknown late policy {late!r}")
+    days = int(watermark.split()[0])
+
+    def run(batch: DataFrame, epoch_id: int) -> None:
+        weekly_batch(batch.sparkSession, out_path, batch, epoch_id, days)
+
+    return _started(fact_stream.writeStream.foreachBatch(run), checkpoint, available_now)
 
 
 def _tail_by_date(spark: SparkSession, stored: DataFrame, first: DataFrame, bounds, days: int) -> DataFrame:
