@@ -13,14 +13,17 @@ The join is a merge: the parts of one kind are sorted, so a part's nearest
 neighbours on either side decide, in time linear in the text and its parts.
 
 Positions are code points, ends exclusive. Defined cases: null and empty texts
-have no spans; a null ``doc_id`` is kept; repeated rows give repeated rows; an
-empty table gives an empty result.
+have no spans; a null ``doc_id`` is kept; repeated rows give repeated rows; very
+long texts are scanned whole, one at a time; parts that start together are all
+reported, in the order of kinds; only the named columns are read, so further
+columns with any names do no harm; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import re
 from bisect import bisect_left
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -66,19 +69,24 @@ def _mixed(value: str) -> bool:
 
 
 class _Kind:
-    """Spans of one kind, sorted, to be asked for a neighbour in scope."""
+    """Spans of one kind, to be asked for a neighbour in scope: of those that start
+    earlier the one that ends last, which a nested span may hide in the order of
+    starts, and of the others the first."""
 
     def __init__(self, spans, blanks):
-        self.spans, self.starts, self.blanks = sorted(spans), sorted(s for s, _ in spans), blanks
+        self.spans, self.blanks = sorted(set(spans)), blanks
+        self.starts = [s for s, _ in self.spans]
+        self.ends = list(accumulate((e for _, e in self.spans), max))
+
+    def _met(self, end: int, start: int) -> bool:
+        return start - end <= SCOPE and bisect_left(self.blanks, end) == bisect_left(self.blanks, max(end, start))
 
     def near(self, span) -> bool:
         k = bisect_left(self.starts, span[0])
-        for i in (k - 1, k):
-            if 0 <= i < len(self.spans) and self.spans[i] != span:
-                a, b = sorted((span, self.spans[i]))
-                if b[0] - a[1] <= SCOPE and bisect_left(self.blanks, a[1]) == bisect_left(self.blanks, max(a[1], b[0])):
-                    return True
-        return False
+        if k and self._met(self.ends[k - 1], span[0]):
+            return True
+        k += k < len(self.spans) and self.spans[k] == span
+        return k < len(self.spans) and self._met(span[1], self.starts[k])
 
 
 def linked_spans(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:

@@ -97,3 +97,23 @@ def test_weak_secrets_of_any_length_are_linked():
         assert kinds(f"host=db.example.org:5432 client_id=my-app {token}") == ["endpoint", "identifier", "secret"]
         assert kinds(f"only {token} here") == []
     assert kinds(f"{KEY} {'aZ7' * 100}") == ["access"]
+
+
+def test_a_nested_span_hides_no_neighbour():
+    """The longer span starts earlier and ends nearer; identifiers equal all pairs."""
+    import random
+    h = "0123456789abcdef01234567"
+    assert [k for _, _, k in S.spans_of(f"password={h}{'g' * 401} client_id=myclient01")] == ["assign", "hex", "identifier"]
+    r = random.Random(9)
+    parts = [f"password={h}{'g' * 310}", f"token={'q' * 40}", h, "client_id=app77", "login=me-too", "https://h.example/p", "y " * 90, "\n\n", "z " * 120]
+    for _ in range(200):
+        text = " ".join(r.choice(parts) for _ in range(r.randint(2, 12)))
+        spans = S.spans_of(text)
+        firm = [(s, e) for s, e, k in spans if k in ("assign", "hex")]
+        names = [(m.start(), m.end()) for m in S.IDENTIFIER.finditer(text)]
+
+        def meets(a, b, text=text):
+            a, b = sorted((a, b))
+            return b[0] - a[1] <= S.SCOPE and not S.BLANK.search(text, a[1], max(a[1], b[0]) + 1)
+        want = {n for n in names if any(meets(n, f) for f in firm)}
+        assert {(s, e) for s, e, k in spans if k == "identifier"} == want
