@@ -19,7 +19,9 @@ space, blocks are joined by a blank line. Defined cases: null, empty or purely
 decorative html gives the empty text; unclosed elements run to the end of
 their parent, scripts and other raw text to that of the page, an unclosed or
 self-closed svg or math is empty; a null id is kept; repeated rows give repeated
-rows; an empty table gives an empty result.
+rows; of runs that score alike the first is taken; very long pages are taken whole,
+in time linear in their length; only the named columns are read, so further columns
+with any names do no harm; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -48,10 +50,10 @@ CLOSES_P = frozenset("address article aside blockquote details dir div dl fields
 # Elements left out before the tags are read; of the raw ones no tag but their own end tag is one.
 RAW = frozenset("script style textarea title iframe".split())
 SKIPPED = (*sorted(RAW), "noscript", "template", "svg", "object", "canvas", "math", "select", "button")
-_SKIP = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[|\]\]>|<[!?][^>]*>?|<(" + "|".join(SKIPPED) + r")(?=[\s/>])"
-                   r"(?:((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|([^>]*)>)", re.S | re.I)
-_END = {e: re.compile(rf"</{e}(?=[\s/>])[^>]*>", re.I) for e in SKIPPED}
-_TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)>")
+_MARK = re.compile(r"<!--|<!\[CDATA\[|\]\]>|<[!?]|<(" + "|".join(SKIPPED) + r")(?=[\s/>])", re.I)
+_END = {e: re.compile(rf"</{e}(?=[\s/>])", re.I) for e in SKIPPED}
+_OPEN = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)")
+_STOP = re.compile(r"[>\"']")
 _ATTR = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
@@ -70,6 +72,29 @@ def _names(attributes: str) -> tuple[str, ...]:
     return tuple(dict.fromkeys(out))
 
 
+class _Ends:
+    """Where tags end, in time linear in the page: a ``>`` outside quotes, until a
+    quote is open to the end of the page; from there on quotes tell nothing."""
+
+    def __init__(self, page: str):
+        self.page, self.quotes = page, True
+
+    def after(self, pos: int) -> int:
+        """The position after the tag's end, sought from ``pos``; 0 if no tag ends there."""
+        at = pos
+        while self.quotes:
+            m = _STOP.search(self.page, at)
+            if m is None:
+                break
+            if m[0] == ">":
+                return m.end()
+            at = self.page.find(m[0], m.end()) + 1
+            if not at:
+                break
+        self.quotes = False
+        return self.page.find(">", pos) + 1
+
+
 def _skipped(page: str) -> str:
     """The page with a space for each comment, declaration and skipped element.
 
@@ -78,28 +103,46 @@ def _skipped(page: str) -> str:
     another's tag stays: its text ends with its parent. Each end tag is sought
     to the end of the page once at most.
     """
-    out, pos, open_ended = [], 0, set()
-    while m := _SKIP.search(page, pos):
+    out, pos, at, open_ended, ends = [], 0, 0, set(), _Ends(page)
+    while m := _MARK.search(page, at):
+        end = m.end()
+        if m[0] == "<!--":
+            end = page.find("-->", end) + 3
+            end = end if end > 2 else len(page)
+        elif m[0] in ("<!", "<?"):
+            end = page.find(">", end) + 1 or len(page)
+        elif m[1]:
+            name, end = m[1].lower(), ends.after(end)
+            if not end:                      # no tag ends any more
+                break
+            if name in RAW or page[end - 2] != "/":
+                close = None if name in open_ended else _END[name].search(page, end)
+                closed = page.find(">", close.end()) + 1 if close else 0
+                if closed:
+                    end = closed
+                elif name in RAW:
+                    end = len(page)
+                else:
+                    open_ended.add(name)
+                    if name not in ("svg", "math"):
+                        at = end
+                        continue
         out += (page[pos:m.start()], " ")
-        pos = m.end()
-        if not m[1]:
-            continue
-        name, attributes = m[1].lower(), m[3] if m[2] is None else m[2]
-        if name not in RAW and attributes.endswith("/"):
-            continue
-        end = None if name in open_ended else _END[name].search(page, pos)
-        if end:
-            pos = end.end()
-        elif name in RAW:
-            pos = len(page)
-        else:
-            open_ended.add(name)
-            if name not in ("svg", "math"):
-                out[-1] = m[0]
+        pos = at = end
     out.append(page[pos:])
     return "".join(out)
 
 
+def _tags(page: str):
+    """(start, end, closing, name, attributes) of every tag, in order."""
+    ends, at = _Ends(page), 0
+    while m := _OPEN.search(page, at):
+        at = ends.after(m.end())
+        if not at:
+            return
+        yield m.start(), at, bool(m[1]), m[2].lower(), page[m.end():at - 1]
+
+
 def blocks_of(page: str) -> list[Block]:
     """The page's text blocks in order, with their context and the tags before them."""
     page = _skipped(page) if "<" in page else page
@@ -125,12 +168,10 @@ def blocks_of(page: str) -> list[Block]:
         if any(e[0] == "a" for e in stack):
             block.linked += n
 
-    for m in _TAG.finditer(page):
-        if m.start() > pos:
-            say(page[pos:m.start()])
-        pos = m.end()
-        closing, tag, attributes = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
-        tag = tag.lower()
+    for start, end, closing, tag, attributes in _tags(page):
+        if start > pos:
+            say(page[pos:start])
+        pos = end
         tags.append(tag)
         if tag not in INLINE:
             block = None
@@ -149,22 +190,32 @@ def blocks_of(page: str) -> list[Block]:
                         break
                     if stack[k][0] in CLOSES_P:
                         break
-            stack.append((tag, _names(attributes) if "=" in attributes else (), m.start()))
+            stack.append((tag, _names(attributes) if "=" in attributes else (), start))
     if pos < len(page):
         say(page[pos:])
     return out
 
 
-def features(b: Block) -> list[str]:
-    """What is known of a block's place, as names."""
+def around_all(blocks: list[Block]) -> set[int]:
+    """The forms that hold every block of the page: they tell nothing of one."""
+    held = [{e[2] for e in b.context if e[0] == "form"} for b in blocks]
+    return set.intersection(*held) if held else set()
+
+
+def features(b: Block, whole: set[int] = frozenset()) -> list[str]:
+    """What is known of a block's place, as names, but for the elements ``whole``."""
     f = ["bias"]
     inside = set()
-    for tag, names, _ in b.context:
+    context = [e for e in b.context if e[2] not in whole] if whole else b.context
+    for tag, names, _ in context:
         if tag not in INLINE:
             inside.add("in " + tag)
         inside.update("name " + n for n in names)
+    # the nearest three elements tell more than what holds the whole page
+    close = [e for e in context if e[0] not in INLINE][-3:]
+    inside.update("near " + e[0] for e in close)
     f += sorted(inside)
-    own = next((e[0] for e in reversed(b.context) if e[0] not in INLINE), "body")
+    own = next((e[0] for e in reversed(context) if e[0] not in INLINE), "body")
     f.append("tag " + own)
     f.append("long" if b.words >= 12 else "short" if b.words < 4 else "middling")
     if 2 * b.linked > b.words:
@@ -180,8 +231,10 @@ def train(pages) -> tuple[dict[str, float], dict[str, float]]:
     """(word weights, tag costs) from (html, [is main of each block]) pages."""
     rows, seen = [], {True: Counter(), False: Counter()}
     for page, main in pages:
-        for b, y in zip(blocks_of(page), main, strict=True):
-            rows.append((features(b), y, min(b.words, 20)))
+        blocks = blocks_of(page)
+        whole = around_all(blocks)
+        for b, y in zip(blocks, main, strict=True):
+            rows.append((features(b, whole), y, min(b.words, 20)))
             seen[y].update(b.tags)
     w: Counter = Counter()
     scale: Counter = Counter()
@@ -197,21 +250,29 @@ def train(pages) -> tuple[dict[str, float], dict[str, float]]:
     return dict(w), costs
 
 
-_MAIN_NAMES = "article content post entry story main body text page detail".split()
+# Class and id words seen on pages, of main text, of other parts, and of neither.
+_MAIN_NAMES = "article content post entry story main body text page detail artikel inhalt beitrag contenu contenido articulo".split()
+_NEUTRAL = "wrapper wrap container row col inner outer grid box block section layout left right center wide clearfix module component".split()
 _OTHER = {
     "nav": "nav menu navigation breadcrumb breadcrumbs topnav navbar", "header": "header masthead top banner logo",
-    "footer": "footer bottom copyright legal imprint colophon", "aside": "sidebar aside related widget rail recommended popular trending",
+    "footer": "footer bottom copyright legal imprint colophon impressum", "aside": "sidebar aside related widget rail recommended popular trending",
     "div": "ad ads advert advertisement adsbygoogle sponsor sponsored promo promotion teaser banner notice alert cookie cookies consent gdpr popup "
            "modal overlay warning message newsletter subscribe signup share social toolbar tags comments comment replies "
            "reply respondent discussion disqus sidebar menu nav footer header related login search pagination pager skip "
-           "breadcrumb breadcrumbs copyright disclaimer",
-    "section": "comments comment reader responses replies discussion related recommended newsletter notice promo ads",
+           "breadcrumb breadcrumbs copyright disclaimer kommentare kommentar werbung anzeige seitenleiste hinweis kopfzeile fusszeile "
+           "commentaires commentaire publicite avis entete comentarios comentario publicidad anuncio aviso cabecera",
+    "section": "comments comment reader responses replies discussion related recommended newsletter notice promo ads kommentare commentaires comentarios",
     "ul": "menu nav links tags share social pagination", "form": "form search login subscribe comment newsletter contact",
 }
 
 
-def labelled(n: int = 400, seed: int = 7):
-    """A bounded set of labelled pages: ``n`` layouts drawn by a rule."""
+def labelled(n: int = 600, seed: int = 7):
+    """A bounded set of labelled pages: ``n`` layouts drawn by a rule.
+
+    Main text stands in named, neutrally named or bare elements, under any number
+    of neutral wrappers, on some pages all within one form; other parts carry
+    names in several languages or stand in elements of their own.
+    """
     r = random.Random(seed)
     say = lambda lo, hi: " ".join("".join(r.choice("aeioulnrst") for _ in range(r.randint(2, 9)))
                                   for _ in range(r.randint(lo, hi)))
@@ -219,23 +280,34 @@ def labelled(n: int = 400, seed: int = 7):
     def name(words):
         return f' {r.choice(("class", "class", "id"))}="{r.choice(words)}{r.choice(("", "", "-box", "-1", " wide"))}"'
 
+    def neutral():
+        made = "".join(r.choice("bcdfghjkmpqvwxz") for _ in range(r.randint(3, 8)))
+        return r.choice(("", name([*_NEUTRAL, f"col-{r.randint(1, 12)}"]), f' class="{made}"'))
+
+    def wrapped(inner, most):
+        for _ in range(r.randint(0, most)):
+            t = r.choice(("div", "div", "div", "section"))
+            inner = f"<{t}{neutral()}>{inner}</{t}>"
+        return inner
+
     def other():
         tag = r.choice(list(_OTHER))
         attr = name(_OTHER[tag].split()) if tag in ("div", "section", "ul") or r.random() < 0.5 else ""
         kind, k = r.random(), r.randint(1, 6)
         if tag in ("nav", "ul") or kind < 0.25:
             items, inner = k, "".join(f'<li><a href="/{i}">{say(1, 3)}</a></li>' for i in range(k))
-            return f"<{tag}{attr}>" + (inner if tag == "ul" else f"<ul>{inner}</ul>") + f"</{tag}>", [False] * items
+            return f"<{tag}{attr}>" + (inner if tag == "ul" else wrapped(f"<ul>{inner}</ul>", 1)) + f"</{tag}>", [False] * items
         if kind < 0.6:
             return f"<{tag}{attr}>{say(2, 40)}</{tag}>", [False]
         head = f"<h3>{say(1, 4)}</h3>" if r.random() < 0.5 else ""
-        return (f"<{tag}{attr}>{head}" + "".join(f"<p>{say(3, 60)}</p>" for _ in range(k)) + f"</{tag}>",
+        return (f"<{tag}{attr}>{wrapped(head + ''.join(f'<p>{say(3, 60)}</p>' for _ in range(k)), 1)}</{tag}>",
                 [False] * (k + bool(head)))
 
     for _ in range(n):
         parts = [other() for _ in range(r.randint(1, 4))]
-        wrap = r.choice(("article", "article", "main", "div", "section", ""))
-        attr = name(_MAIN_NAMES) if wrap == "div" or wrap and r.random() < 0.3 else ""
+        wrap = r.choice(("article", "article", "main", "div", "div", "section", ""))
+        attr = r.choice((name(_MAIN_NAMES), name(_MAIN_NAMES), neutral())) if wrap in ("div", "section") else \
+            name(_MAIN_NAMES) if wrap and r.random() < 0.3 else ""
         inner, labels = (f"<h1>{say(2, 9)}</h1>", [True]) if r.random() < 0.8 else ("", [])
         for _ in range(r.randint(1, 9)):
             kind = r.random()
@@ -251,9 +323,11 @@ def labelled(n: int = 400, seed: int = 7):
                 piece, no = other()
                 inner += piece
                 labels += no
-        parts.append((f"<{wrap}{attr}>{inner}</{wrap}>" if wrap else inner, labels))
+        parts.append((wrapped(f"<{wrap}{attr}>{wrapped(inner, 1)}</{wrap}>" if wrap else inner, 2), labels))
         parts += [other() for _ in range(r.randint(1, 4))]
-        yield "<html><body>" + "".join(p for p, _ in parts) + "</body></html>", [y for _, ys in parts for y in ys]
+        body = "".join(p for p, _ in parts)
+        body = r.choice((body, body, body, f"<div{neutral()}>{body}</div>", f'<form method="post" id="{r.choice(("form1", "page", "aspnet"))}">{body}</form>'))
+        yield "<html><body>" + body + "</body></html>", [y for _, ys in parts for y in ys]
 
 
 def main_region(scores: list[float]) -> tuple[int, int]:
@@ -300,7 +374,8 @@ def grown(blocks: list[Block], odds: list[float], first: int, end: int) -> list[
 def extract(page: str | None, model) -> str:
     weights, costs = model
     blocks = blocks_of(page or "")
-    odds = [max(-4.0, min(4.0, sum(weights.get(x, 0.0) for x in features(b)))) for b in blocks]
+    whole = around_all(blocks)
+    odds = [max(-4.0, min(4.0, sum(weights.get(x, 0.0) for x in features(b, whole)))) for b in blocks]
     scores = []                          # the tags before a block, then its words
     for b, o in zip(blocks, odds, strict=True):
         scores += [-sum(costs.get(t, 0.3) for t in b.tags), o * b.words]

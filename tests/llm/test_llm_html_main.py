@@ -80,3 +80,29 @@ def test_custom_elements_and_self_closed_icons_do_not_end_the_page(model):
 
 def test_many_unclosed_elements_take_linear_time():
     assert len(H.blocks_of("<div><svg><button>x</div><p>said</p>" * 30_000)) == 30_000
+
+
+def test_pages_of_other_makers(model):
+    """Layouts that ``labelled`` does not draw, with neutral names, forms and other languages."""
+    long = " ".join(f"word{k}" for k in range(40))
+    more = " ".join(f"other{k}" for k in range(60))
+    menu = '<ul id="hauptmenu"><li><a href="/a">Start</a></li><li><a href="/b">Neues</a></li></ul>'
+    foot = "<footer><p>All rights reserved by the owner of this page.</p></footer>"
+    want = "\n\n".join([long, "A short one here.", "Title two", more])
+    body = f"<p>{long}</p><p>A short one here.</p><h2>Title two</h2><p>{more}</p>"
+    for page in (f'<body>{menu}<div class="wrapper"><div class="col-8">{body}</div></div>{foot}</body>',
+                 f'<body><form action="/x" method="post">{menu}<main>{body}</main>{foot}</form></body>',
+                 f'<body><nav>{menu}</nav><div class="css-1x2y3z"><div class="css-9q">{body}</div></div>{foot}</body>',
+                 f'<body><nav>{menu}</nav><article>{body}</article><div class="kommentare"><h3>Kommentare</h3><p>Das hat mir sehr gut gefallen, danke '
+                 f'für den schönen Beitrag.</p></div>{foot}</body>',
+                 f"<body><nav>{menu}</nav><table><tr><td><div>{body}</div></td></tr></table>{foot}</body>"):
+        assert H.extract(page, model) == want, page
+
+
+@pytest.mark.parametrize("piece", ["<svg ", "<a ", '<a title="', "<a title='x", "<svg>x</svg ", "<!", "<button ", '<script "', "<![CDATA[", "<!--"])
+def test_pages_that_never_close_a_tag_take_linear_time(piece, model):
+    import time
+    page = "<p>said</p>" + piece * (1_000_000 // len(piece))
+    t = time.process_time()
+    H.extract(page, model)
+    assert time.process_time() - t < 5
