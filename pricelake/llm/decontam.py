@@ -1,23 +1,30 @@
-"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
-
-1. Every ``GRAM``-word gram of a test item is a seed, so an unedited stretch of
-   ``GRAM`` words always holds one, however rare or common it is in the
-   documents. A fixed bitmap of the seeds picks the documents' grams.
-2. Passages are the stretches of a document around its seed hits, by the longest
-   item's length on either side. Passages and items meet by a join on seeds; a
-   pair goes on with at least ``SEED_SHARE`` of half the item's seeds (one at
-   least). A copy without an unedited stretch of ``GRAM`` words is not met.
-3. The pair's words are aligned locally (match 2, mismatch and gap -1); the score
-   is the best alignment over that of the whole item, 0 to 1, and a pair at
-   ``SCORE`` or more is contaminated: an exact copy has 1, one with a fifth of
-   its words replaced 0.7, half an item 0.5.
+"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+
+1. Seeds: at every position of a test item the shortest gram, from ``GRAM`` words on,
+   that at most ``SHARED`` items hold; a phrase that many items share ("which of the
+   following") is a seed only with its continuation, up to ``LONGEST`` words or the
+   item's end. So a seed hit makes few pairs, however common the phrase is in the
+   documents, while every unedited stretch of ``GRAM`` words of an item's own makes one.
+2. A fixed map of the seeds picks the documents' grams and tells how long their
+   items are. Passages are the stretches of a document around its hits, by that length
+   on either side. Passages and items meet by a join on seeds; a pair goes on with
+   at least ``SEED_SHARE`` of half the item's own grams (one at least).
+3. A pair whose passage lacks more than half the item's words cannot reach ``SCORE``
+   and goes (a score of half means matches for half the words at least). The others'
+   words are aligned locally (match 2, mismatch and gap -1); the score is the best
+   alignment over that of the whole item, 0 to 1, and a pair at ``SCORE`` or more is
+   contaminated: an exact copy has 1, one with a fifth of its words replaced 0.7,
+   half an item 0.5.
 
 Words are runs of letters and digits, ASCII letters folded.
 Defined cases: null and empty texts have no words and match nothing; items of
-fewer words than a gram have no seeds and match nothing; a null item id is
+fewer words than a gram are no evidence and match nothing; a copy without an unedited
+stretch that is a seed is not met (README has the recall by edits); a null item id is
 reported as null; rows repeating a ``doc_id`` (or having none) are reported as
 one document, as are items repeating an id, but only rows that hold an item
-themselves are dropped; an empty table gives an empty result.
+themselves are dropped; of passages that score alike the first is reported; very
+long texts are cut into passages, none is dropped; packed rows keep columns with
+clashing names apart; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -30,7 +37,8 @@ from pyspark.sql import functions as F
 from pricelake.llm import textvec
 from pricelake.llm.common import join_staged, released, row_key, stage, without
 
-GRAM = 3
+GRAM, LONGEST = 3, 8
+SHARED = 8
 SEED_SHARE = 0.15
 MATCH, MISS, GAP = 2, -1, -1
 SCORE = 0.5
@@ -45,14 +53,17 @@ def _text_words(col):
             yield lo + i, h[b[i]:b[i + 1]]
 
 
-def _grams(w: np.ndarray) -> np.ndarray:
-    return textvec.ngrams(w, np.array([0, len(w)]), GRAM)[0].view(np.int64)
+def _grams(w: np.ndarray, n: int = GRAM) -> np.ndarray:
+    return textvec.ngrams(w, np.array([0, len(w)]), n)[0].view(np.int64)
 
 
 def _bit(h: np.ndarray) -> np.ndarray:
     return (h.view(np.uint64) >> np.uint64(64 - BITS)).astype(np.int64)
 
 
+_SEED = pa.struct([("at", pa.int32()), ("n", pa.int32()), ("gram", pa.int64())])
+
+
 def _items(batches):
     for b in batches:
         ids = b.column(0).to_pylist()
@@ -60,28 +71,38 @@ def _items(batches):
         yield pa.RecordBatch.from_pydict({
             "item_id": pa.array([i for i, _ in rows], pa.int64()),
             "words": pa.array([w.tobytes() for _, w in rows], pa.binary()),
-            "grams": pa.array([_grams(w) for _, w in rows], pa.list_(pa.int64()))})
+            "grams": pa.array([[{"at": p, "n": n, "gram": g} for n in range(GRAM, LONGEST + 1) for p, g in enumerate(_grams(w, n).tolist())]
+                               for _, w in rows], pa.list_(_SEED))})
 
 
 _PASSAGE = "pid long, doc_id long, key binary, first long, words binary, hits array<struct<gram bigint, at int>>"
 
 
-def _passages(shared, reach: int):
+def _passages(shared, lengths: list[int]):
     def run(batches):
         from pyspark import TaskContext
-        bits, made = shared.value, TaskContext.get().partitionId() << 36
+        wide, made = shared.value, TaskContext.get().partitionId() << 36
         kind = pa.list_(pa.struct([("gram", pa.int64()), ("at", pa.int32())]))
         for b in batches:
             ids, keys, out = b.column(0).to_pylist(), b.column(2), []
             for row, w in _text_words(b.column(1)):
-                g = _grams(w)
-                at = np.flatnonzero(bits[_bit(g)])
+                at, gram = [], []
+                for n in lengths:
+                    g = _grams(w, n)
+                    hit = np.flatnonzero(wide[_bit(g)])
+                    at.append(hit)
+                    gram.append(g[hit])
+                at, gram = np.concatenate(at), np.concatenate(gram)
                 if not len(at):
                     continue
-                for part in np.split(at, np.flatnonzero(np.diff(at) > 2 * reach) + 1):
-                    lo, hi = max(0, int(part[0]) - reach), int(part[-1]) + GRAM + reach
+                order = np.argsort(at, kind="stable")
+                at, gram = at[order], gram[order]
+                reach = np.int64(1) << wide[_bit(gram)].astype(np.int64)
+                far = np.maximum.accumulate(at + LONGEST + reach)
+                for part in np.split(np.arange(len(at)), np.flatnonzero(at[1:] - reach[1:] > far[:-1]) + 1):
+                    lo, hi = max(0, int((at[part] - reach[part]).min())), int(far[part[-1]])
                     out.append((made, ids[row], keys[row].as_py(), lo, w[lo:hi].tobytes(),
-                                [{"gram": int(g[p]), "at": int(p) - lo} for p in part]))
+                                [{"gram": int(gram[p]), "at": int(at[p]) - lo} for p in part]))
                     made += 1
             cols = list(zip(*out, strict=True)) or [[]] * 6
             kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.binary(), kind)
@@ -113,6 +134,8 @@ def _align(batches):
         out = []
         for doc, key, item, first, n, text, words in zip(*(c.to_pylist() for c in b.columns), strict=True):
             text, words = np.frombuffer(text, np.uint64), np.frombuffer(words, np.uint64)
+            if np.isin(words, text).sum() < SCORE * len(words):
+                continue
             best, end = smith_waterman(words, text)
             score = best / (MATCH * len(words))
             if score >= SCORE:
@@ -124,12 +147,24 @@ def _align(batches):
                                          names=["doc_id", "key", "item_id", "score", "start_word", "end_word", "seeds"])
 
 
-def _bitmap(grams: DataFrame):
-    """The 2 ** BITS bitmap of a column of grams: a fixed size, whatever the items."""
-    places = grams.select(F.shiftrightunsigned("gram", 64 - BITS).cast("int").alias("p")).distinct()
-    bits = np.zeros(1 << BITS, dtype=bool)
-    bits[places.toArrow().column("p").to_numpy()] = True
-    return grams.sparkSession.sparkContext.broadcast(bits)
+def _widths(seeds: DataFrame):
+    """By place of 2 ** BITS: 0, or the power of two that covers the longest item
+    with a seed there. A fixed size, whatever the items."""
+    places = seeds.groupBy(F.shiftrightunsigned("gram", 64 - BITS).cast("int").alias("p")).agg(F.max("words").alias("n")).toArrow()
+    wide = np.zeros(1 << BITS, dtype=np.uint8)
+    wide[places.column("p").to_numpy()] = np.ceil(np.log2(np.maximum(2, places.column("n").to_numpy())))
+    return seeds.sparkSession.sparkContext.broadcast(wide)
+
+
+def seeds_of(items: DataFrame) -> DataFrame:
+    """(row, item_at, gram, n, words): of each position of an item the shortest gram
+    that few items hold, else the longest there is."""
+    grams = items.select("row", F.expr("octet_length(words) div 8").alias("words"), F.inline("grams"))
+    held = grams.groupBy("gram").agg(F.countDistinct("row").alias("items"))
+    last = F.col("n") == F.least(F.lit(LONGEST), F.col("words") - F.col("at"))
+    good = grams.join(held, "gram").filter((F.col("items") <= SHARED) | last)
+    return good.groupBy("row", F.col("at").alias("item_at")).agg(F.min(F.struct("n", "gram", "words")).alias("s")) \
+        .select("row", "item_at", "s.gram", "s.n", "s.words")
 
 
 def _aligned(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, item_col: str, item_text_col: str) -> DataFrame:
@@ -137,13 +172,19 @@ def _aligned(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str,
     row), item_id, score, start_word, end_word, seeds."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), row_key(id_col, text_col).alias("key"))
     items = stage(benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).alias("text"))
-                  .mapInArrow(released(_items), "item_id long, words binary, grams array<bigint>")
+                  .mapInArrow(released(_items), "item_id long, words binary, grams array<struct<at int, n int, gram bigint>>")
                   .withColumn("row", F.xxhash64("item_id", "words")).dropDuplicates(["row"]), "items")
-    grams = stage(items.select("row", F.size("grams").alias("n_grams"), F.posexplode("grams").alias("at", "gram")), "grams")
-    need = F.greatest(F.lit(1), F.floor(F.ceil(F.col("n_grams") / 2) * SEED_SHARE))
-    seeds = grams.select("row", "gram", F.col("at").alias("item_at"), need.alias("need"))
+    seeds = stage(seeds_of(items), "seeds")
+    own = seeds.groupBy("row").agg(F.count_if(F.col("n") == GRAM).alias("own"))
+    need = F.greatest(F.lit(1), F.floor(F.ceil(F.col("own") / 2) * SEED_SHARE)).alias("need")
+    lengths = [r["n"] for r in seeds.select("n").distinct().orderBy("n").collect()]
     reach = items.agg(F.max(F.octet_length("words"))).first()[0] or 0
-    passages = stage(docs.mapInArrow(released(_passages(_bitmap(seeds), reach // 8)), _PASSAGE), "passages")
+    if not lengths:
+        return items.limit(0).select(F.lit(0).cast("long").alias("doc_id"), F.col("words").alias("key"), "item_id", F.lit(0.0).alias("score"), *[
+            F.lit(0).cast("long").alias(c) for c in ("start_word", "end_word", "seeds")])
+    wide = _widths(seeds)
+    seeds = stage(seeds.join(own.select("row", need), "row").select("row", "gram", "item_at", "need"), "needs")
+    passages = stage(docs.mapInArrow(released(_passages(wide, lengths)), _PASSAGE), "passages")
     hits = join_staged(passages.select("pid", F.inline("hits")), seeds, "gram", "inner", row_bytes=40)
     pairs = stage(hits.groupBy("pid", "row").agg(F.countDistinct("item_at").alias("seeds"), F.first("need").alias("need"))
                   .filter("seeds >= need").select("pid", "row", "seeds"), "pairs")

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from pricelake.llm import decontam as D
@@ -123,3 +124,34 @@ def test_clean_rows_that_share_an_id_with_a_contaminated_one_stay(make, bench):
     clean = [(None, "clean words of a row without an id"), (None, None), (3, "another text under the same number"), (3, "")]
     kept = D.drop_contaminated(make([*clean, (None, item), (3, f"so {item} it is"), (4, item)]), bench([(1, item)]))
     assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(clean, key=str)
+
+
+def test_a_phrase_that_all_items_share_makes_no_pairs(spark, make, bench):
+    """Items that all begin alike meet only their own copies; results equal full alignment."""
+    r = random.Random(11)
+    phrase = "which of the following".split()
+    items = [(k, phrase + [f"i{k}w{j}" for j in range(r.randint(6, 14))]) for k in range(40)]
+    rows = [(k, [f"d{k}x{j}" for j in range(20)] + phrase + [f"d{k}y{j}" for j in range(20)]) for k in range(200)]
+    for k, w in items[:20]:
+        e = list(w)
+        for _ in range(k % 3):
+            e[r.randrange(len(e))] = "edited"
+        rows.append((1000 + k, ["so", *e, "then"]))
+    docs, asked = make([(i, " ".join(w)) for i, w in rows]), bench([(i, " ".join(w)) for i, w in items])
+    got = {(x.doc_id, x.item_id) for x in D.contaminated(docs, asked).collect()}
+    want = {(i, k) for i, w in rows for k, v in items if 2 * sw(v, w) >= 2 * D.MATCH * len(v) * D.SCORE}
+    assert got == want and len(want) == 20
+    # no gram of the phrase alone is a seed
+    batch = next(D._items([pa.RecordBatch.from_pydict({"i": [k for k, _ in items], "t": [" ".join(w) for _, w in items]})]))
+    seeds = D.seeds_of(spark.createDataFrame([(k, b.as_py(), g.as_py()) for k, b, g in zip(range(40), batch.column(1), batch.column(2), strict=True)],
+                                             "row long, words binary, grams array<struct<at int, n int, gram bigint>>")).collect()
+    assert {x.n for x in seeds if x.item_at == 0} == {5} and {x.n for x in seeds if x.item_at == 4} == {3}
+
+
+def test_templated_items_all_find_a_copy(make, bench):
+    """Items alike but for the last word: a copy of one is a near copy of all."""
+    head = [f"t{j}" for j in range(20)]
+    items = [(k, [*head, f"end{k}"]) for k in range(30)]
+    got = {(x.doc_id, x.item_id) for x in D.contaminated(make([(1, " ".join(["a", *items[3][1], "b"])), (2, "clean text of its own words")]),
+                                                          bench([(i, " ".join(w)) for i, w in items])).collect()}
+    assert got == {(1, k) for k in range(30)}
