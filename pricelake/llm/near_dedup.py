@@ -1,74 +1,67 @@
 """Near-duplicate groups by an LSH forest over MinHash signatures.
 
 1. One pass over the texts: distinct word shingles, a 64-bit name of the set
-   (equal sets are one node from here on), a signature of ``TREES * DEPTH``
-   minima, kept as bytes, and one key a tree: the tree's first ``DEPTH`` minima.
-2. Forest: rows with equal keys are a region, the longest-common-prefix
-   neighbours in that tree's order. Within a region leaders are picked; every
-   node is joined to each leader whose signature agrees in ``LINK`` of the
-   places. By the triangle inequality of the Jaccard distance a pair at the
-   threshold always meets in one connected block of these joins. A region
-   with more than ``REGION_LEADERS`` leaders is too diverse for its depth: what
-   no leader resembles is split by the next signature values of the tree's
-   order (adaptive depth). A spanning set of edges leaves a region, never its
-   pairs.
-3. Blocks (components of these edges) gather their texts once; inside a block
-   the exact intersections come from posting lists. A large block is dealt
-   into parts, about the square root of its size in number and none over
-   ``BLOCK_SHINGLES`` shingles, and every two parts meet on their own.
+   (equal sets are one node from here on), and a signature of ``VALUES`` minima, a
+   byte each.
+2. Forest: every tree has its own order of the signature's values, and sorts the
+   nodes by them (one range-partitioned sort of short labels, so a crowded region
+   is split over tasks like any other range). A node's candidates in a tree are the
+   next ``NEXT`` nodes in its order, those that share the longest prefixes with it:
+   in a crowded region they agree on many values, in a sparse one on few, and never
+   on fewer than ``LEAST``. A candidate whose label beyond the prefix agrees in
+   fewer than ``LINK`` values is dropped.
+3. The components of the candidates are blocks, in which every link is confirmed on
+   the full sets (``block_links``: linear in a large group of copies).
 4. Components of the confirmed links name the groups.
 
-A pair at similarity 0.85 shares no region with probability below 1e-6
-(0.85**5 = 0.44, 24 trees), one at 0.8 below 1e-4; more similar pairs are safer.
+In a tree a pair of similarity s shares the first LEAST values with probability s**3,
+and of the 17 others 9 with 0.998 (0.85) or 0.995 (0.8); it is then found unless
+NEXT nodes stand between them that share as much. All 24 trees miss it with
+probability below 1e-9 (0.85) or 1e-7 (0.8) where fewer do; where m unlike nodes of
+similarity q to it do not thin out (a passage that m documents share), the pair needs
+a prefix of about log(m / NEXT) / log(1 / q) values instead.
 
 Defined cases: null and empty texts and texts without words have an empty set,
 are linked with nothing and stay; fewer words than a shingle make one shingle
 of the whole sequence; equal sets are always linked; a null ``doc_id`` takes
 part but never names a group unless all its rows have none; rows repeating one
 ``doc_id`` are separate rows of one group when their sets link, and of each group
-one row stays; an empty table gives an empty result.
+one row stays; very long texts are read in blocks of words; packed rows keep columns
+with clashing names apart; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricelake.llm import textvec
-from pricelake.llm.common import NO_ID, join_staged, released, row_key, sorted_groups, stage, without
-from pricelake.llm.components import Forest, components
+from pricelake.llm.block_links import confirmed, set_name
+from pricelake.llm.common import join_staged, released, row_key, stage, without
+from pricelake.llm.components import components
 
 SHINGLE = 5
-TREES, DEPTH = 24, 5
-VALUES = TREES * DEPTH
-#: Leaders, all unlike one another, after which a region's rest is taken a value deeper.
-REGION_LEADERS = 2048
-LEAD, LINK = 0.70, 0.40
-#: A block's parts: as many as evens its tasks out, and so many that a part's
-#: shingles fit a task.
-EVEN_SHINGLES, BLOCK_SHINGLES = 5_000, 400_000
+TREES, VALUES = 24, 120
+#: Values of a label; of a prefix at least; beyond it that must agree; candidates on either side.
+LABEL, LEAST, LINK, NEXT = 20, 3, 9, 4
 
 U = np.uint64
 _FLIP = textvec.mix(np.arange(1, VALUES + 1, dtype=U) * U(0x9E3779B97F4A7C15))
 _ODD = textvec.mix(_FLIP + U(77)) | U(1)
-_PLACE = textvec.mix(_FLIP + U(991)) | U(1)
+#: The values of each tree's label, in its order.
+_ORDER = (np.arange(TREES)[:, None] * (VALUES // TREES) + np.arange(LABEL)) % VALUES
 
 
-def set_name(s: np.ndarray) -> int:
-    return int(textvec.mix(np.array([textvec.mix(s ^ U(0xA5A5A5A5DEADBEEF)).sum(dtype=U) + U(len(s))])).view(np.int64)[0])
-
-
-def signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """(bytes, keys) of non-empty sets: VALUES bytes and TREES longs a set."""
+def signatures(sets: list[np.ndarray]) -> np.ndarray:
+    """VALUES bytes of each non-empty set: a byte of each minimum."""
     flat = np.concatenate(sets)
     starts = np.concatenate([[0], np.cumsum([len(s) for s in sets])[:-1]])
     low = np.empty((len(sets), VALUES), dtype=U)
     for k in range(VALUES):
         low[:, k] = np.minimum.reduceat((flat ^ _FLIP[k]) * _ODD[k], starts)
-    keys = (textvec.mix(low) * _PLACE).reshape(-1, TREES, DEPTH).sum(axis=2, dtype=U) + np.arange(TREES, dtype=U)
-    return (textvec.mix(low) & U(255)).astype(np.uint8), textvec.mix(keys).view(np.int64)
+    return (textvec.mix(low) & U(255)).astype(np.uint8)
 
 
 def _sign(batches):
@@ -78,106 +71,56 @@ def _sign(batches):
             sets = textvec.shingle_sets(data, offsets, SHINGLE)
             n = [len(s) for s in sets]
             full = [s for s in sets if len(s)]
-            sig, keys = signatures(full) if full else (np.zeros((0, VALUES), np.uint8), np.zeros((0, TREES), np.int64))
-            sigs, longs, names = iter(sig), iter(keys), iter([set_name(s) for s in full])
+            sigs = iter(signatures(full) if full else ())
+            names = iter([set_name(s) for s in full])
             yield pa.RecordBatch.from_pydict({
                 "doc_id": ids.slice(lo, hi - lo), "key": b.column(2).slice(lo, hi - lo), "n_shingles": pa.array(n, pa.int64()),
                 "node": pa.array([next(names) if k else None for k in n], pa.int64()),
-                "sig": pa.array([next(sigs).tobytes() if k else None for k in n], pa.binary()),
-                "keys": pa.array([next(longs) if k else None for k in n], pa.list_(pa.int64()))})
-
-
-def _region_edges(sig: np.ndarray, tree: int, depth: int = DEPTH) -> list[tuple[int, int]]:
-    """Spanning edges of a region (row numbers)."""
-    f, out = Forest(len(sig)), []
-    rest, leaders = np.arange(len(sig)), 0
-    while len(rest) and (leaders < REGION_LEADERS or depth >= VALUES):
-        p = int(rest[0])
-        same = np.count_nonzero(sig == sig[p], axis=1)
-        for x in np.flatnonzero(same >= LINK * VALUES).tolist():
-            if x != p and f.join(p, x):
-                out.append((p, x))
-        rest = rest[same[rest] < LEAD * VALUES]
-        leaders += 1
-    if len(rest) > 1:                    # too diverse at this depth: take what is left deeper
-        part = sig[rest, (tree * DEPTH + depth) % VALUES]
-        for v in np.unique(part):
-            at = rest[part == v]
-            if len(at) > 1:
-                out += [(int(at[x]), int(at[y])) for x, y in _region_edges(sig[at], tree, depth + 1)]
-    return out
-
-
-def _regions(batches):
-    """Candidate edges from rows (region, node, tree, sig) sorted by region."""
-    for t, bounds in sorted_groups(batches):
-        node, tree = t.column(1).to_numpy(), t.column(2).to_numpy()
-        sig = np.frombuffer(b"".join(t.column(3).to_pylist()), np.uint8).reshape(len(t), VALUES)
-        a, b = [], []
-        size = np.diff(bounds)
-        two = bounds[:-1][size == 2]
-        near = two[(sig[two] == sig[two + 1]).mean(axis=1) >= LINK] if len(two) else two
-        a.append(node[near])
-        b.append(node[near + 1])
-        for k in np.flatnonzero(size > 2):
-            lo, hi = bounds[k], bounds[k + 1]
-            e = _region_edges(sig[lo:hi], int(tree[lo]))
-            if e:
-                e = np.array(e) + lo
-                a.append(node[e[:, 0]])
-                b.append(node[e[:, 1]])
-        yield pa.RecordBatch.from_pydict({"a": np.concatenate(a), "b": np.concatenate(b)})
-
-
-def exact_links(sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, int]]:
-    """Spanning edges of the links den * |A & B| >= num * |A | B| among the sets."""
-    n = len(sets)
-    if n == 2:
-        i = len(np.intersect1d(*sets, assume_unique=True))
-        return [(0, 1)] if den * i >= num * (len(sets[0]) + len(sets[1]) - i) else []
-    size = np.array([len(s) for s in sets])
-    owner = np.repeat(np.arange(n), size)
-    term = np.unique(np.concatenate(sets), return_inverse=True)[1]
-    order = np.argsort(term, kind="stable")
-    post, first = owner[order], np.concatenate([[0], np.cumsum(np.bincount(term))])
-    cut = np.concatenate([[0], np.cumsum(size)])
-    f, out = Forest(n), []
-    for i in range(n - 1):
-        t = term[cut[i]:cut[i + 1]]
-        lo, many = first[t], first[t + 1] - first[t]
-        at = np.repeat(lo - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())
-        both = np.bincount(post[at], minlength=n)
-        for j in np.flatnonzero(den * both >= num * (size + size[i] - both)).tolist():
-            if j > i and f.join(i, j):
-                out.append((i, j))
-    return out
-
-
-def _verifier(num: int, den: int):
-    def run(batches):
-        """Confirmed edges from rows (group, node, text) sorted by group."""
-        for t, bounds in sorted_groups(batches):
-            a, b = [], []
-            for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
-                part = t.slice(lo, hi - lo)
-                if len(part) < 2:
-                    continue
-                sets = [s for _, _, data, offs in textvec.text_chunks(part.column(2))
-                        for s in textvec.shingle_sets(data, offs, SHINGLE)]
-                node = part.column(1).to_numpy()
-                keep, seen = [], set()           # another text under the same doc_id is not this node
-                for k, s in enumerate(sets):
-                    if len(s) and set_name(s) == node[k] and node[k] not in seen:
-                        seen.add(node[k])
-                        keep.append(k)
-                if len(keep) < 2:
-                    continue
-                node = node[keep]
-                for i, j in exact_links([sets[k] for k in keep], num, den):
-                    a.append(node[i])
-                    b.append(node[j])
-            yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
-    return run
+                "sig": pa.array([next(sigs).tobytes() if k else None for k in n], pa.binary())})
+
+
+def _labels(batches):
+    """(label, node): a node's label in each tree, after the tree's number."""
+    for b in batches:
+        if not b.num_rows:
+            continue
+        sig = np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint8).reshape(-1, VALUES)
+        trees = np.broadcast_to(np.arange(TREES, dtype=np.uint8)[None, :, None], (len(sig), TREES, 1))
+        label = np.ascontiguousarray(np.concatenate([trees, sig[:, _ORDER]], axis=2)).reshape(-1, LABEL + 1)
+        offsets = np.arange(len(label) + 1, dtype=np.int32) * (LABEL + 1)
+        yield pa.RecordBatch.from_arrays([
+            pa.Array.from_buffers(pa.binary(), len(label), [None, pa.py_buffer(offsets), pa.py_buffer(label)]),
+            pa.array(np.repeat(b.column(0).to_numpy(), TREES))], ["label", "node"])
+
+
+def neighbours(label: np.ndarray, node: np.ndarray, old: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Candidate pairs of sorted labels: each node with its next NEXT, by the tree's
+    number, prefix and agreement. Pairs among the first ``old`` were given before."""
+    a, b = [], []
+    for d in range(1, min(NEXT, len(label) - 1) + 1):
+        same = label[d:] == label[:-d]
+        near = same[:, :1 + LEAST].all(axis=1) & (np.count_nonzero(same[:, 1 + LEAST:], axis=1) >= LINK)
+        near[:max(0, old - d)] = False
+        at = np.flatnonzero(near)
+        a.append(node[at])
+        b.append(node[at + d])
+    z = np.zeros(0, np.int64)
+    return np.concatenate([z, *a]), np.concatenate([z, *b])
+
+
+def _candidates(batches):
+    """Candidate edges from sorted (label, node) rows; the last NEXT rows of a batch
+    meet the next one's."""
+    label, node = np.zeros((0, LABEL + 1), np.uint8), np.zeros(0, np.int64)
+    for b in batches:
+        if not b.num_rows:
+            continue
+        new = np.frombuffer(b"".join(b.column(0).to_pylist()), np.uint8).reshape(-1, LABEL + 1)
+        old = len(label)
+        label, node = np.concatenate([label, new]), np.concatenate([node, b.column(1).to_numpy()])
+        x, y = neighbours(label, node, old)
+        yield pa.RecordBatch.from_pydict({"a": x, "b": y})
+        label, node = label[-NEXT:], node[-NEXT:]
 
 
 def _grouped(docs: DataFrame, id_col: str, text_col: str, num: int, den: int) -> DataFrame:
@@ -185,37 +128,13 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, num: int, den: int) ->
     first; of a row in a group ``named`` is true and ``first`` holds the key of
     the group's row with the smallest doc_id (then key), null ids last."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), row_key(id_col, text_col).alias("key"))
-    signed = stage(docs.mapInArrow(released(_sign), "doc_id long, key binary, n_shingles long, node long, sig binary, keys array<bigint>"), "signed")
+    signed = stage(docs.mapInArrow(released(_sign), "doc_id long, key binary, n_shingles long, node long, sig binary"), "signed")
     reps = stage(signed.filter("node is not null").groupBy("node").agg(
         F.min("doc_id").alias("rep"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("first"),
-        F.count(F.lit(1)).alias("copies"), F.first("n_shingles").alias("n_shingles"),
-        F.first("sig").alias("sig"), F.first("keys").alias("keys")), "reps")
-
-    # regions: rows of one key that are not alone
-    rows = reps.select("node", F.posexplode("keys").alias("tree", "region"))
-    many = F.count(F.lit(1)).over(Window.partitionBy("region"))
-    met = rows.withColumn("n", many).filter("n > 1").drop("n")
-    met = stage(met, "regions")
-    met = join_staged(met, reps.select("node", "sig"), "node", "inner", row_bytes=VALUES + 24)
-    edges = (met.select("region", "node", "tree", "sig").repartition("region").sortWithinPartitions("region", "node")
-             .mapInArrow(released(_regions), "a long, b long"))
-    blocks = components(edges)
-
-    # blocks: every two parts of a block meet
-    sized = join_staged(reps.select("node", "rep", "n_shingles"), blocks.withColumnRenamed("root", "block"),
-                        "node", "inner", row_bytes=24)
-    parts = F.greatest(F.ceil(F.sqrt(F.col("total") / EVEN_SHINGLES)), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int")
-    totals = stage(sized.groupBy("block").agg(F.sum("n_shingles").alias("total")).select("block", parts.alias("parts")), "totals")
-    dealt = join_staged(sized, totals, "block", "inner", row_bytes=24) \
-        .withColumn("i", F.pmod(F.xxhash64("node", F.lit(5)), F.col("parts"))) \
-        .withColumn("j", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))) \
-        .select(F.coalesce("rep", F.lit(NO_ID)).alias("__id"), "node",
-                F.xxhash64("block", F.least("i", "j"), F.greatest("i", "j")).alias("group"))
-    dealt = stage(dealt, "dealt")
-    texts = join_staged(docs.withColumn("__id", F.coalesce("doc_id", F.lit(NO_ID))), dealt, "__id", "inner", row_bytes=32)
-    links = (texts.select("group", "node", "text").repartition("group").sortWithinPartitions("group")
-             .mapInArrow(released(_verifier(num, den)), "a long, b long"))
-    groups = components(links)
+        F.count(F.lit(1)).alias("copies"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig")), "reps")
+    forest = reps.select("node", "sig").mapInArrow(released(_labels), "label binary, node long")
+    edges = forest.repartitionByRange("label", "node").sortWithinPartitions("label", "node").mapInArrow(released(_candidates), "a long, b long")
+    groups = components(confirmed(docs, "text", reps.select("node", "n_shingles"), edges, SHINGLE, num, den))
 
     # names: the smallest doc_id of all copies of all nodes of a group
     names = reps.select("node", "rep", "first", "copies").join(groups, "node", "left") \

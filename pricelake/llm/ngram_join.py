@@ -52,7 +52,7 @@ SHINGLE = 5
 #: Shingles counted at once, and the most frequent that are ranked (16 MB).
 CHUNK, RANKED, FREQUENT = 1 << 21, 1 << 20, 16
 #: Kept columns' entries of a column block; rows of a column that emits pairs.
-BLOCK_ENTRIES, LIST = 1 << 21, 64
+BLOCK_ENTRIES, LIST = 1 << 20, 64
 
 U = np.uint64
 TOP = U(1 << 63)

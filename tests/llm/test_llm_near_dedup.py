@@ -2,8 +2,10 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
+from pricelake.llm import block_links as B
 from pricelake.llm import near_dedup as N
 from pricelake.llm import textvec
 from pricelake.llm.components import components
@@ -67,7 +69,7 @@ def test_matches_brute_force_at_both_thresholds(make):
 
 
 def test_large_group_dealt_into_parts_and_diverse_regions(make, monkeypatch):
-    monkeypatch.setattr(N, "BLOCK_SHINGLES", 1500)
+    monkeypatch.setattr(B, "BLOCK_SHINGLES", 1500)
     rows = corpus(5)
     r = random.Random(9)
     base = [f"w{k}" for k in range(120)]
@@ -80,13 +82,39 @@ def test_large_group_dealt_into_parts_and_diverse_regions(make, monkeypatch):
     assert got == brute(rows, 85, 100)
 
 
-def test_region_deeper_than_its_leaders_still_joins_equal_parts():
+def test_neighbours_in_order_share_the_longest_prefixes():
+    """Unlike nodes of one region do not part a pair; short prefixes serve sparse regions."""
     r = np.random.default_rng(0)
-    sig = r.integers(0, 256, (400, N.VALUES), dtype=np.uint8)
-    sig[1::2] = sig[0::2]                # 200 unlike pairs
-    sig[1::2, :10] = r.integers(0, 256, (200, 10))
-    whole = {tuple(sorted(e)) for e in N._region_edges(sig, 3)}
-    assert whole == {(k, k + 1) for k in range(0, 400, 2)}
+    label = r.integers(0, 256, (3000, N.LABEL + 1), dtype=np.uint8)
+    label[:, 0] = 3
+    label[:2000, 1:5] = 7                           # a crowded region: one prefix, unlike beyond
+    pair = [(k, k + 1) for k in range(0, 2000, 200)] + [(2500, 2501)]
+    for x, y in pair:
+        label[y] = label[x]
+        label[y, [8, 11, 15]] ^= 1
+    label[2501, 5] ^= 1                             # three values only, in a sparse region
+    order = np.lexsort(label.T[::-1])
+    node = np.arange(3000)
+    a, b = N.neighbours(label[order], node[order])
+    assert {tuple(sorted(e)) for e in zip(a.tolist(), b.tolist(), strict=True)} == set(pair)
+    # in batches the same pairs come once each
+    rows = [pa.RecordBatch.from_pydict({"label": [x.tobytes() for x in label[order[k:k + 7]]], "node": node[order[k:k + 7]]})
+            for k in range(0, 3000, 7)]
+    got = [tuple(sorted(e)) for t in N._candidates(rows) for e in zip(t.column(0).to_pylist(), t.column(1).to_pylist(), strict=True)]
+    assert sorted(got) == sorted(pair)
+
+
+def test_rows_without_or_with_one_id_take_linear_time(make):
+    """A third of all rows under null or one repeated id: every text meets its own group only."""
+    r = random.Random(2)
+    rows = []
+    for k in range(900):
+        w = [f"g{k // 2}w{j}" for j in range(60)]
+        if k % 2:
+            w[r.randrange(60)] = "edit"
+        rows.append((None if k < 300 else 5 if k < 600 else k, " ".join(w)))
+    got = sorted((tuple(x) for x in N.near_groups(make(rows), num=80).collect()), key=str)
+    assert got == brute(rows, 80, 100)
 
 
 def test_empty_table_and_drop(make):
@@ -109,7 +137,6 @@ def test_components_of_paths_stars_and_loops(spark):
 
 @pytest.mark.parametrize("block", [64, 1 << 21])
 def test_word_hashes_do_not_depend_on_blocks(block, monkeypatch):
-    import pyarrow as pa
     texts = ["Ab  cd\tef", "", None, "é ü ab", "x" * 300 + " y", "cd", " ab\n"]
     want = None
     for b in (1 << 21, block):
