@@ -67,7 +67,7 @@ def op8_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = surrogates.pseudonymise(table(spark, sf_dir, "documents", "doc_id", "text"))
+    found = surrogates.pseudonymise(table(spark, sf_dir, "documents", "doc_id", "text"), surrogates.session_key(spark))
     spans = F.transform("spans", lambda s: F.concat_ws(":", s.kind, s.start, s.end))
     return found.select("doc_id", F.size("spans").cast("long").alias("n_entities"),
                         F.array_join(spans, ",").alias("spans"), "text")

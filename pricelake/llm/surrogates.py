@@ -9,8 +9,8 @@ spelling, and no table of entities has to be joined to the texts.
 
 Numbers go through a keyed permutation of all numbers of their length
 (format-preserving Feistel rounds), so different values stay different; cards
-keep their first digit and whether they pass the Luhn check, phone numbers
-their country code, all their separators. E-mail names are permuted class by
+keep their first digit and whether they pass the Luhn check, IBANs their country and
+their remainder modulo 97, phone numbers their country code, all their separators. E-mail names are permuted class by
 class, letters to letters, digits to digits, and their domains end in the
 reserved ``.example``. Given names keep the gender of the name or title, all
 names their script and case.
@@ -22,14 +22,18 @@ only meet other real values; names have billions of forms); they are broadcast
 within ``MAX_RETRIES``, beyond which the job stops and asks for more name
 syllables instead of risking a merge.
 
-Defined cases: null texts stay null and have no entities; a null ``doc_id`` is
-kept; repeated rows give repeated rows; an empty table gives an empty result.
+Defined cases: null texts stay null and have no entities, empty ones stay empty; a
+null ``doc_id`` is kept; repeated rows give repeated rows; very long texts are taken
+whole, one at a time; of overlapping finds the earlier kind stays; a given name of two
+genders in one document has neither; only the named columns are read, so further
+columns with any names do no harm; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import hmac
 import re
+import secrets
 import unicodedata
 from functools import lru_cache
 
@@ -40,7 +44,8 @@ from pyspark.sql.types import ArrayType, LongType, StringType, StructField, Stru
 
 from pricelake.llm.common import released, stage
 
-KEY = b"change me: the secret of one release"
+#: Setting that names the key of a release, for the registered query.
+KEY_SETTING = "spark.pricelake.surrogates.key"
 MAX_RETRIES = 200_000
 #: Syllables of invented surnames and given names.
 SYLLABLE_COUNTS = (5, 4)
@@ -72,6 +77,8 @@ PHONE = re.compile(r"(?<![\w.+-])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4
                    r"|(?<![\w+])\+\d{8,15}(?!\w)", re.ASCII)
 NUMERIC = (("ip", IP), ("ssn", SSN), ("card", CARD), ("phone", PHONE))
 TITLED = re.compile(rf"\b({'|'.join(TITLES)})\b\.?\x20+({_WORD})(?:\x20({_WORD}))?", re.I)
+WORDS = re.compile(_WORD)
+PERSON = ("surname", "given_f", "given_m", "given_u")
 IBAN_HEAD = re.compile(r"[A-Z]{2}\d{2}[\x20A-Z0-9]", re.ASCII)
 #: A stretch that can hold a number of one of the kinds above.
 NUMBERS = re.compile(r"[+(]?\d[\d .()+-]{5,}", re.ASCII)
@@ -83,7 +90,7 @@ _OPENING = "(\"'«“„¿¡[{*_/>"
 # ---- detection ----
 
 def _gender(word: str, title: str | None = None) -> str:
-    low = word.lower()
+    low = word.lower().split("-")[0]
     return "f" if low in FEMALE else "m" if low in MALE else TITLES[title.lower()] if title else "u"
 
 
@@ -137,12 +144,24 @@ def entities(text: str) -> list[tuple[int, int, str, str]]:
             else:
                 known = first.lower() in FEMALE or first.lower() in MALE
                 add(*m.span(2), "given_" + _gender(first) if known else "surname", first.lower())
-    names = tokens & KNOWN.keys()
+    names = {t for t in tokens if t.split("-")[0] in KNOWN}
     if names:
         for m in _given(frozenset(names)).finditer(text):
             if m[2][0].isupper():
                 add(*m.span(1), "given_" + _gender(m[1]), m[1].lower())
                 add(*m.span(2), "surname", m[2].lower())
+    # a person's names stand for the person wherever the document says them
+    said = {value: kind for _, _, kind, value in reversed(out) if kind in PERSON and len(value) > 1}
+    if said:
+        for m in WORDS.finditer(text):
+            if m[0][0].isupper() and (value := m[0].lower()) in said:
+                add(*m.span(), said[value], value)
+        genders: dict[str, set[str]] = {}
+        for _, _, kind, value in out:
+            if kind in PERSON and kind != "surname":
+                genders.setdefault(value, set()).add(kind[-1])
+        one = {v: (g - {"u"} or {"u"}).pop() if len(g - {"u"}) < 2 else "u" for v, g in genders.items()}
+        out = [(s, e, f"given_{one[v]}" if k in PERSON and k != "surname" else k, v) for s, e, k, v in out]
     return sorted(out)
 
 
@@ -177,6 +196,11 @@ def _luhn(digits: str) -> int:
     return sum(int(c) if k % 2 == 0 else sum(divmod(2 * int(c), 10)) for k, c in enumerate(reversed(digits))) % 10
 
 
+def _mod97(iban: str) -> int:
+    """The remainder that is 1 for a valid IBAN."""
+    return int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97
+
+
 def _classed(key: bytes, tweak: str, s: str) -> str:
     """Letters become letters and digits digits; the rest stays. A permutation
     of all strings of that pattern."""
@@ -213,7 +237,9 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int = 0, syllables: tu
         n = permuted(key, tweak, n, 1 << 32)
         return ".".join(str(n >> s & 255) for s in (24, 16, 8, 0))
     if kind == "iban":
-        return value[:2] + _classed(key, tweak + value[:2], value[2:].lower()).upper()
+        body = _classed(key, tweak + value[:2], value[4:].lower()).upper()
+        check = (_mod97(value) - _mod97(value[:2] + "00" + body)) % 97
+        return f"{value[:2]}{check if check > 1 else check + 97:02d}{body}"          # check digits are 02 to 98
     if kind == "card":
         body = value[0] + _number(key, tweak + value[0], value[1:-1])
         rest = _luhn(value)              # the check sum's remainder stays: valid cards stay valid
@@ -226,7 +252,8 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int = 0, syllables: tu
     if kind == "ssn":
         return _number(key, tweak, value)
     script = _script(value)
-    parts, n = SYLLABLES[script], _prf(key, tweak, value)
+    # a given name keeps its stem whatever gender a document shows
+    parts, n = SYLLABLES[script], _prf(key, f"{kind.split('_')[0]}/{attempt}", value)
     out = []
     for _ in range(syllables[kind != "surname"]):
         n, k = divmod(n, len(parts))
@@ -307,7 +334,13 @@ def _replacer(key: bytes, shared, syllables):
     return run
 
 
-def pseudonymise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", key: bytes = KEY,
+def session_key(spark) -> bytes:
+    """The key that the session names; without one a key drawn for this run alone."""
+    named = spark.conf.get(KEY_SETTING, None)
+    return named.encode() if named else secrets.token_bytes(32)
+
+
+def pseudonymise(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col: str = "text",
                  syllables: tuple[int, int] = SYLLABLE_COUNTS) -> DataFrame:
     """One row per document: doc_id, text with surrogates, spans (kind, start and
     end in the old text, surrogate)."""
