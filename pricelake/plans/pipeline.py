@@ -111,9 +111,13 @@ def ingest(spark: SparkSession, landing: str, root: str, as_of, full_refresh: bo
             n_rows = sinks.write_table(rows, p["prices"], "append", ["fetched_date"], ["asset_id"])
             n_meta = sinks.write_table(meta, p["metadata"], "append", ["fetched_date"])
     n_bad = sinks.write_table(bad, p["quarantine"], "append")
-    # what a build has to look at: the fetch dates of this ingest, and whether rows went
+    # what a build has to look at: the fetch dates of this ingest, the series of which
+    # rows may have gone, and whether all may have
+    if full_refresh and scope != "all":
+        gone = rows.select("asset_id", "ingest_id").distinct()
+        sinks.write_table(gone, f"{root.rstrip('/')}/raw/_refreshed", "append", guard_empty=False)
     seen = rows.agg(F.lit(number).cast("long").alias("ingest_id"), F.min("fetched_date").alias("lo"),
-                    F.max("fetched_date").alias("hi"), F.lit(full_refresh).alias("replaced"))
+                    F.max("fetched_date").alias("hi"), F.lit(full_refresh and scope == "all").alias("replaced"))
     sinks.write_table(seen, f"{root.rstrip('/')}/raw/_ingests", "append", guard_empty=False)
     return IngestResult(n_rows, n_meta, n_bad)
 
@@ -157,12 +161,36 @@ def changed_prices(spark: SparkSession, root: str, since: int) -> DataFrame | No
     return staging.stage_prices(rivals.unionByName(new.select(*rivals.columns)))
 
 
+def _refreshed(spark: SparkSession, root: str, since: int) -> DataFrame | None:
+    """The assets that keyed refreshes after ``since`` brought anew."""
+    path = f"{root.rstrip('/')}/raw/_refreshed"
+    if not sinks.table_exists(spark, path):
+        return None
+    feed = spark.read.parquet(path).filter(F.col("ingest_id") > since).select("asset_id").distinct()
+    return None if feed.isEmpty() else sinks.staged_copy(spark, feed, "refreshed")
+
+
+def _rebuild_series(spark: SparkSession, root: str, series: DataFrame) -> tuple[int, int]:
+    """Write the series of some assets anew, from all their raw rows: fact, weekly
+    roll-up and state. Only partitions that hold or get their rows are rewritten."""
+    p = _paths(root)
+    raw = spark.read.parquet(p["prices"]).join(series, "asset_id", "left_semi")
+    fact = sinks.staged_copy(spark, marts.fact_daily(staging.stage_prices(raw)), "series-fact")
+    n_fact = sinks.replace_series(spark, p["fact"], fact, series)
+    series_state.replace(spark, p["fact"], fact, series)
+    n_week = sinks.replace_series(spark, p["weekly"], marts.weekly_rollup(fact), series, "week_start") \
+        if sinks.table_exists(spark, p["weekly"]) else 0
+    return n_fact, n_week
+
+
 def build(spark: SparkSession, root: str, watchlist_csv: str, as_of,
           mode: str = "tail", lookback_days: int = 2) -> dict[str, int]:
     """Raw tables -> fact (incremental), weekly and dimension.
 
     The first run (no fact yet) writes the full fact, and so does the first run
-    after a full refresh, which may have taken rows away. Other runs:
+    after a full refresh of all assets. After a keyed refresh, which may have taken
+    rows away, the series it names are written anew, and no partition without them
+    is touched. All other rows:
 
     * ``mode="tail"``: the rows of the ingests not built yet are found by number;
       their newest versions get features per touched asset from its first
@@ -185,7 +213,12 @@ def build(spark: SparkSession, root: str, watchlist_csv: str, as_of,
     replaced = not spark.read.parquet(f"{root.rstrip('/')}/raw/_ingests").filter(
         (F.col("ingest_id") > built) & F.col("replaced")).isEmpty()
     weekly_done = False
-    if not sinks.table_exists(spark, p["fact"]) or replaced:
+    whole = not sinks.table_exists(spark, p["fact"]) or replaced
+    refreshed = None if whole else _refreshed(spark, root, built)
+    n_series = n_series_weeks = 0
+    if refreshed is not None:
+        n_series, n_series_weeks = _rebuild_series(spark, root, refreshed)
+    if whole:
         # the raw table has rows (checked above), so the fact has rows
         series_state.forget(spark, p["fact"])
         n_fact = sinks.write_table(marts.fact_daily(staged), p["fact"], "overwrite",
@@ -194,6 +227,8 @@ def build(spark: SparkSession, root: str, watchlist_csv: str, as_of,
         n_fact = n_week = 0
         changed = changed_prices(spark, root, built)
         if changed is not None:
+            if refreshed is not None:
+                changed = changed.join(refreshed, "asset_id", "left_anti")
             changed = sinks.staged_copy(spark, changed, "changed")
             n_fact = features_batch(spark, p["fact"], changed)
             # features look backward only: weeks before an asset's first incoming
@@ -225,7 +260,7 @@ def build(spark: SparkSession, root: str, watchlist_csv: str, as_of,
     # last of all: a build that failed before is done again in full
     sinks.write_table(spark.range(1).select(F.lit(last).cast("long").alias("ingest_id")), state, "overwrite",
                       guard_empty=False)
-    return {"fact_rows_written": n_fact, "weekly_rows": n_week, "dim_rows": n_dim}
+    return {"fact_rows_written": n_fact + n_series, "weekly_rows": n_week + n_series_weeks, "dim_rows": n_dim}
 
 
 def check(spark: SparkSession, root: str, as_of_ts) -> DataFrame:

@@ -50,6 +50,23 @@ def _shaped(df: DataFrame) -> DataFrame:
         "bucket", F.pmod(F.xxhash64("asset_id"), F.lit(BUCKETS)).cast("int")).select(*SCHEMA.names)
 
 
+def of_fact(fact: DataFrame) -> DataFrame:
+    """The state of whole series."""
+    spans = fact.groupBy("asset_id").agg(F.min("price_date").alias("first_date"), F.count(F.lit(1)).alias("days"))
+    return _shaped(_tails(fact).join(spans, "asset_id"))
+
+
+def replace(spark: SparkSession, fact_path: str, fact: DataFrame, series: DataFrame) -> None:
+    """The state of the assets in ``series`` becomes that of their rows in ``fact``;
+    one without rows has none."""
+    state = load(spark, fact_path)
+    kept = state.join(series, "asset_id", "left_anti")
+    buckets = [r["bucket"] for r in state.join(series, "asset_id", "left_semi").select("bucket").union(
+        of_fact(fact).select("bucket")).distinct().collect()]              # at most BUCKETS
+    rows = sinks.staged_copy(spark, kept.filter(F.col("bucket").isin(buckets)).unionByName(of_fact(fact)), "state")
+    versioned.replace_partitions(spark, state_path(fact_path), rows, "bucket", ["asset_id"], emptied=[str(b) for b in buckets])
+
+
 def forget(spark: SparkSession, fact_path: str) -> None:
     """Drop the state, before the fact is written in another way."""
     versioned.drop(spark, state_path(fact_path))
@@ -61,9 +78,7 @@ def load(spark: SparkSession, fact_path: str) -> DataFrame:
     state = versioned.read(spark, path, "bucket", SCHEMA)
     if state is not None:
         return state
-    fact = spark.read.parquet(fact_path)
-    spans = fact.groupBy("asset_id").agg(F.min("price_date").alias("first_date"), F.count(F.lit(1)).alias("days"))
-    versioned.replace_partitions(spark, path, _shaped(_tails(fact).join(spans, "asset_id")), "bucket", ["asset_id"])
+    versioned.replace_partitions(spark, path, of_fact(spark.read.parquet(fact_path)), "bucket", ["asset_id"])
     return versioned.read(spark, path, "bucket", SCHEMA)
 
 

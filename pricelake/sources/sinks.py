@@ -33,10 +33,13 @@ def check_schema(target: StructType, batch: StructType) -> None:
         raise SchemaChangeError(f"schema change: target {t} vs batch {b}")
 
 
+def _filesystem(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs, p = _filesystem(spark, path)
     return bool(fs.exists(p))
 
 
@@ -174,6 +177,32 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: Sequenc
                        guard_empty=False)
 
 
+def replace_series(spark: SparkSession, path: str, rows: DataFrame, series: DataFrame, partition_col: str = "price_date",
+                   key: str = "asset_id") -> int:
+    """Replace all that the table at ``path`` holds of the keys in ``series`` by ``rows``.
+
+    Only the partitions in which they have or get rows are rewritten (found from two
+    columns of the table); one that is left without rows is removed. Returns the
+    rows written. Done again after a loss it gives the same table.
+    """
+    rows = staged_copy(spark, rows, "series-rows")
+    target = stored(spark, path)
+    if target is None:
+        return write_table(rows, path, "overwrite", [partition_col], [key])
+    held = target.select(key, partition_col).join(series, key, "left_semi").select(partition_col)
+    touched = staged_copy(spark, held.union(rows.select(partition_col)).distinct(), "series-partitions")
+    bounds = touched.agg(F.min(partition_col).alias("lo"), F.max(partition_col).alias("hi")).first()
+    if bounds["lo"] is None:
+        return 0
+    others = within(target, partition_col, bounds).join(touched, partition_col, "left_semi").join(series, key, "left_anti")
+    merged = staged_copy(spark, others.select(*rows.columns).unionByName(rows), "series")
+    n = write_table(merged, path, "overwrite_partitions", [partition_col], [key], guard_empty=False)
+    fs, _ = _filesystem(spark, path)
+    for r in touched.join(merged.select(partition_col).distinct(), partition_col, "left_anti").collect():      # one row a partition
+        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{partition_col}={r[0]}"), True)
+    return n
+
+
 def preview(df: DataFrame, order: Sequence[str], n: int = 3) -> DataFrame:
     """First ``n`` rows in an explicit total order (a distributed top-k)."""
     return df.orderBy(*order).limit(n)

@@ -28,13 +28,8 @@ class VersionConflict(RuntimeError):
     """Another writer has switched the table to the same version first."""
 
 
-def _fs(spark: SparkSession, path: str):
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
-
-
 def _names(spark: SparkSession, path: str) -> list[str]:
-    fs, p = _fs(spark, path)
+    fs, p = sinks._filesystem(spark, path)
     return [f.getPath().getName() for f in fs.listStatus(p)] if fs.exists(p) else []
 
 
@@ -42,7 +37,7 @@ def _pointers(spark: SparkSession, path: str) -> dict[int, str]:
     """Every pointer taken so far; one whose writer was lost in between is empty."""
     out = {}
     for n in sorted(int(n) for n in _names(spark, f"{path}/current") if n.isdigit()):
-        fs, p = _fs(spark, f"{path}/current/{n}")
+        fs, p = sinks._filesystem(spark, f"{path}/current/{n}")
         stream = fs.open(p)
         out[n] = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
         stream.close()
@@ -104,7 +99,7 @@ def replace_partitions(spark: SparkSession, path: str, rows: DataFrame, partitio
 
 def switch(spark: SparkSession, path: str, number: int, name: str) -> None:
     """Make the version ``name`` the table; fails if another writer took the number."""
-    fs, p = _fs(spark, f"{path}/current/{number}")
+    fs, p = sinks._filesystem(spark, f"{path}/current/{number}")
     try:
         out = fs.create(p, False)
     except Exception as e:
@@ -135,7 +130,7 @@ def upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str]
 def drop(spark: SparkSession, path: str) -> None:
     """Forget the table: its pointers go, first of all, then its files."""
     for sub in ("current", "manifest", "data"):
-        fs, p = _fs(spark, f"{path}/{sub}")
+        fs, p = sinks._filesystem(spark, f"{path}/{sub}")
         fs.delete(p, True)
 
 
@@ -153,6 +148,6 @@ def vacuum(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
         gone += [f"{v}/{d}" for d in free] if len(free) < len(parts) else [v]
     manifests = [m for m in _names(spark, f"{path}/manifest") if m not in {known[n] for n in kept}]
     for sub in [*(f"current/{n}" for n in old), *(f"manifest/{m}" for m in manifests), *(f"data/{d}" for d in gone)]:
-        fs, p = _fs(spark, f"{path}/{sub}")
+        fs, p = sinks._filesystem(spark, f"{path}/{sub}")
         fs.delete(p, True)
     return gone

@@ -176,3 +176,24 @@ def test_declared_tests_can_fail(spark):
     got = {r.test_name: r.failures for r in q_dq_summary(spark, SF001).collect()}
     assert set(got) == {c.name for c in quality.declared_checks()} and len(got) >= 40
     assert got["raw_metadata.unique_asset_id"] > 0
+
+
+def test_a_refresh_rewrites_only_its_series(spark, lake):
+    """Partitions without the refreshed asset keep their files; one it alone held goes."""
+    import glob
+    tmp, root = lake
+    early = fetch(tmp, "solo", ("a9",), "2024-02-03T06:00:00", daterange(dt.date(2023, 12, 30), dt.date(2024, 2, 3)), lambda d: 5.0 + d.day)
+    pipeline.ingest(spark, early, root, dt.date(2024, 2, 3), full_refresh=True, assets=["a9"])
+    build_and_compare(spark, tmp, root, dt.date(2024, 4, 10))
+    files = lambda: {f for f in glob.glob(f"{root}/marts/fact_daily/*/*.parquet")}
+    before = files()
+    short = fetch(tmp, "short", ("a9",), "2024-02-03T06:00:00", daterange(dt.date(2024, 1, 20), dt.date(2024, 2, 2)), lambda d: 6.0 + d.day)
+    pipeline.ingest(spark, short, root, dt.date(2024, 2, 3), full_refresh=True, assets=["a9"])
+    out = build_and_compare(spark, tmp, root, dt.date(2024, 4, 10))
+    kept = {f.split("price_date=")[1][:10] for f in before & files()}
+    assert "2024-02-04" in kept and "2024-04-10" in kept and "2024-01-25" not in kept
+    assert not glob.glob(f"{root}/marts/fact_daily/price_date=2023-12-30")
+    assert out["fact_rows_written"] == 3 * 34 + 14                  # its 34 shared days (of 36) with the other three assets
+    state = pipeline.series_state.load(spark, f"{root}/marts/fact_daily")
+    assert {r.asset_id: (r.first_date, r.days) for r in state.collect()}["a9"] == (dt.date(2024, 1, 20), 14)
+    assert pipeline.build(spark, root, str(tmp / "wl.csv"), dt.date(2024, 4, 10))["fact_rows_written"] == 0

@@ -54,7 +54,7 @@ def test_a_writer_lost_before_the_switch_leaves_the_old_version(spark, tmp_path,
             m.setattr(versioned.sinks, "write_table", lambda df, path, *a, **k: (write(df.filter("asset_id = 'a'"), path, *a, **k), lost()))
         elif where == "manifest":
             m.setattr(versioned, "_names", lambda s, path: lost() if "/data/" in path else [x.getPath().getName() for x in (
-                lambda fs, q: fs.listStatus(q) if fs.exists(q) else [])(*versioned._fs(s, path))])
+                lambda fs, q: fs.listStatus(q) if fs.exists(q) else [])(*sinks._filesystem(s, path))])
         else:
             m.setattr(versioned, "switch", lost)
         with pytest.raises(RuntimeError, match="lost"):
