@@ -1,5 +1,5 @@
 """Registered queries that run: the streaming jobs over landed copies of the
-given tables, each to its end, the CSV reader, and a stored round trip. Their
+given tables, each to its end, the CSV reader, a stored round trip and a bucketed copy. Their
 files go to the shared checkpoint folder."""
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pricelake.operators import marts, staging
 from pricelake.plans.common import rounded
 from pricelake.plans.queries import register
 from pricelake.session import scratch_path
-from pricelake.sources import files, sinks, versioned
+from pricelake.sources import files, layout, sinks, versioned
 from pricelake.sources import fixtures as fx
 from pricelake.streaming import jobs
 
@@ -68,6 +68,15 @@ def q_table_roundtrip(spark, sf):
     return rounded(back.select(*schemas.PRICE_COLUMNS, F.lit(n).cast("long").alias("rows_written")))
 
 
+@register("q_weekly_bucketed")
+def q_weekly_bucketed(spark, sf):
+    """The weekly roll-up over a bucketed copy of the fact: no exchange."""
+    name = f"fact_{uuid.uuid4().hex}"
+    fact = marts.fact_daily(staging.stage_prices(fx.f1_raw_prices(spark, sf), tiebreak=fx.F1_TIEBREAK))
+    table = layout.write_bucketed(fact, name, _folder(spark, name), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return rounded(marts.weekly_rollup(table))
+
+
 @register("q_stream_raw")
 def q_stream_raw(spark, sf):
     """Landed chart files, some malformed, through the raw stream."""
