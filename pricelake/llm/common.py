@@ -99,6 +99,11 @@ def row_key(id_col: str, text_col: str) -> Column:
     return F.unhex(F.sha2(F.concat(*part), 256))
 
 
+def any_row() -> Column:
+    """One of a group's packed rows, always the same: the least as text."""
+    return F.min_by("row", F.col("row").cast("string")).alias("row")
+
+
 def without(docs: DataFrame, id_col: str, text_col: str, lost: DataFrame) -> DataFrame:
     """``docs`` without the rows whose ``row_key`` is among the staged keys
     ``lost.key``; of the rows of a key with ``once`` one stays. Packed rows
@@ -107,7 +112,7 @@ def without(docs: DataFrame, id_col: str, text_col: str, lost: DataFrame) -> Dat
     met = join_staged(rows, lost.select("key", "once"), "key", "left", row_bytes=64)
     kept = met.filter(F.col("once").isNull()).select("row")
     if not lost.filter("once").isEmpty():
-        kept = kept.unionByName(met.filter("once").groupBy("key").agg(F.first("row").alias("row")).select("row"))
+        kept = kept.unionByName(met.filter("once").groupBy("key").agg(any_row()).select("row"))
     return kept.select("row.*")
 
 

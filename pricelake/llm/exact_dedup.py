@@ -14,7 +14,9 @@ rises, so more rows take the shuffle, and the result stays exact.
 Defined cases: a null text counts as empty, so empty and null texts are copies
 of each other; a null ``doc_id`` never becomes ``keep_id`` unless the whole
 group has none; rows repeating one ``doc_id`` and text are one group, and
-``drop_copies`` keeps one of them; an empty table gives an empty result.
+``drop_copies`` keeps one of them, the least as text where other columns differ;
+very long texts are digested whole; packed rows keep columns with clashing names
+apart; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricelake.llm.common import WHITE, join_staged, released, stage
+from pricelake.llm.common import WHITE, any_row, join_staged, released, stage
 
 SLOTS_PER_ROW = 10
 MAX_FILTER_BYTES = 128 << 20
@@ -164,5 +166,5 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     tested = join_staged(flagged.filter("maybe"), groups, "sha", "left", row_bytes=128)
     single = tested.filter(F.col("group_size").isNull()).select("row")
     first = (tested.filter(F.col("group_size").isNotNull() & F.col("id").eqNullSafe(F.col("keep_id")))
-             .groupBy("sha").agg(F.first("row").alias("row")).select("row"))
+             .groupBy("sha").agg(any_row()).select("row"))
     return alone.unionByName(single).unionByName(first).select("row.*")

@@ -11,12 +11,14 @@ window needs padding.
 
 Packing needs no shuffle: a task packs the documents it reads, in pools of
 ``POOL_TOKENS`` tokens, and its sequences carry the task's number. Sequences
-of one tier are then dealt into step groups of ``STEP_TOKENS`` tokens, always
-giving the next costly sequence (attention grows with the squares of its
-pieces) to the lightest open group, so that the groups cost about the same.
+of one tier are then put into step groups of ``STEP_TOKENS`` tokens,
+dealt there and back over the open groups by falling cost (attention grows with the
+squares of its pieces), so that the groups cost about the same.
 
 Defined cases: a null or empty text is the end id alone; a null ``doc_id`` is
-kept; repeated rows are separate documents; an empty table packs to nothing.
+kept; repeated rows are separate documents; a very long text is cut into full
+windows, whole; only the named columns are read, so further columns with any names do
+no harm; an empty table packs to nothing.
 """
 
 from __future__ import annotations

@@ -15,7 +15,9 @@ Defined cases: a null or empty text has only the bias, so its score is the
 model's base rate; labels without a quality or a document are not used; of
 several labels of one id the smallest counts; without any label, or text, the
 score is 0.5; a null ``doc_id`` is scored, is never a label, and is not held
-out; repeated rows are scored each; an empty table gives an empty result.
+out; repeated rows are scored each; of samples with one hash the smaller id comes
+first; very long texts are scored whole, in blocks of words; packed rows keep columns
+with clashing names apart; an empty table gives an empty result.
 """
 
 from __future__ import annotations

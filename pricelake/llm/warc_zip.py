@@ -19,7 +19,9 @@ payload; shorter payloads are always responses. Defined cases: null html is an
 empty payload, a null url an empty target; a null ``page_id`` is written and
 read back as null, and refers to the smallest id if there is one; rows
 repeating one id and payload are each a record, all responses if the id is the
-smallest; an empty table writes no package and reads back empty.
+smallest; very long pages are records of their own range, whole; only the named
+columns are read, so further columns with any names do no harm; an empty table writes
+no package and reads back empty.
 """
 
 from __future__ import annotations
