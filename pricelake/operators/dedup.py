@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 
 def _as_list(x) -> list[str]:
@@ -37,12 +36,12 @@ def keep_latest(df: DataFrame, keys: Sequence[str] | str, order: Sequence[str] |
         raise ValueError("keep_latest needs at least one order column")
     cols = df.columns
     if method == "window":
-        # both sorts compare the first eight bytes of the first key: texts with a
-        # common prefix would tie there, so keys of fixed width come first
-        keys = sorted(keys, key=lambda k: df.schema[k].dataType == StringType())
-        w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in ordering])
-        return (df.withColumn("__rn", F.row_number().over(w))
-                .filter(F.col("__rn") == 1).drop("__rn"))
+        # both sorts compare the first eight bytes of the first key, where texts with a
+        # common prefix tie; the keys' hash tells almost all keys apart there
+        h = "__key_hash"
+        w = Window.partitionBy(h, *keys).orderBy(*[F.col(c).desc_nulls_last() for c in ordering])
+        return (df.withColumn(h, F.xxhash64(*keys)).withColumn("__rn", F.row_number().over(w))
+                .filter(F.col("__rn") == 1).drop("__rn", h))
     if method != "agg":
         raise ValueError(f"unknown method {method!r}")
     rest = [c for c in cols if c not in keys]
