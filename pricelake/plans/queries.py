@@ -469,10 +469,11 @@ def q_incremental_per_asset(spark, sf):
 
 @register("q_incremental_features")
 def q_incremental_features(spark, sf):
-    """Features of the rows after the stored target, from a 30-row tail."""
-    staged = f1_staged(spark, sf)
+    """Features of the rows after the stored target, from a 30-row tail. The staged
+    rows and the target are stored, as in the daily job, so each is computed once."""
+    staged = sinks.staged_copy(spark, f1_staged(spark, sf), "incremental-staged")
     end = F.lit(F1_TARGET_END).cast("date")
-    stored = marts.fact_daily(staged.filter(F.col("price_date") <= end))
+    stored = sinks.staged_copy(spark, marts.fact_daily(staged.filter(F.col("price_date") <= end)), "incremental-fact")
     new = staged.filter(F.col("price_date") > end)
     return rounded(incremental.incremental_features(stored, new))
 
