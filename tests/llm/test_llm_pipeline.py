@@ -8,7 +8,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_registered():
     names = entry.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(k.startswith(f"op{n}_") for k in names) == 1
     assert names["pipeline"] is C.run
     assert set(entry.oracle_sql()) <= set(names)

@@ -4,6 +4,7 @@ from collections import Counter
 from zlib import crc32
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from pricelake.llm import spelling as S
@@ -66,17 +67,31 @@ EDGE = [(900, None), (901, ""), (902, " 12 "), (None, "nameless nameless nameles
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-def test_equals_brute_force(spark, make, monkeypatch, seed):
+def test_equals_brute_force(spark, make, seed):
     rows = corpus(seed) + EDGE
-    if seed == 2:
-        monkeypatch.setattr(S, "HELD_WORDS", 30)
-        monkeypatch.setattr(S, "HELD_HASHES", 200)
     got = S.variants(make(rows).repartition(3))
     assert sorted((r.word, r.n, r.n_near, r.form, r.form_n, r.root) for r in got.collect()) == brute(rows)
 
 
-def test_neighbourhood_is_whole():
+def test_counts_are_handed_on_in_parts(monkeypatch):
+    rows = [(i, t) for i, t in corpus(3) if i % 7]
+    batch = pa.RecordBatch.from_pydict({"i": pa.array([i for i, _ in rows], pa.int64()), "t": [t for _, t in rows]})
+    whole = Counter()
+    for limit in (10 ** 9, 30):
+        monkeypatch.setattr(S, "HELD_WORDS", limit)
+        parts = list(S._count([batch]))
+        got = Counter()
+        for b in parts:
+            for w, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                got[w] += n
+        assert whole in (Counter(), got) and (limit > 30) == (len(parts) == 1)
+        whole = got
+
+
+@pytest.mark.parametrize("held", [1 << 20, 40])
+def test_neighbourhood_is_whole(monkeypatch, held):
     """Every reduced word within one edit, and no other, has its hash there."""
+    monkeypatch.setattr(S, "HELD_HASHES", held)
     r = random.Random(3)
     for n in (1, 2, 5):
         word = "".join(r.choice("aaabcdefghijk") for _ in range(n))
