@@ -17,8 +17,8 @@ are one node from here on) and a column for every shingle.
    column blocks, and a pair below its bound goes: with a the least overlap that its
    sizes need, it must share a - |x| + (columns kept of x) of the kept columns for
    that of its two rows whose kept columns end first.
-   A column of over ``LIST`` rows emits no pairs but a chain of its rows; its rows
-   are in one block anyway.
+   A column of over ``LIST`` rows emits no pairs: its rows are tied into one block, with
+   at most an edge a row from all such columns of a column block.
 4. Pairs and chains make candidate blocks, where links are confirmed on the full
    sets (``block_links``); the components of the links are the classes.
 
@@ -46,13 +46,13 @@ from pyspark.sql import functions as F
 from pricelake.llm import textvec
 from pricelake.llm.block_links import confirmed, set_name
 from pricelake.llm.common import join_staged, released, stage
-from pricelake.llm.components import components
+from pricelake.llm.components import Forest, components
 
 SHINGLE = 5
 #: Shingles counted at once, and the most frequent that are ranked (16 MB).
 CHUNK, RANKED, FREQUENT = 1 << 21, 1 << 20, 16
 #: Kept columns' entries of a column block; rows of a column that emits pairs.
-BLOCK_ENTRIES, LIST = 1 << 20, 64
+BLOCK_ENTRIES, LIST = 1 << 20, 16
 
 U = np.uint64
 TOP = U(1 << 63)
@@ -156,6 +156,17 @@ def _cells(ranked: np.ndarray, rank: np.ndarray, blocks: int, num: int, den: int
     return run
 
 
+def spanning(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """As few edges with the same components: at most one a node."""
+    ids, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    f = Forest(len(ids))
+    for x, y in np.unique(at.reshape(2, -1), axis=1).T.tolist():
+        f.join(x, y)
+    root = np.array([f.root(x) for x in range(len(ids))], dtype=np.int64)
+    far = np.flatnonzero(root != np.arange(len(ids)))
+    return ids[root[far]], ids[far]
+
+
 def column_product(key, node, n, end, num: int, den: int, limit: int = LIST):
     """(pairs, chains) of a column block: pairs (x, y, overlap, bound) and edges."""
     order = np.lexsort((node, key))
@@ -166,7 +177,7 @@ def column_product(key, node, n, end, num: int, den: int, limit: int = LIST):
     size = np.diff(np.r_[start, len(key)])
     long = np.repeat(size > limit, size)
     chain = np.flatnonzero(long[1:] & (key[1:] == key[:-1]))
-    chains = node[chain], node[chain + 1]
+    chains = spanning(node[chain], node[chain + 1])
     x, y = [], []
     # the d-th next row of the same column, for all short columns at once
     for d in range(1, min(int(size.max(initial=0)), limit)):

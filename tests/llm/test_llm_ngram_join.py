@@ -77,7 +77,7 @@ def test_equals_brute_force(spark, make, monkeypatch, seed):
     assert sorted((tuple(r) for r in got.collect()), key=str) == brute(rows)
 
 
-@pytest.mark.parametrize("limit", [2, 5, 64])
+@pytest.mark.parametrize("limit", [2, 5, 16, 64])
 def test_column_product_loses_no_link(limit):
     """Over all columns, every link is a pair at its bound or in a chain's block."""
     r = random.Random(limit)
