@@ -52,7 +52,7 @@ SHINGLE = 5
 #: Shingles counted at once, and the most frequent that are ranked (16 MB).
 CHUNK, RANKED, FREQUENT = 1 << 21, 1 << 20, 16
 #: Kept columns' entries of a column block; rows of a column that emits pairs.
-BLOCK_ENTRIES, LIST = 1 << 20, 16
+BLOCK_ENTRIES, LIST = 1 << 21, 64
 
 U = np.uint64
 TOP = U(1 << 63)
@@ -167,6 +167,14 @@ def spanning(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return ids[root[far]], ids[far]
 
 
+def tied(node: np.ndarray, root: np.ndarray, far: np.ndarray) -> np.ndarray:
+    """The root of each node under the spanning edges (sorted by ``far``), else itself."""
+    if not len(far):
+        return node
+    at = np.minimum(np.searchsorted(far, node), len(far) - 1)
+    return np.where(far[at] == node, root[at], node)
+
+
 def column_product(key, node, n, end, num: int, den: int, limit: int = LIST):
     """(pairs, chains) of a column block: pairs (x, y, overlap, bound) and edges."""
     order = np.lexsort((node, key))
@@ -199,7 +207,10 @@ def column_product(key, node, n, end, num: int, den: int, limit: int = LIST):
     order = np.lexsort((b, a))
     a, b, bound = a[order], b[order], bound[order]
     new = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])]) if len(a) else np.zeros(0, np.int64)
-    return (a[new], b[new], np.diff(np.r_[new, len(a)]), bound[new]), chains
+    a, b, both, bound = a[new], b[new], np.diff(np.r_[new, len(a)]), bound[new]
+    # a pair that long columns tie into one block anyway needs no row of its own
+    apart = tied(a, *chains) != tied(b, *chains)
+    return (a[apart], b[apart], both[apart], bound[apart]), chains
 
 
 def _products(num: int, den: int, limit: int):
