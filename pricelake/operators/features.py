@@ -75,58 +75,64 @@ def add_deviation(df: DataFrame, value="close_usd", base="sma_7d",
     return df.withColumn(out, pct_change(value, base))
 
 
+#: The segment of rows without a date (they sort before all others).
+NO_DATE = -(1 << 40)
+
+
 def add_features_split(df: DataFrame, key: str = "asset_id", order: str = "price_date",
                        value: str = "close_usd", prev: str = "prev_close_usd",
                        ret: str = "daily_return_pct", windows: Sequence[int] = (7, 30),
                        chunk_rows: int = 1_000_000, segment_days: int = 366,
-                       cummax: str = "cummax_close") -> DataFrame:
+                       cummax: str = "cummax_close", hot_rows: int = 0) -> DataFrame:
     """Same columns as ``add_returns`` + ``add_rolling`` (row frames), computed
-    without holding any series in one task.
-
-    1. Row index per series: row number inside (key, time segment) plus the
-       row count of earlier segments (a prefix sum over the small
-       per-segment count table).
-    2. Chunks of ``chunk_rows`` consecutive rows; the last ``max(windows)``
-       rows of a chunk are copied into the next chunk as a halo, which is all a
-       row frame of n rows (and the return at its first row) needs.
-    3. Windows run per (key, chunk); halo rows are dropped afterwards.
-    4. The running max continues across chunks with a prefix max over the
-       per-chunk maxima (again a small table).
+    without holding any series of more than ``hot_rows`` rows in one task.
+
+    1. A small table of (key, time segment): its rows and maximum, and from
+       those the row count and maximum of the earlier segments and whether the
+       series is hot.
+    2. Row index and running max per series: those inside (key, segment)
+       continue from the earlier segments' count and maximum.
+    3. Chunks of ``chunk_rows`` consecutive rows; the last ``max(windows)``
+       rows of a chunk are copied (key, date and value) into the next chunk as a
+       halo, which is all a row frame of n rows (and the return at its first row)
+       needs. A series that is not hot is one chunk.
+    4. Windows run per (key, chunk); halo rows are dropped afterwards.
+    All rows are exchanged twice, by segment and by chunk. Rows without a key, and
+    those of hot series without a date, are dropped.
     Exact: equal to the single-partition computation (tested).
     """
     halo = max(windows)
     if chunk_rows <= halo:
         raise ValueError("chunk_rows must exceed the longest frame")
     seg = F.floor(F.unix_date(F.col(order)) / F.lit(segment_days)).cast("long")
-    d = df.withColumn("__seg", seg)
-    d = d.withColumn("__rn", F.row_number().over(
-        Window.partitionBy(key, "__seg").orderBy(order)) - 1)
-    counts = d.groupBy(key, "__seg").agg(F.count(F.lit(1)).alias("__n"))
-    before = F.coalesce(F.sum("__n").over(Window.partitionBy(key).orderBy("__seg")
-                                          .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    offsets = counts.select(key, "__seg", before.alias("__off"))
-    d = d.join(offsets, [key, "__seg"]).withColumn("__idx", F.col("__off") + F.col("__rn"))
-    chunk = F.floor(F.col("__idx") / F.lit(chunk_rows)).cast("long")
-    in_tail = (F.col("__idx") % F.lit(chunk_rows)) >= F.lit(chunk_rows - halo)
+    d = df.withColumn("__seg", F.coalesce(seg, F.lit(NO_DATE).cast("long")))
+    series = Window.partitionBy(key)
+    earlier = series.orderBy("__seg").rowsBetween(Window.unboundedPreceding, -1)
+    segs = d.groupBy(key, "__seg").agg(F.count(F.lit(1)).alias("__n"), F.max(value).alias("__top"))
+    segs = segs.withColumn("__hot", F.sum("__n").over(series) > F.lit(int(hot_rows)))
+    counted = F.when(~F.col("__hot") | (F.col("__seg") != F.lit(NO_DATE)), F.col("__top"))
+    segs = segs.select(key, "__seg", "__hot", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__off"),
+                       F.max(counted).over(earlier).alias("__prior"))
+    w = Window.partitionBy(key, "__seg").orderBy(order)
+    d = d.select("*", (F.row_number().over(w) - 1).alias("__rn"),
+                 F.max(value).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("__run_max"))
+    d = d.join(segs, [key, "__seg"]).filter(~F.col("__hot") | F.col(order).isNotNull())
+    idx = F.col("__off") + F.col("__rn")
+    chunk = F.when(F.col("__hot"), F.floor(idx / F.lit(chunk_rows)).cast("long")).otherwise(F.lit(0).cast("long"))
+    in_tail = F.col("__hot") & ((idx % F.lit(chunk_rows)) >= F.lit(chunk_rows - halo))
     copies = F.when(in_tail, F.array(F.struct(chunk.alias("c"), F.lit(False).alias("h")),
                                      F.struct((chunk + 1).alias("c"), F.lit(True).alias("h")))) \
         .otherwise(F.array(F.struct(chunk.alias("c"), F.lit(False).alias("h"))))
-    base = d.drop("__seg", "__rn", "__off").withColumn("__cp", F.explode(copies)) \
-        .withColumn("__chunk", F.col("__cp.c")).withColumn("__halo", F.col("__cp.h")).drop("__cp")
-    w = Window.partitionBy(key, "__chunk").orderBy("__idx")
+    d = d.select(*df.columns, F.greatest("__run_max", "__prior").alias(cummax), F.explode(copies).alias("__cp"))
+    own = [c if c in (key, order, value) else F.when(~F.col("__cp.h"), F.col(c)).alias(c) for c in [*df.columns, cummax]]
+    base = d.select(*own, F.col("__cp.c").alias("__chunk"), F.col("__cp.h").alias("__halo"))
+    w = Window.partitionBy(key, "__chunk").orderBy(order)
     lagged = base.withColumn(prev, F.lag(value).over(w))
     lagged = lagged.withColumn(ret, pct_change(value, prev))
     cols = [F.avg(value).over(w.rowsBetween(-(n - 1), Window.currentRow)).alias(f"sma_{n}d")
             for n in windows]
     cols += [F.stddev_samp(ret).over(w.rowsBetween(-(n - 1), Window.currentRow))
              .alias(f"return_stddev_{n}d") for n in windows]
-    cols.append(F.max(value).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-                .alias("__run_max"))
     feats = lagged.select("*", *cols).filter(~F.col("__halo"))
-    cmax = feats.groupBy(key, "__chunk").agg(F.max(value).alias("__cmax"))
-    prior = cmax.select(key, "__chunk", F.max("__cmax").over(
-        Window.partitionBy(key).orderBy("__chunk")
-        .rowsBetween(Window.unboundedPreceding, -1)).alias("__prior"))
-    out = feats.join(prior, [key, "__chunk"]).withColumn(
-        cummax, F.greatest(F.col("__run_max"), F.col("__prior")))
-    return out.drop("__idx", "__chunk", "__halo", "__run_max", "__prior")
+    return feats.select(*df.columns, prev, ret, *[f"sma_{n}d" for n in windows],
+                        *[f"return_stddev_{n}d" for n in windows], cummax)

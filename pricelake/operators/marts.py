@@ -48,10 +48,10 @@ def fact_daily(staged: DataFrame, frame: str = "rows", hot_rows: int | None = No
     """One row per (asset, date) with all features (18 columns).
 
     Window features are partitioned by asset. With ``hot_rows`` set, assets
-    holding more than ``hot_rows`` rows take the split path
+    holding more than ``hot_rows`` rows are split
     (``features.add_features_split``: chunks of ``chunk_rows`` with a halo),
-    the rest the single-partition path; both give the same rows. How the list
-    of hot assets is joined is left to Spark's size checks.
+    the rest stay one chunk; both give the same rows. Rows without an asset
+    take the single-partition path.
     """
     if hot_rows is None:
         df = ft.add_deviation(ft.add_drawdown(rolling_metrics(staged, frame)))
@@ -59,14 +59,11 @@ def fact_daily(staged: DataFrame, frame: str = "rows", hot_rows: int | None = No
     if frame != "rows":
         raise ValueError("the split path supports row frames only")
     base = staged.select(*RETURNS_COLUMNS[:8])
-    hot = (base.groupBy("asset_id").agg(F.count(F.lit(1)).alias("__n"))
-           .filter(F.col("__n") > int(hot_rows)).select("asset_id", F.lit(True).alias("__hot")))
-    tagged = base.join(hot, "asset_id", "left")
-    cold = fact_daily(tagged.filter(F.col("__hot").isNull()).drop("__hot"))
-    split = ft.add_features_split(tagged.filter(F.col("__hot")).drop("__hot"),
+    unkeyed = fact_daily(base.filter(F.col("asset_id").isNull()))
+    split = ft.add_features_split(base.filter(F.col("asset_id").isNotNull()), hot_rows=int(hot_rows),
                                   chunk_rows=chunk_rows, segment_days=segment_days)
     split = ft.add_deviation(ft.add_drawdown(ft.add_annualised_vol(split)))
-    return cold.unionByName(split.select(*FACT_COLUMNS))
+    return unkeyed.unionByName(split.select(*FACT_COLUMNS))
 
 
 def weekly_rollup(fact: DataFrame, first_day: str = "sunday") -> DataFrame:

@@ -5,6 +5,7 @@ import pytest
 
 from helpers import SF001
 from pricelake.operators import marts, staging
+from pricelake.plans import incremental
 from pricelake.sources import fixtures as fx
 
 
@@ -35,6 +36,22 @@ def test_chain_has_two_exchanges(no_aqe):
     assert p.count("Sort [__key_hash") == 2          # the top-1 compares hashes first, not texts of one prefix
 
 
+def wide_exchanges(df):
+    """The rows of the fact that its exchanges carry: those with all price columns."""
+    import re
+    nodes = [n.split("\n") for n in re.split(r"\n(?=\(\d+\) )", df._jdf.queryExecution().explainString(
+        df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")))]
+    return [n[0] for n in nodes if re.match(r"\(\d+\) Exchange", n[0]) and "volume_usd" in n[1]]
+
+
+def test_split_path_exchanges_the_rows_three_times(no_aqe):
+    """Staging, segments, chunks; rows without an asset are few."""
+    staged = staging.stage_prices(fx.f1_raw_prices(no_aqe, SF001), tiebreak=fx.F1_TIEBREAK)
+    keyed = staged.filter("asset_id IS NOT NULL")
+    fact = marts.fact_daily(keyed, hot_rows=300, chunk_rows=100, segment_days=64)
+    assert len(wide_exchanges(fact)) - len(wide_exchanges(marts.fact_daily(keyed))) == 3, plan_text(fact)
+
+
 def test_filters_pushed_and_columns_pruned(no_aqe):
     spark = no_aqe
     staged = staging.stage_prices(fx.f1_raw_prices(spark, SF001), tiebreak=fx.F1_TIEBREAK)

@@ -48,3 +48,16 @@ def test_incremental_equals_full(spark, closes, gaps, cut):
         return sorted(tuple(round(v, 6) if isinstance(v, float) else v for v in r)
                       for r in df.select(*marts.FACT_COLUMNS).collect())
     assert norm(inc) == norm(full)
+
+
+def test_split_series_equal_whole_ones_at_every_length(spark):
+    """Series below, at and above ``hot_rows``, sparse and dense, and one without a name."""
+    f, rows = dt.datetime(2030, 1, 1), []
+    for name, n, step in (("short", 12, 9), ("edge", 40, 1), ("long", 41, 1), ("sparse", 150, 23), (None, 60, 2)):
+        rows += [(name, dt.date(2020, 1, 1) + dt.timedelta(days=k * step), 50.0 + (k * 37) % 101, f) for k in range(n)]
+    staged = staging.stage_prices(price_rows(spark, rows))
+
+    def norm(df):
+        return sorted(repr(tuple(round(v, 9) if isinstance(v, float) else v for v in r)) for r in df.collect())
+    for chunk_rows, days in ((31, 7), (64, 40)):
+        assert norm(marts.fact_daily(staged, hot_rows=40, chunk_rows=chunk_rows, segment_days=days)) == norm(marts.fact_daily(staged))
