@@ -48,6 +48,22 @@ def stored_tail(stored_fact: DataFrame, first: DataFrame, tail_rows: int = 30) -
     return before.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= tail_rows).drop("__rn")
 
 
+def stored_reach(stored_fact: DataFrame, first: DataFrame, tail_rows: int = 30) -> DataFrame:
+    """Per asset of ``first`` (asset_id, __first): its stored rows from that date on
+    (``__new``) and the last ``tail_rows`` before it, found in one pass.
+
+    A row before the date is among the last ones if the row ``tail_rows`` further on
+    is not before it. The window has the order of the fact's own, so a fact that is
+    computed here, or bucketed by asset, is neither exchanged again nor read twice.
+    """
+    w = ft.series_window("asset_id", "price_date")
+    ahead = stored_fact.withColumn("__ahead", F.lead("price_date", tail_rows).over(w))
+    new = F.col("price_date") >= F.col("__first")
+    last = F.col("__ahead").isNull() | (F.col("__ahead") >= F.col("__first"))
+    return (ahead.join(first, "asset_id").filter(new | ((F.col("price_date") < F.col("__first")) & last))
+            .withColumn("__new", new).drop("__ahead", "__first"))
+
+
 def incremental_features(stored_fact: DataFrame, new_staged: DataFrame, tail_rows: int = 30,
                          tail: DataFrame | None = None) -> DataFrame:
     """Fact rows of every touched asset from its first incoming date on, equal to
@@ -61,14 +77,19 @@ def incremental_features(stored_fact: DataFrame, new_staged: DataFrame, tail_row
     maximum, without a join. ``tail`` may hold the tail already found.
     """
     first = new_staged.groupBy("asset_id").agg(F.min("price_date").alias("__first"))
-    tail = stored_tail(stored_fact, first, tail_rows) if tail is None else tail
     cols = marts.RETURNS_COLUMNS[:8]
-    after = (stored_fact.join(first, "asset_id").filter(F.col("price_date") >= F.col("__first")).select(*cols)
-             .join(new_staged.select("asset_id", "price_date"), ["asset_id", "price_date"], "left_anti"))
-    none = F.lit(None).cast("double")
-    combined = (tail.select(*cols, F.col("cummax_close").alias("__seed"), F.lit(False).alias("__new"))
-                .unionByName(after.select(*cols, none.alias("__seed"), F.lit(True).alias("__new")))
-                .unionByName(new_staged.select(*cols, none.alias("__seed"), F.lit(True).alias("__new"))))
+    replaced = new_staged.select("asset_id", "price_date")
+    seed = F.when(~F.col("__new"), F.col("cummax_close")).alias("__seed")
+    if tail is None:
+        # no incoming row has a tail row's date
+        held = (stored_reach(stored_fact.select(*cols, "cummax_close"), first, tail_rows)
+                .join(replaced, ["asset_id", "price_date"], "left_anti").select(*cols, seed, "__new"))
+    else:
+        after = (stored_fact.join(first, "asset_id").filter(F.col("price_date") >= F.col("__first"))
+                 .join(replaced, ["asset_id", "price_date"], "left_anti"))
+        held = (tail.withColumn("__new", F.lit(False)).select(*cols, seed, "__new")
+                .unionByName(after.withColumn("__new", F.lit(True)).select(*cols, seed, "__new")))
+    combined = held.unionByName(new_staged.select(*cols, F.lit(None).cast("double").alias("__seed"), F.lit(True).alias("__new")))
     df = ft.add_rolling(ft.add_returns(combined.withColumn("__top", F.greatest("close_usd", "__seed"))), cummax="__max")
     df = df.withColumn("cummax_close", F.max("__top").over(ft.series_window("asset_id", "price_date").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)))

@@ -16,7 +16,7 @@ from pricelake.operators import dedup, marts, quality, reshape, serving, staging
 from pricelake.plans.common import rounded
 from pricelake.session import scratch_path
 from pricelake.sources import fixtures as fx
-from pricelake.sources import payloads, sinks
+from pricelake.sources import layout, payloads, sinks
 from pricelake.plans import incremental
 from pyspark.sql import functions as F
 
@@ -470,10 +470,13 @@ def q_incremental_per_asset(spark, sf):
 @register("q_incremental_features")
 def q_incremental_features(spark, sf):
     """Features of the rows after the stored target, from a 30-row tail. The staged
-    rows and the target are stored, as in the daily job, so each is computed once."""
-    staged = sinks.staged_copy(spark, f1_staged(spark, sf), "incremental-staged")
+    rows and the target are stored, as in the daily job, so each is computed once;
+    the target is a bucketed copy, whose series are read without an exchange."""
+    staged = sinks.staged_copy(spark, f1_staged(spark, sf).select(*marts.RETURNS_COLUMNS[:8]), "incremental-staged")
     end = F.lit(F1_TARGET_END).cast("date")
-    stored = sinks.staged_copy(spark, marts.fact_daily(staged.filter(F.col("price_date") <= end)), "incremental-fact")
+    name = f"incremental_fact_{uuid.uuid4().hex}"
+    stored = layout.write_bucketed(marts.fact_daily(staged.filter(F.col("price_date") <= end)), name,
+                                   scratch_path(spark, name), int(spark.conf.get("spark.sql.shuffle.partitions")))
     new = staged.filter(F.col("price_date") > end)
     return rounded(incremental.incremental_features(stored, new))
 

@@ -52,6 +52,19 @@ def test_split_path_exchanges_the_rows_three_times(no_aqe):
     assert len(wide_exchanges(fact)) - len(wide_exchanges(marts.fact_daily(keyed))) == 3, plan_text(fact)
 
 
+def test_incremental_reads_the_computed_target_once(no_aqe):
+    staged = staging.stage_prices(fx.f1_raw_prices(no_aqe, SF001), tiebreak=fx.F1_TIEBREAK)
+    stored = marts.fact_daily(staged.filter("price_date <= DATE '2001-06-30'"))
+    inc = incremental.incremental_features(stored, staged.filter("price_date >= DATE '2001-03-01'"))
+    assert len(wide_exchanges(inc)) <= 7, plan_text(inc)
+
+
+def test_stored_target_is_read_without_an_exchange(no_aqe):
+    from __spark_entry__ import queries
+    df = queries()["q_incremental_features"](no_aqe, SF001)
+    assert len(wide_exchanges(df)) == 2, plan_text(df)      # the replaced rows' join, the features' windows
+
+
 def test_filters_pushed_and_columns_pruned(no_aqe):
     spark = no_aqe
     staged = staging.stage_prices(fx.f1_raw_prices(spark, SF001), tiebreak=fx.F1_TIEBREAK)
