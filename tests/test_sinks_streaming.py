@@ -106,6 +106,26 @@ def test_incremental_features_equal_full_recompute(spark):
     assert rows_of(inc) == rows_of(full)
 
 
+def test_incremental_batch_that_starts_elsewhere_in_every_series(spark):
+    """Inside a long series (some stored days stay), before a short one, within 30 rows, in a new one."""
+    f, g = T(2024, 6, 1), T(2024, 6, 2)
+
+    def day(k):
+        return D(2024, 1, 1) + dt.timedelta(days=2 * k)
+    old = [("a", day(k), 10.0 + (k * 13) % 17, f) for k in range(80)] + [("b", day(k), 5.0 + k % 3, f) for k in range(5, 12)]
+    old += [("c", day(k), 7.0 + k % 5, f) for k in range(40)] + [("untouched", day(3), 1.0, f)]
+    new = [("a", day(k), 40.0 - k % 7, g) for k in (45, 46, 50, 79, 90)] + [("b", day(2), 9.0, g), ("c", day(20), 3.0, g), ("d", day(1), 2.0, g)]
+    stored = marts.fact_daily(staging.stage_prices(price_rows(spark, old)))
+    inc = incremental.incremental_features(stored, staging.stage_prices(price_rows(spark, new)))
+    full = marts.fact_daily(staging.stage_prices(price_rows(spark, old + new)))
+    first = {"a": day(45), "b": day(2), "c": day(20), "d": day(1)}
+    due = [r for r in full.collect() if r.asset_id in first and r.price_date >= first[r.asset_id]]
+    assert rows_of(inc) == rows_of(spark.createDataFrame(due, full.schema))
+    w = incremental.stored_reach(stored, spark.createDataFrame([*first.items()], "asset_id string, __first date"))
+    kept = {(r.asset_id, r["__new"]): r.n for r in w.groupBy("asset_id", "__new").agg(F.count("*").alias("n")).collect()}
+    assert kept == {("a", False): 30, ("a", True): 35, ("b", True): 7, ("c", False): 20, ("c", True): 20}
+
+
 def _land(tmp_path, name, payload_df):
     """Write envelopes as JSON lines (one file per call)."""
     d = tmp_path / name
