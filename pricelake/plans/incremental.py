@@ -79,17 +79,18 @@ def incremental_features(stored_fact: DataFrame, new_staged: DataFrame, tail_row
     first = new_staged.groupBy("asset_id").agg(F.min("price_date").alias("__first"))
     cols = marts.RETURNS_COLUMNS[:8]
     replaced = new_staged.select("asset_id", "price_date")
-    seed = F.when(~F.col("__new"), F.col("cummax_close")).alias("__seed")
+    none = F.lit(None).cast("double").alias("__seed")
     if tail is None:
         # no incoming row has a tail row's date
         held = (stored_reach(stored_fact.select(*cols, "cummax_close"), first, tail_rows)
-                .join(replaced, ["asset_id", "price_date"], "left_anti").select(*cols, seed, "__new"))
+                .join(replaced, ["asset_id", "price_date"], "left_anti")
+                .select(*cols, F.when(~F.col("__new"), F.col("cummax_close")).alias("__seed"), "__new"))
     else:
         after = (stored_fact.join(first, "asset_id").filter(F.col("price_date") >= F.col("__first"))
                  .join(replaced, ["asset_id", "price_date"], "left_anti"))
-        held = (tail.withColumn("__new", F.lit(False)).select(*cols, seed, "__new")
-                .unionByName(after.withColumn("__new", F.lit(True)).select(*cols, seed, "__new")))
-    combined = held.unionByName(new_staged.select(*cols, F.lit(None).cast("double").alias("__seed"), F.lit(True).alias("__new")))
+        held = (tail.select(*cols, F.col("cummax_close").alias("__seed"), F.lit(False).alias("__new"))
+                .unionByName(after.select(*cols, none, F.lit(True).alias("__new"))))
+    combined = held.unionByName(new_staged.select(*cols, none, F.lit(True).alias("__new")))
     df = ft.add_rolling(ft.add_returns(combined.withColumn("__top", F.greatest("close_usd", "__seed"))), cummax="__max")
     df = df.withColumn("cummax_close", F.max("__top").over(ft.series_window("asset_id", "price_date").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)))
