@@ -3,11 +3,12 @@
 The incidence matrix has a row for every distinct set of word shingles (equal sets
 are one node from here on) and a column for every shingle.
 
-1. Pass over the texts: the sets' names and sizes, and, per chunk of shingles, the
-   counts of those that repeat in it. Their sums find every shingle far more
-   frequent than the number of chunks; the ``RANKED`` most frequent are ranked, and
-   all shingles are put into one order: unranked ones by their hash, then ranked ones
-   from rare to frequent. Any order gives right results.
+1. Two passes over the texts: the sets' names and sizes, then the counts of all
+   shingles, by the first 32 bits of their hash (two bytes each travel). A table of at
+   most 2 ** ``WIDTH`` bytes holds the level (half powers of two) of the most frequent
+   shingle of every place, from ``FREQUENT`` rows on, and all shingles are put into one
+   order: by level, then by their hash. Any order gives right results; this one keeps
+   a column of many rows only where a set has too few rarer shingles.
 2. Pass: of each row only the columns that a link at ``num / den`` cannot avoid are
    kept: the first |x| - ceil(num |x| / den) + 1 in that order. The matrix is dealt
    into column blocks by hash; a cell block (one task's rows, one column block)
@@ -49,13 +50,14 @@ from pricelake.llm.common import join_staged, released, stage
 from pricelake.llm.components import Forest, components
 
 SHINGLE = 5
-#: Shingles counted at once, and the most frequent that are ranked (16 MB).
-CHUNK, RANKED, FREQUENT = 1 << 21, 1 << 20, 16
+#: Shingles packed at once, and the groups (by their first 8 bits) that they are counted in.
+CHUNK, GROUPS = 1 << 21, 256
+#: Rows from which a shingle has a level; bits of a place in the table of levels (16 MB); bits of a level.
+FREQUENT, WIDTH, LEVEL = 16, 24, 5
 #: Kept columns' entries of a column block; rows of a column that emits pairs.
 BLOCK_ENTRIES, LIST = 1 << 21, 64
 
 U = np.uint64
-TOP = U(1 << 63)
 
 
 def least(num: int, den: int, size: np.ndarray) -> np.ndarray:
@@ -64,65 +66,91 @@ def least(num: int, den: int, size: np.ndarray) -> np.ndarray:
 
 
 def _name(batches):
-    """(doc_id, n, node) of every text and (gram, times) of a chunk's repeats."""
-    held, size = [], 0
-
-    def repeats():
-        g, times = np.unique(np.concatenate(held), return_counts=True)
-        g, times = g[times > 1], times[times > 1]
-        none = pa.nulls(len(g), pa.int64())
-        return pa.RecordBatch.from_arrays([none, none, none, pa.array(g.view(np.int64)), pa.array(times)], names)
-
-    names, done = ["doc_id", "n", "node", "gram", "times"], set()
+    """(doc_id, n, node) of every text."""
     for b in batches:
         for lo, hi, data, offsets in textvec.text_chunks(b.column(1)):
             sets = textvec.shingle_sets(data, offsets, SHINGLE)
             node = [set_name(s) if len(s) else None for s in sets]
-            none = pa.nulls(hi - lo, pa.int64())
             yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.array([len(s) for s in sets], pa.int64()),
-                                              pa.array(node, pa.int64()), none, none], names)
-            for s, name in zip(sets, node, strict=True):
-                if name not in done and len(s):          # copies of one set are one row of the matrix
-                    done.add(name)
-                    held.append(s)
-                    size += len(s)
-            if size >= CHUNK:
-                yield repeats()
-                held, size = [], 0
+                                              pa.array(node, pa.int64())], ["doc_id", "n", "node"])
+
+
+def _places(batches):
+    """(group, places) of a chunk's shingles, packed: how many have each value of the
+    second byte, then the third and fourth bytes in order."""
+    held, size, done = [], 0, set()
+
+    def packed():
+        place = np.sort((np.concatenate(held) >> U(32)).astype(np.uint32))
+        cut = np.searchsorted(place, np.arange(1, GROUPS, dtype=np.uint32) << np.uint32(24))
+        parts = [(g, x) for g, x in enumerate(np.split(place, cut)) if len(x)]
+        data = [np.bincount((x >> 16) & 255, minlength=256).astype(np.uint32).tobytes() + x.astype(np.uint16).tobytes() for _, x in parts]
+        return pa.RecordBatch.from_pydict({"group": pa.array([g for g, _ in parts], pa.int32()), "places": pa.array(data, pa.binary())})
+
+    for b in batches:
+        for _, _, data, offsets in textvec.text_chunks(b.column(0)):
+            for s in textvec.shingle_sets(data, offsets, SHINGLE):
+                name = set_name(s) if len(s) else None
+                if name is None or name in done:         # copies of one set are one row of the matrix
+                    continue
+                done.add(name)
+                held.append(s)
+                size += len(s)
+        if size >= CHUNK:
+            yield packed()
+            held, size = [], 0
     if size:
-        yield repeats()
+        yield packed()
 
 
-def _ranked(named: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Up to RANKED frequent shingles, sorted, and their ranks from rare to frequent."""
-    seen = stage(named.filter("gram is not null").groupBy("gram").agg(F.sum("times").alias("times"))
-                 .filter(F.col("times") >= FREQUENT), "frequent")
-    held, floor = 0, None
-    for r in seen.groupBy("times").count().orderBy(F.col("times").desc()).toLocalIterator():
-        held += r["count"]
-        if held > RANKED:
-            break
-        floor = r["times"]
-    if floor is None:
-        return np.zeros(0, U), np.zeros(0, U)
-    top = seen.filter(F.col("times") >= floor).toArrow().sort_by("gram")
-    gram = top.column("gram").to_numpy().view(U)
-    rank = np.argsort(np.argsort(top.column("times").to_numpy(), kind="stable")).astype(U)
-    order = np.argsort(gram)
-    return gram[order], rank[order]
-
-
-def _keys(s: np.ndarray, ranked: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    """Places of shingles in the order of all shingles."""
-    key = s >> U(1)
-    if len(ranked):
-        at = np.minimum(np.searchsorted(ranked, s), len(ranked) - 1)
-        hit = ranked[at] == s
-        key[hit] = TOP + rank[at[hit]]
-    return key
-
-
-def _cells(ranked: np.ndarray, rank: np.ndarray, blocks: int, num: int, den: int):
+def _counted(width: int, bits: int, frequent: int):
+    def run(batches):
+        """(group, levels) from packed places sorted by group, counted by their first ``bits``."""
+        times, now = np.zeros(1 << (bits - 8), np.uint32), None
+
+        def levels():
+            at = np.flatnonzero(times >= frequent)
+            level = np.minimum((1 << LEVEL) - 1, 1 + (2 * np.log2(times[at] / frequent)).astype(np.int64)).astype(np.uint8)
+            out = np.zeros(1 << (width - 8), np.uint8)
+            np.maximum.at(out, at >> (bits - width), level)
+            return pa.RecordBatch.from_pydict({"group": pa.array([now], pa.int32()), "levels": pa.array([out.tobytes()], pa.binary())})
+
+        for b in batches:
+            for k, group in enumerate(b.column(0).to_pylist()):
+                if group != now:
+                    if now is not None:
+                        yield levels()
+                        times[:] = 0
+                    now = group
+                data = b.column(1)[k].as_buffer()
+                second = np.frombuffer(data, np.uint32, 256)
+                place = np.repeat(np.arange(256) << 16, second) + np.frombuffer(data, np.uint16, offset=second.nbytes)
+                np.add.at(times, place >> (32 - bits), np.uint32(1))
+        if now is not None:
+            yield levels()
+    return run
+
+
+def _levels(docs: DataFrame, total: int) -> np.ndarray:
+    """The level of each place; ``total``: shingles of all rows of the matrix."""
+    width = min(WIDTH, max(8, (total // 64).bit_length()))
+    bits = min(32, max(width, total.bit_length() + 2))
+    packed = docs.select("text").mapInArrow(released(_places), "group int, places binary")
+    found = packed.repartition("group").sortWithinPartitions("group") \
+        .mapInArrow(released(_counted(width, bits, FREQUENT)), "group int, levels binary").toArrow()
+    out = np.zeros((GROUPS, 1 << (width - 8)), np.uint8)
+    for group, row in zip(found.column("group").to_pylist(), found.column("levels").to_pylist(), strict=True):
+        out[group] = np.frombuffer(row, np.uint8)
+    return out.ravel()
+
+
+def _keys(s: np.ndarray, levels: np.ndarray) -> np.ndarray:
+    """Places of shingles in the order of all shingles: by level, then by hash."""
+    level = levels[s >> U(65 - len(levels).bit_length())]
+    return (level.astype(U) << U(64 - LEVEL)) | (s >> U(LEVEL))
+
+
+def _cells(levels: np.ndarray, blocks: int, num: int, den: int):
     def run(batches):
         """Cell blocks: (block, key, node, size, end), the last four packed."""
         held, size, done = [], 0, set()
@@ -145,7 +173,7 @@ def _cells(ranked: np.ndarray, rank: np.ndarray, blocks: int, num: int, den: int
                         continue
                     done.add(name)
                     k = len(s) + num * len(s) // -den + 1
-                    key = np.sort(np.partition(_keys(s, ranked, rank), k - 1)[:k])
+                    key = np.sort(np.partition(_keys(s, levels), k - 1)[:k])
                     held.append((key, np.full(k, name), np.full(k, len(s), dtype=np.int32), np.full(k, key[-1])))
                     size += k
             if size >= CHUNK // 4:
@@ -243,14 +271,13 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", num
     """One row per document: doc_id, n_shingles, component_id (the smallest doc_id
     reachable over links with den * |A & B| >= num * |A | B|)."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    named = stage(docs.mapInArrow(released(_name), "doc_id long, n long, node long, gram long, times long"), "named")
-    rows = named.filter("n is not null")
+    rows = stage(docs.mapInArrow(released(_name), "doc_id long, n long, node long"), "named")
     nodes = stage(rows.filter("node is not null").groupBy("node").agg(
         F.min("doc_id").alias("rep"), F.first("n").alias("n_shingles"), F.count(F.lit(1)).alias("copies")), "nodes")
-    ranked, rank = _ranked(named)
-    entries = nodes.agg(F.sum(F.col("n_shingles") * (den - num) / den + 1)).first()[0] or 0
-    blocks = max(1, math.ceil(float(entries) / BLOCK_ENTRIES))
-    cells = docs.select("text").mapInArrow(released(_cells(ranked, rank, blocks, num, den)),
+    total, entries = nodes.agg(F.sum("n_shingles"), F.sum(F.col("n_shingles") * (den - num) / den + 1)).first()
+    levels = _levels(docs, total or 0)
+    blocks = max(1, math.ceil(float(entries or 0) / BLOCK_ENTRIES))
+    cells = docs.select("text").mapInArrow(released(_cells(levels, blocks, num, den)),
                                            "block long, key binary, node binary, n binary, end binary")
     made = stage(cells.repartition(blocks, "block").sortWithinPartitions("block")
                  .mapInArrow(released(_products(num, den, LIST)), "a long, b long, overlap long, bound long"), "products")

@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from pricelake.llm import block_links as B
@@ -140,6 +141,58 @@ def test_exact_links_join_what_all_pairs_join():
         assert len(got) < len(sets)
 
 
+def phrases_in_unlike_texts():
+    """Texts of their own words with passages that 40 of them share, and a near copy of one."""
+    r = random.Random(9)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(5))
+    passages = [" ".join(word() for _ in range(14)) for _ in range(3)]
+    rows = [(k, " ".join([word() for _ in range(70 + k % 7)]) + " " + " ".join(passages[(k + j) % 3] for j in range(2))) for k in range(60)]
+    return [*rows, (60, rows[0][1] + " last")]
+
+
+def test_passages_that_never_repeat_in_a_chunk_join_no_blocks(spark, make, monkeypatch):
+    """A shingle of many rows is a late column, however few of its rows a task holds."""
+    seen = {}
+
+    def confirmed(docs, text_col, nodes, edges, *rest):
+        seen["edges"] = edges.count()
+        return B.confirmed(docs, text_col, nodes, edges, *rest)
+    monkeypatch.setattr(J, "LIST", 4)
+    monkeypatch.setattr(J, "confirmed", confirmed)
+    rows = phrases_in_unlike_texts()
+    got = J.classes(make(rows).repartition(len(rows), "doc_id"))
+    assert sorted((tuple(r) for r in got.collect()), key=str) == brute(rows)
+    assert seen["edges"] == 1                       # the near copies alone
+
+
+def test_every_shingle_is_counted():
+    """Counts of packed places, of which a chunk holds few, are those of all chunks together."""
+    r = np.random.default_rng(4)
+    shingles = np.unique(r.integers(0, 1 << 63, 300).astype(np.uint64) << np.uint64(1))
+    texts = [shingles[r.random(len(shingles)) < share] for share in (0.02, 0.5, 1, 1, 1)]
+    rows = []
+    for s in texts:
+        place = np.sort((s >> np.uint64(32)).astype(np.uint32))
+        for g in range(J.GROUPS):
+            x = place[place >> 24 == g]
+            if len(x):
+                rows.append((g, np.bincount((x >> 16) & 255, minlength=256).astype(np.uint32).tobytes() + x.astype(np.uint16).tobytes()))
+    rows.sort(key=lambda x: x[0])
+    batch = pa.RecordBatch.from_pydict({"group": pa.array([g for g, _ in rows], pa.int32()), "places": pa.array([d for _, d in rows], pa.binary())})
+    width, table = 20, np.zeros((J.GROUPS, 1 << 12), np.uint8)
+    for b in J._counted(width, 32, 4)([batch.slice(0, 7), batch.slice(7)]):
+        for g, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            table[g] = np.frombuffer(x, np.uint8)
+    held = np.array([sum(x in s for s in texts) for x in shingles])
+    want = np.zeros(1 << width, np.uint8)
+    np.maximum.at(want, (shingles >> np.uint64(64 - width)).astype(np.int64), np.where(held >= 4, 1, 0).astype(np.uint8))
+    assert (table.ravel() == want).all()
+    keys = J._keys(shingles, table.ravel())
+    frequent = table.ravel()[shingles >> np.uint64(64 - width)] > 0
+    assert keys[~frequent].max() < keys[frequent].min()
+    assert len(np.unique(keys)) == len(shingles)
+
+
 def test_empty_table(spark, make):
     assert J.classes(make([])).count() == 0
     assert [tuple(r) for r in J.classes(make([(1, None)])).collect()] == [(1, 0, 1)]
